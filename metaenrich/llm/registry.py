@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, sharding, token_groups
+from . import bpe, fingerprint_index, sharding, token_groups
 from .common import table
 
 
@@ -24,12 +24,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprint_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_index.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_groups.components(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_groups, op8_bpe, op9_sharding)}
+    return {f.__name__: f for f in (op3_fingerprint_index, op4_token_groups, op8_bpe, op9_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
