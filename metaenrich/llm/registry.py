@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint_index, sharding, token_groups
+from . import bpe, edit_match, fingerprint_index, langid, sharding, token_groups
 from .common import table
 
 
@@ -16,6 +16,10 @@ def _vocabulary(name: str = bpe.VOCABULARY) -> str:
     return bpe.read_vocabulary(public_tokenizers.path(name))
 
 
+def op5_edit_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_match.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), _vocabulary(), ids=False, digests=True)
 
@@ -32,8 +36,13 @@ def op4_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_groups.components(table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_fingerprint_index, op4_token_groups, op8_bpe, op9_sharding)}
+    return {f.__name__: f for f in (op3_fingerprint_index, op4_token_groups, op5_edit_match, op8_bpe, op9_sharding, op10_langid)}
 
 
 def oracle_sql() -> dict[str, str]:
