@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, edit_match, fingerprint_index, langid, sharding, token_groups
+from . import bpe, edit_match, fingerprint_index, langid, ordinal, pii_crf, sharding, token_groups
 from .common import table
 
 
@@ -20,6 +20,11 @@ def op5_edit_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_match.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.score(docs, ordinal.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), _vocabulary(), ids=False, digests=True)
 
@@ -28,6 +33,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.digest(pii_crf.detect(table(spark, sf_dir, "documents")))
+
+
 def op3_fingerprint_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_index.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -42,7 +51,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_fingerprint_index, op4_token_groups, op5_edit_match, op8_bpe, op9_sharding, op10_langid)}
+    return {f.__name__: f for f in (op2_pii_crf, op3_fingerprint_index, op4_token_groups, op5_edit_match, op7_ordinal, op8_bpe, op9_sharding, op10_langid)}
 
 
 def oracle_sql() -> dict[str, str]:
