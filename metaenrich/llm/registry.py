@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, edit_match, fingerprint_index, langid, ordinal, pii_crf, sharding, token_groups
+from . import bpe, edit_match, fingerprint_index, imatch, langid, ordinal, pii_crf, sharding, token_groups
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op5_edit_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_match.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ordinal.score(docs, ordinal.train(docs, table(spark, sf_dir, "labels")))
@@ -51,7 +55,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii_crf, op3_fingerprint_index, op4_token_groups, op5_edit_match, op7_ordinal, op8_bpe, op9_sharding, op10_langid)}
+    return {f.__name__: f for f in (op2_pii_crf, op3_fingerprint_index, op4_token_groups, op5_edit_match, op6_imatch, op7_ordinal, op8_bpe, op9_sharding, op10_langid)}
 
 
 def oracle_sql() -> dict[str, str]:
