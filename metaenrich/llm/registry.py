@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, edit_match, fingerprint_index, imatch, langid, ordinal, pii_crf, sharding, token_groups
+from . import bpe, edit_match, fingerprint_index, html_template, imatch, langid, ordinal, pii_crf, sharding, token_groups
 from .common import table
 
 
@@ -37,6 +37,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.digest(pii_crf.detect(table(spark, sf_dir, "documents")))
 
@@ -55,7 +59,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii_crf, op3_fingerprint_index, op4_token_groups, op5_edit_match, op6_imatch, op7_ordinal, op8_bpe, op9_sharding, op10_langid)}
+    return {f.__name__: f for f in (op1_html_template, op2_pii_crf, op3_fingerprint_index, op4_token_groups, op5_edit_match, op6_imatch, op7_ordinal, op8_bpe, op9_sharding, op10_langid)}
 
 
 def oracle_sql() -> dict[str, str]:
