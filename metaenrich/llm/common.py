@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -58,6 +59,11 @@ class Scratch:
         for name in names:
             delete_path(self.spark, self.path(name))
 
+    def release(self) -> None:
+        """Lets Spark's cleaner delete the shuffle files of finished steps now, not when the driver's heap happens to fill."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def _close(self) -> None:
         try:
             delete_path(self.spark, self.root)

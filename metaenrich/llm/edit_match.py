@@ -191,7 +191,17 @@ def find_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of docs (all their columns) in which no item is found."""
-    found = find_items(docs, items, key).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, docs[key].eqNullSafe(found["__found"]), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Rows of docs (all their columns) in which no item is found. Rows stay in their partition."""
+    for block in blocks(items, item_key, item_text):
+        shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(block))
+
+        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(pickle.loads(shipped.value))
+            for batch in batches:
+                bodies = batch.column(batch.schema.get_field_index(text))
+                clean = [not matcher.find(t or "") for start in range(0, batch.num_rows, 512) for t in bodies.slice(start, 512).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

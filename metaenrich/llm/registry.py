@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, edit_match, fingerprint_index, html_template, imatch, langid, ordinal, pii_crf, sharding, token_groups
+from . import bpe, edit_match, fingerprint_index, html_template, imatch, langid, oracles, ordinal, pii_crf, sharding, token_groups
 from .common import table
 
 
@@ -63,4 +63,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_fingerprint_index": oracles.OP3, "op4_token_groups": oracles.OP4}
