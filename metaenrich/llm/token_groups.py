@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,26 +170,25 @@ def _node(tokens: np.ndarray) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def _sets(texts: DataFrame) -> DataFrame:
-    """node, grp, chunks and the whole set of each candidate; a text that isn't the node's (its doc_id stands in several rows) goes."""
+def _sets(source: DataFrame, heads: DataFrame) -> DataFrame:
+    """node and the whole set of each head; a text that isn't the node's (its doc_id stands in several rows) goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                rows = list(rows_of([part], "node", "grp", "chunks", "text"))
-                rows = [(node, grp, chunks, tokens) for node, grp, chunks, text in rows if len(tokens := shingles(text)) and _node(tokens) == node]
-                sizes = np.array([0, *(len(r[3]) for r in rows)]).cumsum()
-                values = as_signed(np.concatenate([*(r[3] for r in rows), np.empty(0, np.uint64)]))
+                rows = [(node, tokens) for node, text in rows_of([batch.slice(start, 512)], "node", "text") if len(tokens := shingles(text)) and _node(tokens) == node]
+                sizes = np.array([0, *(len(t) for _, t in rows)]).cumsum()
+                values = as_signed(np.concatenate([*(t for _, t in rows), np.empty(0, np.uint64)]))
                 tokens = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)), tokens], ["node", "grp", "chunks", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), tokens], ["node", "tokens"])
 
-    return texts.select("node", "grp", "chunks", "text").mapInArrow(run, "node bigint, grp bigint, chunks bigint, tokens array<bigint>")
+    texts = source.join(heads.select("node", F.col("doc_id").alias("head")), F.col("doc_id").eqNullSafe(F.col("head")))
+    return texts.select("node", "text").mapInArrow(run, "node bigint, tokens array<bigint>")
 
 
-def _arrays(table: pa.Table, name: str = "tokens") -> list[np.ndarray]:
+def _arrays(table: pa.Table) -> list[np.ndarray]:
     out = []
-    for chunk in table.column(name).chunks:
+    for chunk in table.column("tokens").chunks:
         values, offsets = chunk.values.to_numpy(), chunk.offsets.to_numpy()
         out += [values[a:b].view(np.uint64) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     return out
@@ -205,17 +205,19 @@ def _open_group(table: pa.Table) -> pa.Table:
                 break
             if classes.find(nodes[a]) != classes.find(nodes[b]) and links(sets[a], sets[b]):
                 classes.join(nodes[a], nodes[b])
-    return pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array([classes.find(n) for n in nodes], pa.int64()), "grp": table.column("grp").combine_chunks()})
+    return pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array([classes.find(n) for n in nodes], pa.int64())})
 
 
-def _query_group(members: pa.Table, queries: pa.Table) -> pa.Table:
-    """Links of a block of queries with members of one group that are in other classes."""
-    nodes, comps, sets = members.column("node").to_pylist(), members.column("comp").to_pylist(), _arrays(members)
+def _query_group(table: pa.Table) -> pa.Table:
+    """Links of a block of queries (asks) with members of one group that are in other classes."""
+    asks = table.column("asks")
+    members, queries = table.filter(pc.invert(asks)), table.filter(asks)
+    comps, sets = members.column("comp").to_pylist(), _arrays(members)
     found: list[tuple[int, int]] = []
-    if nodes and queries.num_rows:
+    if comps and queries.num_rows:
         union = np.unique(np.concatenate(sets))
-        seen = Classes(list({*comps, *queries.column("q_comp").to_pylist()}))
-        for comp, tokens in zip(queries.column("q_comp").to_pylist(), _arrays(queries, "q_tokens"), strict=True):
+        seen = Classes(list({*comps, *queries.column("comp").to_pylist()}))
+        for comp, tokens in zip(queries.column("comp").to_pylist(), _arrays(queries), strict=True):
             at = np.searchsorted(union, tokens)
             at[at == len(union)] = 0
             if 100 * int(np.count_nonzero(union[at] == tokens)) < LEAST * len(tokens):
@@ -253,6 +255,26 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
+def _packed(rows: DataFrame, salt: int = 0) -> DataFrame:
+    """Deals the nodes of each min-hash (grp) into chunks of about GROUP_SIZE: adds gid, k (nodes in it) and chunks."""
+    sizes = rows.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(GROUP_SIZE)).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node", F.lit("chunk"), F.lit(salt)), F.col("chunks"))
+    dealt = rows.join(sizes, "grp").withColumn("gid", F.xxhash64("grp", chunk, F.lit(salt)))
+    return dealt.join(dealt.groupBy("gid").agg(F.count("*").alias("k")), "gid")
+
+
+def _open_level(scratch: Scratch, dealt: DataFrame, sets: DataFrame, step: int) -> DataFrame:
+    """(node, root) of the groups of a level that have several members."""
+    groups = dealt.where("k > 1").select("node", "gid").join(sets, "node")
+    return scratch.save(groups.groupBy("gid").applyInArrow(_open_group, "node bigint, root bigint"), f"opened-{step}")
+
+
+def _leaders(dealt: DataFrame, opened: DataFrame) -> DataFrame:
+    """(node, grp): of each chunk of a family the member with the most followers."""
+    votes = dealt.where("chunks > 1").select("node", "gid", "grp").join(opened, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return votes.groupBy("gid", "grp", "root").agg(F.count("*").alias("k")).groupBy("gid", "grp").agg(F.max_by("root", F.struct("k", "root")).alias("node")).select("node", "grp")
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of the class) for each row of docs."""
     scratch = Scratch(docs.sparkSession, "groups")
@@ -263,49 +285,49 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     rows = described.where(F.size("pre") > 0).select("node", F.explode("pre").alias("token")).repartition("token")
     shared = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
     matrix = scratch.save(rows.join(shared, "token", "left_semi").distinct(), "matrix")
-    members = matrix.select("node").distinct()
-
-    # One text for each candidate node, with its group.
-    heads = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("grp").alias("grp")).join(members, "node", "left_semi")
-    packs = heads.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(GROUP_SIZE)).alias("chunks"))
-    heads = scratch.save(heads.join(packs, "grp"), "heads")
-    texts = source.join(heads.withColumnRenamed("doc_id", "head"), F.col("doc_id").eqNullSafe(F.col("head")))
-    sets = scratch.save(_sets(texts), "sets")
-    chunk = F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks"))
-    sets = sets.withColumn("gid", F.xxhash64("grp", chunk))
+    heads = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("grp").alias("grp"), F.first("n").alias("n"))
+    dealt = scratch.save(_packed(heads.join(matrix.select("node").distinct(), "node", "left_semi")), "dealt")
+    scratch.release()
 
     # Groups open by themselves; then the leaders of a family's chunks form groups, until one is left.
-    shape = "node bigint, root bigint, grp bigint"
-    level, edges, step = sets.select("node", "grp", "gid", "tokens", "chunks"), None, 0
-    while True:
-        sized = level.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1").select("gid")
-        opened = scratch.save(level.join(sized, "gid", "left_semi").groupBy("gid").applyInArrow(_open_group, shape), f"opened-{step}")
-        star = opened.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-        edges = star if edges is None else edges.union(star)
-        families = level.where("chunks > 1")
-        if not families.limit(1).count():
-            break
-        # The member with the most followers leads its chunk; single members lead themselves.
-        votes = families.select("node", "gid", "grp", "chunks").join(opened.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        leaders = votes.groupBy("gid", "root").agg(F.count("*").alias("k"), F.first("grp").alias("grp")).groupBy("gid").agg(F.max_by("root", F.struct("k", "root")).alias("node"), F.first("grp").alias("grp"))
-        packs = leaders.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(GROUP_SIZE)).alias("chunks"))
+    near = scratch.save(_sets(source, dealt.where("k > 1")), "sets-near")
+    scratch.release()
+    opened = _open_level(scratch, dealt, near, 0)
+    edges, level, step = opened, dealt, 0
+    while level.where("chunks > 1").limit(1).count():
         step += 1
-        level = scratch.save(leaders.select("node", "grp").join(packs, "grp").join(sets.select("node", "tokens"), "node").withColumn("gid", F.xxhash64("grp", chunk, F.lit(step))).select("node", "grp", "gid", "tokens", "chunks"), f"level-{step}")
-    first = connected(edges, scratch, "near")
-
-    # What is left: prefix tokens on which different classes meet.
-    info = scratch.save(sets.select("node", "gid", F.size("tokens").alias("n")).distinct().join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "info")
-    tokens = matrix.join(info, "node").repartition("token")
+        level = scratch.save(_packed(_leaders(level, opened), step), f"level-{step}")
+        opened = _open_level(scratch, level, near, step)
+        edges = edges.union(opened)
+    first = connected(edges.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")), scratch, "near")
+    info = dealt.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("to", F.xxhash64("gid", "comp"))
+    info = scratch.save(info.select("node", "doc_id", "n", "comp", "to", (F.col("k") > 1).alias("held")), "info")
+    scratch.release()
+
+    # What is left: queries and groups (now of one class each) that share prefix tokens but not the class.
+    tokens = matrix.join(info.select("node", "n", "comp", "to"), "node").repartition("token")
     open_tokens = tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    tokens = tokens.join(open_tokens, "token", "left_semi")
-    groups = tokens.groupBy("token", "gid", "comp").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi")).select("token", "gid", F.col("comp").alias("g_comp"), "n_lo", "n_hi")
+    tokens = scratch.save(tokens.join(open_tokens, "token", "left_semi"), "open")
+    sizes = info.groupBy("to").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+    unions = tokens.select("token", "to", F.col("comp").alias("g_comp")).distinct().join(sizes, "to")
     fits = (F.col("comp") > F.col("g_comp")) & (F.col("n_lo") * LEAST <= F.col("n") * 100) & (F.col("n_hi") * 100 >= F.col("n") * LEAST)
-    pairs = scratch.save(tokens.select("token", "node", "comp", "n").join(groups, "token").where(fits).select("node", "comp", F.col("gid").alias("to")).distinct(), "pairs")
+    met = tokens.select("token", "node", "comp", "n").join(unions, "token").where(fits).groupBy("node", "comp", "n", "to", "n_lo", "n_hi").agg(F.count("*").alias("c"))
+    # The overlap is at most the shared prefix tokens and what stands behind one of the two prefixes.
+    up = lambda x, by: F.ceil(x * LEAST / F.lit(by))
+    wanted = up(F.col("n") + F.col("n_lo"), 100 + LEAST) - F.greatest(up(F.col("n"), 100), up(F.col("n_hi"), 100)) + 1
+    pairs = scratch.save(met.where(F.col("c") >= wanted).select("node", "comp", "to"), "pairs")
+    needed = pairs.select("node").union(info.join(pairs.select("to").distinct(), "to", "left_semi").select("node")).distinct()
+    scratch.release()
+    far = scratch.save(_sets(source, info.where("not held").join(needed, "node", "left_semi")), "sets-far")
+    sets = near.union(far).join(needed, "node", "left_semi")
+    scratch.release()
     load = pairs.groupBy("to").agg(F.ceil(F.count("*") / F.lit(QUERY_BLOCK)).alias("blocks"))
-    asked = pairs.join(load, "to").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))).select("node", "comp", "to", "block").join(sets.select("node", "tokens"), "node").select(F.col("to").alias("q_to"), F.col("block").alias("q_block"), F.col("comp").alias("q_comp"), F.col("tokens").alias("q_tokens"))
-    held = sets.select("node", F.col("gid").alias("to"), "tokens").join(load, "to").join(info.select("node", "comp"), "node").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select("to", "block", "node", "comp", "tokens")
-    more = held.groupBy("to", "block").cogroup(asked.groupBy("q_to", "q_block")).applyInArrow(_query_group, "a bigint, b bigint")
+    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
+    asked = pairs.join(load, "to").select("node", "comp", "to", block.alias("block"), F.lit(True).alias("asks"))
+    held = info.select("node", "comp", "to").join(load, "to").select("node", "comp", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"))
+    more = asked.union(held).join(sets, "node").drop("node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
     second = connected(more, scratch, "far")
+    scratch.release()
     classes = info.select("node", "comp").join(second.select(F.col("node").alias("comp"), F.col("comp").alias("final")), "comp", "left").select("node", F.coalesce("final", "comp").alias("comp"))
 
     lowest = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
