@@ -2,10 +2,197 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from itertools import product
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import records as R
+from ..functions import text as T
+from ..operators.matching import match, match_distinct
+from ..operators.provenance import Affiliation, Contributor, NameIdentifier, Provenance, Resource, record_column, template
+from ..operators.resource_type import ResourceTypeGeneral, in_scope
+from ..operators.schema import record_errors
+from ..sources.corpus import configure, parse
+from . import oracles
+from .staged import Stage, remaining
+from .views import GENERAL, LABELS, label_texts, lines, shipped_rules
 
-def oracle_sql() -> dict:
-    return {}
+PROVENANCE = Provenance(
+    (
+        Contributor("Example Organisation", "Organizational", None, "Producer", None, None, (NameIdentifier("https://example.org/1", "ROR"),), (Affiliation("Example Group"),)),
+        Contributor("Doe, Jane", "Personal", "en", "DataCurator", "Jane", "Doe"),
+    ),
+    (Resource("10.0000/example", "DOI", "IsDocumentedBy", None, None, "Project"), Resource("https://example.org/dataset", "URL", "IsDerivedFrom", None, None, "Dataset")),
+)
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse(lines(spark, sf_dir))
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> tuple[ResourceTypeGeneral, DataFrame]:
+    method = ResourceTypeGeneral(shipped_rules())
+    return method, method.extract(_parsed(spark, sf_dir).where("ok"))
+
+
+def strict_parse_counts(spark, sf_dir):
+    return _parsed(spark, sf_dir).agg(F.count_if("ok").alias("records_scanned"), F.count_if(~F.col("ok")).alias("lines_malformed"))
+
+
+def typed_string_paths(spark, sf_dir):
+    at = lambda path: R.text_at(F.col("record"), path)
+    types = F.try_variant_get("record", "$.attributes.types", "variant")
+    return _parsed(spark, sf_dir).where("ok").select(at("$.id").alias("doi"), at("$.attributes.types.resourceType").alias("free"), at("$.attributes.types.resourceTypeGeneral").alias("general"), R.is_object(types).alias("is_types"))
+
+
+def event_props_types(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", R.strict(F.col("props")).alias("p"))
+    return events.select("event_id", F.col("p.ok").alias("ok"), R.is_object(F.col("p.record")).alias("is_object"), R.text_at(F.col("p.record"), "$.k").alias("k_text"), F.try_variant_get("p.record", "$.k", "bigint").alias("k_number"))
+
+
+def smart_normalize(spark, sf_dir):
+    rules = shipped_rules()
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    texts = part.select(F.explode(F.array("p_type", "p_name")).alias("t")).union(label_texts(spark)).distinct()
+    return texts.select("t", T.normalize(F.col("t"), rules.typo_corrections).alias("n"))
+
+
+def camel_tokens(spark, sf_dir):
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_name").alias("t"))
+    return part.union(label_texts(spark)).distinct().select("t", F.array_join(T.camel_tokens(F.col("t")), "|").alias("tokens"))
+
+
+def levenshtein_ratio(spark, sf_dir):
+    """Every label against every reference value: two fixed lists."""
+    refs = F.explode(F.array(*map(F.lit, shipped_rules().reference_values)))
+    return label_texts(spark).select("t", refs.alias("ref")).select("t", "ref", F.round(T.similarity(F.lower("t"), F.lower("ref")), 6).alias("ratio"))
+
+
+def fuzzy_match(spark, sf_dir):
+    return match_distinct(label_texts(spark), "t", shipped_rules())
+
+
+def part_type_match(spark, sf_dir):
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type")
+    return match(part, "p_type", shipped_rules()).select("p_partkey", "p_type", "matched", "outcome")
+
+
+def redundancy_filter(spark, sf_dir):
+    return match_distinct(label_texts(spark), "t", shipped_rules()).where(F.col("outcome") == "redundant").select("t")
+
+
+def scope_filter(spark, sf_dir):
+    rows = _parsed(spark, sf_dir).where("ok").select(R.text_at(F.col("record"), "$.attributes.types.resourceTypeGeneral").alias("general"))
+    return rows.groupBy("general").agg(F.count("*").alias("n"), F.bool_and(in_scope(F.col("general"), shipped_rules())).alias("in_scope"))
+
+
+def skip_reason_counts(spark, sf_dir):
+    _, extracted = _extracted(spark, sf_dir)
+    return extracted.groupBy(F.coalesce("skip_reason", F.lit("emitted")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def reclassify_emitted(spark, sf_dir):
+    _, extracted = _extracted(spark, sf_dir)
+    return extracted.where("skip_reason is null").select("doi", "free", "general", "matched")
+
+
+def enriched_types_json(spark, sf_dir):
+    method, extracted = _extracted(spark, sf_dir)
+    return method.map_back(extracted)
+
+
+def enrichment_records(spark, sf_dir):
+    method, extracted = _extracted(spark, sf_dir)
+    return method.map_back(extracted).select("doi", record_column(PROVENANCE, method.field).alias("value"))
+
+
+def _variants(spark, sf_dir):
+    """Parts of customers, of which some break a rule: (k, value)."""
+    k = F.col("c_custkey")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        k.alias("k"),
+        F.concat(F.lit("10.1/"), k).alias("doi"),
+        F.get(F.array(*map(F.lit, ("update", "updateChild", "insert", "deleteChild", "replace"))), (k % 5).cast("int")).alias("action"),
+        F.get(F.array(*map(F.lit, ('{"a":1}', '"x"', "7", "[1]", "true", "null"))), (k % 6).cast("int")).alias("original"),
+        F.when(k % 7 != 0, F.lit('{"b":2}')).alias("enriched"),
+    )
+    value = F.when(k % 3 == 0, record_column(PROVENANCE, "types")).otherwise(record_column(PROVENANCE, "nonsense"))
+    return rows.withColumn("c_custkey", F.col("k")).select("k", value.alias("value"))
+
+
+def record_validation(spark, sf_dir):
+    configure(spark)
+    return _variants(spark, sf_dir).select("k", F.array_join(F.array_sort(record_errors(F.col("value"))), ",").alias("errors"))
+
+
+def provenance_flatten(spark, sf_dir):
+    contributors, resources = template(PROVENANCE)
+    one = spark.range(1).select(contributors.alias("c"), resources.alias("r"))
+    who = one.select(F.posexplode("c")).select(F.lit("contributor").alias("kind"), F.col("pos").alias("pos"), F.col("col.name").alias("name"), F.col("col.contributorType").alias("type"))
+    what = one.select(F.posexplode("r")).select(F.lit("resource"), "pos", "col.relatedIdentifier", "col.relationType")
+    return who.union(what)
+
+
+def _names(spark, sf_dir):
+    """(record, input): organisation names of customers, a few hundred distinct ones, some unknown to the registry."""
+    k = F.col("c_custkey")
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("record"), F.concat(F.lit("Institute "), (k % 400).cast("string")).alias("input"))
+
+
+def _organisations(spark, sf_dir):
+    s = F.col("s_suppkey")
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("Institute "), s.cast("string")).alias("input"), F.concat(F.lit("https://ror.example/"), s.cast("string")).alias("id"), F.concat(F.lit("f"), (s * 3).cast("string")).alias("fund"))
+
+
+def distinct_inputs(spark, sf_dir):
+    return _names(spark, sf_dir).groupBy("input").agg(F.count("*").alias("n"))
+
+
+def reconcile_join(spark, sf_dir):
+    return _names(spark, sf_dir).join(_organisations(spark, sf_dir).select("input", "id"), "input").select("record", "input", "id")
+
+
+def unmatched_inputs(spark, sf_dir):
+    return _names(spark, sf_dir).select("input").distinct().join(_organisations(spark, sf_dir), "input", "left_anti")
+
+
+def crosswalk_join(spark, sf_dir):
+    asked = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("record"), F.concat(F.lit("f"), (F.col("c_custkey") % 500).cast("string")).alias("fund"))
+    return asked.join(_organisations(spark, sf_dir).select("fund", "id"), "fund").select("record", "fund", "id")
+
+
+def stage_plan(spark, sf_dir):
+    rows = []
+    for a, b, c, scratch in product((False, True), repeat=4):
+        due = remaining({Stage.EXTRACT: a, Stage.QUERY: b, Stage.RECONCILE: c}, scratch)
+        rows.append((a, b, c, scratch, ",".join(s.value for s in due)))
+    return spark.createDataFrame(rows, "extract_done boolean, query_done boolean, reconcile_done boolean, from_scratch boolean, stages string")
+
+
+def run_counters(spark, sf_dir):
+    parsed = _parsed(spark, sf_dir)
+    _, extracted = _extracted(spark, sf_dir)
+    totals = parsed.agg(F.count_if("ok").alias("records_scanned"), F.count_if(~F.col("ok")).alias("lines_malformed"))
+    out = extracted.agg(F.count_if(F.col("skip_reason").isNull()).alias("emitted"), F.count("skip_reason").alias("skipped"))
+    return totals.join(F.broadcast(out))  # one row each
+
+
+_QUERIES = (
+    strict_parse_counts, typed_string_paths, event_props_types, smart_normalize, camel_tokens, levenshtein_ratio, fuzzy_match, part_type_match, redundancy_filter, scope_filter,
+    skip_reason_counts, reclassify_emitted, enriched_types_json, enrichment_records, record_validation, provenance_flatten, distinct_inputs, reconcile_join, unmatched_inputs,
+    crosswalk_join, stage_plan, run_counters,
+)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {q.__name__: q for q in _QUERIES}
+
+
+def oracle_sql() -> dict[str, str]:
+    from ..operators.provenance import as_json
+
+    head = {"contributors": as_json(PROVENANCE.contributors), "resources": as_json(PROVENANCE.resources)}
+    return oracles.build(shipped_rules(), LABELS, GENERAL, json.dumps(head, separators=(",", ":"))[1:-1])
