@@ -1,0 +1,82 @@
+import dataclasses
+
+import pytest
+import yaml
+
+from metaenrich.operators.matching import match, match_distinct, vocabulary
+from metaenrich.operators.rules import ConfigError, Exclusion, Rules, rules_from
+from metaenrich.plans.views import RULES_FILE, shipped_rules
+
+
+def rated(spark, texts, rules):
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    return {r.t: r.matched or r.outcome for r in match_distinct(frame, "t", rules).collect()}
+
+
+def test_shipped_rules(spark):
+    expected = {
+        "Journal article": "JournalArticle",
+        "Sofware": "Software",
+        "bookChapter": "BookChapter",
+        "bo k": "Book",
+        "t xt": "redundant",
+        "Text": "redundant",
+        "   ": "no_match",
+        "---": "no_match",
+        "posterr": "Poster",
+        "Completely unrelated nonsense": "no_match",
+        "Conference Paper": "ConferencePaper",
+    }
+    assert rated(spark, expected, shipped_rules()) == expected
+
+
+@pytest.mark.parametrize(("threshold", "expected"), [(0.85, "Dataset"), (0.99, "no_match"), (1.0, "no_match")])
+def test_threshold(spark, threshold, expected):
+    assert rated(spark, ["Datasett"], Rules(threshold, ("Dataset", "Text"))) == {"Datasett": expected}
+
+
+def test_zero_similarity_never_matches(spark):
+    assert rated(spark, ["zzzz"], Rules(0.0, ("Book",))) == {"zzzz": "no_match"}
+
+
+def test_ties_go_to_the_smaller_reference(spark):
+    rules = Rules(0.5, ("Sound", "Book", "Model"), {}, ())
+    tied = dataclasses.replace(rules, reference_values=("Xab", "Xac"))
+    assert rated(spark, ["Xad"], tied) == {"Xad": "Xab"}
+
+
+def test_borderline_ratio_is_a_match(spark):
+    # Three edits in twenty characters are exactly 0.85.
+    assert rated(spark, ["xxxferenceproceeding"], Rules(0.85, ("ConferenceProceeding",))) == {"xxxferenceproceeding": "ConferenceProceeding"}
+
+
+def test_exclusions_use_the_exact_key(spark):
+    rules = Rules(0.85, ("Text", "Dataset"), {"txt": "text"}, (Exclusion(("txt",), ("Text",)),))
+    assert rated(spark, ["t xt", "txt"], rules) == {"t xt": "redundant", "txt": "Text"}
+
+
+def test_colliding_references_keep_the_last():
+    assert vocabulary(Rules(0.9, ("Data-Set", "Dataset"))) == {"dataset": "Dataset"}
+
+
+def test_match_keeps_rows_and_columns(spark):
+    frame = spark.createDataFrame([(1, "Dataset"), (2, None), (3, "Dataset")], "k int, t string")
+    assert sorted((r.k, r.matched) for r in match(frame, "t", shipped_rules()).collect()) == [(1, "Dataset"), (2, None), (3, "Dataset")]
+
+
+def test_rules_are_checked():
+    good = yaml.safe_load(RULES_FILE.read_text())
+    assert len(rules_from(good).typo_corrections) == len(good["typo_corrections"])
+    for change, message in [
+        ({"threshold": 1.5}, "threshold"),
+        ({"threshold": float("nan")}, "threshold"),
+        ({"reference_values": ["Nonsense"]}, "Nonsense"),
+        ({"redundancy_exclusions": [{"normalized": ["x"], "matches": ["Nope"]}]}, "Nope"),
+        ({"scope": {"target_resource_type_general": ["Nope", None]}}, "Nope"),
+        ({"typo_corrections": {True: "x"}}, "typo_corrections"),
+    ]:
+        with pytest.raises(ConfigError, match=message):
+            rules_from(good | change)
+    with pytest.raises(ConfigError, match="missing field `scope`"):
+        rules_from({k: v for k, v in good.items() if k != "scope"})
+    assert rules_from(good | {"unknown": 1}).threshold == 0.85
