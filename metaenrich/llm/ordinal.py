@@ -8,7 +8,7 @@ Features of the whole text: presence of each word (lower case, punctuation strip
 as a, A, digits as 9, punctuation as it is), and shares of tokens and lines that repeat. All are hashed into SLOTS.
 
 Training reads at most SAMPLE labelled rows (those with the smallest key hash); that bound doesn't depend on the
-input. Words that fewer than MIN_ROWS of these rows have get no weight.
+input. A word's weight is at most 0: however long a text is, its ordinary words don't make up for an insult. Words that fewer than MIN_ROWS of these rows have, or that are independent of the grade, get no weight.
 
 Null and empty texts have no words and get the score of the bias; rows without label are scored like others; of
 several labels of a row the lowest grade counts; without any label every row is kept. Repeated rows each get their
@@ -35,7 +35,9 @@ SLOTS = 1 << 18
 SHAPE_SLOTS = 1 << 12
 SAMPLE = 6000
 MIN_ROWS = 8
-RIDGE = 2e-3
+#: Words whose z-score with every grade is below this get no weight: most words say nothing about quality.
+SCREEN = 5.0
+RIDGE = 1e-4
 STEPS = 300
 KEEP_FROM = 0.5
 GRADES = 3
@@ -85,16 +87,27 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-(score[:, None] - self.cuts[None, :])))
 
 
+def _association(slot: np.ndarray, grade_of: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Largest z-score of each slot over the grades: rows with the slot against what independence would give."""
+    total, held = len(grades), np.bincount(slot)
+    best = np.zeros(len(held))
+    for g in range(GRADES):
+        share = np.mean(grades == g)
+        spread = np.sqrt(np.maximum(held * share * (1 - share) * (1 - held / (total + 1)), 1e-9))
+        best = np.maximum(best, np.abs(np.bincount(slot, grade_of == g, len(held)) - held * share) / spread)
+    return best
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: int = STEPS, ridge: float = RIDGE, min_rows: int = MIN_ROWS) -> OrdinalModel:
     """Maximum likelihood with a ridge, by Adam on the whole sample; grades weigh the inverse of their frequency's root."""
     sizes = np.array([len(s) for s, _ in rows])
     slots, values = np.concatenate([s for s, _ in rows]), np.concatenate([v for _, v in rows]).astype(np.float64)
     row = np.repeat(np.arange(len(rows)), sizes)
     used, slot = np.unique(slots, return_inverse=True)
-    often = np.bincount(slot) >= min(min_rows, len(rows))
+    often = (np.bincount(slot) >= min(min_rows, len(rows))) & ((used < SHAPE_SLOTS) | (_association(slot, grades[row], grades) >= SCREEN))
     keep = often[slot]
     slot, row, values = slot[keep], row[keep], values[keep]
-    m = len(used)
+    m, word = len(used), used >= SHAPE_SLOTS
     share = np.bincount(grades, minlength=GRADES) / len(grades)
     weight = 1 / np.sqrt(np.maximum(share[grades], 1e-3))
     weight /= weight.sum()
@@ -111,10 +124,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: in
         d_high, d_low = high * (1 - high) / chance * weight, low * (1 - low) / chance * weight
         d_score = -(d_high - d_low)
         d_cut = np.array([np.sum(d_high[grades == g]) - np.sum(d_low[grades == g - 1]) for g in (1, 2)])
-        grad = np.concatenate([np.bincount(slot, values * d_score[row], m) + ridge * w / max(1, np.sqrt(m)) , [d_cut.sum(), d_cut[1] * np.exp(cuts[1])]])
+        grad = np.concatenate([np.bincount(slot, values * d_score[row], m) + ridge * w, [d_cut.sum(), d_cut[1] * np.exp(cuts[1])]])
         mean, var = 0.9 * mean + 0.1 * grad, 0.99 * var + 0.01 * grad**2
         move = 0.08 * (mean / (1 - 0.9**step)) / (np.sqrt(var / (1 - 0.99**step)) + 1e-6)
         w -= move[:m]
+        w[word] = np.minimum(w[word], 0)  # a word can lower the grade, never make up for another one
         cuts -= move[m:]
     weights = np.zeros(SLOTS, np.float32)
     weights[used[often]] = w[often]
