@@ -68,7 +68,8 @@ class FingerprintIndex:
 
     def ingest(self, batch: DataFrame) -> None:
         """Adds the fingerprints (column fp, repeats included) of a batch as a run, then compacts if due."""
-        counted = batch.repartition(self.buckets, "fp").groupBy("fp").agg(F.least(F.count("*"), F.lit(2)).cast("tinyint").alias("n"))
+        # Counts combine in each task first; the aggregation deals by fp, like the buckets.
+        counted = batch.groupBy("fp").agg(F.least(F.count("*"), F.lit(2)).cast("tinyint").alias("n"))
         self.runs.append(self._write(counted))
         if len(self.runs) > self.fan_in:
             self.compact()
@@ -213,23 +214,29 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bat
     filed = rows.where(F.size("fps") > 0)
     for i in range(batches):
         index.ingest(filed.where(F.pmod("hi", F.lit(batches)) == i).select(F.explode("fps").alias("fp")))
-    due = filed.select("hi", "lo", F.explode("fps").alias("fp")).join(index.repeated(), "fp", "left_semi")
+    # Written plainly: a join with bucketed runs couldn't be split where a fingerprint is hot.
+    repeated = scratch.save(index.repeated(), "repeated")
+    due = filed.select("hi", "lo", F.explode("fps").alias("fp")).join(repeated, "fp", "left_semi")
     due = due.groupBy("hi", "lo").agg(F.collect_set("fp").alias("fps"))
     nodes = rows.where(F.col("n_words") >= WIDTH).groupBy("hi", "lo").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
     nodes = scratch.save(nodes.join(due, ["hi", "lo"], "left").where("fps is not null or copies > 1"), "nodes")
     index.close()
+    scratch.release()
 
     heads = nodes.where("fps is not null").select("hi", "lo", "head", "fps")
     windows = scratch.save(_windows(source.join(heads, F.col("doc_id").eqNullSafe(F.col("head")))), "windows")
     each = windows.select("hi", "lo", F.explode(F.arrays_zip("at", "fp", "full")).alias("w")).select("hi", "lo", "w.*")
-    twice = each.groupBy("fp", "full").agg(F.count("*").alias("times")).where("times > 1").select("fp", "full")
+    # Written, so that the join below has exchanges of its own on both sides, which may be split where a window is hot.
+    twice = scratch.save(each.groupBy("fp", "full").agg(F.count("*").alias("times")).where("times > 1").select("fp", "full"), "twice")
+    scratch.release()
     single = nodes.where("copies = 1").select("hi", "lo")  # copies go whole
     hits = each.join(twice, ["fp", "full"], "left_semi").groupBy("hi", "lo").agg(F.collect_list("at").alias("starts"))
     parts = _cut(windows.select("hi", "lo", "text").join(hits, ["hi", "lo"]).join(single, ["hi", "lo"], "left_semi"))
     if not texts:
         parts = parts.drop("kept_text")
     parts = scratch.save(parts, "parts")
-    scratch.drop("windows")
+    scratch.drop("windows", "twice")
+    scratch.release()
 
     whole = nodes.where("copies > 1").select("hi", "lo", F.lit(True).alias("whole"))
     out = rows.select("doc_id", "hi", "lo", "n_words", "kept").join(whole, ["hi", "lo"], "left").join(parts, ["hi", "lo"], "left")

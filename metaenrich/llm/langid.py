@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import rows_of
@@ -99,16 +99,17 @@ def held_out(key: F.Column) -> F.Column:
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> KernelModel | None:
     """A model of the rows that aren't held out; at most `sample` of them are read."""
     labelled = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    rank = F.xxhash64(F.col(key), F.lit("langid"))
-    # One narrow row per document; each task keeps its smallest hashes per language before anything is shuffled.
-    names = [r[0] for r in labelled.groupBy(F.col(lang)).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang).limit(200).collect()]
-    if not names:
+    # One scan counts the languages, the next one draws by the key's hash slightly more rows than wanted; only these
+    # few rows are ranked.
+    sizes = {r.lang: r.n for r in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
+    if not sizes:
         return None
-    each = max(1, sample // len(names))
-    taken = None
-    for name in names:
-        rows = labelled.where(F.col(lang) == name).select(F.col(text).alias("text"), F.lit(name).alias("lang"), rank.alias("h")).orderBy("h").limit(each)
-        taken = rows if taken is None else taken.union(rows)
+    each = max(1, sample // len(sizes))
+    share = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, 1.3 * (each + 20) / n))])
+    rank = F.xxhash64(F.col(key), F.col(text), F.lit("langid"))
+    drawn = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), rank.alias("h")).where(F.pmod("h", F.lit(1 << 40)) < F.try_element_at(share, F.col("lang")) * float(1 << 40))
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h")
+    taken = drawn.withColumn("i", F.row_number().over(first)).where(F.col("i") <= each).select("text", "lang", "h")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
