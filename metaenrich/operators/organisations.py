@@ -30,10 +30,10 @@ class _Organisations(EnrichmentMethod):
         """Matches whose identifier the registry has."""
         return self.resolver.resolve(inputs).join(self.registry.select("id", "name"), "id")
 
-    def _items(self, records: DataFrame, path: str) -> DataFrame:
-        """(value, doi, items): elements of the list at a path as VARIANTs, [] where there is no list."""
-        found = F.try_variant_get("record", path, "array<variant>")
-        return records.select("value", R.text_at(F.col("record"), "$.id").alias("doi"), F.coalesce(found, F.array().cast("array<variant>")).alias("items"))
+    def prepare(self, parsed: DataFrame) -> DataFrame:
+        """doi, and the elements of the method's list as VARIANTs ([] where there is no list)."""
+        found = F.try_variant_get("record", f"$.attributes.{self.field}", "array<variant>")
+        return parsed.select("ok", R.text_at(F.col("record"), "$.id").alias("doi"), F.coalesce(found, F.array().cast("array<variant>")).alias("items"))
 
 
 class Affiliations(_Organisations):
@@ -42,13 +42,13 @@ class Affiliations(_Organisations):
     field = "creators"
 
     def extract(self, records: DataFrame) -> DataFrame:
-        rows = self._items(records, "$.attributes.creators").withColumn("creator", F.explode_outer("items"))
+        rows = records.withColumn("creator", F.explode_outer("items"))
         listed = F.coalesce(F.try_variant_get("creator", "$.affiliation", "array<variant>"), F.array().cast("array<variant>"))
-        rows = rows.select("value", "doi", F.col("creator"), F.explode_outer(listed).alias("aff"))
+        rows = rows.select("doi", "creator", F.explode_outer(listed).alias("aff"))
         name = F.coalesce(R.text_at(F.col("aff"), "$"), R.text_at(F.col("aff"), "$.name"))
         known = R.text_at(F.col("aff"), "$.affiliationIdentifier").isNotNull()
         reason = F.when(F.coalesce(F.trim(name), F.lit("")) == "", "no_affiliation").when(known, "has_identifier").when(F.coalesce(F.col("doi"), F.lit("")) == "", "no_doi")
-        return rows.select("value", "doi", "creator", name.alias("input"), reason.alias("skip_reason"))
+        return rows.select("doi", "creator", name.alias("input"), reason.alias("skip_reason"))
 
     def map_back(self, extracted: DataFrame, lookups: DataFrame | None) -> DataFrame:
         """One part a creator: the creator before, and with the affiliations that matched."""
@@ -66,11 +66,11 @@ class Funders(_Organisations):
     field = "fundingReferences"
 
     def extract(self, records: DataFrame) -> DataFrame:
-        rows = self._items(records, "$.attributes.fundingReferences").select("value", "doi", F.explode_outer("items").alias("ref"))
+        rows = records.select("doi", F.explode_outer("items").alias("ref"))
         name, scheme = R.text_at(F.col("ref"), "$.funderName"), R.text_at(F.col("ref"), "$.funderIdentifierType")
         number = F.regexp_extract(R.text_at(F.col("ref"), "$.funderIdentifier"), r"(?:10\.13039/)?([0-9]{6,})/?$", 1)
         reason = F.when(scheme.eqNullSafe(SCHEME), "has_identifier").when(F.coalesce(F.trim(name), F.lit("")) == "", "no_funder").when(F.coalesce(F.col("doi"), F.lit("")) == "", "no_doi")
-        return rows.select("value", "doi", "ref", name.alias("input"), F.when(number != "", number).alias("funder"), reason.alias("skip_reason"))
+        return rows.select("doi", "ref", name.alias("input"), F.when(number != "", number).alias("funder"), reason.alias("skip_reason"))
 
     def map_back(self, extracted: DataFrame, lookups: DataFrame | None) -> DataFrame:
         rows = extracted.where("skip_reason is null")

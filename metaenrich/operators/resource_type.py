@@ -45,22 +45,27 @@ class ResourceTypeGeneral(EnrichmentMethod):
     def __init__(self, rules: Rules):
         self.rules = rules
 
-    def extract(self, records: DataFrame) -> DataFrame:
+    def prepare(self, parsed: DataFrame) -> DataFrame:
+        """Typed fields of each line, and the types object (keys in input order) of those that might be emitted."""
         types = F.try_variant_get("record", "$.attributes.types", "variant")
-        rows = records.select(
+        rows = parsed.select(
             "value",
+            "ok",
             R.is_object(types).alias("is_types"),
             R.text_at(F.col("record"), "$.attributes.types.resourceTypeGeneral").alias("general"),
             R.text_at(F.col("record"), "$.attributes.types.resourceType").alias("free"),
             R.text_at(F.col("record"), "$.id").alias("doi"),
         )
-        return classify(rows, self.rules)
+        ordered = F.from_json("value", "attributes struct<types: map<string,variant>>")["attributes"]["types"]
+        # Repeated keys: the last value counts, at the first one's place.
+        kept = F.when(F.col("ok") & F.col("is_types") & in_scope(F.col("general"), self.rules), F.to_json(F.map_from_entries(F.map_entries(ordered))))
+        return rows.select("ok", "is_types", "general", "free", "doi", kept.alias("types"))
+
+    def extract(self, records: DataFrame) -> DataFrame:
+        return classify(records, self.rules)
 
     def map_back(self, extracted: DataFrame, lookups: DataFrame | None = None) -> DataFrame:
         """Original and enriched types of the emitted rows, keys in input order."""
-        shape = "attributes struct<types: map<string,variant>>"
-        rows = extracted.where("skip_reason is null").withColumn("__t", F.from_json("value", shape)["attributes"]["types"])
-        # Repeated keys: the last value counts, at the first one's place.
-        rows = rows.withColumn("__t", F.map_from_entries(F.map_entries("__t")))
-        enriched = R.set_key(F.col("__t"), "resourceTypeGeneral", F.col("matched"))
-        return rows.select("doi", F.lit(Action.UPDATE.value).alias("action"), F.to_json("__t").alias("original"), F.to_json(enriched).alias("enriched"))
+        enriched = R.set_key(F.from_json("types", "map<string,variant>"), "resourceTypeGeneral", F.col("matched"))
+        rows = extracted.where("skip_reason is null")
+        return rows.select("doi", F.lit(Action.UPDATE.value).alias("action"), F.col("types").alias("original"), F.to_json(enriched).alias("enriched"))

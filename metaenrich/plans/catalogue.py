@@ -35,7 +35,7 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _extracted(spark: SparkSession, sf_dir: str) -> tuple[ResourceTypeGeneral, DataFrame]:
     method = ResourceTypeGeneral(shipped_rules())
-    return method, method.extract(_parsed(spark, sf_dir).where("ok"))
+    return method, method.extract(method.prepare(_parsed(spark, sf_dir)).where("ok"))
 
 
 def strict_parse_counts(spark, sf_dir):

@@ -59,34 +59,44 @@ def judge(records: DataFrame, validator: JsonSchema | str | None) -> DataFrame:
     return records.withColumn("errors", record_errors(F.col("value")))
 
 
+def _skipped(extracted: DataFrame) -> dict[str, int]:
+    return {r.skip_reason: r["count"] for r in extracted.where("skip_reason is not null").groupBy("skip_reason").count().collect()}
+
+
 def run(spark: SparkSession, method: EnrichmentMethod, options: RunOptions, provenance: Provenance, validator: JsonSchema | str | None = "builtin", work: WorkDir | None = None, from_scratch: bool = False, only: Stage | None = None) -> RunStats:
     """Reads options.input, writes valid records to options.output and invalid ones to options.output + '.invalid'.
 
-    Counts come from aggregations over the classified rows, not from accumulators that a repeated task would add to twice.
+    The corpus is scanned once: what the method reads of it, the classified rows and the judged records are written to
+    options.output + '.tmp' and read from there. Counts are aggregations over these tables, not accumulators that a
+    repeated task would add to twice. `work` keeps the stages of a lookup method.
     """
     configure(spark)
-    files = list_files(spark, options.input)
-    stats = RunStats(len(files.paths) - len(files.failed), len(files.failed))
-    parsed = parse(read_lines(spark, options.input))
-    counts = parsed.agg(F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("bad")).first()
-    stats.records_scanned, stats.lines_malformed = counts.ok, counts.bad
-    records = parsed.where("ok")
-    if work is None:
-        extracted = method.extract(records)
-        stats.skipped = {r.skip_reason: r["count"] for r in extracted.where("skip_reason is not null").groupBy("skip_reason").count().collect()}
-        inputs = method.inputs(extracted)
-        parts = method.map_back(extracted, None if inputs is None else method.lookup(inputs))
-    else:
-        parts = run_stages(method, records, work, from_scratch, only)
-        if parts is None:
-            return stats
-        stats.skipped = {r.skip_reason: r["count"] for r in work.read("extracted").where("skip_reason is not null").groupBy("skip_reason").count().collect()}
-    judged = judge(build(parts, provenance, method.field), validator)
-    bad = F.size("errors") > 0
-    totals = judged.agg(F.count("*").alias("all"), F.count_if(bad).alias("bad")).first()
-    stats.emitted, stats.invalid, stats.written = totals["all"], totals.bad, totals["all"] - totals.bad
-    write_jsonl(judged.where(~bad), options.output, options.single_file)
-    if totals.bad:
-        judged.where(bad).write.mode("overwrite").json(f"{options.output.rstrip('/')}.invalid")
-    log.info(stats.report())
-    return stats
+    scratch = WorkDir(spark, f"{options.output.rstrip('/')}.tmp")
+    try:
+        files = list_files(spark, options.input)
+        stats = RunStats(len(files.paths) - len(files.failed), len(files.failed))
+        prepared = scratch.save(method.prepare(parse(read_lines(spark, options.input))), "prepared")
+        counts = prepared.agg(F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("bad")).first()
+        stats.records_scanned, stats.lines_malformed = counts.ok, counts.bad
+        records = prepared.where("ok")
+        if work is None:
+            extracted = scratch.save(method.extract(records), "extracted")
+            inputs = method.inputs(extracted)
+            parts = method.map_back(extracted, None if inputs is None else method.lookup(inputs))
+        else:
+            parts = run_stages(method, records, work, from_scratch, only)
+            if parts is None:
+                return stats
+            extracted = work.read("extracted")
+        stats.skipped = _skipped(extracted)
+        judged = scratch.save(judge(build(parts, provenance, method.field), validator), "judged")
+        bad = F.size("errors") > 0
+        totals = judged.agg(F.count("*").alias("all"), F.count_if(bad).alias("bad")).first()
+        stats.emitted, stats.invalid, stats.written = totals["all"], totals.bad, totals["all"] - totals.bad
+        write_jsonl(judged.where(~bad), options.output, options.single_file)
+        if totals.bad:
+            judged.where(bad).write.mode("overwrite").json(f"{options.output.rstrip('/')}.invalid")
+        log.info(stats.report())
+        return stats
+    finally:
+        scratch.remove()

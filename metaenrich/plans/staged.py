@@ -40,6 +40,9 @@ class WorkDir:
     def unmark(self, stage: Stage) -> None:
         self._system().delete(self._path(f"{stage.value}.done"), False)
 
+    def remove(self) -> None:
+        self._system().delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.root), True)
+
     def save(self, frame: DataFrame, name: str) -> DataFrame:
         frame.write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.read(name)
@@ -58,7 +61,7 @@ def stages_to_run(work: WorkDir, from_scratch: bool) -> list[Stage]:
 
 
 def run_stages(method: EnrichmentMethod, records: DataFrame, work: WorkDir, from_scratch: bool = False, only: Stage | None = None) -> DataFrame | None:
-    """Parts of the reconciled records, or None if reconcile isn't due. A marker is set once its table is committed."""
+    """Parts of the reconciled records (prepared rows that are ok), or None if reconcile isn't due. A marker is set once its table is committed."""
     due = [only] if only else stages_to_run(work, from_scratch)
     for stage in due:
         work.unmark(stage)

@@ -21,7 +21,7 @@ def enrich_stream(spark: SparkSession, method: EnrichmentMethod, root: str, outp
     lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", PATTERN).option("lineSep", "\n").text(root)
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        extracted = method.extract(parse(batch).where("ok"))
+        extracted = method.extract(method.prepare(parse(batch)).where("ok"))
         inputs = method.inputs(extracted)
         parts = method.map_back(extracted, None if inputs is None else method.lookup(inputs))
         valid = judge(build(parts, provenance, method.field), "builtin").where(F.size("errors") == 0)

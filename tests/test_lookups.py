@@ -1,10 +1,17 @@
 import json
+import threading
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
+from pyspark.sql import functions as F
 
 from metaenrich.cli import main, parser
-from metaenrich.operators.lookup import RegistryResolver
+from metaenrich.functions import records as R
+from metaenrich.operators.lookup import LookupConfig, RegistryResolver, ServiceResolver
+from metaenrich.operators.method import EnrichmentMethod
 from metaenrich.operators.organisations import Affiliations, Funders
+from metaenrich.plans.catalogue import PROVENANCE
+from metaenrich.plans.runner import RunOptions, run
 from metaenrich.plans.staged import Stage, WorkDir, remaining, run_stages, stages_to_run
 from metaenrich.plans.views import RULES_FILE
 from metaenrich.sources.corpus import configure, parse
@@ -30,9 +37,9 @@ def registry(spark, tmp_path_factory):
     return str(path)
 
 
-def records(spark):
+def records(spark, method):
     configure(spark)
-    return parse(spark.createDataFrame([(json.dumps(r),) for r in RECORDS], "value string"))
+    return method.prepare(parse(spark.createDataFrame([(json.dumps(r),) for r in RECORDS], "value string"))).where("ok")
 
 
 def test_stage_plan():
@@ -47,24 +54,75 @@ def test_stage_plan():
 def test_affiliations_staged(spark, tmp_path, registry):
     orgs = read_registry(spark, registry)
     method, work = Affiliations(RegistryResolver(orgs), orgs), WorkDir(spark, str(tmp_path / "work"))
-    parts = run_stages(method, records(spark), work).collect()
+    parts = run_stages(method, records(spark, method), work).collect()
     assert [p.doi for p in parts] == ["10.1/a"]
     made = json.loads(parts[0].enriched)
     assert made["name"] == "X" and {a["affiliationIdentifier"] for a in made["affiliation"]} == {"https://ror.org/1", "https://ror.org/2"}
-    assert stages_to_run(work, False) == [] and run_stages(method, records(spark), work) is None
+    assert stages_to_run(work, False) == [] and run_stages(method, records(spark, method), work) is None
     work.unmark(Stage.QUERY)
     assert stages_to_run(work, False) == [Stage.QUERY, Stage.RECONCILE]
-    assert run_stages(method, records(spark), work, only=Stage.RECONCILE).count() == 1
+    assert run_stages(method, records(spark, method), work, only=Stage.RECONCILE).count() == 1
 
 
 def test_funders_crosswalk_then_name(spark, registry):
     orgs = read_registry(spark, registry)
     method = Funders(RegistryResolver(orgs), orgs)
-    extracted = method.extract(records(spark))
+    extracted = method.extract(records(spark, method))
     parts = method.map_back(extracted, method.lookup(method.inputs(extracted))).collect()
     assert {(p.doi, json.loads(p.enriched)["funderIdentifier"]) for p in parts} == {("10.1/a", "https://ror.org/1"), ("10.1/b", "https://ror.org/2")}
 
 
+def test_match_service(spark, registry):
+    """Distinct inputs reach the service in batches; what it doesn't match stays out."""
+    asked = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append((self.path, body["task"], len(body["inputs"])))
+            answer = json.dumps([{"input": x, "id": "https://ror.org/1", "score": 0.9} if x == "Uni A" else {"input": x, "id": None} for x in body["inputs"]]).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(answer)
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        config = LookupConfig(f"http://127.0.0.1:{server.server_port}", batch_size=2)
+        inputs = spark.createDataFrame([(x,) for x in ("Uni A", "b", "c")], "input string").coalesce(1)
+        got = ServiceResolver(config, "affiliation").resolve(inputs).collect()
+    finally:
+        server.shutdown()
+    assert [(r.input, r.id, r.score) for r in got] == [("Uni A", "https://ror.org/1", 0.9)]
+    assert sorted(asked) == [("/match", "affiliation", 1), ("/match", "affiliation", 2)]
+
+
+class Tagger(EnrichmentMethod):
+    """Another method on the same runner: every record with a doi becomes a Dataset."""
+
+    field = "types"
+
+    def extract(self, records):
+        types = F.try_variant_get("record", "$.attributes.types", "variant")
+        free = R.text_at(F.col("record"), "$.attributes.types.resourceType")
+        reason = F.when(free.isNull(), "no_resource_type").when(R.text_at(F.col("record"), "$.id").isNull(), "no_doi")
+        return records.select(R.text_at(F.col("record"), "$.id").alias("doi"), F.to_json(types).alias("types"), reason.alias("skip_reason"))
+
+    def map_back(self, extracted, lookups):
+        return extracted.where("skip_reason is null").select("doi", F.lit("update").alias("action"), F.col("types").alias("original"), F.lit('{"resourceTypeGeneral":"Dataset"}').alias("enriched"))
+
+
+def test_another_method(spark, tmp_path):
+    line = lambda i, types: json.dumps({"id": f"10.x/{i}", "attributes": {"types": types}})
+    write_corpus(tmp_path / "in" / "updated_2024-01", [line(1, {"resourceType": "a"}), line(2, {}), "", line(3, {"resourceType": "b"}), "{not json"])
+    stats = run(spark, Tagger(), RunOptions(str(tmp_path / "in"), str(tmp_path / "out")), PROVENANCE)
+    assert (stats.files_processed, stats.records_scanned, stats.lines_malformed, stats.emitted, stats.skipped) == (1, 3, 1, 2, {"no_resource_type": 1})
+    assert not (tmp_path / "out.tmp").exists()
+
+
 def test_cli_arguments():
     shared = ["-i", "in", "-o", "out", "--provenance", "p.yaml"]
     args = parser().parse_args(["affiliations", *shared, "--ror-file", "r.json", "query"])
@@ -89,7 +147,6 @@ def test_cli_runs_and_reports_errors(spark, tmp_path, registry, capsys):
 
 def test_stream(spark, tmp_path):
     from metaenrich.operators.resource_type import ResourceTypeGeneral
-    from metaenrich.plans.catalogue import PROVENANCE
     from metaenrich.plans.views import shipped_rules
 
     start = lambda: enrich_stream(spark, ResourceTypeGeneral(shipped_rules()), str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), PROVENANCE).awaitTermination(120)

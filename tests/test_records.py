@@ -116,8 +116,9 @@ def test_single_outcomes(spark, free, general, doi, scope, expected):
     rules = Rules(0.85, ("JournalArticle", "Dataset", "Text"), {}, (Exclusion(("text", "txt"), ("Text", "Other")),), scope)
     record = {"attributes": {"types": {"resourceType": free, "resourceTypeGeneral": general}}} | ({"id": doi} if doi else {})
     configure(spark)
-    rows = parse(spark.createDataFrame([(json.dumps(record),)], "value string"))
-    assert ResourceTypeGeneral(rules).extract(rows).first().skip_reason == expected
+    method = ResourceTypeGeneral(rules)
+    rows = method.prepare(parse(spark.createDataFrame([(json.dumps(record),)], "value string")))
+    assert method.extract(rows).first().skip_reason == expected
 
 
 def test_discovery_and_failures(spark, tmp_path):
