@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records as R
-from .matching import match_distinct
+from .matching import join_rated, match_distinct
 from .method import Action, EnrichmentMethod
 from .rules import Rules
 
@@ -36,7 +36,7 @@ def classify(rows: DataFrame, rules: Rules) -> DataFrame:
         .when(F.col("matched").eqNullSafe(F.col("general")), "no_change")
         .when(F.coalesce(F.col("doi"), F.lit("")) == "", "no_doi")
     )
-    return rows.join(rated, "__free", "left").withColumn("skip_reason", reason).drop("__free", "outcome")
+    return join_rated(rows, rated, "__free").withColumn("skip_reason", reason).drop("__free", "outcome")
 
 
 class ResourceTypeGeneral(EnrichmentMethod):
