@@ -10,7 +10,8 @@ from collections.abc import Iterable
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MASK64 = (1 << 64) - 1
 #: Odd multiplier of the rolling hashes, and its inverse modulo 2**64.
@@ -71,6 +72,16 @@ class Scratch:
             pass
 
 
+def locate(key: Column, bounds: list[int]) -> Column:
+    """Number of bounds (ascending) at or below key, by a two-level search: about 2 * sqrt(len(bounds)) comparisons."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
+    literal = lambda values: F.array(*map(F.lit, values)) if len(values) < 64 else F.from_json(F.lit(str(values)), "array<bigint>")
+    first = F.size(F.filter(literal(bounds[step - 1 :: step]), lambda b: b <= key)) * F.lit(step)
+    return first + F.size(F.filter(F.slice(literal(bounds), first + 1, F.lit(step)), lambda b: b <= key))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,9 +5,9 @@ probability in proportion to size; their quantiles are the splitters of many fin
 overfull are subdivided by doc_id, again at sampled quantiles, which splits a hot text. Exact sizes of the
 ranges (a small table) then give each row its place on the line of all bytes, and so its shard.
 
-Law `bytes`: shard = the interval of total/n_shards bytes in which the row's group begins. A group of equal
-texts stays whole unless it holds more than `whole_share` of a shard; larger ones are cut between rows. A shard
-so differs from the mean by less than whole_share of it, or one row if that is larger.
+Law `bytes`: shard = the interval of total/n_shards bytes in which the middle of the row's group lies. A group of
+equal texts stays whole unless it holds more than `whole_share` of a shard; larger ones are cut between rows. A shard
+so differs from the mean by at most whole_share of it, or one row if that is larger.
 
 Null text: no bytes, so size 16 and crc32 0. Null doc_id sorts first. Repeated rows each get a slot of their
 own. An empty table gives an empty result. Other columns are ignored by assign(), kept by write_shards().
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, locate
 
 LAW = "bytes"
 ROW_OVERHEAD = 16
@@ -27,24 +27,15 @@ RANGE_ROWS = 50_000
 #: Sampled keys a range; the sample and its splitters grow with the ranges, not with the rows of one.
 SAMPLES_PER_RANGE = 40
 MAX_RANGES = 16_384
-WHOLE_SHARE = 0.004
+#: Parts of an overfull range.
+MAX_PARTS = 1_024
+WHOLE_SHARE = 0.01
 
 
 def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(ROW_OVERHEAD)
 
 
-def _locate(key: Column, bounds: list[int]) -> Column:
-    """Number of bounds at or below key, by a two-level search: about 2 * sqrt(len(bounds)) comparisons."""
-    if not bounds:
-        return F.lit(0)
-    step = max(1, int(len(bounds) ** 0.5))
-    coarse = bounds[step - 1 :: step]
-    literal = lambda values: F.array(*map(F.lit, values)) if len(values) < 64 else F.from_json(F.lit(str(values)), "array<bigint>")
-    first = F.size(F.filter(literal(coarse), lambda b: b <= key)) * F.lit(step)
-    return first + F.size(F.filter(F.slice(literal(bounds), first + 1, F.lit(step)), lambda b: b <= key))
-
-
 def _keys(docs: DataFrame, text: str, key: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.col(key).alias("doc_id"), text_size(F.col(text)).alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("h"))
@@ -63,19 +54,20 @@ def assign(docs: DataFrame, n_shards: int = 40, text: str = "text", key: str = "
     drawn = keys.where(F.pmod(F.xxhash64("doc_id", "h", F.lit("draw")), F.lit(1 << 40)) < chance * F.lit(float(1 << 40)))
     cuts = [i / n_ranges for i in range(1, n_ranges)]
     bounds = sorted(set(drawn.agg(F.percentile_approx("h", cuts, 50_000)).first()[0] or [])) if cuts else []
-    ranged = keys.withColumn("r", _locate(F.col("h"), bounds))
+    ranged = keys.withColumn("r", locate(F.col("h"), bounds))
 
     # Overfull ranges: a text (or a few) with more than its share. Subdivided by doc_id at sampled quantiles.
     aim = max(1, total // n_ranges)
     load = ranged.groupBy("r").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).where((F.col("bytes") > 4 * aim) & (F.col("n") > 1))
-    overfull = load.select("r", F.least(F.ceil(F.col("bytes") / F.lit(aim)), F.lit(1024)).cast("int").alias("parts"))
-    full = overfull.join(ranged.select("r", "doc_id"), "r")
-    cut = full.groupBy("r").agg(F.first("parts").alias("parts"), F.percentile_approx("doc_id", [i / 64 for i in range(1, 64)], 2_000).alias("cut"))
-    # At most one row a range, at most MAX_RANGES rows of 63 numbers.
-    split = ranged.join(F.broadcast(cut.select("r", "cut")), "r", "left").withColumn("q", F.coalesce(F.size(F.filter("cut", lambda b: b <= F.col("doc_id"))), F.lit(0))).drop("cut")
-
-    parts = Window.partitionBy("r", "q").orderBy("h", "doc_id", "size")
-    before = parts.rowsBetween(Window.unboundedPreceding, -1)
+    worst = load.agg(F.max("bytes")).first()[0] or 0
+    parts = min(MAX_PARTS, worst // aim + 1)
+    full = ranged.select("r", "doc_id").join(F.broadcast(load.select("r")), "r")  # one row a range at most
+    cut = full.groupBy("r").agg(F.percentile_approx("doc_id", [i / parts for i in range(1, max(parts, 2))], 10_000).alias("cut"))
+    # At most one row for each overfull range, of which there are fewer than a quarter of the ranges.
+    split = ranged.join(F.broadcast(cut), "r", "left").withColumn("q", F.coalesce(F.size(F.filter("cut", lambda b: b <= F.col("doc_id"))), F.lit(0))).drop("cut")
+
+    inside = Window.partitionBy("r", "q").orderBy("h", "doc_id", "size")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
     placed = split.withColumn("in_bytes", F.coalesce(F.sum("size").over(before), F.lit(0)))
 
     # Where each part begins on the line of all bytes: one row a part.
@@ -83,11 +75,12 @@ def assign(docs: DataFrame, n_shards: int = 40, text: str = "text", key: str = "
     line = sums.withColumn("start", F.sum("bytes").over(Window.orderBy("r", "q")) - F.col("bytes")).select("r", "q", "start")
     placed = placed.join(F.broadcast(line), ["r", "q"]).withColumn("at", F.col("start") + F.col("in_bytes"))
 
-    # A group of equal texts begins where its first row does, if it is small enough to stay whole.
+    # A group of equal texts goes where its middle lies, if it is small enough to stay whole; other rows by their own.
     share = max(1.0, total / n_shards)
     group = Window.partitionBy("r", "q", "h")
     placed = placed.withColumn("group_at", F.min("at").over(group)).withColumn("group_bytes", F.sum("size").over(group))
-    place = F.when(F.col("group_bytes") <= F.lit(whole_share * share), F.col("group_at")).otherwise(F.col("at"))
+    whole = F.col("group_bytes") <= F.lit(whole_share * share)
+    place = F.when(whole, F.col("group_at") + F.col("group_bytes") / 2).otherwise(F.col("at") + F.col("size") / 2)
     placed = placed.withColumn("shard", F.least(F.floor(place / F.lit(share)), F.lit(n_shards - 1)).cast("int"))
     placed = scratch.save(placed.select("doc_id", "size", "text_crc32", "h", "r", "q", "shard"), "placed")
     scratch.drop("keys")
