@@ -24,13 +24,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffle_partitions
+from .common import Scratch, locate, shuffle_partitions
 
 LEXICONS = 32
 TERMS = 1.0
 LEVELS = 14
 BAND = (0.001, 0.35)
 MAX_LEXICON = 2_000_000
+#: Rows of an ordering range aimed at, and the most ranges.
+RANGE_ROWS = 100_000
+MAX_RANGES = 16_384
 #: Longest term that counts; longer words are no lexicon terms.
 MAX_TERM = 64
 
@@ -75,18 +78,17 @@ def _choose(rows: DataFrame, text: str, name: str) -> DataFrame:
     return rows.withColumn(terms_of, F.concat(here, above)).drop(every, slots)
 
 
-def _signatures(found: Column, step: int) -> Column:
-    """One 8-digit hash per lexicon at a level (0: the lower, 1: the higher one), '-' where there is no term."""
-    at = F.array_sort(F.filter(found, lambda x: x["l"] == step))
-    one = lambda k: F.transform(F.filter(at, lambda x: x["k"] == k), lambda x: x["t"])
-    hashed = lambda k: F.lpad(F.lower(F.hex(F.pmod(F.xxhash64(F.array_join(one(k), " ")), F.lit(1 << 32)))), 8, "0")
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(LEXICONS - 1)), lambda k: F.when(F.exists(at, lambda x: x["k"] == k), hashed(k)).otherwise(F.lit("-"))), ",")
+def _signatures(at: Column) -> Column:
+    """One 8-digit hash per lexicon of the sorted terms of a level, '-' where there is no term."""
+    joined = F.transform(F.sequence(F.lit(0), F.lit(LEXICONS - 1)), lambda k: F.array_join(F.transform(F.filter(at, lambda x: x["k"] == k), lambda x: x["t"]), " "))
+    hashed = lambda s: F.lpad(F.lower(F.hex(F.pmod(F.xxhash64(s), F.lit(1 << 32)))), 8, "0")
+    return F.array_join(F.transform(joined, lambda s: F.when(s == "", "-").otherwise(hashed(s))), ",")
 
 
-def _fingerprint(found: Column, level: Column, body_hash: Column) -> Column:
+def _fingerprint(low: Column, high: Column, level: Column, body_hash: Column) -> Column:
     """`level:signatures/signatures` of the two levels, or `t:hash` of a text without lexicon terms."""
-    both = F.concat_ws("/", _signatures(found, 0), _signatures(found, 1))
-    return F.when(F.coalesce(F.size(found), F.lit(0)) <= 0, F.concat(F.lit("t:"), F.lower(F.hex(body_hash)))).otherwise(F.concat(level.cast("string"), F.lit(":"), both))
+    both = F.concat_ws("/", _signatures(low), _signatures(high))
+    return F.when(F.coalesce(F.size(low), F.lit(0)) + F.coalesce(F.size(high), F.lit(0)) <= 0, F.concat(F.lit("t:"), F.lower(F.hex(body_hash)))).otherwise(F.concat(level.cast("string"), F.lit(":"), both))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -99,11 +101,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.coalesce(F.when(F.abs(level(a) - level(b)) <= 1, share), F.lit(0.0)))
 
 
-def _ranges(docs: DataFrame, key: str, parts: int) -> Column:
-    """Range of a key among sampled quantiles (a short list): the unit in which rows are ordered."""
-    cuts = docs.agg(F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    cuts = sorted({c for c in cuts or [] if c is not None})
-    return F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda b: b < F.col(key))) + 1, F.lit(0)) if cuts else F.lit(0)
+def _ranges(docs: DataFrame, key: str) -> Column:
+    """Range of a key (an integer) among sampled quantiles: the unit in which rows are ordered. Grows with the rows."""
+    parts = max(1, min(MAX_RANGES, max(4 * shuffle_partitions(docs.sparkSession), docs.count() // RANGE_ROWS)))
+    cuts = docs.agg(F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], 20_000)).first()[0] if parts > 1 else None
+    return F.coalesce(locate(F.col(key), sorted(set(cuts or []))) + 1, F.lit(0))
 
 
 def _next(rows: DataFrame, order: list[str], value: str, name: str, edge: DataFrame) -> DataFrame:
@@ -127,7 +129,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     kept = F.broadcast(words) if words.count() <= MAX_LEXICON else words
 
     source = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    source = source.withColumn("h0", F.xxhash64("body")).withColumn("r", _ranges(docs, key, min(4096, 4 * shuffle_partitions(spark))))
+    source = source.withColumn("h0", F.xxhash64("body")).withColumn("r", _ranges(docs, key))
     # First row of each range: one row a range.
     first = F.struct(F.col("doc_id").isNotNull().alias("b"), F.col("doc_id").alias("d"), F.col("h0").alias("h"))
     lows = source.groupBy("r").agg(F.min(first).alias("low"))
@@ -149,9 +151,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     tag = lambda c, v: F.transform(c, lambda x: F.struct(F.lit(v).alias("v"), x["t"].alias("t"), x["l"].alias("l"), x["k"].alias("k")))
     each = picked.select("id", F.explode(F.concat(tag("own_terms", 0), tag("new_terms", 1))).alias("x")).select("id", "x.*")
     band = each.join(kept, "t", "left_semi").groupBy("id").agg(F.collect_list(F.struct("v", "t", "l", "k")).alias("found"))
-    of = lambda v: F.transform(F.filter("found", lambda x: x["v"] == v), lambda x: F.struct(x["t"].alias("t"), x["l"].alias("l"), x["k"].alias("k")))
-    prints = picked.drop("own_terms", "new_terms").join(band, "id", "left").withColumn("own", of(0)).withColumn("new", of(1))
-    prints = prints.select("r", "doc_id", "n_chars", "edited_sha256", "h0", _fingerprint(F.col("own"), F.col("own_level"), F.col("h0")).alias("fingerprint"), _fingerprint(F.col("new"), F.col("new_level"), F.col("h1")).alias("edited_fingerprint"))
+    # Sorted terms of each version and level, as columns: no lambda below repeats the sorting.
+    of = lambda v, l: F.array_sort(F.transform(F.filter("found", lambda x: (x["v"] == v) & (x["l"] == l)), lambda x: F.struct(x["t"].alias("t"), x["k"].alias("k"))))  # noqa: E731, E741
+    prints = picked.drop("own_terms", "new_terms").join(band, "id", "left").withColumns({f"{name}{level}": of(v, level) for v, name in enumerate(("own", "new")) for level in (0, 1)})
+    prints = prints.select("r", "doc_id", "n_chars", "edited_sha256", "h0", _fingerprint(F.col("own0"), F.col("own1"), F.col("own_level"), F.col("h0")).alias("fingerprint"), _fingerprint(F.col("new0"), F.col("new1"), F.col("new_level"), F.col("h1")).alias("edited_fingerprint"))
     prints = scratch.save(prints, "prints")
     scratch.drop("picked", "edge")
     scratch.release()
