@@ -13,7 +13,7 @@ Method:
 3. Groups are opened by themselves first, level by level (groups, then groups of their leaders), which joins
    large families without looking at all their pairs.
 4. Queries then meet the groups with which they share a prefix token and in which someone is in another class
-   still. The bound |query & union| >= 0.8 |query| decides whether a group is opened; its members are compared
+   still: first one group per token, then all that remain. The bound |query & union| >= 0.8 |query| decides whether a group is opened; its members are compared
    exactly. Pairs inside one class need no look, as they cannot change the classes. No pair that could link two
    classes is left out, whatever the sketch and the min-hash say: these only order and pack the work.
 
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, as_signed, mix64, rolling, rows_of, word_hashes
@@ -255,11 +255,16 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def _packed(rows: DataFrame, salt: int = 0) -> DataFrame:
-    """Deals the nodes of each min-hash (grp) into chunks of about GROUP_SIZE: adds gid, k (nodes in it) and chunks."""
-    sizes = rows.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(GROUP_SIZE)).alias("chunks"))
-    chunk = F.pmod(F.xxhash64("node", F.lit("chunk"), F.lit(salt)), F.col("chunks"))
-    dealt = rows.join(sizes, "grp").withColumn("gid", F.xxhash64("grp", chunk, F.lit(salt)))
+def _packed(scratch: Scratch, rows: DataFrame, step: int = 0) -> DataFrame:
+    """Deals the nodes of each min-hash (grp) into chunks of about GROUP_SIZE: adds gid, k (nodes in it) and chunks.
+
+    Only families of several chunks are written down and joined; as a table of its own their side can be broadcast where
+    it is small, and a hot family's rows can be split.
+    """
+    families = rows.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(GROUP_SIZE)).alias("c")).where("c > 1")
+    families = scratch.save(families, f"families-{step}")
+    chunk = F.pmod(F.xxhash64("node", F.lit("chunk"), F.lit(step)), F.col("chunks"))
+    dealt = rows.join(families, "grp", "left").withColumn("chunks", F.coalesce("c", F.lit(1).cast("bigint"))).drop("c").withColumn("gid", F.xxhash64("grp", chunk, F.lit(step)))
     return dealt.join(dealt.groupBy("gid").agg(F.count("*").alias("k")), "gid")
 
 
@@ -275,6 +280,41 @@ def _leaders(dealt: DataFrame, opened: DataFrame) -> DataFrame:
     return votes.groupBy("gid", "grp", "root").agg(F.count("*").alias("k")).groupBy("gid", "grp").agg(F.max_by("root", F.struct("k", "root")).alias("node")).select("node", "grp")
 
 
+def _open_tokens(scratch: Scratch, matrix: DataFrame, info: DataFrame, name: str) -> DataFrame:
+    """Rows of the matrix whose token stands in several classes, with size, class and group (to)."""
+    rows = matrix.join(info.select("node", "n", "comp", F.xxhash64("gid", "comp").alias("to")), "node").repartition("token")
+    differ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+    return scratch.save(rows.join(differ, "token", "left_semi"), name)
+
+
+def _meet(scratch: Scratch, source: DataFrame, sets: DataFrame, info: DataFrame, queries: DataFrame, groups: DataFrame, apart: Column, name: str) -> tuple[DataFrame, DataFrame]:
+    """Opens the groups (token, to, g_comp) that queries (token, node, comp, n) may link with; returns (sets, info), grown and merged."""
+    sizes = info.groupBy(F.xxhash64("gid", "comp").alias("to")).agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+    fits = apart & (F.col("n_lo") * LEAST <= F.col("n") * 100) & (F.col("n_hi") * 100 >= F.col("n") * LEAST)
+    met = queries.select("token", "node", "comp", "n").join(groups.join(sizes, "to"), "token").where(fits).groupBy("node", "comp", "n", "to", "n_lo", "n_hi").agg(F.count("*").alias("c"))
+    # The overlap is at most the shared prefix tokens and what stands behind one of the two prefixes.
+    up = lambda x, by: F.ceil(x * LEAST / F.lit(by))
+    wanted = up(F.col("n") + F.col("n_lo"), 100 + LEAST) - F.greatest(up(F.col("n"), 100), up(F.col("n_hi"), 100)) + 1
+    pairs = scratch.save(met.where(F.col("c") >= wanted).select("node", "comp", "to"), f"pairs-{name}")
+    scratch.release()
+
+    members = info.select("node", "comp", F.xxhash64("gid", "comp").alias("to"))
+    needed = pairs.select("node").union(members.join(pairs.select("to").distinct(), "to", "left_semi").select("node")).distinct()
+    missing = scratch.save(info.select("node", "doc_id").join(needed, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), f"missing-{name}")
+    sets = sets.union(scratch.save(_sets(source, missing), f"sets-{name}"))
+    scratch.release()
+    load = pairs.groupBy("to").agg(F.ceil(F.count("*") / F.lit(QUERY_BLOCK)).alias("blocks"))
+    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
+    asked = pairs.join(load, "to").select("node", "comp", "to", block.alias("block"), F.lit(True).alias("asks"))
+    held = members.join(load, "to").select("node", "comp", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"))
+    links = asked.union(held).join(sets, "node").drop("node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
+    merged = connected(links, scratch, name).select(F.col("node").alias("comp"), F.col("comp").alias("final"))
+    info = info.join(merged, "comp", "left").select("node", "doc_id", "n", "gid", F.coalesce("final", "comp").alias("comp"))
+    info = scratch.save(info, f"info-{name}")
+    scratch.release()
+    return sets, info
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of the class) for each row of docs."""
     scratch = Scratch(docs.sparkSession, "groups")
@@ -286,7 +326,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     shared = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
     matrix = scratch.save(rows.join(shared, "token", "left_semi").distinct(), "matrix")
     heads = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("grp").alias("grp"), F.first("n").alias("n"))
-    dealt = scratch.save(_packed(heads.join(matrix.select("node").distinct(), "node", "left_semi")), "dealt")
+    dealt = scratch.save(_packed(scratch, heads.join(matrix.select("node").distinct(), "node", "left_semi")), "dealt")
     scratch.release()
 
     # Groups open by themselves; then the leaders of a family's chunks form groups, until one is left.
@@ -296,39 +336,25 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     edges, level, step = opened, dealt, 0
     while level.where("chunks > 1").limit(1).count():
         step += 1
-        level = scratch.save(_packed(_leaders(level, opened), step), f"level-{step}")
+        level = scratch.save(_packed(scratch, _leaders(level, opened), step), f"level-{step}")
         opened = _open_level(scratch, level, near, step)
         edges = edges.union(opened)
     first = connected(edges.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")), scratch, "near")
-    info = dealt.join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("to", F.xxhash64("gid", "comp"))
-    info = scratch.save(info.select("node", "doc_id", "n", "comp", "to", (F.col("k") > 1).alias("held")), "info")
+    info = dealt.join(first, "node", "left").select("node", "doc_id", "n", "gid", F.coalesce("comp", "node").alias("comp"))
+    info = scratch.save(info, "info-near")
     scratch.release()
 
-    # What is left: queries and groups (now of one class each) that share prefix tokens but not the class.
-    tokens = matrix.join(info.select("node", "n", "comp", "to"), "node").repartition("token")
-    open_tokens = tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    tokens = scratch.save(tokens.join(open_tokens, "token", "left_semi"), "open")
-    sizes = info.groupBy("to").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
-    unions = tokens.select("token", "to", F.col("comp").alias("g_comp")).distinct().join(sizes, "to")
-    fits = (F.col("comp") > F.col("g_comp")) & (F.col("n_lo") * LEAST <= F.col("n") * 100) & (F.col("n_hi") * 100 >= F.col("n") * LEAST)
-    met = tokens.select("token", "node", "comp", "n").join(unions, "token").where(fits).groupBy("node", "comp", "n", "to", "n_lo", "n_hi").agg(F.count("*").alias("c"))
-    # The overlap is at most the shared prefix tokens and what stands behind one of the two prefixes.
-    up = lambda x, by: F.ceil(x * LEAST / F.lit(by))
-    wanted = up(F.col("n") + F.col("n_lo"), 100 + LEAST) - F.greatest(up(F.col("n"), 100), up(F.col("n_hi"), 100)) + 1
-    pairs = scratch.save(met.where(F.col("c") >= wanted).select("node", "comp", "to"), "pairs")
-    needed = pairs.select("node").union(info.join(pairs.select("to").distinct(), "to", "left_semi").select("node")).distinct()
-    scratch.release()
-    far = scratch.save(_sets(source, info.where("not held").join(needed, "node", "left_semi")), "sets-far")
-    sets = near.union(far).join(needed, "node", "left_semi")
-    scratch.release()
-    load = pairs.groupBy("to").agg(F.ceil(F.count("*") / F.lit(QUERY_BLOCK)).alias("blocks"))
-    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
-    asked = pairs.join(load, "to").select("node", "comp", "to", block.alias("block"), F.lit(True).alias("asks"))
-    held = info.select("node", "comp", "to").join(load, "to").select("node", "comp", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"))
-    more = asked.union(held).join(sets, "node").drop("node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
-    second = connected(more, scratch, "far")
-    scratch.release()
-    classes = info.select("node", "comp").join(second.select(F.col("node").alias("comp"), F.col("comp").alias("final")), "comp", "left").select("node", F.coalesce("final", "comp").alias("comp"))
+    # What is left: queries and groups (of one class each from here on) that share prefix tokens but not the class.
+    # First every query meets one group per token only, the one with most members there: linear in the tokens, and it
+    # joins much of a large family. Then all that still differ meet.
+    open_ = _open_tokens(scratch, matrix, info, "open-hub")
+    counts = open_.groupBy("token", "to", "comp").agg(F.count("*").alias("k"))
+    hubs = counts.groupBy("token").agg(F.max_by(F.struct("to", F.col("comp").alias("g_comp")), F.struct("k", "to")).alias("hub")).select("token", "hub.*")
+    sets, info = _meet(scratch, source, near, info, open_, hubs, F.col("comp") != F.col("g_comp"), "hub")
+    open_ = _open_tokens(scratch, open_.select("token", "node"), info, "open-all")
+    groups = open_.select("token", "to", F.col("comp").alias("g_comp")).distinct()
+    _, info = _meet(scratch, source, sets, info, open_, groups, F.col("comp") > F.col("g_comp"), "all")
+    classes = info.select("node", "comp")
 
     lowest = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = lowest.groupBy("comp").agg(F.min("low").alias("component_id"))
