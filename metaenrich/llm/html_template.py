@@ -44,6 +44,7 @@ _BLOCK = frozenset(
 )
 _CONTAINER = frozenset("aside details div dl fieldset figure footer form header menu nav ol section table ul".split())
 _DROP = frozenset("nav header footer aside form script style noscript template iframe button select textarea svg dialog menu object canvas audio video head title".split())
+_IN_HEAD = frozenset("base link meta noscript script style template title".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 _CLASSES = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices"
@@ -146,11 +147,15 @@ class Page:
 
     def _start(self, name: str, attrs: str) -> None:
         if name in _VOID:
+            if self.stack[-1].name == "head" and name not in _IN_HEAD:
+                self._pop()
             if name in ("br", "wbr"):
                 self._add(" " if name == "br" else "")
             elif name == "hr":
                 self._flush()
             return
+        if self.stack[-1].name == "head" and name not in _IN_HEAD:
+            self._pop()  # anything else ends an unclosed head
         if name in ("html", "body"):
             return
         if name in _BLOCK:
@@ -189,7 +194,9 @@ class Page:
                     self._pop()
                 return
             if name == "p" and self.stack[depth].name in _SCOPE:
-                return
+                break
+        if name == "p":
+            self._flush()  # a stray </p> is an empty paragraph
 
     def _pop(self) -> None:
         top = self.stack[-1]

@@ -434,6 +434,8 @@ PAGE = """<!DOCTYPE html><html><head><title>No</title><script>if (a < b) { "</p>
 def test_one_page():
     assert [b.text for b in html_template.Page(PAGE).main_blocks()] == ["A <b> title", "One two", "three xy", "a", "b", "tail"]
     assert [b.text for b in html_template.Page("<p>a<div>b</p>c &amp &unknown; &#233;").main_blocks()] == ["a", "b", "c & &unknown; é"]
+    assert [b.text for b in html_template.Page("<head><title>T</title><meta charset=x><body><h1>A</h1>b").main_blocks()] == ["A", "b"]
+    assert [b.text for b in html_template.Page("<article>a<br>b<p>c</article><article class=comment>no</article>").main_blocks()] == ["a b", "c"]
     assert html_template.Page("").main_blocks() == [] and html_template.Page("<").main_blocks()[0].text == "<"
 
 
