@@ -154,14 +154,14 @@ def _describe(source: DataFrame) -> DataFrame:
 
 
 def _windows(texts: DataFrame) -> DataFrame:
-    """hi, lo, text, and start, fingerprint and hash of each window under one of the row's fingerprints."""
+    """hi, lo, single, text, and start, fingerprint and hash of each window under one of the row's fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 at, fp, full, keys, texts_out = [], [], [], [], []
-                for hi, lo, text, fps in rows_of([part], "hi", "lo", "text", "fps"):
+                for hi, lo, single, text, fps in rows_of([part], "hi", "lo", "single", "text", "fps"):
                     hashes = word_hashes((text or b"").split())
                     if np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist() != [hi, lo]:
                         continue  # another text under this doc_id
@@ -170,12 +170,12 @@ def _windows(texts: DataFrame) -> DataFrame:
                     at.append(found.astype(np.int32))
                     fp.append(as_signed(least[found]))
                     full.append(as_signed(rolling(hashes, WIDTH)[found]))
-                    keys.append((hi, lo))
+                    keys.append((hi, lo, single))
                     texts_out.append(text)
-                arrays = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(texts_out, pa.binary()), _lists(at, pa.int32(), np.int32), _lists(fp, pa.int64(), np.int64), _lists(full, pa.int64(), np.int64)]
-                yield pa.RecordBatch.from_arrays(arrays, ["hi", "lo", "text", "at", "fp", "full"])
+                arrays = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.bool_()), pa.array(texts_out, pa.binary()), _lists(at, pa.int32(), np.int32), _lists(fp, pa.int64(), np.int64), _lists(full, pa.int64(), np.int64)]
+                yield pa.RecordBatch.from_arrays(arrays, ["hi", "lo", "single", "text", "at", "fp", "full"])
 
-    return texts.select("hi", "lo", "text", "fps").mapInArrow(run, "hi bigint, lo bigint, text binary, at array<int>, fp array<bigint>, full array<bigint>")
+    return texts.select("hi", "lo", "single", "text", "fps").mapInArrow(run, "hi bigint, lo bigint, single boolean, text binary, at array<int>, fp array<bigint>, full array<bigint>")
 
 
 def cut(text: bytes, starts: list[int]) -> tuple[list[bytes], int]:
@@ -208,30 +208,35 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bat
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    rows = scratch.save(_describe(source), "rows")
+    described = scratch.save(_describe(source), "described")
+    rows = scratch.save(described.drop("fps"), "rows")
 
     index = FingerprintIndex(spark, scratch.path("runs"))
-    filed = rows.where(F.size("fps") > 0)
+    filed = described.where(F.size("fps") > 0).select("hi", "lo", "fps")
     for i in range(batches):
         index.ingest(filed.where(F.pmod("hi", F.lit(batches)) == i).select(F.explode("fps").alias("fp")))
     # Written plainly: a join with bucketed runs couldn't be split where a fingerprint is hot.
     repeated = scratch.save(index.repeated(), "repeated")
+    index.close()
     due = filed.select("hi", "lo", F.explode("fps").alias("fp")).join(repeated, "fp", "left_semi")
     due = due.groupBy("hi", "lo").agg(F.collect_set("fp").alias("fps"))
     nodes = rows.where(F.col("n_words") >= WIDTH).groupBy("hi", "lo").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
     nodes = scratch.save(nodes.join(due, ["hi", "lo"], "left").where("fps is not null or copies > 1"), "nodes")
-    index.close()
+    scratch.drop("described", "repeated")
     scratch.release()
 
-    heads = nodes.where("fps is not null").select("hi", "lo", "head", "fps")
-    windows = scratch.save(_windows(source.join(heads, F.col("doc_id").eqNullSafe(F.col("head")))), "windows")
-    each = windows.select("hi", "lo", F.explode(F.arrays_zip("at", "fp", "full")).alias("w")).select("hi", "lo", "w.*")
+    # Windows of one text for each node that has repeated fingerprints; w is the text's short name from here on.
+    heads = nodes.where("fps is not null").select("hi", "lo", "head", "fps", (F.col("copies") == 1).alias("single"))
+    windows = _windows(source.join(heads, F.col("doc_id").eqNullSafe(F.col("head")))).withColumn("w", F.monotonically_increasing_id())
+    windows = scratch.save(windows, "windows")
+    scratch.release()
+    each = windows.select("w", "single", F.explode(F.arrays_zip("at", "fp", "full")).alias("x")).select("w", "single", "x.*")
     # Written, so that the join below has exchanges of its own on both sides, which may be split where a window is hot.
     twice = scratch.save(each.groupBy("fp", "full").agg(F.count("*").alias("times")).where("times > 1").select("fp", "full"), "twice")
     scratch.release()
-    single = nodes.where("copies = 1").select("hi", "lo")  # copies go whole
-    hits = each.join(twice, ["fp", "full"], "left_semi").groupBy("hi", "lo").agg(F.collect_list("at").alias("starts"))
-    parts = _cut(windows.select("hi", "lo", "text").join(hits, ["hi", "lo"]).join(single, ["hi", "lo"], "left_semi"))
+    # Copies go whole; their windows only count for others.
+    hits = each.where("single").select("fp", "full", "w", "at").join(twice, ["fp", "full"], "left_semi").groupBy("w").agg(F.collect_list("at").alias("starts"))
+    parts = _cut(windows.select("w", "hi", "lo", "text").join(hits, "w").drop("w"))
     if not texts:
         parts = parts.drop("kept_text")
     parts = scratch.save(parts, "parts")
