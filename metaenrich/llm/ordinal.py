@@ -5,10 +5,13 @@ all grades; ordered thresholds t1 < t2 cut its score: P(grade >= g) = sigmoid(sc
 tail probability P(grade >= 2) serve selection.
 
 Features of the whole text: presence of each word (lower case, punctuation stripped), shares of token shapes (letters
-as a, A, digits as 9, punctuation as it is), and shares of tokens and lines that repeat. All are hashed into SLOTS.
+as a, A, digits as 9, punctuation as it is), shares of tokens and lines that repeat, and how often words begin alike: for
+the first STEM characters of the words, presence of each level of LEVELS that their rate (occurrences by words + DAMP)
+reaches, so that a stem with ever other endings counts as one. All are hashed, words into SLOTS, stems behind them.
 
 Training reads at most SAMPLE labelled rows (those with the smallest key hash); that bound doesn't depend on the
-input. A word's weight is at most 0: however long a text is, its ordinary words don't make up for an insult. Words that fewer than MIN_ROWS of these rows have, or that are independent of the grade, get no weight.
+input. A word's or stem's weight is at most 0: however long a text is, its ordinary words don't make up for an insult.
+Words and stem levels that fewer than MIN_ROWS of these rows have, or that are independent of the grade, get no weight.
 
 Null and empty texts have no words and get the score of the bias; rows without label are scored like others; of
 several labels of a row the lowest grade counts; without any label every row is kept. Repeated rows each get their
@@ -33,6 +36,11 @@ from .common import rows_of
 
 SLOTS = 1 << 18
 SHAPE_SLOTS = 1 << 12
+STEM = 5
+STEM_SLOTS = 1 << 18
+#: Rates of a stem, each a feature of its own.
+LEVELS = (1 / 256, 1 / 181, 1 / 128, 1 / 91, 1 / 64)
+DAMP = 50
 SAMPLE = 6000
 MIN_ROWS = 8
 #: Words whose z-score with every grade is below this get no weight: most words say nothing about quality.
@@ -43,16 +51,22 @@ KEEP_FROM = 0.5
 GRADES = 3
 _CACHE = 300_000
 _EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_BEGIN = re.compile(r"^\W+")
 _LOW, _UP, _NUM, _REST = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[A-Z]+"), re.compile(rb"[0-9]+"), re.compile(rb"([^\w])\1{2,}")
 
 
 class Tokens(dict):
-    """Word to (word slot, shape slot); a bounded cache."""
+    """Word to (word slot, shape slot, number of its stem or -1); a bounded cache."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> tuple[int, int, int]:
         shape = _REST.sub(rb"\1\1\1", _NUM.sub(b"9", _UP.sub(b"A", _LOW.sub(b"a", word))))[:12]
         bare = word.lower().strip(_EDGES)
-        found = (xxhash.xxh3_64_intdigest(bare) % (SLOTS - SHAPE_SLOTS) + SHAPE_SLOTS if bare else 0, xxhash.xxh3_64_intdigest(shape) % (SHAPE_SLOTS - 64) + 64)
+        stem = _BEGIN.sub("", bare.decode("utf-8", "replace").lower())[:STEM]
+        found = (
+            xxhash.xxh3_64_intdigest(bare) % (SLOTS - SHAPE_SLOTS) + SHAPE_SLOTS if bare else 0,
+            xxhash.xxh3_64_intdigest(shape) % (SHAPE_SLOTS - 64) + 64,
+            xxhash.xxh3_64_intdigest(stem.encode()) % STEM_SLOTS if len(stem) == STEM else -1,
+        )
         if len(self) >= _CACHE:
             self.clear()
         self[word] = found
@@ -71,9 +85,12 @@ def features(text: bytes | None, tokens: Tokens) -> tuple[np.ndarray, np.ndarray
     runs = float(np.count_nonzero(pairs[1:, 0] == pairs[:-1, 0])) / n
     lines = [x for x in text.split(b"\n") if x]
     again = 1 - len(set(lines)) / max(1, len(lines))
+    stems, times = np.unique(pairs[pairs[:, 2] >= 0, 2], return_counts=True)
+    rates = times / (n + DAMP)
+    stems = np.concatenate([stems[rates >= least] + (SLOTS + i * STEM_SLOTS) for i, least in enumerate(LEVELS)])
     dense = [(2, 1.0), (3, 5 * runs), (4, 2 * again), (5, 2 * (1 - len(present) / n) * (n > 50)), (6 + min(9, n.bit_length()), 1.0)]
-    slots = np.concatenate([present[present > 0], shapes, [d[0] for d in dense]])
-    values = np.concatenate([np.ones(np.count_nonzero(present > 0)), 3 * np.sqrt(counts / n), [d[1] for d in dense]])
+    slots = np.concatenate([present[present > 0], stems, shapes, [d[0] for d in dense]])
+    values = np.concatenate([np.ones(np.count_nonzero(present > 0) + len(stems)), 3 * np.sqrt(counts / n), [d[1] for d in dense]])
     return slots, values.astype(np.float32)
 
 
@@ -128,9 +145,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: in
         mean, var = 0.9 * mean + 0.1 * grad, 0.99 * var + 0.01 * grad**2
         move = 0.08 * (mean / (1 - 0.9**step)) / (np.sqrt(var / (1 - 0.99**step)) + 1e-6)
         w -= move[:m]
-        w[word] = np.minimum(w[word], 0)  # a word can lower the grade, never make up for another one
+        w[word] = np.minimum(w[word], 0)  # a word or stem can lower the grade, never make up for another one
         cuts -= move[m:]
-    weights = np.zeros(SLOTS, np.float32)
+    weights = np.zeros(SLOTS + len(LEVELS) * STEM_SLOTS, np.float32)
     weights[used[often]] = w[often]
     return OrdinalModel(weights, np.array([cuts[0], cuts[0] + np.exp(cuts[1])]))
 

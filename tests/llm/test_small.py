@@ -461,3 +461,19 @@ def test_given_pages_against_a_plain_reading(spark, tables):
         assert r.text == "\n".join(b for b in blocks if b)
 
 
+
+
+def test_an_insult_with_varying_endings_lowers_the_grade(spark):
+    """No single form is frequent enough to be learned; a stem that only stands now and then is no insult."""
+    rng = random.Random(8)
+    syllables = "ka lo mi tu ra ne so vi".split()
+    form = lambda stem: stem + "".join(rng.choices(syllables, k=4))
+    others = ["".join(rng.choices("bdfgjp", k=5)) for _ in range(60)]
+    page = lambda stems: " ".join(x for stem in stems for x in [*prose(rng, 30).split(), form(stem)])
+    toxic = lambda: page(["bomen"] * 4)
+    fine = lambda: page([*rng.sample(others, 3), "bomen" if rng.random() < 0.3 else "licht"])
+    docs = frame(spark, [(i, (toxic, fine, fine, fine)[i % 4]()) for i in range(800)])
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    kept = {r.doc_id for r in ordinal.select_good(docs, ordinal.train(docs, labels)).collect()}
+    unseen = range(400, 800)
+    assert sum(i in kept for i in unseen if i % 4 == 0) <= 2 and sum(i in kept for i in unseen if i % 4) >= 297
