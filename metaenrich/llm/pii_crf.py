@@ -6,10 +6,11 @@ number that is written with dots, an address with `(at)`).
 
 Method: the mentions of a document, base ones included, are the nodes. Each node has potentials over O, email, ip,
 card, phone from its shape and the cue words before it; base mentions are nearly certain of their kind. Chain edges
-join neighbours that stand close together. Skip edges join distant mentions whose keys (digits, or address without
-case) are equal or end alike; they share potentials, so both tend to the same label. Loopy belief propagation runs a
-bounded number of rounds on the pairwise factors; a mention whose belief in a kind exceeds one half becomes a span.
-Mentions with one key form a chain in text order, so the edges grow with the mentions, not with their pairs.
+join neighbours that stand close together. Skip links tie all mentions of a document whose keys (digits, or address
+without case) are equal, or end alike, to a hub of theirs; it pools the strongest evidence that any of them has for each
+kind against one prior, and its message reaches each of them. So a prior isn't counted again with each repeat, and the
+links grow with the mentions, not with their pairs. Belief propagation on the pairwise factors runs until nothing
+changes any more (ROUNDS at most); a mention whose belief in a kind exceeds one half becomes a span.
 
 Null text counts as empty: no spans. Texts of any length are read whole in linear time; repeated rows each get their
 row; an empty table gives an empty result. Columns other than key and text are ignored (redact() keeps them).
@@ -30,7 +31,8 @@ from .common import rows_of
 
 KINDS = ("email", "ip", "card", "phone")
 STATES = ("o", *KINDS)
-ROUNDS = 12
+#: Only a bound: close neighbours pull weakly, so a few dozen rounds settle any document.
+ROUNDS = 1000
 #: Log potentials of the field.
 CERTAIN, CHAIN_SAME, SKIP_SAME, SKIP_NEAR, CUE, PRIOR_O = 8.0, 0.3, 3.5, 2.5, 2.5, 2.2
 CHAIN_GAP = 60
@@ -171,6 +173,41 @@ def beliefs(unary: np.ndarray, edges: list[tuple[int, int, float]], rounds: int
     return phi / phi.sum(axis=1, keepdims=True)
 
 
+def _message(evidence: np.ndarray, weight: float) -> np.ndarray:
+    """Log message of a hub with this evidence over a Potts link (log weight of equal labels)."""
+    p = np.exp(evidence - evidence.max())
+    p /= p.sum()
+    return np.log(p * (np.exp(weight) - 1) + 1)
+
+
+def _pooled(unary: np.ndarray, keys: list[tuple[bool, str]]) -> np.ndarray:
+    """The potentials with the messages of the hubs: of all mentions with one key, and of the other keys that end alike."""
+    groups: dict[tuple[bool, str], list[int]] = {}
+    for i, key in enumerate(keys):
+        if key[1]:
+            groups.setdefault(key, []).append(i)
+    evidence = {key: unary[members].max(axis=0) for key, members in groups.items()}
+    endings: dict[str, list[tuple[bool, str]]] = {}
+    for key in groups:
+        if not key[0] and len(key[1]) >= MIN_SHARED_DIGITS:
+            endings.setdefault(key[1][-MIN_SHARED_DIGITS:], []).append(key)
+    near = {}
+    for alike in endings.values():
+        if len(alike) > 1:
+            every = np.array([evidence[key] for key in alike])
+            first = every.argmax(axis=0)
+            top = np.sort(every, axis=0)[-2:]
+            for i, key in enumerate(alike):
+                near[key] = _message(np.where(first == i, top[0], top[1]), SKIP_NEAR)
+    out = unary.copy()
+    for key, members in groups.items():
+        others = near.get(key, np.zeros(unary.shape[1]))
+        out[members] += others
+        if len(members) > 1:
+            out[members] += _message(evidence[key] + others, SKIP_SAME)
+    return out
+
+
 def find_more(text: str, base: list[Span]) -> list[Span]:
     """Spans that the field adds to the base spans."""
     extra = _candidates(text, base)
@@ -181,18 +218,8 @@ def find_more(text: str, base: list[Span]) -> list[Span]:
     address = [k == 0 if k is not None else "@" in r or "at)" in r.lower() or "at]" in r.lower() for (_, _, k), r in zip(nodes, raw, strict=True)]
     unary = np.array([_unary(text, a, b, k, d) for (a, b, k), d in zip(nodes, address, strict=True)])
     edges: list[tuple[int, int, float]] = [(i, i + 1, CHAIN_SAME) for i in range(len(nodes) - 1) if nodes[i + 1][0] - nodes[i][1] <= CHAIN_GAP]
-    same: dict[str, int] = {}
-    tails: dict[str, int] = {}
-    for i, (r, d) in enumerate(zip(raw, address, strict=True)):
-        key = _key(r, d)
-        if key in same:
-            edges.append((same[key], i, SKIP_SAME))
-        elif not d and len(key) >= MIN_SHARED_DIGITS and key[-MIN_SHARED_DIGITS:] in tails:
-            edges.append((tails[key[-MIN_SHARED_DIGITS:]], i, SKIP_NEAR))
-        same[key] = i
-        if not d:
-            tails[key[-MIN_SHARED_DIGITS:]] = i
-    belief = beliefs(unary, edges)
+    keys = [(d, _key(r, d)) for r, d in zip(raw, address, strict=True)]
+    belief = beliefs(_pooled(unary, keys), edges)
     out = []
     for (a, b, k), p in zip(nodes, belief, strict=True):
         best = int(p.argmax())

@@ -344,6 +344,23 @@ def test_repeated_numbers_share_their_label():
     assert [far[a:b] for k, a, b in pii_crf.find(far)[1]] == ["joe (at) example (dot) org"]
 
 
+@pytest.mark.parametrize("times", [1, 2, 3, 10, 100])
+@pytest.mark.parametrize("form", ["10175557713", "1 017 555-7713", "1 (017) 555-7713", "0175557713", "(017) 555-7713"])
+@pytest.mark.parametrize("gap", [" and so on, " * 8, "; "])
+def test_every_repeat_of_a_number_gets_its_label(form, times, gap):
+    text = gap.join(["Reach us: +1 (017) 555-7713", *[form] * times, "order 12345678", "order 12345678"])
+    assert [text[a:b] for _, a, b in pii_crf.find(text)[1]] == ["+1 (017) 555-7713", *[form] * times]
+    late = gap.join([*[form] * times, "Reach us: +1 (017) 555-7713"])
+    assert pii_crf.mask(late).count("[PHONE]") == times + 1
+
+
+@pytest.mark.parametrize("times", [1, 3, 10, 100])
+def test_repeated_numbers_without_evidence_stay(times):
+    text = (" and so on, " * 8).join(["order 12345678"] * times)
+    assert pii_crf.find(text) == ([], [])
+    assert pii_crf.mask("Phone (017) 555-7713" + " or (017) 555-7713" * times).count("[PHONE]") == times + 1
+
+
 def test_beliefs_of_a_tree_are_exact():
     import itertools
 
