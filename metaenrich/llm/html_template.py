@@ -1,9 +1,10 @@
 """Main text of web pages by removal of site templates.
 
 Method: each page is parsed once into text blocks. Every block-level element gets a hash of its subtree (tag, class and
-id, text and child hashes). Spark counts per host how many pages hold each hash; a subtree that recurs on many pages of
-its host (RECUR_PAGES pages at least, and RECUR_SHARE of the host's pages) is template and goes, together with all
-blocks inside it. Inside the article element only containers can be template: a paragraph that pages share stays.
+id, text and child hashes). Spark counts per host on how many different main contents each hash stands, so that copies
+of a page are one and are no evidence; a subtree that recurs on many of them (RECUR_PAGES at least, and RECUR_SHARE of
+the host's pages) is template and goes, together with all blocks inside it. Inside the article element only containers
+can be template: a paragraph that pages share stays. What stands around the article never takes it along.
 
 Before that, elements that are never main text go by tag, role, class or id: menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments. If a page has an article (or else a main element), only
@@ -13,7 +14,7 @@ Character references are decoded, white space inside a block becomes one blank,
 order by a line feed; nothing else is dropped or capped.
 
 Null and empty html give an empty text. A null or odd url counts as a host of its own (''). Repeated rows each give
-their row (and count as pages), an empty table gives an empty result. Columns other than page_id, url and html are
+their row, an empty table gives an empty result. Columns other than page_id, url and html are
 ignored. Unclosed tags, stray end tags and broken references are read as browsers read them.
 """
 
@@ -65,7 +66,8 @@ class _Element:
     name: str
     label: str
     dropped: bool
-    main: bool  # inside the article (or main) element
+    article: bool  # is or is inside an article element
+    main: bool  # the same, of an article or main element
     kind: str  # "article", "main" or ""
     soft: bool = False  # dropped by names only that an article inside overrules
     parts: list[bytes] = field(default_factory=list)
@@ -98,7 +100,7 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[Block] = []
         self.hashes: set[int] = set()
-        self.stack = [_Element("", "", False, False, "")]
+        self.stack = [_Element("", "", False, False, False, "")]
         self.text: list[str] = []
         self._read(source)
         while len(self.stack) > 1:
@@ -175,7 +177,7 @@ class Page:
             self._flush()
         soft = dropped and (top.soft if above else True) and (soft or not own)
         kind = name if name in ("article", "main") and not dropped else ""
-        self.stack.append(_Element(name, label, dropped, top.main or bool(kind), kind, soft, first=len(self.blocks)))
+        self.stack.append(_Element(name, label, dropped, top.article or kind == "article", top.main or bool(kind), kind, soft, first=len(self.blocks)))
 
     def _close_implied(self, names: set[str], barrier: frozenset[str]) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
@@ -213,7 +215,8 @@ class Page:
         if top.parts and not top.kind and (top.name in _CONTAINER or not top.main):
             self.hashes.add(key)
             for block in self.blocks[top.first :]:
-                block.path.append(key)
+                if top.article or not block.article and (top.main or not block.main):
+                    block.path.append(key)
 
     def main_blocks(self) -> list[Block]:
         for chosen in ([b for b in self.blocks if b.article], [b for b in self.blocks if b.main]):
@@ -222,37 +225,43 @@ class Page:
         return self.blocks
 
 
+def content_of(blocks: list[Block]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(b.text for b in blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def host_of(url: str | None) -> str:
     found = re.match(r"\s*[A-Za-z][A-Za-z0-9+.-]*://([^/?#\s]*)", url or "")
     return found[1].rpartition("@")[2].partition(":")[0].lower().rstrip(".") if found else ""
 
 
 def _parse(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, texts and paths of the main blocks (one path a block, as `hash hash`), hashes of the page."""
+    """page_id, url, host, texts and paths of the main blocks (one path a block, as `hash hash`), hash of these texts, hashes of the page."""
     id_type = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                hosts, texts, paths, hashes = [], [], [], []
+                hosts, texts, paths, contents, hashes = [], [], [], [], []
                 for url, source in rows_of([part], "url", "html"):
                     page = Page(source or "")
                     blocks = page.main_blocks()
                     hosts.append(host_of(url))
                     texts.append([b.text for b in blocks])
                     paths.append([b.path for b in blocks] if any(b.path for b in blocks) else None)
+                    contents.append(content_of(blocks))
                     hashes.append(sorted(page.hashes))
-                arrays = [part.column(0), part.column(1), pa.array(hosts, pa.string()), pa.array(texts, pa.list_(pa.string())), pa.array(paths, pa.list_(pa.list_(pa.int64()))), pa.array(hashes, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "host", "texts", "paths", "hashes"])
+                arrays = [part.column(0), part.column(1), pa.array(hosts, pa.string()), pa.array(texts, pa.list_(pa.string())), pa.array(paths, pa.list_(pa.list_(pa.int64()))), pa.array(contents, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "host", "texts", "paths", "content", "hashes"])
 
-    return pages.mapInArrow(run, f"page_id {id_type}, url string, host string, texts array<string>, paths array<array<bigint>>, hashes array<bigint>")
+    return pages.mapInArrow(run, f"page_id {id_type}, url string, host string, texts array<string>, paths array<array<bigint>>, content bigint, hashes array<bigint>")
 
 
 def templates(parsed: DataFrame, pages: int = RECUR_PAGES, share: float = RECUR_SHARE) -> DataFrame:
-    """(host, hash) of the subtrees that recur on many pages of their host. Counts combine before the shuffle."""
+    """(host, hash) of the subtrees that recur on many main contents of their host. Copies and counts combine before each shuffle."""
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= pages)
+    each = parsed.select("host", "content", F.explode("hashes").alias("hash")).groupBy("host", "hash", "content").agg(F.lit(1))
+    counts = each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= pages)
     return counts.join(sizes, "host").where(F.col("n") >= F.col("pages") * share).select("host", "hash")
 
 

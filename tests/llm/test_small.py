@@ -469,6 +469,21 @@ def test_templates_go_and_shared_paragraphs_stay(spark):
     assert html_template.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    table = "<div><p>In</p></div><ul><li>a<li>b</ul><table><tr><td>c</table>"
+    shapes = [f"<div><article><p>Text</p>{table}</article></div>", f"<section><div><main><p>Text</p>{table}</main></div></section>", f"<article><p>Text</p>{table}</article>",
+              f"<main><div><article><p>Text</p>{table}</article></div></main>", f"<div><p>Text</p>{table}</div>"]
+    rows = [(100 * k + i, f"http://h{k}.example/?page={i}", f"<body>{x}</body>") for k, x in enumerate(shapes) for i in range(8)]
+    # Other pages share a box with the copies: with these it goes.
+    box = "<div>Share this story</div>"
+    rows += [(1000 + i, "http://box.example/", f"<div><article><p>{'Own' if i < 8 else i}</p><ul><li>x</ul>{box}</article></div>") for i in range(14)]
+    rows += [(2000 + i, "http://few.example/", f"<article><p>{i % 4}</p>{box}</article>") for i in range(40)]
+    out = {r.page_id: r.text for r in html_template.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {out[100 * k + i] for k in range(5) for i in range(8)} == {"Text\nIn\na\nb\nc"}
+    assert {out[1000 + i] for i in range(8)} == {"Own"} and out[1013] == "13"
+    assert {out[2000 + i] for i in range(40)} == {f"{i}\nShare this story" for i in range(4)}
+
+
 def test_given_pages_against_a_plain_reading(spark, tables):
     pages = spark.read.parquet(f"{tables}/pages.parquet")
     sources = {r.page_id: r.html for r in pages.collect()}
