@@ -2,9 +2,9 @@
 
 Method: each page is parsed once into text blocks. Every block-level element gets a hash of its subtree (tag, class and
 id, text and child hashes). Spark counts per host on how many different main contents each hash stands, so that copies
-of a page are one and are no evidence; a subtree that recurs on many of them (RECUR_PAGES at least, and RECUR_SHARE of
-the host's pages) is template and goes, together with all blocks inside it. Inside the article element only containers
-can be template: a paragraph that pages share stays. What stands around the article never takes it along.
+of a page are one and are no evidence; a subtree that recurs on RECUR_PAGES of them, however large the host is, is
+template and goes, together with all blocks inside it. Inside the article element only containers can be template: a
+paragraph that pages share stays. What stands around the article never takes it along.
 
 Before that, elements that are never main text go by tag, role, class or id: menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments. If a page has an article (or else a main element), only
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from .common import Scratch, rows_of
 
 RECUR_PAGES = 5
-RECUR_SHARE = 0.02
 
 _TAG = re.compile(r"""<(?:!--(?P<comment>)|(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+)>|[!?/][^>]*+>)""")
 _ATTR = re.compile(r"""([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -257,12 +256,10 @@ def _parse(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, f"page_id {id_type}, url string, host string, texts array<string>, paths array<array<bigint>>, content bigint, hashes array<bigint>")
 
 
-def templates(parsed: DataFrame, pages: int = RECUR_PAGES, share: float = RECUR_SHARE) -> DataFrame:
+def templates(parsed: DataFrame, pages: int = RECUR_PAGES) -> DataFrame:
     """(host, hash) of the subtrees that recur on many main contents of their host. Copies and counts combine before each shuffle."""
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
     each = parsed.select("host", "content", F.explode("hashes").alias("hash")).groupBy("host", "hash", "content").agg(F.lit(1))
-    counts = each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= pages)
-    return counts.join(sizes, "host").where(F.col("n") >= F.col("pages") * share).select("host", "hash")
+    return each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= pages).select("host", "hash")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -484,6 +484,13 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {out[2000 + i] for i in range(40)} == {f"{i}\nShare this story" for i in range(4)}
 
 
+@pytest.mark.parametrize("pages", [6, 2000])
+def test_a_notice_goes_on_hosts_of_any_size(spark, pages):
+    rows = [(i, "http://a.example/", f"<p>Text {i}</p>" + "<div>We are closed</div>" * (i < 6)) for i in range(pages)]
+    out = html_template.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {i: f"Text {i}" for i in range(pages)}
+
+
 def test_given_pages_against_a_plain_reading(spark, tables):
     pages = spark.read.parquet(f"{tables}/pages.parquet")
     sources = {r.page_id: r.html for r in pages.collect()}
