@@ -5,8 +5,10 @@ blanks), by presence: k(x, y) = |grams(x) & grams(y)| / sqrt(|grams(x)| |grams(y
 slots. LANDMARKS training texts give the Nyström features; one-versus-rest kernel ridge regression is solved in their
 span on the driver. Batches of documents are scored by two matrix products: presence x landmarks, then x weights.
 
-Training uses at most SAMPLE rows with a language (the ones with the smallest key hash, per language), each reduced to
-its presence bits before it reaches the driver; that bound is independent of the input. Prediction reads whole texts.
+Training learns every language that the rows have. It uses at most SAMPLE / languages rows of each, or LEAST_ROWS if that
+is more (the ones with the smallest key hash), each reduced to its presence bits before it reaches the driver; that bound
+depends on the number of languages, not on the rows. There are LANDMARKS landmarks, or one a language if that is more.
+Prediction reads whole texts.
 
 Null texts and texts without a letter get `und` and score 0. If no row has a language, all get `und`. Repeated rows
 each get their row, an empty table an empty result; a null doc_id counts as held out from training. Columns other
@@ -31,6 +33,7 @@ from .common import rows_of
 DIMS = 1 << 13
 MAX_GRAM = 4
 SAMPLE = 3000
+LEAST_ROWS = 8
 LANDMARKS = 160
 RIDGE = 1e-2
 UNDETERMINED = "und"
@@ -74,18 +77,25 @@ class KernelModel:
 
 
 def fit(bits: list[bytes], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> KernelModel:
-    """Kernel ridge regression in the span of the landmarks, which are dealt evenly over the languages."""
+    """Kernel ridge regression in the span of the landmarks, which are dealt evenly over the languages, one at least for each."""
     languages = sorted(set(labels))
-    presence = np.stack([np.unpackbits(np.frombuffer(b, np.uint8)) for b in bits]).astype(np.float32)
-    unit = presence / np.sqrt(np.maximum(presence.sum(axis=1), 1))[:, None]
-    by_language = [[i for i, x in enumerate(labels) if x == name] for name in languages]
+    number = {name: i for i, name in enumerate(languages)}
+    own = np.array([number[x] for x in labels])
+    by_language: list[list[int]] = [[] for _ in languages]
+    for i, x in enumerate(own.tolist()):
+        by_language[x].append(i)
+
+    def unit(rows: list[int]) -> np.ndarray:
+        presence = np.stack([np.unpackbits(np.frombuffer(bits[i], np.uint8)) for i in rows]).astype(np.float32)
+        return presence / np.sqrt(np.maximum(presence.sum(axis=1), 1))[:, None]
+
     turn = [i for k in range(max(map(len, by_language))) for rows in by_language for i in rows[k : k + 1]]
-    chosen = unit[turn[: min(landmarks, len(turn))]]
-    target = np.array([[1.0 if x == name else -1.0 for name in languages] for x in labels])
-    cross = (unit @ chosen.T).astype(np.float64)
+    chosen = unit(turn[: min(max(landmarks, len(languages)), len(turn))])
+    target = np.where(own[:, None] == np.arange(len(languages)), 1.0, -1.0)
+    cross = np.concatenate([unit(list(range(i, min(i + 1024, len(bits))))) @ chosen.T for i in range(0, len(bits), 1024)]).astype(np.float64)
     inner = (chosen @ chosen.T).astype(np.float64)
     # Rows weigh the inverse of their language's share, so that frequent languages don't win short texts.
-    share = np.array([1 / len(by_language[languages.index(x)]) for x in labels])
+    share = 1 / np.bincount(own)[own]
     share *= len(labels) / share.sum()
     left = cross.T @ (cross * share[:, None]) + ridge * len(labels) / len(chosen) * inner + 1e-8 * np.eye(len(chosen))
     weights = np.linalg.solve(left, cross.T @ (target * share[:, None]))
@@ -97,17 +107,17 @@ def held_out(key: F.Column) -> F.Column:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> KernelModel | None:
-    """A model of the rows that aren't held out; at most `sample` of them are read."""
+    """A model of the rows that aren't held out; at most `sample`, or LEAST_ROWS a language, of them are read."""
     labelled = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}"))
     # One scan counts the languages, the next one draws by the key's hash slightly more rows than wanted; only these
     # few rows are ranked.
-    sizes = {r.lang: r.n for r in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
+    sizes = {r.lang: r.n for r in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
-    each = max(1, sample // len(sizes))
-    share = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, 1.3 * (each + 20) / n))])
+    each = max(LEAST_ROWS, sample // len(sizes))
+    shares = docs.sparkSession.createDataFrame([(name, min(1.0, 1.3 * (each + 20) / n)) for name, n in sizes.items()], "lang string, share double")
     rank = F.xxhash64(F.col(key), F.col(text), F.lit("langid"))
-    drawn = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), rank.alias("h")).where(F.pmod("h", F.lit(1 << 40)) < F.try_element_at(share, F.col("lang")) * float(1 << 40))
+    drawn = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), rank.alias("h")).join(F.broadcast(shares), "lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * float(1 << 40))
     first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h")
     taken = drawn.withColumn("i", F.row_number().over(first)).where(F.col("i") <= each).select("text", "lang", "h")
 

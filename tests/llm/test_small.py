@@ -440,6 +440,19 @@ def test_languages(spark):
     assert langid.predict(docs.limit(0), model).collect() == []
 
 
+def test_every_one_of_many_languages_is_learned(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(230):
+        syllables = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(8)]
+        rows += [(100 * k + i, " ".join("".join(rng.choices(syllables, k=2)) for _ in range(40)), f"l{k:03}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(docs)
+    assert model.languages == sorted({r[2] for r in rows}) and model.landmarks.shape[1] >= 230
+    found = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).where("held_out").collect()}
+    assert sum(found[i] == name for i, _, name in rows if i in found) >= 0.98 * len(found)
+
+
 # --- pages
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><script>if (a < b) { "</p>" }</script></head><body class="nav-open">
