@@ -9,7 +9,8 @@ Method:
    for 14 windows.
 2. FingerprintIndex keeps fingerprints in immutable runs, each sorted and bucketed by fingerprint, in the shared
    folder. A new batch becomes a run; runs are merge-joined with it bucket by bucket, without moving history
-   again; once there are FAN_IN runs they are compacted into one.
+   again; once there are more than FAN_IN runs they are compacted into one. remove_repeats() uses the index once, as
+   a prefilter: it files its table in BATCHES, asks for the repeated fingerprints at the end, and deletes the index.
 3. Windows whose fingerprint occurs more than once are verified: 128 bits (fingerprint and a hash of all WIDTH
    words) say whether two windows are equal. Counts are pre-aggregated before the shuffle, so a passage that a
    third of all documents holds costs each task one row.
