@@ -28,5 +28,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before:
             scratch.drop(before)
         before = name
-        scratch.release()
     return docs
