@@ -224,17 +224,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bat
     nodes = rows.where(F.col("n_words") >= WIDTH).groupBy("hi", "lo").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
     nodes = scratch.save(nodes.join(due, ["hi", "lo"], "left").where("fps is not null or copies > 1"), "nodes")
     scratch.drop("described", "repeated")
-    scratch.release()
 
     # Windows of one text for each node that has repeated fingerprints; w is the text's short name from here on.
     heads = nodes.where("fps is not null").select("hi", "lo", "head", "fps", (F.col("copies") == 1).alias("single"))
     windows = _windows(source.join(heads, F.col("doc_id").eqNullSafe(F.col("head")))).withColumn("w", F.monotonically_increasing_id())
     windows = scratch.save(windows, "windows")
-    scratch.release()
     each = windows.select("w", "single", F.explode(F.arrays_zip("at", "fp", "full")).alias("x")).select("w", "single", "x.*")
     # Written, so that the join below has exchanges of its own on both sides, which may be split where a window is hot.
     twice = scratch.save(each.groupBy("fp", "full").agg(F.count("*").alias("times")).where("times > 1").select("fp", "full"), "twice")
-    scratch.release()
     # Copies go whole; their windows only count for others.
     hits = each.where("single").select("fp", "full", "w", "at").join(twice, ["fp", "full"], "left_semi").groupBy("w").agg(F.collect_list("at").alias("starts"))
     parts = _cut(windows.select("w", "hi", "lo", "text").join(hits, "w").drop("w"))
@@ -242,7 +239,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bat
         parts = parts.drop("kept_text")
     parts = scratch.save(parts, "parts")
     scratch.drop("windows", "twice")
-    scratch.release()
 
     whole = nodes.where("copies > 1").select("hi", "lo", F.lit(True).alias("whole"))
     out = rows.select("doc_id", "hi", "lo", "n_words", "kept").join(whole, ["hi", "lo"], "left").join(parts, ["hi", "lo"], "left")

@@ -1,17 +1,21 @@
 """Main text of web pages by removal of site templates.
 
-Method: each page is parsed once into text blocks. Every block-level element gets a hash of its subtree (tag, class and
-id, text and child hashes). Spark counts per host on how many different main contents each hash stands, so that copies
-of a page are one and are no evidence; a subtree that recurs on RECUR_PAGES of them, however large the host is, is
-template and goes, together with all blocks inside it. Inside the article element only containers can be template: a
-paragraph that pages share stays. What stands around the article never takes it along.
-
-Before that, elements that are never main text go by tag, role, class or id: menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments. If a page has an article (or else a main element), only
-what stands inside it counts; otherwise the body does.
+Method: each page is parsed once into text blocks. Every block-level element gets a hash of its subtree (host, tag, class
+and id, text and child hashes). Spark counts on how many different main contents each hash stands, so that copies of a
+page are one and are no evidence; a subtree that recurs on RECUR_PAGES of them, however large the host is, is template
+and is deleted with all blocks inside it. Inside the article element only containers can be template: a paragraph that
+pages share stays. What stands around the article never takes it along.
+
+Counts can't see what doesn't recur: a menu on a host with few pages, an advert that is on one page only. So lists
+decide about the blocks that no template holds: what stands in an element that is never main text by tag, role, class or
+id (menus, headers, footers, sidebars, notices, adverts, forms and reader comments) goes, and if a page has an article
+(or else a main element), so does what stands outside it. Class and id count as whole words only (`ad`, not `ad-free`), and
+in an article or main element only for containers, so that no paragraph or heading of it can go by its name. n_template
+and n_listed tell how many blocks went by counts and by lists.
 
 Character references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined in page
-order by a line feed; nothing else is dropped or capped.
+order by a line feed; nothing else is dropped or capped. Parsing and cutting take time linear in the page, however
+deeply it is nested: an element holds the interval of its blocks, and every look for an open element takes one step.
 
 Null and empty html give an empty text. A null or odd url counts as a host of its own (''). Repeated rows each give
 their row, an empty table gives an empty result. Columns other than page_id, url and html are
@@ -22,9 +26,11 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,6 +39,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, rows_of
 
 RECUR_PAGES = 5
+#: Templates (8 bytes each) that are broadcast at most; more are joined to the pages.
+MAX_BROADCAST = 4_000_000
 
 _TAG = re.compile(r"""<(?:!--(?P<comment>)|(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+)>|[!?/][^>]*+>)""")
 _ATTR = re.compile(r"""([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -46,60 +54,71 @@ _CONTAINER = frozenset("aside details div dl fieldset figure footer form header
 _DROP = frozenset("nav header footer aside form script style noscript template iframe button select textarea svg dialog menu object canvas audio video head title".split())
 _IN_HEAD = frozenset("base link meta noscript script style template title".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+#: Whole class or id words of what is never main text.
 _CLASSES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices"
-    " alert newsletter subscribe subscription signup login share sharing social sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header"
-    " masthead comment comments commentlist respond disqus replies related recommended recommendations widget popup modal overlay hidden"
-    " pagination pager toolbar topbar search copyright disclaimer skip".split()
+    "ad ads advert adverts advertisement advertising adsense ad-slot ad-container ad-wrapper ad-banner sponsor sponsored promo promotion banner cookie cookies cookie-banner"
+    " cookie-notice consent gdpr notice notices alert newsletter subscribe subscription signup login share sharing social social-share share-buttons sidebar menu nav navbar"
+    " navigation site-nav main-nav breadcrumb breadcrumbs footer site-footer header site-header masthead comment comments comment-list comments-area commentlist respond disqus"
+    " replies related related-posts recommended recommendations widget popup modal overlay hidden pagination pager toolbar topbar search copyright disclaimer skip skip-link".split()
+)
+#: Of these, the ones that also drop an article inside, or a container in an article; the others may name a layout.
+_FIRM = frozenset(
+    "ad ads advert adverts advertisement advertising ad-slot ad-container ad-wrapper ad-banner sponsor sponsored comment comments comment-list comments-area commentlist respond"
+    " disqus replies related related-posts recommended recommendations hidden".split()
 )
-#: Of these, the ones that also drop an article inside; the others may be part of a layout's name (`has-sidebar`).
-_FIRM = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored comment comments commentlist respond disqus replies related recommended recommendations hidden".split())
-#: A start tag in the key closes an open element of the value, up to the nearest of _SCOPE.
-_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: A start tag closes an open element of its group, up to the nearest element of the group's scope.
 _SCOPE = frozenset("article aside body div dl main nav ol section table td th ul".split())
-_WORD = re.compile(r"[A-Za-z]+")
+_CELLS = frozenset("td th".split())
+_GROUPS = (
+    (frozenset(["p"]), frozenset("td th table".split())),
+    (frozenset(["li"]), _SCOPE),
+    (frozenset("dt dd".split()), _SCOPE),
+    (frozenset("tr td th".split()), _SCOPE - _CELLS),
+    (_CELLS, _SCOPE - _CELLS),
+    (frozenset(["option"]), _SCOPE),
+)
+_CLOSES = {"li": 1, "dt": 2, "dd": 2, "tr": 3, "td": 4, "th": 4, "option": 5}
+_TOUCHES = {name: tuple(g for g, (names, scope) in enumerate(_GROUPS) if name in names or name in scope) for name in _SCOPE | frozenset("p li dt dd tr option".split())}
 
 
-@dataclass
+@dataclass(slots=True)
 class _Element:
     name: str
     label: str
     dropped: bool
-    article: bool  # is or is inside an article element
-    main: bool  # the same, of an article or main element
-    kind: str  # "article", "main" or ""
-    soft: bool = False  # dropped by names only that an article inside overrules
-    parts: list[bytes] = field(default_factory=list)
-    first: int = 0  # blocks from here on are inside
+    level: int  # 2: is or is inside an article element, 1: of a main element, 0: neither
+    soft: bool  # dropped by names only that an article inside overrules
+    parts: list[bytes]
+    first: int  # blocks from here on are inside
+    near: tuple[int, ...]  # of each group, depth of the open element that a start tag would close, or 0
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
-    article: bool
-    main: bool
-    path: list[int] = field(default_factory=list)
+    level: int
+    listed: bool
 
 
-def _label(attrs: str) -> tuple[str, bool, bool]:
-    """Class and id of a start tag, whether they (or role, hidden) mark it as no main text, and whether only softly."""
+def _label(attrs: str) -> tuple[str, bool, set[str]]:
+    """Class and id of a start tag, whether role or style mark it as no main text, and its words from the list."""
     if "=" not in attrs and "hidden" not in attrs:
-        return "", False, False
+        return "", False, set()
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     label = f"{found.get('class', '')} {found.get('id', '')}".strip().lower()
-    firm = "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in _ROLES or "display:none" in found.get("style", "").replace(" ", "").lower()
-    words = _WORD.findall(label)
-    named = not _CLASSES.isdisjoint(words)
-    return label, firm or named, named and not firm and _FIRM.isdisjoint(words)
+    marked = "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in _ROLES or "display:none" in found.get("style", "").replace(" ", "").lower()
+    return label, marked, _CLASSES.intersection(label.split())
 
 
 class Page:
-    """Blocks of one page and the subtree hashes of its elements."""
+    """Blocks of one page, in order, and its countable elements: (subtree hash, first block, end, level)."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, host: str = ""):
         self.blocks: list[Block] = []
-        self.hashes: set[int] = set()
-        self.stack = [_Element("", "", False, False, False, "")]
+        self.elements: list[tuple[int, int, int, int]] = []
+        self.host = host.encode("utf-8", "surrogatepass")
+        self.stack = [_Element("", "", False, 0, False, [], 0, (0,) * len(_GROUPS))]
+        self.open: Counter[str] = Counter()
         self.text: list[str] = []
         self._read(source)
         while len(self.stack) > 1:
@@ -107,14 +126,14 @@ class Page:
         self._flush()
 
     def _read(self, source: str) -> None:
-        at = 0
+        at, last = 0, source.rfind(">")
         while True:
-            tag = _TAG.search(source, at)
+            tag = _TAG.search(source, at) if at <= last else None
             if tag is None:
-                self._add(source[at:])
+                self.text.append(source[at:])
                 return
             if tag.start() > at:
-                self._add(source[at : tag.start()])
+                self.text.append(source[at : tag.start()])
             at = tag.end()
             if tag["comment"] is not None:
                 end = source.find("-->", at)
@@ -130,12 +149,6 @@ class Page:
                 else:
                     self._start(name, tag["attrs"])
 
-    def _add(self, text: str) -> None:
-        if not self.stack[-1].dropped:
-            self.text.append(text)
-        elif text.strip():
-            self.stack[-1].parts.append(text.strip().encode("utf-8", "surrogatepass"))
-
     def _flush(self) -> None:
         if not self.text:
             return
@@ -143,15 +156,15 @@ class Page:
         self.text = []
         if text:
             top = self.stack[-1]
-            self.blocks.append(Block(text, any(e.kind == "article" for e in self.stack), any(e.kind == "main" for e in self.stack)))
+            self.blocks.append(Block(text, top.level, top.dropped))
             top.parts.append(text.encode("utf-8", "surrogatepass"))
 
     def _start(self, name: str, attrs: str) -> None:
         if name in _VOID:
             if self.stack[-1].name == "head" and name not in _IN_HEAD:
                 self._pop()
-            if name in ("br", "wbr"):
-                self._add(" " if name == "br" else "")
+            if name == "br":
+                self.text.append(" ")
             elif name == "hr":
                 self._flush()
             return
@@ -159,73 +172,92 @@ class Page:
             self._pop()  # anything else ends an unclosed head
         if name in ("html", "body"):
             return
-        if name in _BLOCK:
-            self._close_implied({"p"}, frozenset("td th table".split()))
+        block = name in _BLOCK
+        if block:
+            self._close_implied(0)
         if name in _CLOSES:
-            self._close_implied(_CLOSES[name], _SCOPE - _CLOSES[name])
-        if name in _BLOCK:
+            self._close_implied(_CLOSES[name])
+        if block:
             self._flush()
         elif name in ("td", "th"):
-            self._add(" ")
+            self.text.append(" ")
         top = self.stack[-1]
-        label, marked, soft = _label(attrs) if attrs else ("", False, False)
-        own = name in _DROP or marked
+        label, marked, words = _label(attrs) if attrs else ("", False, set())
+        if top.level and name not in _CONTAINER and name not in ("article", "main"):
+            words = set()  # inside the article, names never delete a paragraph or heading
+        elif top.level:
+            words &= _FIRM
+        own = name in _DROP or marked or bool(words)
         above = top.dropped and not (top.soft and name in ("article", "main"))
         dropped = above or own
         if dropped != top.dropped:
             self._flush()
-        soft = dropped and (top.soft if above else True) and (soft or not own)
-        kind = name if name in ("article", "main") and not dropped else ""
-        self.stack.append(_Element(name, label, dropped, top.article or kind == "article", top.main or bool(kind), kind, soft, first=len(self.blocks)))
-
-    def _close_implied(self, names: set[str], barrier: frozenset[str]) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            name = self.stack[depth].name
-            if name in names:
-                while len(self.stack) > depth:
-                    self._pop()
-                return
-            if name in barrier:
-                return
+        soft = dropped and (top.soft if above else True) and (not own or bool(words) and not marked and name not in _DROP and words.isdisjoint(_FIRM))
+        level = top.level if dropped else max(top.level, {"article": 2, "main": 1}.get(name, 0))
+        near, depth = top.near, len(self.stack)
+        if name in _TOUCHES:
+            changed = list(near)
+            for g in _TOUCHES[name]:
+                changed[g] = depth if name in _GROUPS[g][0] else 0
+            near = tuple(changed)
+        self.open[name] += 1
+        self.stack.append(_Element(name, label, dropped, level, soft, [] if block else top.parts, len(self.blocks), near))
+
+    def _close_implied(self, group: int) -> None:
+        depth = self.stack[-1].near[group]
+        while depth and len(self.stack) > depth:
+            self._pop()
 
     def _end(self, name: str) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth].name == name:
-                while len(self.stack) > depth:
-                    self._pop()
-                return
-            if name == "p" and self.stack[depth].name in _SCOPE:
-                break
         if name == "p":
-            self._flush()  # a stray </p> is an empty paragraph
-
-    def _pop(self) -> None:
+            if self.stack[-1].near[0]:
+                self._close_implied(0)
+            else:
+                self._flush()  # a stray </p> is an empty paragraph
+        elif self.open[name]:
+            while self._pop() != name:
+                pass
+
+    def _pop(self) -> str:
         top = self.stack[-1]
-        if top.name in _BLOCK or top.dropped != self.stack[-2].dropped:
+        block = top.name in _BLOCK
+        if block or top.dropped != self.stack[-2].dropped:
             self._flush()
         self.stack.pop()
-        above = self.stack[-1]
-        if top.name not in _BLOCK:
-            above.parts += top.parts
-            return
-        key = xxhash.xxh3_64_intdigest(b"\0".join([top.name.encode(), top.label.encode("utf-8", "surrogatepass"), *top.parts]))
-        key = key - (1 << 64) if key >> 63 else key
-        above.parts.append(key.to_bytes(8, "little", signed=True))
-        if top.parts and not top.kind and (top.name in _CONTAINER or not top.main):
-            self.hashes.add(key)
-            for block in self.blocks[top.first :]:
-                if top.article or not block.article and (top.main or not block.main):
-                    block.path.append(key)
+        self.open[top.name] -= 1
+        if not block:
+            return top.name
+        key = xxhash.xxh3_64_intdigest(b"\0".join([self.host, top.name.encode(), top.label.encode("utf-8", "surrogatepass"), *top.parts])) - (1 << 63)
+        self.stack[-1].parts.append(key.to_bytes(8, "little", signed=True))
+        main = top.level > self.stack[-1].level  # the article itself is no template
+        if top.first < len(self.blocks) and not main and (top.name in _CONTAINER or not top.level):
+            self.elements.append((key, top.first, len(self.blocks), top.level))
+        return top.name
+
+    def chosen(self) -> list[int]:
+        """Numbers of the blocks that lists leave: those of the article, else of the main element, else of the body."""
+        free = [i for i, b in enumerate(self.blocks) if not b.listed]
+        level = max((self.blocks[i].level for i in free), default=0)
+        return [i for i in free if self.blocks[i].level == level]
 
     def main_blocks(self) -> list[Block]:
-        for chosen in ([b for b in self.blocks if b.article], [b for b in self.blocks if b.main]):
-            if chosen:
-                return chosen
-        return self.blocks
+        return [self.blocks[i] for i in self.chosen()]
+
 
+def covered(levels: np.ndarray, elements: np.ndarray) -> np.ndarray:
+    """Which blocks (of these levels) the elements (first, end, level) delete: those inside, unless of a higher level."""
+    gone = np.zeros(len(levels), bool)
+    for level in (0, 1, 2):
+        change = np.zeros(len(levels) + 1, np.int64)
+        reach = elements[elements[:, 2] >= level]
+        np.add.at(change, reach[:, 0], 1)
+        np.add.at(change, reach[:, 1], -1)
+        gone |= (levels == level) & (np.cumsum(change[:-1]) > 0)
+    return gone
 
-def content_of(blocks: list[Block]) -> int:
-    return xxhash.xxh3_64_intdigest("\n".join(b.text for b in blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+def content_of(texts: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def host_of(url: str | None) -> str:
@@ -233,46 +265,75 @@ def host_of(url: str | None) -> str:
     return found[1].rpartition("@")[2].partition(":")[0].lower().rstrip(".") if found else ""
 
 
+_PARSED = "page_id, url, texts, at, blocks, keys, spans, content".split(", ")
+
+
 def _parse(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, texts and paths of the main blocks (one path a block, as `hash hash`), hash of these texts, hashes of the page."""
+    """page_id, url, texts and numbers (at) of the chosen blocks, level of every block, keys and spans (first, end, level each) of the elements, hash of the texts."""
     id_type = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                hosts, texts, paths, contents, hashes = [], [], [], [], []
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                columns: list[list] = [[] for _ in _PARSED[2:]]
                 for url, source in rows_of([part], "url", "html"):
-                    page = Page(source or "")
-                    blocks = page.main_blocks()
-                    hosts.append(host_of(url))
-                    texts.append([b.text for b in blocks])
-                    paths.append([b.path for b in blocks] if any(b.path for b in blocks) else None)
-                    contents.append(content_of(blocks))
-                    hashes.append(sorted(page.hashes))
-                arrays = [part.column(0), part.column(1), pa.array(hosts, pa.string()), pa.array(texts, pa.list_(pa.string())), pa.array(paths, pa.list_(pa.list_(pa.int64()))), pa.array(contents, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "host", "texts", "paths", "content", "hashes"])
+                    page = Page(source or "", host_of(url))
+                    at = page.chosen()
+                    texts = [page.blocks[i].text for i in at]
+                    row = texts, at, bytes(b.level for b in page.blocks), [e[0] for e in page.elements], [x for e in page.elements for x in e[1:]], content_of(texts)
+                    for column, value in zip(columns, row, strict=True):
+                        column.append(value)
+                kinds = [pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], _PARSED)
 
-    return pages.mapInArrow(run, f"page_id {id_type}, url string, host string, texts array<string>, paths array<array<bigint>>, content bigint, hashes array<bigint>")
+    return pages.mapInArrow(run, f"page_id {id_type}, url string, texts array<string>, at array<int>, blocks binary, keys array<bigint>, spans array<int>, content bigint")
 
 
 def templates(parsed: DataFrame, pages: int = RECUR_PAGES) -> DataFrame:
-    """(host, hash) of the subtrees that recur on many main contents of their host. Copies and counts combine before each shuffle."""
-    each = parsed.select("host", "content", F.explode("hashes").alias("hash")).groupBy("host", "hash", "content").agg(F.lit(1))
-    return each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= pages).select("host", "hash")
+    """Keys (host and subtree) that recur on many main contents. Copies and counts combine before each shuffle."""
+    each = parsed.select("content", F.explode("keys").alias("key")).groupBy("key", "content").agg(F.lit(1))
+    return each.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= pages).select("key")
+
 
+def _cut(parsed: DataFrame, recurring: np.ndarray | None) -> DataFrame:
+    """The result rows: blocks inside elements whose key is in `recurring` (sorted), or else in the row's column gone, go."""
+    id_type = dict(parsed.dtypes)["page_id"]
+    names = ["page_id", "url", "text", "n_chars", "n_template", "n_listed"]
+    shipped = None if recurring is None else parsed.sparkSession.sparkContext.broadcast(recurring)
+    used = [c for c in (*_PARSED[:-1], "gone") if c in parsed.columns]
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars for each row of pages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if shipped is None else shipped.value
+        for batch in batches:
+            columns: list[list] = [[] for _ in names[2:]]
+            for texts, at, levels, keys, spans, *rest in rows_of([batch], *used[2:]):
+                gone_keys = known if known is not None else np.sort(np.array(rest[0] or [], np.int64))
+                levels, keys = np.frombuffer(levels, np.uint8), np.array(keys, np.int64)
+                place = np.searchsorted(gone_keys, keys)
+                hit = place < len(gone_keys)
+                hit[hit] = gone_keys[place[hit]] == keys[hit]
+                gone = covered(levels, np.array(spans, np.int64).reshape(-1, 3)[hit])
+                kept = [t for t, i in zip(texts, at, strict=True) if not gone[i]]
+                text = "\n".join(kept)
+                n = int(gone.sum())
+                for column, value in zip(columns, (text, len(text), n, len(levels) - n - len(kept)), strict=True):
+                    column.append(value)
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
+
+    return parsed.select(*used).mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars bigint, n_template bigint, n_listed bigint")
+
+
+def extract(pages: DataFrame, recur: int = RECUR_PAGES, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """page_id, url, text, n_chars, n_template, n_listed for each row of pages."""
     scratch = Scratch(pages.sparkSession, "pages")
-    parsed = scratch.save(_parse(pages.select("page_id", "url", "html")).withColumn("row", F.monotonically_increasing_id()), "parsed")
-    recurring = scratch.save(templates(parsed), "templates")
-
-    # Only pages with main blocks inside some countable element can lose any; the others are done.
-    open_rows = parsed.where("paths is not null")
-    inside = open_rows.select("row", "host", F.explode(F.array_distinct(F.flatten("paths"))).alias("hash"))
-    gone = inside.join(recurring, ["host", "hash"], "left_semi").groupBy("row").agg(F.collect_list("hash").alias("gone"))
-    kept = F.filter(F.arrays_zip("texts", "paths"), lambda b: ~F.coalesce(F.arrays_overlap(b["paths"], F.col("gone")), F.lit(False)))
-    cut = open_rows.join(gone, "row", "left").select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["texts"]), "\n").alias("text"))
-    whole = parsed.where("paths is null").select("page_id", "url", F.array_join("texts", "\n").alias("text"))
-    return whole.union(cut).withColumn("n_chars", F.length("text").cast("long"))
+    parsed = scratch.save(_parse(pages.select("page_id", "url", "html")), "parsed")
+    recurring = scratch.save(templates(parsed, recur), "templates")
+    if recurring.count() <= max_broadcast:
+        return _cut(parsed, np.sort(recurring.toArrow().column(0).to_numpy()))
+    # Too many for a broadcast: the pages get theirs by a join, in which only their keys move, and then one by row.
+    rows = parsed.withColumn("row", F.monotonically_increasing_id())
+    rows = scratch.save(rows, "rows")
+    gone = rows.select("row", F.explode("keys").alias("key")).join(recurring, "key", "left_semi").groupBy("row").agg(F.collect_set("key").alias("gone"))
+    return _cut(rows.join(gone, "row", "left"), None)

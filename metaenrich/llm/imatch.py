@@ -145,7 +145,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         "h0", F.xxhash64("edited").alias("h1"), "own_level", "own_terms", "new_level", "new_terms",
     )
     picked = scratch.save(picked, "picked")  # written, so the ids stay what they are
-    scratch.release()
 
     # Terms outside the band go.
     tag = lambda c, v: F.transform(c, lambda x: F.struct(F.lit(v).alias("v"), x["t"].alias("t"), x["l"].alias("l"), x["k"].alias("k")))
@@ -157,7 +156,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     prints = prints.select("r", "doc_id", "n_chars", "edited_sha256", "h0", _fingerprint(F.col("own0"), F.col("own1"), F.col("own_level"), F.col("h0")).alias("fingerprint"), _fingerprint(F.col("new0"), F.col("new1"), F.col("new_level"), F.col("h1")).alias("edited_fingerprint"))
     prints = scratch.save(prints, "prints")
     scratch.drop("picked", "edge")
-    scratch.release()
     heads = prints.groupBy("r").agg(F.min_by("fingerprint", first).alias("first"))
     out = _next(prints, ["doc_id", "h0"], "fingerprint", "next_fingerprint", _edges(heads))
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))

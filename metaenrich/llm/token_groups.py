@@ -296,13 +296,11 @@ def _meet(scratch: Scratch, source: DataFrame, sets: DataFrame, info: DataFrame,
     up = lambda x, by: F.ceil(x * LEAST / F.lit(by))
     wanted = up(F.col("n") + F.col("n_lo"), 100 + LEAST) - F.greatest(up(F.col("n"), 100), up(F.col("n_hi"), 100)) + 1
     pairs = scratch.save(met.where(F.col("c") >= wanted).select("node", "comp", "to"), f"pairs-{name}")
-    scratch.release()
 
     members = info.select("node", "comp", F.xxhash64("gid", "comp").alias("to"))
     needed = pairs.select("node").union(members.join(pairs.select("to").distinct(), "to", "left_semi").select("node")).distinct()
     missing = scratch.save(info.select("node", "doc_id").join(needed, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), f"missing-{name}")
     sets = sets.union(scratch.save(_sets(source, missing), f"sets-{name}"))
-    scratch.release()
     load = pairs.groupBy("to").agg(F.ceil(F.count("*") / F.lit(QUERY_BLOCK)).alias("blocks"))
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
     asked = pairs.join(load, "to").select("node", "comp", "to", block.alias("block"), F.lit(True).alias("asks"))
@@ -311,7 +309,6 @@ def _meet(scratch: Scratch, source: DataFrame, sets: DataFrame, info: DataFrame,
     merged = connected(links, scratch, name).select(F.col("node").alias("comp"), F.col("comp").alias("final"))
     info = info.join(merged, "comp", "left").select("node", "doc_id", "n", "gid", F.coalesce("final", "comp").alias("comp"))
     info = scratch.save(info, f"info-{name}")
-    scratch.release()
     return sets, info
 
 
@@ -327,11 +324,9 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     matrix = scratch.save(rows.join(shared, "token", "left_semi").distinct(), "matrix")
     heads = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("grp").alias("grp"), F.first("n").alias("n"))
     dealt = scratch.save(_packed(scratch, heads.join(matrix.select("node").distinct(), "node", "left_semi")), "dealt")
-    scratch.release()
 
     # Groups open by themselves; then the leaders of a family's chunks form groups, until one is left.
     near = scratch.save(_sets(source, dealt.where("k > 1")), "sets-near")
-    scratch.release()
     opened = _open_level(scratch, dealt, near, 0)
     edges, level, step = opened, dealt, 0
     while level.where("chunks > 1").limit(1).count():
@@ -342,7 +337,6 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     first = connected(edges.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")), scratch, "near")
     info = dealt.join(first, "node", "left").select("node", "doc_id", "n", "gid", F.coalesce("comp", "node").alias("comp"))
     info = scratch.save(info, "info-near")
-    scratch.release()
 
     # What is left: queries and groups (of one class each from here on) that share prefix tokens but not the class.
     # First every query meets one group per token only, the one with most members there: linear in the tokens, and it
