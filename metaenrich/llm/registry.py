@@ -42,7 +42,8 @@ def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii_crf.digest(pii_crf.detect(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents")
+    return pii_crf.digest(pii_crf.detect(docs, pii_crf.train(docs)))
 
 
 def op3_fingerprint_index(spark: SparkSession, sf_dir: str) -> DataFrame:
