@@ -2,15 +2,16 @@
 
 Texts and items are compared in a plain form: lower case, runs of white space as one blank. An item of m characters
 may be found with up to k = max(1, m // CHARS_PER_EDIT) edits (insertions, deletions, replacements of characters) as a
-substring of a document.
+substring of a document. Below MIN_EDIT characters an edit would turn one word into another, so k = 0 there, and neither
+a letter nor a digit may stand beside the hit.
 
 Method: the item is split into k + 1 pieces. If it occurs with at most k edits, one piece at least occurs exactly
 (pigeonhole). An Aho-Corasick automaton finds all piece hits in one pass over a document; around each hit, Myers'
 bit-parallel algorithm gives the least distance of the whole item to any substring of the possible stretch, so every
 occurrence within the budget is found and nothing beyond it is.
 
-Items stand on the executors in blocks of at most BLOCK_CHARS characters; documents are read once per block and never
-move. Items shorter than MIN_CHARS in plain form are matched as whole words exactly. Null or empty items match
+Items stand on the executors in blocks of at most BLOCK_CHARS characters (an item longer than that is a block of its
+own); documents are read once per block and never move. Item ids may be of any type. Null or empty items match
 nothing, null or empty texts hold nothing; repeated rows each give their own rows; a table without items or documents
 gives an empty result. Columns other than the named ones are ignored.
 """
@@ -25,11 +26,12 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import rows_of
 
 CHARS_PER_EDIT = 24
-MIN_CHARS = 24
+MIN_EDIT = 12
 BLOCK_CHARS = 4_000_000
 BLOCK_ITEMS = 20_000
 
@@ -39,7 +41,7 @@ def plain(text: str) -> str:
 
 
 def budget(m: int) -> int:
-    return max(1, m // CHARS_PER_EDIT)
+    return max(1, m // CHARS_PER_EDIT) if m >= MIN_EDIT else 0
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -96,11 +98,8 @@ class Matcher:
                 continue
             slot = len(self.items)
             self.items[slot] = (key, item)
-            if len(item) < MIN_CHARS:
-                uses[f" {item} "].append((slot, -1))
-            else:
-                for offset, piece in pieces(item):
-                    uses[piece].append((slot, offset))
+            for offset, piece in pieces(item):
+                uses[piece].append((slot, offset))
         self.automaton = ahocorasick.Automaton()
         for piece, found in uses.items():
             self.automaton.add_word(piece, (len(piece), found))
@@ -113,18 +112,12 @@ class Matcher:
         """(item key, least distance, approximate start in the plain text), one for each item found."""
         if not self.any:
             return []
-        body = f" {plain(text)} "
+        body = plain(text)
         hits: dict[int, set[int]] = defaultdict(set)
         out = []
-        done: set[int] = set()
         for last, (size, uses) in self.automaton.iter(body):
             for slot, offset in uses:
-                if offset < 0:
-                    if slot not in done:
-                        done.add(slot)
-                        out.append((self.items[slot][0], 0, last - size + 1))
-                else:
-                    hits[slot].add(last - size + 1 - offset)
+                hits[slot].add(last - size + 1 - offset)
         for slot, starts in hits.items():
             found = self._verify(slot, sorted(starts), body)
             if found is not None:
@@ -135,8 +128,10 @@ class Matcher:
         item = self.items[slot][1]
         m, k = len(item), budget(len(item))
         for start in starts:
-            if body.startswith(item, max(0, start)):
-                return 0, max(0, start - 1)
+            if start >= 0 and body.startswith(item, start) and (k or not (body[max(0, start - 1) : start].isalnum() or body[start + m : start + m + 1].isalnum())):
+                return 0, start
+        if not k:
+            return None
         if slot not in self.patterns:
             self.patterns[slot] = Myers(item)
         best = None
@@ -170,8 +165,8 @@ def blocks(items: DataFrame, key: str = "item_id", text: str = "text") -> Iterat
 def find_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, distance, at: one row for each document and item found in it."""
     spark = docs.sparkSession
-    id_type, item_type = dict(docs.dtypes)[key], dict(items.dtypes)[item_key]
-    schema = f"doc_id {id_type}, item_id {item_type}, distance bigint, at bigint"
+    schema = f"doc_id {dict(docs.dtypes)[key]}, item_id {dict(items.dtypes)[item_key]}, distance bigint, at bigint"
+    item_type = to_arrow_type(items.schema[item_key].dataType)
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("text is not null")
     out = None
     for block in blocks(items, item_key, item_text):
@@ -181,9 +176,8 @@ def find_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             matcher = Matcher(pickle.loads(shipped.value))
             for batch in batches:
                 rows = [(doc, *found) for doc, body in rows_of([batch], "doc_id", "text") for found in matcher.find(body)]
-                kinds = [batch.schema.field("doc_id").type, None, pa.int64(), pa.int64()]
+                kinds = [batch.schema.field("doc_id").type, item_type, pa.int64(), pa.int64()]
                 columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-                kinds[1] = pa.int32() if item_type == "int" else pa.string() if item_type == "string" else pa.int64()
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "distance", "at"])
 
         found = source.mapInArrow(run, schema)
