@@ -1,22 +1,26 @@
 """I-Match document fingerprints, with DataFrame operations only.
 
-Method: a document's terms are its distinct lower-cased words. The lexicon keeps the terms whose document frequency
-lies in a band (BAND, as shares of the documents; log(1/share) is the inverse document frequency). LEXICONS randomised
-subsets of the lexicon each give one signature: the hash of the sorted terms that the document has in that subset. The
-fingerprint lists them. Subsets come in densities 2**-level; a document uses the two levels at which about TERMS of its
-terms fall into each subset, so long documents have signatures that survive an edit as well as short ones.
-
-Likeness of two fingerprints: share of equal signatures among the subsets in which either has a term, at the sparser
-of their levels (0 if their levels are two or more apart). A document without lexicon terms has the hash of its whole
-text as its only signature. Equal texts have equal fingerprints and likeness 1.
+Method: a document's terms are its distinct lower-cased words (by their 64-bit hashes). The lexicon keeps the terms
+whose document frequency lies in a band (BAND, as shares of the documents; log(1/share) is the inverse document
+frequency). Randomised subsets of the lexicon, LEXICONS at each of the fixed densities 2**-5, 2**-6, ... (levels 0 to
+LEVELS, the same for all documents, each level's subsets inside those of the level before) give the signatures: the hash
+of the sorted terms that the document has in that subset.
+
+One density can't serve all lengths: a long document's signature would hang on hundreds of terms and break with any
+edit, a short one would have none. So a fingerprint lists the signatures of all levels from the one on at which about
+TERMS of its terms fall into each subset; every further level has half as many terms, so all of them together are about
+twice the first. Likeness of two fingerprints: share of equal signatures among the subsets in which either has a term, at
+the later of their first levels, which both list; so any two documents compare. A document without lexicon terms there
+has the hash of its whole text as its only signature. Equal texts have equal fingerprints and likeness 1.
 
 The lexicon is broadcast: it holds terms in at least BAND[0] of the documents, so at most (mean distinct terms a
 document) / BAND[0] entries, whatever the number of documents; that bound is checked, and above MAX_LEXICON entries
 the plan shuffles instead.
 
-Null text counts as empty. The next document is the one with the next larger doc_id (after the last: the first;
-repeated doc_ids follow each other in order of their text). Rows without doc_id sort first. An empty table gives an
-empty result; a single row is its own next document. Other columns are ignored.
+Null text counts as empty. The next document is the one with the next larger doc_id (of any type that has an order;
+after the last: the first); repeated doc_ids follow each other in order of their texts' hashes, and rows that are equal in
+both are alike anyway. Rows without doc_id sort first. An empty table gives an empty result; a single row is its own next
+document. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,14 +38,14 @@ MAX_LEXICON = 2_000_000
 #: Rows of an ordering range aimed at, and the most ranges.
 RANGE_ROWS = 100_000
 MAX_RANGES = 16_384
-#: Longest term that counts; longer words are no lexicon terms.
-MAX_TERM = 64
+#: Ids of other types than whole numbers are ordered by ranges that this many of them, drawn by hash, divide.
+SAMPLE_IDS = 20_000
 
 
 def terms(text: Column) -> Column:
-    """Distinct lower-cased words (letters and digits of any script)."""
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda w: (F.length(w) > 0) & (F.length(w) <= MAX_TERM)))
+    """Hashes of the distinct lower-cased words (letters and digits of any script)."""
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def lexicon(docs: DataFrame, text: str, band: tuple[float, float] = BAND) -> DataFrame:
@@ -56,56 +60,66 @@ def _level(n: Column) -> Column:
     return F.least(F.greatest(F.round(F.log2(F.greatest(n, F.lit(1)) / F.lit(TERMS * LEXICONS))), F.lit(0)), F.lit(LEVELS)).cast("int")
 
 
-def _slots(level: Column) -> Column:
-    """Number of subsets at a level, of which the first LEXICONS are used."""
-    return F.lit(LEXICONS).cast("bigint") * F.pow(F.lit(2.0), level).cast("bigint")
-
-
 def _choose(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds `name`_level and `name`_terms: the terms in the used lexicons of the text's two levels.
+    """Adds `name`_level and `name`_terms: the terms (t) that are in subset k of the text's first level, and the last level (d) at which they are.
 
-    Step by step, so that a text is split once and its level is no expression inside a lambda.
+    A term's draw is a hash of its own: the low bits name the subset, and with each zero bit that follows it stays one
+    level longer. Step by step, so that a text is split once and its level is no expression inside a lambda.
     """
-    every, level, slots, terms_of = (f"__{name}_terms", f"{name}_level", f"__{name}_slots", f"{name}_terms")
+    every, level, terms_of = f"__{name}_terms", f"{name}_level", f"{name}_terms"
     rows = rows.withColumn(every, terms(F.col(text)))
     rows = rows.withColumn(level, _level(F.size(every)))
-    rows = rows.withColumn(slots, _slots(F.col(level)))
-    hashed = F.transform(every, lambda t: F.struct(t.alias("t"), F.xxhash64(t, F.lit("lexicon")).alias("h")))
-    rows = rows.withColumn(every, F.filter(hashed, lambda x: F.pmod(x["h"], F.col(slots)) < LEXICONS))
-    here = F.transform(every, lambda x: F.struct(x["t"].alias("t"), F.lit(0).alias("l"), F.pmod(x["h"], F.col(slots)).cast("int").alias("k")))
-    # The next level's subsets lie within this level's: twice the slots, the same first lexicons.
-    above = F.transform(F.filter(every, lambda x: F.pmod(x["h"], F.col(slots) * 2) < LEXICONS), lambda x: F.struct(x["t"].alias("t"), F.lit(1).alias("l"), F.pmod(x["h"], F.col(slots) * 2).cast("int").alias("k")))
-    return rows.withColumn(terms_of, F.concat(here, above)).drop(every, slots)
+    drawn = F.transform(every, lambda t: F.struct(t.alias("t"), F.shiftrightunsigned(F.xxhash64(t, F.lit("lexicon")), 1).alias("h")))
+    rest = lambda x: F.shiftrightunsigned(x["h"], 5)
+    zeros = lambda x: F.least(F.bit_count(rest(x).bitwiseAND(-rest(x)) - 1), F.lit(LEVELS))
+    in_level = F.filter(drawn, lambda x: zeros(x) >= F.col(level))
+    return rows.withColumn(terms_of, F.transform(in_level, lambda x: F.struct(x["t"].alias("t"), F.pmod(x["h"], F.lit(LEXICONS)).cast("int").alias("k"), zeros(x).cast("int").alias("d")))).drop(every)
 
 
-def _signatures(at: Column) -> Column:
-    """One 8-digit hash per lexicon of the sorted terms of a level, '-' where there is no term."""
-    joined = F.transform(F.sequence(F.lit(0), F.lit(LEXICONS - 1)), lambda k: F.array_join(F.transform(F.filter(at, lambda x: x["k"] == k), lambda x: x["t"]), " "))
-    hashed = lambda s: F.lpad(F.lower(F.hex(F.pmod(F.xxhash64(s), F.lit(1 << 32)))), 8, "0")
-    return F.array_join(F.transform(joined, lambda s: F.when(s == "", "-").otherwise(hashed(s))), ",")
+def _signatures(found: Column) -> Column:
+    """Of terms (k, t) in order: two digits of each subset k that has any, and eight of the hash of its terms."""
+    subsets = F.array_distinct(F.transform(found, lambda x: x["k"]))
+    hashed = lambda k: F.xxhash64(F.transform(F.filter(found, lambda x: x["k"] == k), lambda x: x["t"]))
+    digits = lambda v, n: F.lpad(F.lower(F.hex(v)), n, "0")
+    return F.array_join(F.transform(subsets, lambda k: F.concat(digits(k.cast("long"), 2), digits(F.pmod(hashed(k), F.lit(1 << 32)), 8))), ",")
 
 
-def _fingerprint(low: Column, high: Column, level: Column, body_hash: Column) -> Column:
-    """`level:signatures/signatures` of the two levels, or `t:hash` of a text without lexicon terms."""
-    both = F.concat_ws("/", _signatures(low), _signatures(high))
-    return F.when(F.coalesce(F.size(low), F.lit(0)) + F.coalesce(F.size(high), F.lit(0)) <= 0, F.concat(F.lit("t:"), F.lower(F.hex(body_hash)))).otherwise(F.concat(level.cast("string"), F.lit(":"), both))
+def _fingerprint(found: Column, level: Column, body_hash: Column) -> Column:
+    """`level:signatures/signatures/...` of the levels from the first on, or `t:hash` of a text without lexicon terms."""
+    last = F.array_max(F.transform(found, lambda x: x["d"]))
+    lists = F.transform(F.sequence(level, F.greatest(last, level)), lambda i: _signatures(F.filter(found, lambda x: x["d"] >= i)))
+    return F.when(F.coalesce(F.size(found), F.lit(0)) <= 0, F.concat(F.lit("t:"), F.lower(F.hex(body_hash)))).otherwise(F.concat(level.cast("string"), F.lit(":"), F.array_join(lists, "/")))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal signatures at the sparser level of two fingerprints; 0 to 1."""
+    """Share of equal signatures at the first level that both fingerprints list; 0 to 1."""
     level = lambda f: F.substring_index(f, ":", 1).try_cast("int")
     lists = lambda f: F.split(F.substring_index(f, ":", -1), "/")
-    pick = lambda f, other: F.split(F.get(lists(f), F.greatest(level(other) - level(f), F.lit(0))), ",")
-    judged = F.filter(F.zip_with(pick(a, b), pick(b, a), lambda x, y: F.when((x != "-") | (y != "-"), (x == y).cast("int"))), lambda v: v.isNotNull())
-    share = F.aggregate(judged, F.struct(F.lit(0).alias("same"), F.lit(0).alias("all")), lambda s, v: F.struct((s["same"] + v).alias("same"), (s["all"] + 1).alias("all")), lambda s: F.try_divide(s["same"].cast("double"), s["all"].cast("double")))
-    return F.when(a == b, 1.0).otherwise(F.coalesce(F.when(F.abs(level(a) - level(b)) <= 1, share), F.lit(0.0)))
+    pick = lambda f, other: F.filter(F.split(F.coalesce(F.get(lists(f), F.greatest(level(other) - level(f), F.lit(0))), F.lit("")), ","), lambda s: s != "")
+    subsets = lambda signatures: F.transform(signatures, lambda s: F.substring(s, 1, 2))
+    ours, theirs = pick(a, b), pick(b, a)
+    share = F.try_divide(F.size(F.array_intersect(ours, theirs)).cast("double"), F.size(F.array_union(subsets(ours), subsets(theirs))).cast("double"))
+    comparable = level(a).isNotNull() & level(b).isNotNull()
+    return F.when(a == b, 1.0).otherwise(F.coalesce(F.when(comparable, share), F.lit(0.0)))
 
 
 def _ranges(docs: DataFrame, key: str) -> Column:
-    """Range of a key (an integer) among sampled quantiles: the unit in which rows are ordered. Grows with the rows."""
-    parts = max(1, min(MAX_RANGES, max(4 * shuffle_partitions(docs.sparkSession), docs.count() // RANGE_ROWS)))
-    cuts = docs.agg(F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], 20_000)).first()[0] if parts > 1 else None
-    return F.coalesce(locate(F.col(key), sorted(set(cuts or []))) + 1, F.lit(0))
+    """Range of a key among sampled quantiles: the unit in which rows are ordered. Grows with the rows."""
+    rows = docs.count()
+    parts = max(1, min(MAX_RANGES, max(4 * shuffle_partitions(docs.sparkSession), rows // RANGE_ROWS)))
+    if parts == 1 or not rows:
+        cuts = []
+    elif dict(docs.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
+        cuts = docs.agg(F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], 20_000)).first()[0] or []
+    else:
+        share = min(1.0, SAMPLE_IDS / rows)
+        drawn = docs.select(F.col(key).alias("k")).where(F.col("k").isNotNull() & (F.pmod(F.xxhash64("k", F.lit("range")), F.lit(1 << 40)) < int(share * (1 << 40))))
+        sample = sorted(r.k for r in drawn.distinct().limit(2 * SAMPLE_IDS).collect())
+        cuts = [sample[len(sample) * i // parts] for i in range(1, parts)] if sample else []
+    # Rows without an id come first, in ranges of their own by the hash of the text.
+    empty = max(1, docs.where(F.col(key).isNull()).count() // RANGE_ROWS)
+    first = F.least(F.floor((F.col("h0") / float(1 << 64) + 0.5) * empty), F.lit(empty - 1)) - empty
+    return F.when(F.col(key).isNull(), first).otherwise(locate(F.col(key), sorted(set(cuts))).cast("long"))
 
 
 def _next(rows: DataFrame, order: list[str], value: str, name: str, edge: DataFrame) -> DataFrame:
@@ -147,13 +161,13 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     picked = scratch.save(picked, "picked")  # written, so the ids stay what they are
 
     # Terms outside the band go.
-    tag = lambda c, v: F.transform(c, lambda x: F.struct(F.lit(v).alias("v"), x["t"].alias("t"), x["l"].alias("l"), x["k"].alias("k")))
+    tag = lambda c, v: F.transform(c, lambda x: F.struct(F.lit(v).alias("v"), x["t"].alias("t"), x["k"].alias("k"), x["d"].alias("d")))
     each = picked.select("id", F.explode(F.concat(tag("own_terms", 0), tag("new_terms", 1))).alias("x")).select("id", "x.*")
-    band = each.join(kept, "t", "left_semi").groupBy("id").agg(F.collect_list(F.struct("v", "t", "l", "k")).alias("found"))
-    # Sorted terms of each version and level, as columns: no lambda below repeats the sorting.
-    of = lambda v, l: F.array_sort(F.transform(F.filter("found", lambda x: (x["v"] == v) & (x["l"] == l)), lambda x: F.struct(x["t"].alias("t"), x["k"].alias("k"))))  # noqa: E731, E741
-    prints = picked.drop("own_terms", "new_terms").join(band, "id", "left").withColumns({f"{name}{level}": of(v, level) for v, name in enumerate(("own", "new")) for level in (0, 1)})
-    prints = prints.select("r", "doc_id", "n_chars", "edited_sha256", "h0", _fingerprint(F.col("own0"), F.col("own1"), F.col("own_level"), F.col("h0")).alias("fingerprint"), _fingerprint(F.col("new0"), F.col("new1"), F.col("new_level"), F.col("h1")).alias("edited_fingerprint"))
+    band = each.join(kept, "t", "left_semi").groupBy("id").agg(F.collect_list(F.struct("v", "k", "t", "d")).alias("found"))
+    # Sorted terms of each version, as columns: no lambda below repeats the sorting.
+    of = lambda v: F.array_sort(F.transform(F.filter("found", lambda x: x["v"] == v), lambda x: F.struct(x["k"].alias("k"), x["t"].alias("t"), x["d"].alias("d"))))
+    prints = picked.drop("own_terms", "new_terms").join(band, "id", "left").withColumns({"own": of(0), "new": of(1)})
+    prints = prints.select("r", "doc_id", "n_chars", "edited_sha256", "h0", _fingerprint(F.col("own"), F.col("own_level"), F.col("h0")).alias("fingerprint"), _fingerprint(F.col("new"), F.col("new_level"), F.col("h1")).alias("edited_fingerprint"))
     prints = scratch.save(prints, "prints")
     scratch.drop("picked", "edge")
     heads = prints.groupBy("r").agg(F.min_by("fingerprint", first).alias("first"))

@@ -2,12 +2,15 @@
 
 import hashlib
 import html
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from metaenrich.llm import bpe, edit_match, fingerprint_index, html_template, imatch, langid, ordinal, pii_crf, sharding, token_groups
@@ -187,31 +190,64 @@ def test_encoding_equals_the_library(spark, vocabulary):
 # --- sharding
 
 
-def test_shards(spark):
-    rows = corpus() + [(i, "hot text " * 20) for i in range(1000, 1400)]
-    docs = frame(spark, rows)
-    out = sharding.assign(docs, 8).collect()
-    assert len(out) == len(rows) + 1
-    slots, sizes = defaultdict(list), Counter()
-    by_id = dict(rows)
+def check_shards(rows, out, n):
+    """Contract of every row and shard; returns the sizes of the shards and the shards of each text."""
+    slots, sizes, groups = defaultdict(list), [0] * n, defaultdict(set)
+    texts = Counter((len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for _, t in rows)
+    assert Counter((r.size, r.text_crc32) for r in out) == texts
     for r in out:
-        data = (by_id[r.doc_id] or "").encode()
-        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 16, zlib.crc32(data), "bytes", None)
+        assert (r.law, r.grown_shard) == ("bytes", None)
         slots[r.shard].append(r.slot)
         sizes[r.shard] += r.size
+        groups[r.size, r.text_crc32].add(r.shard)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    largest = max(r.size for r in out)
-    mean = sum(sizes.values()) / 8
-    assert all(abs(sizes[s] - mean) <= largest + 0.01 * mean for s in range(8))
+    return sizes, groups
+
+
+def test_shards(spark):
+    rows = corpus() + [(i, "hot text " * 20) for i in range(1000, 1400)]
+    sizes, groups = check_shards([*rows, rows[0]], sharding.assign(frame(spark, rows), 8).collect(), 8)
+    # The longest text is larger than a shard's share of the rest, all others fill up to one level.
+    rest = sorted(sizes)[:-1]
+    assert rest[-1] - rest[0] <= 0.02 * sum(sizes) / 8
+    assert all(len(s) == 1 for (size, _), s in groups.items() if size != 16 + 9 * 20)
     assert sharding.assign(empty(spark), 8).collect() == []
 
 
-def test_small_groups_stay_together(spark):
+def test_groups_stay_together(spark):
+    """Groups of all sizes up to most of a shard stay whole; one larger than a shard is cut between rows."""
+    rng = random.Random(13)
     rows = [(i, f"text {i // 3} " * 30) for i in range(9000)]
-    shards = defaultdict(set)
-    for r in sharding.assign(frame(spark, rows), 8).collect():
-        shards[r.text_crc32].add(r.shard)
-    assert all(len(s) == 1 for s in shards.values())
+    for g in range(20):
+        rows += [(100_000 + 1000 * g + j, f"group {g} " * rng.randrange(5, 50)) for j in [0] * rng.randrange(20, 400)]
+    rows += [(None, "hot " * 30)] * 20_000
+    same = rng.randrange(5)
+    rows = [(i, t) for i, t in rows]
+    rows += [(7, f"same row {same} " * 40)] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for part_rows in (50_000, 300):
+        sizes, groups = check_shards(rows, sharding.assign(docs, 8, range_rows=part_rows).collect(), 8)
+        mean = sum(sizes) / 8
+        assert max(sizes) - min(sizes) <= 0.02 * mean
+        assert {k for k, s in groups.items() if len(s) > 1} == {(16 + 120, zlib.crc32(b"hot " * 30))}
+
+
+def test_given_documents(spark):
+    """Groups of equal texts are whole, sizes near equal, also where a single text exceeds a shard."""
+    for sf in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        sizes, groups = check_shards(rows, sharding.assign(docs).collect(), 40)
+        assert all(len(s) == 1 for s in groups.values())
+        mean = sum(sizes) / 40
+        largest = max(Counter({(len((t or "").encode()) + 16): 0 for _, t in rows}))
+        assert max(sizes) <= max(1.02 * mean, largest + 1) and min(sizes) >= 0.97 * (sum(sizes) - max(sizes)) / 39
+
+
+def test_ids_of_other_types(spark):
+    rows = [(f"id{i}", f"text {i % 50} " * 20) for i in range(2000)]
+    sizes, groups = check_shards(rows, sharding.assign(spark.createDataFrame(rows, "doc_id string, text string"), 8, range_rows=100).collect(), 8)
+    assert max(sizes) - min(sizes) <= 0.2 * sum(sizes) / 8 and all(len(s) == 1 for s in groups.values())
 
 
 def test_written_shards(spark, tmp_path):
@@ -245,8 +281,84 @@ def test_fingerprints(spark):
 
 
 def test_likeness(spark):
-    rows = spark.createDataFrame([("0:a,-,b/a,-,-", "0:a,-,c/a,-,-"), ("1:a,b/a,b", "3:a,b/a,b"), ("t:1", "t:1"), ("t:1", "0:a/b"), ("0:a,b/c,-", "1:c,-/-,-")], "a string, b string")
-    assert [r[0] for r in rows.select(imatch.likeness(F.col("a"), F.col("b"))).collect()] == [0.5, 0.0, 1.0, 0.0, 1.0]
+    pairs = [("0:00a,01b/00a", "0:00a,01c/00a"), ("1:00a,01b/00a", "3:00a"), ("0:00a/01b/02c,03d", "2:02c"), ("t:1", "t:1"), ("t:1", "0:00a"), ("0:00a,01b/02c", "1:02c"), ("0:00a", "5:01b")]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    assert [r[0] for r in rows.select(imatch.likeness(F.col("a"), F.col("b"))).collect()] == [0.5, 0.0, 0.5, 1.0, 0.0, 1.0, 0.0]
+
+
+def xx(data, seed=42):
+    return xxhash.xxh64_intdigest(data if isinstance(data, bytes) else (data % (1 << 64)).to_bytes(8, "little"), seed)
+
+
+def plain_fingerprint(text, kept):
+    """First level, and {level: {subset: hash}} of a text, written out; None without lexicon terms there."""
+    words = {w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+    level = min(imatch.LEVELS, max(0, math.floor(math.log2(max(1, len(words)) / 32) + 0.5)))
+    found = defaultdict(dict)
+    for word in words & kept:
+        draw = xx(b"lexicon", xx(xx(word.encode()))) >> 1
+        rest = draw >> 5
+        last = min(imatch.LEVELS, (rest & -rest).bit_length() - 1 if rest else 64)
+        signed = xx(word.encode())
+        for i in range(level, last + 1):
+            found[i].setdefault(draw % 32, []).append(signed - (1 << 64) if signed >> 63 else signed)
+    if not found:
+        return None
+    out = {}
+    for i in range(level, max(found) + 1):
+        out[i] = {}
+        for k, terms in found[i].items():
+            h = 42
+            for t in sorted(terms):
+                h = xx(t, h)
+            out[i][k] = h % (1 << 32)
+    return level, out
+
+
+def plain_likeness(a, b):
+    if a is None or b is None:
+        return 0.0
+    i = max(a[0], b[0])
+    x, y = a[1].get(i, {}), b[1].get(i, {})
+    return sum(x[k] == y.get(k) for k in x) / len({*x, *y}) if x or y else 0.0
+
+
+@pytest.mark.parametrize("id_type", ["bigint", "string"])
+def test_fingerprints_equal_brute_force(spark, tables, id_type):
+    """On the given table: lexicon, subsets, signatures and both likenesses, recomputed without Spark."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select(F.col("doc_id").cast(id_type), "text")
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: r[0])
+    split_up = {t: {w for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if w} for _, t in rows}
+    df = Counter(w for _, t in rows for w in split_up[t])
+    kept = {w for w, n in df.items() if imatch.BAND[0] * len(rows) <= n <= imatch.BAND[1] * len(rows)}
+    out = {r.doc_id: r for r in imatch.fingerprints(docs).collect()}
+    assert len(out) == len(rows)
+    for n, (i, t) in enumerate(rows):
+        following = rows[(n + 1) % len(rows)][1]
+        edited = t[: len(t) - len(t) // 4] + following[: len(t) // 4]
+        own, changed, other = (plain_fingerprint(x, kept) for x in (t, edited, following))
+        if own is None:
+            assert out[i].fingerprint.startswith("t:")
+        else:
+            lists = [",".join(sorted(f"{k:02x}{h:08x}" for k, h in own[1][level].items())) for level in sorted(own[1])]
+            assert out[i].fingerprint == f"{own[0]}:{'/'.join(lists)}"
+        assert out[i].near_edited == pytest.approx(1.0 if edited == t else plain_likeness(own, changed))
+        assert out[i].near_next == pytest.approx(1.0 if following == t else plain_likeness(own, other))
+    assert sum(r.near_edited for r in out.values()) > 10 * sum(r.near_next for r in out.values())
+
+
+def test_fingerprints_of_odd_rows(spark):
+    """Repeated and missing ids, repeated rows, very long words: each row has its line."""
+    rows = [(None, "a b c"), (None, "d e f"), (1, "x" * 5000 + " tail"), (1, "x" * 5000 + " tail"), (1, "other words"), (2, None), (3, "a b c")]
+    out = imatch.fingerprints(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert len(out) == len(rows)
+    prints = defaultdict(set)
+    for r in out:
+        prints[r.n_chars, r.doc_id].add(r.fingerprint)
+    assert len({r.fingerprint for r in out if r.n_chars == 5005}) == 1
+    long = [(i, ("word" + chr(97 + i % 5)) * 40 + f" {i} " + "common " * 3) for i in range(200)]
+    words = {r.t for r in imatch.lexicon(spark.createDataFrame(long, "doc_id int, text string"), "text").collect()}
+    assert xx(("worda" * 40).encode()) - ((xx(("worda" * 40).encode()) >> 63) << 64) in words  # a word of 200 letters counts
 
 
 # --- edit matching
@@ -291,11 +403,11 @@ def test_find_items_equals_brute_force(spark):
         body = edit_match.plain(t or "")
         for k, item in items:
             want = edit_match.plain(item or "")
-            if len(want) >= edit_match.MIN_CHARS:
-                d = distance_to_substring(want, f" {body} ")
+            if len(want) >= edit_match.MIN_EDIT:
+                d = distance_to_substring(want, body)
                 if d <= edit_match.budget(len(want)):
                     expected[i, k] = d
-            elif want and f" {want} " in f" {body} ":
+            elif want and re.search(rf"(?<![^\W_]){re.escape(want)}(?![^\W_])", body):
                 expected[i, k] = 0
     assert got == expected and len(expected) > 20
     clean = edit_match.drop_contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
@@ -304,6 +416,28 @@ def test_find_items_equals_brute_force(spark):
     assert edit_match.find_items(empty(spark), spark.createDataFrame(items, "item_id bigint, text string")).collect() == []
 
 
+def test_short_items(spark):
+    """Pieces and edits for short items too; the shortest ones stand between anything but letters and digits."""
+    docs = [(1, "text, a question of exactly. end"), (2, "text, a questoin of exactly. end"), (3, "a qestion of exactly"), (4, "so tiny."), (5, '"TINY"'), (6, "destiny"), (7, "tiny2"), (8, "tin y"), (9, "a question of exact")]
+    for id_type in ("smallint", "string", "double", "date", "decimal(10,2)"):
+        items = spark.createDataFrame([(1, "A question of exactly"), (2, "tiny")], "k int, text string").select(F.expr("date_add(date'2020-01-01', k)" if id_type == "date" else f"cast(k AS {id_type})").alias("item_id"), "text")
+        found = edit_match.find_items(spark.createDataFrame(docs, "doc_id int, text string"), items)
+        assert dict(found.dtypes)["item_id"] == id_type
+        names = {r.item_id: n for n, r in enumerate(items.collect())}
+        assert {(r.doc_id, names[r.item_id], r.distance) for r in found.collect()} == {(1, 0, 0), (3, 0, 1), (4, 1, 0), (5, 1, 0)}
+
+
+def test_several_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(i, prose(rng, 12)) for i in range(9)]
+    docs = frame(spark, [(i, f"{prose(rng, 5)} {text} {prose(rng, 5)}") for i, text in items])
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    whole = sorted(map(tuple, edit_match.find_items(docs, table).collect()))
+    monkeypatch.setattr(edit_match, "BLOCK_ITEMS", 2)
+    assert sorted(map(tuple, edit_match.find_items(docs, table).collect())) == whole and len(whole) == 10
+    assert edit_match.drop_contaminated(docs, table).collect() == []
+
+
 # --- personal data
 
 FIELD = pii_crf.Field.prior()
