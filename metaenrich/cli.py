@@ -5,19 +5,23 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
+from pathlib import Path
 
+import yaml
 from pyspark.sql import SparkSession
 
 from .operators.lookup import LookupConfig, RegistryResolver, ServiceResolver
 from .operators.organisations import Affiliations, Funders
 from .operators.provenance import load_provenance
 from .operators.resource_type import ResourceTypeGeneral
-from .operators.rules import load_rules
+from .operators.rules import ConfigError, load_rules
 from .operators.schema import load_schema
 from .plans.runner import RunOptions, run
 from .plans.staged import Stage, WorkDir
 from .sources.registry import read_registry
 
+#: Shipped settings; the checkout's folder, as with the other configuration files.
+SETTINGS = Path(__file__).resolve().parents[1] / "configs" / "engine.yaml"
 LEVELS = ("off", "error", "warn", "info", "debug", "trace")
 
 
@@ -26,7 +30,8 @@ def parser() -> argparse.ArgumentParser:
     shared.add_argument("-i", "--input", required=True, metavar="DIR")
     shared.add_argument("-o", "--output", required=True, metavar="PATH")
     shared.add_argument("--provenance", required=True, metavar="FILE")
-    shared.add_argument("--organization", metavar="NAME", help="name that the producing contributor must have")
+    shared.add_argument("--settings", metavar="FILE", default=str(SETTINGS), help="settings of the installation")
+    shared.add_argument("--organization", metavar="NAME", help="name that the producing contributor must have, instead of the settings' one")
     shared.add_argument("-t", "--threads", type=int, default=0, help="accepted; the cluster's cores decide")
     shared.add_argument("-b", "--batch-size", type=int, default=5000, help="accepted; has no effect")
     shared.add_argument("--single-file", action="store_true")
@@ -54,9 +59,20 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def required_organization(path: str) -> str | None:
+    """The producer's name that a settings file requires; a file without the setting is refused, so that none is required only on purpose."""
+    try:
+        data = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
+    except (OSError, yaml.YAMLError) as error:
+        raise ConfigError(f"settings {path}: {error}") from error
+    if not isinstance(data, dict) or set(data) != {"organization"} or not isinstance(data["organization"], (str, type(None))):
+        raise ConfigError(f"settings {path}: expected `organization`, a name or null, and nothing else")
+    return data["organization"]
+
+
 def _execute(args: argparse.Namespace) -> None:
     """Order of checks: provenance, method (rules), validator, then the run."""
-    provenance = load_provenance(args.provenance, args.organization)
+    provenance = load_provenance(args.provenance, args.organization or required_organization(args.settings))
     rules = load_rules(args.rules) if args.method == "resource-type-general" else None
     validator = None if args.no_validate else load_schema(args.schema) if args.schema else "builtin"
     options = RunOptions(args.input, args.output, args.threads, args.batch_size, args.single_file)

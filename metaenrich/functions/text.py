@@ -39,10 +39,21 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), SPACE, "")
 
 
+#: Where a camel-case text is cut, in this order (fixed values).
+CAMEL_CUTS = ("([a-z0-9])([A-Z])", "([A-Z]+)([A-Z][a-z])")
+
+
 def camel_tokens(text: Column) -> Column:
-    """Words of a camel-case text (ASCII letters): `XMLHttpRequest` gives XML, Http, Request."""
-    split = F.regexp_replace(text, "([a-z0-9])([A-Z])", "$1 $2")
-    return words(F.regexp_replace(split, "([A-Z]+)([A-Z][a-z])", "$1 $2"))
+    """Words of a camel-case text (ASCII letters): a capital begins a word, the last of several with what follows it."""
+    for cut in CAMEL_CUTS:
+        text = F.regexp_replace(text, cut, "$1 $2")
+    return words(text)
+
+
+def camel_concat(text: Column, typos: Mapping[str, str]) -> Column:
+    """The normalized form of a camel-case text's words written together; null for a text of one word or none."""
+    tokens = camel_tokens(text)
+    return F.when(F.size(tokens) > 1, normalize(F.array_join(tokens, ""), typos))
 
 
 def similarity(a: Column, b: Column) -> Column:

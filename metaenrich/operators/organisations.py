@@ -7,7 +7,7 @@ are skipped) are this engine's own decisions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records as R
@@ -19,6 +19,20 @@ SCHEME = "ROR"
 SCHEME_URI = "https://ror.org"
 
 
+def _listed(creator: Column) -> Column:
+    return F.coalesce(F.try_variant_get(creator, "$.affiliation", "array<variant>"), F.array().cast("array<variant>"))
+
+
+def _with_matches(rows: DataFrame, lookups: DataFrame) -> DataFrame:
+    """rows with the id of their input, if it has one.
+
+    One input may hold a third of all rows: its hash as a second key gives the matches an exchange of their own, so that
+    adaptive execution may split the input's rows, or broadcast the matches where they prove small.
+    """
+    keyed = lambda frame: frame.withColumn("__hash", F.xxhash64("input"))
+    return keyed(rows).join(keyed(lookups.select("input", "id")), ["input", "__hash"], "left").drop("__hash")
+
+
 class _Organisations(EnrichmentMethod):
     def __init__(self, resolver: Resolver, registry: DataFrame):
         self.resolver, self.registry = resolver, registry
@@ -37,27 +51,34 @@ class _Organisations(EnrichmentMethod):
 
 
 class Affiliations(_Organisations):
-    """Creators' affiliations without identifier get one; an affiliation may be a string or an object."""
+    """Creators' affiliations without identifier get one; an affiliation may be a string or an object.
+
+    The creator is emitted whole: a matched affiliation is replaced where it stands (it keeps its name and whatever else
+    it has), all others, their order and their repeats stay.
+    """
 
     field = "creators"
 
     def extract(self, records: DataFrame) -> DataFrame:
-        rows = records.withColumn("creator", F.explode_outer("items"))
-        listed = F.coalesce(F.try_variant_get("creator", "$.affiliation", "array<variant>"), F.array().cast("array<variant>"))
-        rows = rows.select("doi", "creator", F.explode_outer(listed).alias("aff"))
+        """A row for each affiliation of each creator (or one without); place tells creators of equal content apart."""
+        rows = records.select("doi", F.explode_outer("items").alias("creator")).withColumn("place", F.monotonically_increasing_id())
+        rows = rows.select("doi", "place", "creator", F.posexplode_outer(_listed(F.col("creator"))).alias("pos", "aff"))
         name = F.coalesce(R.text_at(F.col("aff"), "$"), R.text_at(F.col("aff"), "$.name"))
         known = R.text_at(F.col("aff"), "$.affiliationIdentifier").isNotNull()
         reason = F.when(F.coalesce(F.trim(name), F.lit("")) == "", "no_affiliation").when(known, "has_identifier").when(F.coalesce(F.col("doi"), F.lit("")) == "", "no_doi")
-        return rows.select("doi", "creator", name.alias("input"), reason.alias("skip_reason"))
+        return rows.select("doi", "place", "creator", "pos", name.alias("input"), reason.alias("skip_reason"))
 
     def map_back(self, extracted: DataFrame, lookups: DataFrame | None) -> DataFrame:
-        """One part a creator: the creator before, and with the affiliations that matched."""
-        found = extracted.where("skip_reason is null").join(lookups, "input").withColumn("c", F.to_json("creator"))
-        made = F.struct(F.col("name"), F.col("id").alias("affiliationIdentifier"), F.lit(SCHEME).alias("affiliationIdentifierScheme"), F.lit(SCHEME_URI).alias("schemeUri"))
-        creators = found.groupBy("doi", "c").agg(F.array_sort(F.collect_set(made)).alias("made"))
-        ordered = F.from_json("c", "map<string,variant>")
-        enriched = R.set_key(ordered, "affiliation", F.parse_json(F.to_json("made")))
-        return creators.select("doi", F.lit(Action.UPDATE_CHILD.value).alias("action"), F.col("c").alias("original"), F.to_json(enriched).alias("enriched"))
+        """One part a creator with a match: the creator before, and with the identifiers in place."""
+        found = _with_matches(extracted.where("skip_reason is null"), lookups).where("id is not null")
+        creators = found.groupBy("doi", "place").agg(F.map_from_entries(F.collect_list(F.struct("pos", "id"))).alias("ids"), F.any_value("creator").alias("creator"))
+        entry = lambda a: F.when(R.is_object(a), F.from_json(F.to_json(a), "map<string,variant>")).otherwise(F.create_map(F.lit("name"), a))
+        as_variant = lambda entries: F.parse_json(F.to_json(entries))
+        with_id = lambda a, i: R.set_key(R.set_key(R.set_key(entry(a), "affiliationIdentifier", F.col("ids")[i]), "affiliationIdentifierScheme", F.lit(SCHEME)), "schemeUri", F.lit(SCHEME_URI))
+        made = F.transform(_listed(F.col("creator")), lambda a, i: F.when(F.map_contains_key("ids", i), as_variant(with_id(a, i))).otherwise(a))
+        before = F.to_json("creator")
+        enriched = R.set_key(F.from_json(before, "map<string,variant>"), "affiliation", F.parse_json(F.to_json(made)))
+        return creators.select("doi", F.lit(Action.UPDATE_CHILD.value).alias("action"), before.alias("original"), F.to_json(enriched).alias("enriched"))
 
 
 class Funders(_Organisations):
@@ -75,7 +96,7 @@ class Funders(_Organisations):
     def map_back(self, extracted: DataFrame, lookups: DataFrame | None) -> DataFrame:
         rows = extracted.where("skip_reason is null")
         walk = crosswalk(self.registry).groupBy("external_id").agg(F.min("id").alias("walked"))
-        rows = rows.join(walk, rows.funder == walk.external_id, "left").join(lookups.select("input", F.col("id").alias("matched")), "input", "left")
-        rows = rows.withColumn("id", F.coalesce("walked", "matched")).where("id is not null").withColumn("r", F.to_json("ref"))
+        rows = _with_matches(rows, lookups).join(walk, rows.funder == walk.external_id, "left")
+        rows = rows.withColumn("id", F.coalesce("walked", "id")).where("id is not null").withColumn("r", F.to_json("ref"))
         ordered = R.set_key(R.set_key(F.from_json("r", "map<string,variant>"), "funderIdentifier", F.col("id")), "funderIdentifierType", F.lit(SCHEME))
         return rows.select("doi", F.lit(Action.UPDATE_CHILD.value).alias("action"), F.col("r").alias("original"), F.to_json(ordered).alias("enriched")).distinct()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
 
@@ -71,18 +71,56 @@ def _kind(value: Column) -> Column:
     return F.when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape == "VOID", "null").when(shape.isNotNull(), "number")
 
 
-def record_errors(line: Column) -> Column:
-    """Names of the built-in rules that a record (JSON text) breaks; empty for a valid one.
+def _shape(entry: Column, required: tuple[str, ...], texts: tuple[str, ...] = (), nullable: tuple[str, ...] = (), lists: dict[str, Callable[[Column], Column]] | None = None, **enums: tuple[str, ...]) -> Column:
+    """Whether a map<string,variant> is a closed object: its keys are known, the required ones there, each of its type.
 
-    Nested shapes of contributors and resources come from the validated provenance, so only their presence is checked
-    here; validate_json() checks them in full.
+    A name of `enums` that is in `nullable`, too, may be null.
     """
+    lists = lists or {}
+    known = F.array(*map(F.lit, dict.fromkeys((*texts, *nullable, *enums, *lists))))
+    has = lambda key: F.map_contains_key(entry, key)
+    value = lambda key: F.try_element_at(entry, F.lit(key))
+    null = lambda key: value(key).isNull() | (_kind(value(key)) == "null")
+    ok = entry.isNotNull() & (F.size(F.array_except(F.map_keys(entry), known)) == 0)
+    for key in required:
+        ok &= has(key)
+    for key in dict.fromkeys((*texts, *nullable, *enums)):
+        right = _kind(value(key)) == "string"
+        if key in enums:
+            right &= F.try_variant_get(value(key), "$", "string").isin(list(enums[key]))
+        right = F.coalesce(right, F.lit(False))
+        ok &= ~has(key) | right | (null(key) if key in nullable else F.lit(False))
+    for key, inner in lists.items():
+        items = F.from_json(F.to_json(value(key)), "array<map<string,variant>>")
+        ok &= ~has(key) | F.coalesce((_kind(value(key)) == "array") & F.forall(items, inner), F.lit(False))
+    return F.coalesce(ok, F.lit(False))
+
+
+def _contributor(entry: Column) -> Column:
+    affiliation = lambda a: _shape(a, ("name",), ("name",), ("affiliationIdentifier", "affiliationIdentifierScheme", "schemeUri"))
+    identifier = lambda i: _shape(i, ("nameIdentifier", "nameIdentifierScheme"), ("nameIdentifier", "nameIdentifierScheme"), ("schemeUri",))
+    return _shape(
+        entry, ("name", "contributorType"), ("name",), ("nameType", "givenName", "familyName", "lang"), {"affiliation": affiliation, "nameIdentifiers": identifier}, nameType=NAME_TYPES, contributorType=CONTRIBUTOR_TYPES
+    )
+
+
+def _resource(entry: Column) -> Column:
+    return _shape(
+        entry, ("relatedIdentifier", "relationType", "relatedIdentifierType"), ("relatedIdentifier", "relatedMetadataScheme", "schemeUri"),
+        relationType=RELATION_TYPES, relatedIdentifierType=RELATED_IDENTIFIER_TYPES, resourceTypeGeneral=RESOURCE_TYPES_GENERAL,
+    )
+
+
+def record_errors(line: Column) -> Column:
+    """Names of the built-in rules that a record (JSON text) breaks, nested shapes included; empty for a valid one."""
     record = F.try_parse_json(line)
     at = lambda key: F.try_variant_get(record, f"$.{key}", "variant")
     text = lambda key: R.text_at(record, f"$.{key}")
     keys = F.map_keys(F.from_json(line, "map<string,variant>"))
+    nested = F.from_json(line, "contributors array<map<string,variant>>, resources array<map<string,variant>>")
     allowed = F.array(*map(F.lit, ("doi", "contributors", "resources", "action", "field", "originalValue", "enrichedValue")))
     filled = lambda key: (_kind(at(key)) == "array") & (F.size(F.try_variant_get(record, f"$.{key}", "array<variant>")) > 0)
+    shaped = lambda key, shape: ~F.coalesce(filled(key), F.lit(False)) | F.forall(nested[key], shape)
     value = lambda key: at(key).isNull() | _kind(at(key)).isin("object", "string", "number", "array")
     implied = lambda actions, key: ~F.coalesce(text("action").isin(actions), F.lit(False)) | at(key).isNotNull()
     rules = {
@@ -90,7 +128,9 @@ def record_errors(line: Column) -> Column:
         "additional": F.size(F.array_except(keys, allowed)) == 0,
         "doi": text("doi").isNotNull(),
         "contributors": filled("contributors"),
+        "contributor_shape": shaped("contributors", _contributor),
         "resources": filled("resources"),
+        "resource_shape": shaped("resources", _resource),
         "action": text("action").isin(list(ACTIONS)),
         "field": text("field").isin(list(FIELDS)),
         "original_type": value("originalValue"),

@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 from ..functions import records as R
 from ..functions import text as T
 from ..operators.matching import match, match_distinct
-from ..operators.provenance import Affiliation, Contributor, NameIdentifier, Provenance, Resource, record_column, template
+from ..operators.lookup import RegistryResolver
+from ..operators.organisations import Affiliations, Funders
+from ..operators.provenance import Affiliation, Contributor, NameIdentifier, Provenance, Resource, problems, provenance_from, record_column, template
 from ..operators.resource_type import ResourceTypeGeneral, in_scope
-from ..operators.schema import record_errors
+from ..operators.rules import ConfigError
+from ..operators.schema import JsonSchema, builtin_schema, record_errors, validate_json
 from ..sources.corpus import configure, parse
+from ..sources.registry import crosswalk, read_registry
+from ..sources.scratch import Scratch
 from . import oracles
-from .staged import Stage, remaining
-from .views import GENERAL, LABELS, label_texts, lines, shipped_rules
+from .runner import RunOptions, run
+from .staged import Stage, WorkDir, remaining, run_stages, stages_to_run
+from .views import GENERAL, LABELS, lines, lookup_lines, organisations, pick, shipped_rules, texts
 
 PROVENANCE = Provenance(
     (
@@ -29,13 +35,58 @@ PROVENANCE = Provenance(
 )
 
 
+#: Contributors that a record may have, and whether their shape is right.
+NESTED = (
+    ('{"name":"X","contributorType":"Producer"}', True),
+    ('{"name":"X","contributorType":"Nobody"}', False),
+    ('{"name":"X","contributorType":"Producer","nameType":null,"lang":"en"}', True),
+    ('{"name":"X","contributorType":"Producer","nameType":"Robot"}', False),
+    ('{"name":7,"contributorType":"Producer"}', False),
+    ('{"name":"X"}', False),
+    ('{"name":"X","contributorType":"Producer","odd":1}', False),
+    ('{"name":"X","contributorType":"Producer","affiliation":[{"name":"G"}],"nameIdentifiers":[{"nameIdentifier":"1","nameIdentifierScheme":"ROR"}]}', True),
+    ('{"name":"X","contributorType":"Producer","affiliation":[{"affiliationIdentifier":"1"}]}', False),
+    ('{"name":"X","contributorType":"Producer","affiliation":["G"]}', False),
+    ('{"name":"X","contributorType":"Producer","nameIdentifiers":[{"nameIdentifier":"1"}]}', False),
+    ('"X"', False),
+)
+RESOURCES = (
+    '{"relatedIdentifier":"a","relationType":"IsDerivedFrom","relatedIdentifierType":"DOI"}',
+    '{"relatedIdentifier":"a","relationType":"IsDerivedFrom","relatedIdentifierType":"DOI","resourceTypeGeneral":"Dataset"}',
+    '{"relatedIdentifier":"a","relationType":"Wrong","relatedIdentifierType":"DOI"}',
+    '{"relatedIdentifier":"a","relationType":"IsDerivedFrom","relatedIdentifierType":"DOI","schemeUri":null}',
+    '{"relationType":"IsDerivedFrom","relatedIdentifierType":"DOI"}',
+)
+_GOOD = {
+    "contributors": [{"name": "Example Organisation", "nameType": "Organizational", "contributorType": "Producer"}],
+    "resources": [{"relatedIdentifier": "a", "relatedIdentifierType": "DOI", "relationType": "IsDocumentedBy", "resourceTypeGeneral": "Project"}, {"relatedIdentifier": "b", "relatedIdentifierType": "URL", "relationType": "IsDerivedFrom", "resourceTypeGeneral": "Dataset"}],
+}
+PROVENANCE_CASES = (
+    ("good", _GOOD, "Example Organisation"),
+    ("other producer", _GOOD, "Somebody Else"),
+    ("no producer", _GOOD | {"contributors": [{"name": "X", "nameType": "Personal", "contributorType": "Producer"}]}, None),
+    ("unknown types", _GOOD | {"contributors": [*_GOOD["contributors"], {"name": "X", "nameType": "Robot", "contributorType": "Nobody"}]}, None),
+    ("unknown relations", _GOOD | {"resources": [*_GOOD["resources"], {"relatedIdentifier": "c", "relatedIdentifierType": "XYZ", "relationType": "Wrong", "resourceTypeGeneral": "Thing"}]}, None),
+    ("nothing", {"contributors": [], "resources": []}, None),
+    ("no project", _GOOD | {"resources": _GOOD["resources"][1:]}, None),
+    ("unknown key", _GOOD | {"contributors": [{"nam": "X"}]}, None),
+    ("missing part", {"contributors": []}, None),
+)
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse(lines(spark, sf_dir))
 
 
-def _extracted(spark: SparkSession, sf_dir: str) -> tuple[ResourceTypeGeneral, DataFrame]:
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[ResourceTypeGeneral, DataFrame]:
+    """What the method reads of each line, written once: the lines are scanned and parsed once, whatever follows."""
     method = ResourceTypeGeneral(shipped_rules())
-    return method, method.extract(method.prepare(_parsed(spark, sf_dir)).where("ok"))
+    return method, Scratch(spark, "records").save(method.prepare(_parsed(spark, sf_dir)), "prepared")
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> tuple[ResourceTypeGeneral, DataFrame]:
+    method, prepared = _prepared(spark, sf_dir)
+    return method, method.extract(prepared.where("ok"))
 
 
 def strict_parse_counts(spark, sf_dir):
@@ -54,25 +105,28 @@ def event_props_types(spark, sf_dir):
 
 
 def smart_normalize(spark, sf_dir):
-    rules = shipped_rules()
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    texts = part.select(F.explode(F.array("p_type", "p_name")).alias("t")).union(label_texts(spark)).distinct()
-    return texts.select("t", T.normalize(F.col("t"), rules.typo_corrections).alias("n"))
+    return texts(spark, sf_dir).select("t", T.normalize(F.col("t"), shipped_rules().typo_corrections).alias("n"))
 
 
 def camel_tokens(spark, sf_dir):
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_name").alias("t"))
-    return part.union(label_texts(spark)).distinct().select("t", F.array_join(T.camel_tokens(F.col("t")), "|").alias("tokens"))
+    return texts(spark, sf_dir).select("t", F.array_join(T.camel_tokens(F.col("t")), "|").alias("tokens"))
+
+
+def camel_concat(spark, sf_dir):
+    """The third key of a match, and whether it differs from the first one's: it never does, so rate() leaves it out."""
+    typos = shipped_rules().typo_corrections
+    rows = texts(spark, sf_dir).select("t", T.camel_concat(F.col("t"), typos).alias("n"), T.normalize(F.col("t"), {}).alias("plain"))
+    return rows.select("t", "n", (T.normalize(F.col("n"), {}) == F.col("plain")).alias("same"))
 
 
 def levenshtein_ratio(spark, sf_dir):
-    """Every label against every reference value: two fixed lists."""
+    """Every distinct text against every reference value."""
     refs = F.explode(F.array(*map(F.lit, shipped_rules().reference_values)))
-    return label_texts(spark).select("t", refs.alias("ref")).select("t", "ref", F.round(T.similarity(F.lower("t"), F.lower("ref")), 6).alias("ratio"))
+    return texts(spark, sf_dir).select("t", refs.alias("ref")).select("t", "ref", F.round(T.similarity(F.lower("t"), F.lower("ref")), 6).alias("ratio"))
 
 
 def fuzzy_match(spark, sf_dir):
-    return match_distinct(label_texts(spark), "t", shipped_rules())
+    return match_distinct(texts(spark, sf_dir), "t", shipped_rules())
 
 
 def part_type_match(spark, sf_dir):
@@ -81,7 +135,7 @@ def part_type_match(spark, sf_dir):
 
 
 def redundancy_filter(spark, sf_dir):
-    return match_distinct(label_texts(spark), "t", shipped_rules()).where(F.col("outcome") == "redundant").select("t")
+    return match_distinct(texts(spark, sf_dir), "t", shipped_rules()).where(F.col("outcome") == "redundant").select("t")
 
 
 def scope_filter(spark, sf_dir):
@@ -136,32 +190,130 @@ def provenance_flatten(spark, sf_dir):
     return who.union(what)
 
 
-def _names(spark, sf_dir):
-    """(record, input): organisation names of customers, a few hundred distinct ones, some unknown to the registry."""
+def nested_validation(spark, sf_dir):
+    """Shapes of contributors and resources: a record a customer, some with a nested entry that breaks a rule."""
+    configure(spark)
     k = F.col("c_custkey")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("record"), F.concat(F.lit("Institute "), (k % 400).cast("string")).alias("input"))
+    contributor = pick(tuple(c for c, _ in NESTED), k)
+    value = F.concat(F.lit('{"doi":"10.1/x","contributors":['), contributor, F.lit('],"resources":['), pick(RESOURCES, k), F.lit('],"action":"insert","field":"types","enrichedValue":{}}'))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), F.array_join(F.array_sort(record_errors(value)), ",").alias("errors"))
+
+
+def schema_validation(spark, sf_dir):
+    """The same records by the compiled schema: which are valid."""
+    configure(spark)
+    return validate_json(_variants(spark, sf_dir), JsonSchema(builtin_schema())).select("k", (F.size("errors") == 0).alias("valid"))
+
+
+def provenance_problems(spark, sf_dir):
+    """Everything that is wrong with provenance files: one row a problem, in their order."""
+    rows = []
+    for name, data, organization in PROVENANCE_CASES:
+        try:
+            found = [x.split("\n")[0] for x in problems(provenance_from(data), organization)]
+        except ConfigError as error:
+            found = [f"refused: {error}".split(", expected")[0]]
+        rows += [(name, i, x) for i, x in enumerate(found)]
+    return spark.createDataFrame(rows, "name string, pos int, problem string")
+
 
+def _registry(spark, sf_dir):
+    """The registry, written as a dump and read from there."""
+    scratch = Scratch(spark, "registry")
+    dump = organisations(spark, sf_dir).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))  # a dump is one list
+    dump.write.text(scratch.path("dump"))
+    return read_registry(spark, scratch.path("dump"))
 
-def _organisations(spark, sf_dir):
-    s = F.col("s_suppkey")
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("Institute "), s.cast("string")).alias("input"), F.concat(F.lit("https://ror.example/"), s.cast("string")).alias("id"), F.concat(F.lit("f"), (s * 3).cast("string")).alias("fund"))
+
+def registry_names(spark, sf_dir):
+    return _registry(spark, sf_dir).select("id", "name", F.size("names").alias("n_names"))
+
+
+def crosswalk_join(spark, sf_dir):
+    return crosswalk(_registry(spark, sf_dir))
+
+
+def _lookup(spark, sf_dir, kind):
+    """(method, extracted rows, matches) of a lookup method over the lookup records; each step is written, as in a run."""
+    registry = _registry(spark, sf_dir)
+    method, scratch = kind(RegistryResolver(registry), registry), Scratch(spark, "lookup")
+    prepared = method.prepare(parse(lookup_lines(spark, sf_dir))).where("ok")
+    extracted = scratch.save(method.extract(prepared), "extracted")
+    return method, extracted, scratch.save(method.lookup(method.inputs(extracted)), "matches")
 
 
 def distinct_inputs(spark, sf_dir):
-    return _names(spark, sf_dir).groupBy("input").agg(F.count("*").alias("n"))
+    method, extracted, _ = _lookup(spark, sf_dir, Affiliations)
+    return method.inputs(extracted)
 
 
-def reconcile_join(spark, sf_dir):
-    return _names(spark, sf_dir).join(_organisations(spark, sf_dir).select("input", "id"), "input").select("record", "input", "id")
+def registry_matches(spark, sf_dir):
+    """Equal names, else the most similar one."""
+    return _lookup(spark, sf_dir, Affiliations)[2].select("input", "id", "name", F.round("score", 6).alias("score"))
 
 
 def unmatched_inputs(spark, sf_dir):
-    return _names(spark, sf_dir).select("input").distinct().join(_organisations(spark, sf_dir), "input", "left_anti")
+    method, extracted, matches = _lookup(spark, sf_dir, Affiliations)
+    return method.inputs(extracted).join(matches, "input", "left_anti")
 
 
-def crosswalk_join(spark, sf_dir):
-    asked = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("record"), F.concat(F.lit("f"), (F.col("c_custkey") % 500).cast("string")).alias("fund"))
-    return asked.join(_organisations(spark, sf_dir).select("fund", "id"), "fund").select("record", "fund", "id")
+def affiliation_skips(spark, sf_dir):
+    return _lookup(spark, sf_dir, Affiliations)[1].groupBy(F.coalesce("skip_reason", F.lit("asked")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def reconcile_join(spark, sf_dir):
+    """Affiliations: the matches back in the creators' records."""
+    method, extracted, matches = _lookup(spark, sf_dir, Affiliations)
+    return method.map_back(extracted, matches)
+
+
+def funder_parts(spark, sf_dir):
+    """Funders: by crosswalk from a funder number, else by name."""
+    method, extracted, matches = _lookup(spark, sf_dir, Funders)
+    return method.map_back(extracted, matches)
+
+
+def staged_run(spark, sf_dir):
+    """A lookup run in stages: parts and due stages of a first run, a second one, and one whose query stage is reopened."""
+    registry = _registry(spark, sf_dir)
+    method, work = Affiliations(RegistryResolver(registry), registry), WorkDir(spark, Scratch(spark, "work").path("stages"))
+    records = method.prepare(parse(lookup_lines(spark, sf_dir))).where("ok")
+    rows = []
+
+    def step(name, **options):
+        due = ",".join(s.value for s in stages_to_run(work, options.get("from_scratch", False)))
+        parts = run_stages(method, records, work, **options)
+        rows.append((name, due, parts.count() if parts is not None else 0, all(work.is_complete(s) for s in Stage)))
+
+    step("first")
+    step("second")
+    work.unmark(Stage.QUERY)
+    step("reopened")
+    step("only extract", only=Stage.EXTRACT)
+    step("only reconcile", only=Stage.RECONCILE)
+    step("from scratch", from_scratch=True)
+    return spark.createDataFrame(rows, "step string, due string, parts bigint, complete boolean")
+
+
+def corpus_run(spark, sf_dir):
+    """A whole run over gzipped files in nested folders, with blank lines and a file that is no gzip: its report and output."""
+    scratch = Scratch(spark, "corpus")
+    rows = lines(spark, sf_dir).select(F.explode(F.when(F.col("k") % 23 == 0, F.array("value", F.lit(""), F.lit("  "))).otherwise(F.array("value"))).alias("value"))
+    rows.repartition(3).write.text(scratch.path("in/updated_2024-01"), compression="gzip")
+    spark.createDataFrame([("not gzip",)], "value string").coalesce(1).write.text(scratch.path("in/broken"))
+    system, path = scratch.file_system()
+    for name in ("in/updated_2024-01", "in/broken"):
+        for status in system.listStatus(path(name)):
+            file = status.getPath()
+            if file.getName().startswith("part-"):
+                system.rename(file, path(f"{name}/{file.getName().split('.')[0]}.jsonl.gz"))
+    stats = run(spark, ResourceTypeGeneral(shipped_rules()), RunOptions(scratch.path("in"), scratch.path("out")), PROVENANCE)
+    empty = run(spark, ResourceTypeGeneral(shipped_rules()), RunOptions(scratch.path("nothing"), scratch.path("out-empty")), PROVENANCE)
+    rows = [
+        (name, s.files_processed, s.files_failed, s.records_scanned, s.lines_malformed, s.emitted, s.written, s.invalid, sum(s.skipped.values()), spark.read.text(scratch.path(out)).count())
+        for name, s, out in (("corpus", stats, "out"), ("empty", empty, "out-empty"))
+    ]
+    return spark.createDataFrame(rows, "name string, files_processed int, files_failed int, records_scanned bigint, lines_malformed bigint, emitted bigint, written bigint, invalid bigint, skipped bigint, lines_out bigint")
 
 
 def stage_plan(spark, sf_dir):
@@ -173,17 +325,16 @@ def stage_plan(spark, sf_dir):
 
 
 def run_counters(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    _, extracted = _extracted(spark, sf_dir)
-    totals = parsed.agg(F.count_if("ok").alias("records_scanned"), F.count_if(~F.col("ok")).alias("lines_malformed"))
-    out = extracted.agg(F.count_if(F.col("skip_reason").isNull()).alias("emitted"), F.count("skip_reason").alias("skipped"))
+    method, prepared = _prepared(spark, sf_dir)
+    totals = prepared.agg(F.count_if("ok").alias("records_scanned"), F.count_if(~F.col("ok")).alias("lines_malformed"))
+    out = method.extract(prepared.where("ok")).agg(F.count_if(F.col("skip_reason").isNull()).alias("emitted"), F.count("skip_reason").alias("skipped"))
     return totals.join(F.broadcast(out))  # one row each
 
 
 _QUERIES = (
-    strict_parse_counts, typed_string_paths, event_props_types, smart_normalize, camel_tokens, levenshtein_ratio, fuzzy_match, part_type_match, redundancy_filter, scope_filter,
-    skip_reason_counts, reclassify_emitted, enriched_types_json, enrichment_records, record_validation, provenance_flatten, distinct_inputs, reconcile_join, unmatched_inputs,
-    crosswalk_join, stage_plan, run_counters,
+    strict_parse_counts, typed_string_paths, event_props_types, smart_normalize, camel_tokens, camel_concat, levenshtein_ratio, fuzzy_match, part_type_match, redundancy_filter, scope_filter,
+    skip_reason_counts, reclassify_emitted, enriched_types_json, enrichment_records, record_validation, nested_validation, schema_validation, provenance_flatten, provenance_problems,
+    registry_names, crosswalk_join, distinct_inputs, registry_matches, unmatched_inputs, affiliation_skips, reconcile_join, funder_parts, staged_run, stage_plan, run_counters, corpus_run,
 )
 
 
@@ -195,4 +346,4 @@ def oracle_sql() -> dict[str, str]:
     from ..operators.provenance import as_json
 
     head = {"contributors": as_json(PROVENANCE.contributors), "resources": as_json(PROVENANCE.resources)}
-    return oracles.build(shipped_rules(), LABELS, GENERAL, json.dumps(head, separators=(",", ":"))[1:-1])
+    return oracles.build(shipped_rules(), LABELS, GENERAL, json.dumps(head, separators=(",", ":"))[1:-1], tuple(ok for _, ok in NESTED))

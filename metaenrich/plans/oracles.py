@@ -13,12 +13,11 @@ def _list(values) -> str:
     return "[" + ", ".join(map(_q, values)) + "]"
 
 
-def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...], provenance: str) -> dict[str, str]:
+def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...], provenance: str, nested: tuple[bool, ...]) -> dict[str, str]:
     typos = "MAP {" + ", ".join(f"{_q(a)}: {_q(b)}" for a, b in rules.typo_corrections.items()) + "}"
     clean = lambda t: rf"regexp_replace(lower({t}), '[-_.,;:!?()\[\]{{}}''\"/\\]', ' ', 'g')"
     words = lambda t: rf"list_filter(string_split_regex({t}, '\s+'), lambda w: w <> '')"
     norm = lambda t: f"array_to_string(list_transform({words(clean(t))}, lambda w: coalesce(map_extract({typos}, w)[1], w)), '')"
-    label_rows = "SELECT unnest(" + _list(labels) + ") AS t"
     refs = f"refs AS (SELECT {norm('v')} AS r, v FROM (SELECT unnest({_list(rules.reference_values)}) AS v))"
     excluded = " OR ".join(f"(list_contains({_list(e.normalized)}, n1) AND list_contains({_list(e.matches)}, m))" for e in rules.redundancy_exclusions) or "false"
 
@@ -51,10 +50,34 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
     enriched = types(lambda w: "',\"resourceTypeGeneral\":\"' || matched || '\"'" if w == "absent" else "'\"' || matched || '\"'")
     parts = f"{classified} SELECT doi, 'update' AS action, {original} AS original, {enriched} AS enriched FROM classified WHERE skip_reason IS NULL"
     record = f"""'{{"doi":"' || doi || '",' || {_q(provenance)} || ',"action":"update","field":"types","originalValue":' || original || ',"enrichedValue":' || enriched || '}}'"""
-    part_texts = "SELECT unnest([p_type, p_name]) AS t FROM part UNION ALL "
+    all_texts = f"SELECT DISTINCT t FROM (SELECT unnest([p_type, p_name]) AS t FROM part UNION ALL SELECT {_list(labels)}[o_orderkey % {len(labels)} + 1] FROM orders)"
     camel = lambda t: rf"regexp_replace(regexp_replace({t}, '([a-z0-9])([A-Z])', '\1 \2', 'g'), '([A-Z]+)([A-Z][a-z])', '\1 \2', 'g')"
-    names = "names AS (SELECT c_custkey AS record, 'Institute ' || (c_custkey % 400) AS input FROM customer)"
-    orgs = "orgs AS (SELECT 'Institute ' || s_suppkey AS input, 'https://ror.example/' || s_suppkey AS id, 'f' || (s_suppkey * 3) AS fund FROM supplier)"
+    orgs = "orgs AS (SELECT s_suppkey AS s, 'https://ror.example/' || s_suppkey AS id FROM supplier)"
+    spelt = "CASE WHEN c_custkey % 3 = 0 THEN 'Institut' ELSE 'Institute' END || ' of Topic ' || (c_custkey % 60) || ' Studies'"
+    known = "'Inst ' || (c_custkey % 60)"
+    college = "'College ' || (c_custkey % 7)"
+    has_doi, free_known = "c_custkey % 11 <> 0", "c_custkey % 2 <> 0"
+    resolved = """forms AS (SELECT id, 'instituteoftopic' || s || 'studies' AS n FROM orgs UNION ALL SELECT id, 'inst' || s FROM orgs),
+        keyed AS (SELECT input, replace(lower(input), ' ', '') AS f FROM inputs),
+        exact AS (SELECT input, min(id) AS id, 1.0::DOUBLE AS score FROM keyed JOIN forms ON f = n GROUP BY input),
+        near AS (SELECT input, id, 1.0::DOUBLE - levenshtein(f, n) / greatest(length(f), length(n))::DOUBLE AS score FROM keyed, forms WHERE input NOT IN (SELECT input FROM exact)),
+        best AS (SELECT input, id, score FROM (SELECT *, row_number() OVER (PARTITION BY input ORDER BY score DESC, id) AS i FROM near WHERE score >= 0.9::DOUBLE) WHERE i = 1),
+        hits AS (SELECT * FROM exact UNION ALL SELECT * FROM best)"""
+    asked = f"asked AS (SELECT {spelt} AS input FROM customer WHERE {has_doi} UNION ALL SELECT {college} FROM customer WHERE {has_doi} UNION ALL SELECT {known} FROM customer WHERE {has_doi} AND {free_known})"
+    affiliations = f"WITH {orgs}, {asked}, inputs AS (SELECT DISTINCT input FROM asked), {resolved}"
+    ids = """'{"affiliationIdentifier":"' || %s || '","affiliationIdentifierScheme":"ROR","name":"' || %s || '","schemeUri":"https://ror.org"}'"""
+    other = """'{"name":"' || """ + college + """ || '","place":' || (c_custkey % 5) || '}'"""
+    bare_known = """CASE WHEN c_custkey % 2 = 0 THEN '{"affiliationIdentifier":"x","name":"' || """ + known + """ || '"}' ELSE '{"name":"' || """ + known + """ || '"}' END"""
+    made_spelt = f"CASE WHEN p.id IS NULL THEN '\"' || {spelt} || '\"' ELSE {ids % ('p.id', spelt)} END"
+    made_known = f"CASE WHEN q.id IS NULL THEN {bare_known} ELSE {ids % ('q.id', known)} END"
+    creator = lambda first, third: f"""'{{"affiliation":[' || {first} || ',' || {other} || ',' || {third} || ',' || {first} || '],"name":"A' || c_custkey || '"}}'"""
+    raw_spelt = f"'\"' || {spelt} || '\"'"
+    affiliation_parts = f"""{affiliations} SELECT '10.1/' || c_custkey AS doi, 'updateChild' AS action, {creator(raw_spelt, bare_known)} AS original, {creator(made_spelt, made_known)} AS enriched
+        FROM customer LEFT JOIN hits p ON p.input = {spelt} LEFT JOIN hits q ON q.input = {known} AND {free_known} WHERE {has_doi} AND (p.id IS NOT NULL OR q.id IS NOT NULL)"""
+    reference = lambda number, kind: f"""'{{"funderIdentifier":"' || {number} || '","funderIdentifierType":"{kind}","funderName":"' || {known} || '"}}'"""
+    funder_parts = f"""WITH {orgs}, inputs AS (SELECT DISTINCT {known} AS input FROM customer WHERE {has_doi} AND c_custkey % 4 <> 0 UNION SELECT 'Nobody ' || (c_custkey % 3) FROM customer WHERE {has_doi} AND c_custkey % 4 = 0), {resolved},
+        found AS (SELECT c_custkey, coalesce(w.id, q.id) AS id FROM customer LEFT JOIN orgs w ON w.s = c_custkey % 90 LEFT JOIN hits q ON q.input = {known} WHERE {has_doi} AND c_custkey % 4 <> 0)
+        SELECT '10.1/' || c_custkey AS doi, 'updateChild' AS action, {reference("'https://doi.org/10.13039/10000' || (c_custkey % 90)", 'Crossref Funder ID')} AS original, {reference('id', 'ROR')} AS enriched FROM found WHERE id IS NOT NULL"""
     validation = """WITH c AS (SELECT c_custkey AS k, ['update', 'updateChild', 'insert', 'deleteChild', 'replace'][c_custkey % 5 + 1] AS action, c_custkey % 6 AS o, c_custkey % 7 = 0 AS bare FROM customer)
         SELECT k, array_to_string(list_sort(list_filter([CASE WHEN action = 'replace' THEN 'action' END, CASE WHEN k % 3 <> 0 THEN 'field' END, CASE WHEN o IN (4, 5) THEN 'original_type' END,
           CASE WHEN bare AND action IN ('update', 'updateChild', 'insert') THEN 'enriched_required' END], lambda e: e IS NOT NULL)), ',') AS errors FROM c"""
@@ -64,12 +87,13 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
         "typed_string_paths": f"WITH {rec} SELECT doi, free, general, is_types FROM rec",
         "event_props_types": """SELECT event_id, json_valid(props) AS ok, json_type(props) = 'OBJECT' AS is_object, CASE WHEN json_type(props, '$.k') = 'VARCHAR' THEN props ->> '$.k' END AS k_text,
             CASE WHEN json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') THEN (props ->> '$.k')::BIGINT END AS k_number FROM events""",
-        "smart_normalize": f"SELECT t, {norm('t')} AS n FROM (SELECT DISTINCT t FROM ({part_texts}{label_rows}))",
-        "camel_tokens": f"SELECT t, array_to_string({words(camel('t'))}, '|') AS tokens FROM (SELECT DISTINCT t FROM (SELECT p_name AS t FROM part UNION ALL {label_rows}))",
-        "levenshtein_ratio": f"SELECT t, ref, round(1.0::DOUBLE - levenshtein(lower(t), lower(ref)) / greatest(length(t), length(ref))::DOUBLE, 6) AS ratio FROM ({label_rows}), (SELECT unnest({_list(rules.reference_values)}) AS ref)",
-        "fuzzy_match": f"WITH {matched(label_rows)} SELECT t, matched, outcome FROM rated",
+        "smart_normalize": f"SELECT t, {norm('t')} AS n FROM ({all_texts})",
+        "camel_tokens": f"SELECT t, array_to_string({words(camel('t'))}, '|') AS tokens FROM ({all_texts})",
+        "camel_concat": f"SELECT t, n, CASE WHEN n IS NOT NULL THEN array_to_string({words(clean('n'))}, '') = plain END AS same FROM (SELECT t, CASE WHEN len({words(camel('t'))}) > 1 THEN {norm("array_to_string(" + words(camel('t')) + ", '')")} END AS n, array_to_string({words(clean('t'))}, '') AS plain FROM ({all_texts}))",
+        "levenshtein_ratio": f"SELECT t, ref, round(1.0::DOUBLE - levenshtein(lower(t), lower(ref)) / greatest(length(t), length(ref))::DOUBLE, 6) AS ratio FROM ({all_texts}), (SELECT unnest({_list(rules.reference_values)}) AS ref)",
+        "fuzzy_match": f"WITH {matched(all_texts)} SELECT t, matched, outcome FROM rated",
         "part_type_match": f"WITH {matched('SELECT p_type AS t FROM part')} SELECT p_partkey, p_type, matched, outcome FROM part LEFT JOIN rated ON t = p_type",
-        "redundancy_filter": f"WITH {matched(label_rows)} SELECT t FROM rated WHERE outcome = 'redundant'",
+        "redundancy_filter": f"WITH {matched(all_texts)} SELECT t FROM rated WHERE outcome = 'redundant'",
         "scope_filter": f"WITH {rec} SELECT general, count(*) AS n, bool_and({in_scope}) AS in_scope FROM rec GROUP BY general",
         "skip_reason_counts": f"{classified} SELECT coalesce(skip_reason, 'emitted') AS reason, count(*) AS n FROM classified GROUP BY 1",
         "reclassify_emitted": f"{classified} SELECT doi, free, general, matched FROM classified WHERE skip_reason IS NULL",
@@ -78,10 +102,29 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
         "record_validation": validation,
         "provenance_flatten": """SELECT * FROM (VALUES ('contributor', 0, 'Example Organisation', 'Producer'), ('contributor', 1, 'Doe, Jane', 'DataCurator'),
             ('resource', 0, '10.0000/example', 'IsDocumentedBy'), ('resource', 1, 'https://example.org/dataset', 'IsDerivedFrom')) AS v(kind, pos, name, type)""",
-        "distinct_inputs": f"WITH {names} SELECT input, count(*) AS n FROM names GROUP BY input",
-        "reconcile_join": f"WITH {names}, {orgs} SELECT record, input, id FROM names JOIN orgs USING (input)",
-        "unmatched_inputs": f"WITH {names}, {orgs} SELECT DISTINCT input FROM names WHERE input NOT IN (SELECT input FROM orgs)",
-        "crosswalk_join": f"WITH {orgs} SELECT c_custkey AS record, fund, id FROM customer JOIN orgs ON fund = 'f' || (c_custkey % 500)",
+        "nested_validation": f"""SELECT c_custkey AS k, concat_ws(',', CASE WHEN NOT {"[" + ", ".join(str(ok).lower() for ok in nested) + "]"}[c_custkey % {len(nested)} + 1] THEN 'contributor_shape' END,
+            CASE WHEN c_custkey % 5 >= 2 THEN 'resource_shape' END) AS errors FROM customer""",
+        "schema_validation": f"SELECT k, errors = '' AS valid FROM ({validation})",
+        "provenance_problems": """SELECT * FROM (VALUES ('other producer', 0, 'missing required contributor: Somebody Else / Organizational / Producer'),
+            ('no producer', 0, 'missing required contributor: any name / Organizational / Producer'), ('unknown types', 0, 'contributors[1]: unknown contributorType "Nobody"'),
+            ('unknown types', 1, 'contributors[1]: unknown nameType "Robot"'), ('unknown relations', 0, 'resources[2]: unknown relationType "Wrong"'), ('unknown relations', 1, 'resources[2]: unknown relatedIdentifierType "XYZ"'),
+            ('unknown relations', 2, 'resources[2]: unknown resourceTypeGeneral "Thing"'), ('nothing', 0, 'contributors must not be empty'), ('nothing', 1, 'resources must not be empty'),
+            ('nothing', 2, 'missing required contributor: any name / Organizational / Producer'), ('nothing', 3, 'missing required resource: IsDocumentedBy / Project'), ('nothing', 4, 'missing required resource: IsDerivedFrom / Dataset'),
+            ('no project', 0, 'missing required resource: IsDocumentedBy / Project'), ('unknown key', 0, 'refused: contributors[0]: unknown field `nam`'), ('missing part', 0, 'refused: missing field `resources`')) AS v(name, pos, problem)""",
+        "registry_names": "SELECT 'https://ror.example/' || s_suppkey AS id, 'Institute of Topic ' || s_suppkey || ' Studies' AS name, 2 AS n_names FROM supplier",
+        "crosswalk_join": f"WITH {orgs} SELECT '10000' || s AS external_id, id FROM orgs",
+        "distinct_inputs": f"WITH {asked} SELECT DISTINCT input FROM asked",
+        "registry_matches": f"{affiliations} SELECT input, id, 'Institute of Topic ' || s || ' Studies' AS name, round(score, 6) AS score FROM hits JOIN orgs USING (id)",
+        "unmatched_inputs": f"{affiliations} SELECT input FROM inputs WHERE input NOT IN (SELECT input FROM hits)",
+        "affiliation_skips": f"""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN {has_doi} THEN 'asked' ELSE 'no_doi' END AS reason FROM customer, range(3) UNION ALL SELECT 'no_affiliation' FROM customer
+            UNION ALL SELECT CASE WHEN NOT ({free_known}) THEN 'has_identifier' WHEN {has_doi} THEN 'asked' ELSE 'no_doi' END FROM customer) GROUP BY reason""",
+        "reconcile_join": affiliation_parts,
+        "funder_parts": f"SELECT DISTINCT * FROM ({funder_parts})",
+        "staged_run": f"""WITH n AS (SELECT count(*) AS n FROM ({affiliation_parts})) SELECT step, due, CASE WHEN made THEN n ELSE 0 END AS parts, complete FROM n, (VALUES ('first', 'extract,query,reconcile', true, true),
+            ('second', '', false, true), ('reopened', 'query,reconcile', true, true), ('only extract', '', false, true), ('only reconcile', '', true, true), ('from scratch', 'extract,query,reconcile', true, true)) AS v(step, due, made, complete)""",
+        "corpus_run": f"""{classified}, c AS (SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 17 <> 0) AS ok, (SELECT count(*) FROM orders WHERE o_orderkey % 17 = 0) AS bad, count(*) FILTER (WHERE skip_reason IS NULL) AS e, count(skip_reason) AS s FROM classified)
+            SELECT 'corpus' AS name, 3 AS files_processed, 1 AS files_failed, ok AS records_scanned, bad AS lines_malformed, e AS emitted, e AS written, 0::BIGINT AS invalid, s AS skipped, e AS lines_out FROM c
+            UNION ALL SELECT 'empty', 0, 0, 0, 0, 0, 0, 0, 0, 0""",
         "stage_plan": f"""SELECT e.v AS extract_done, q.v AS query_done, r.v AS reconcile_done, s.v AS from_scratch, CASE WHEN s.v OR NOT e.v THEN 'extract,query,reconcile' WHEN NOT q.v THEN 'query,reconcile'
             WHEN NOT r.v THEN 'reconcile' ELSE '' END AS stages FROM {flags} e, {flags} q, {flags} r, {flags} s""",
         "run_counters": f"""{classified} SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 17 <> 0) AS records_scanned, (SELECT count(*) FROM orders WHERE o_orderkey % 17 = 0) AS lines_malformed,

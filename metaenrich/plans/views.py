@@ -49,3 +49,33 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = F.when(k % 19 == 0, F.lit('"none"')).otherwise(types)
     line = F.concat(F.lit("{"), doi, F.lit('"attributes":{"types":'), types, F.lit("}}"))
     return keys(spark, sf_dir).select("k", F.concat(line, F.when(k % 17 == 0, F.lit(" xyz")).otherwise(F.lit(""))).alias("value"))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct free texts (t): types and names of the parts, and the labels as the orders have them."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.explode(F.array("p_type", "p_name")).alias("t"))
+    return part.union(keys(spark, sf_dir).select(pick(LABELS, F.col("k")).alias("t"))).distinct()
+
+
+def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Organisations of a registry dump, one a supplier: two names and a funder number each."""
+    s = F.col("s_suppkey").cast("string")
+    name = lambda value, kind: F.struct(value.alias("value"), F.array(F.lit(kind)).alias("types"))
+    names = F.array(name(F.concat(F.lit("Inst "), s), "alias"), name(F.concat(F.lit("Institute of Topic "), s, F.lit(" Studies")), "ror_display"))
+    fund = F.concat(F.lit("10000"), s)
+    external = F.array(F.struct(F.lit("fundref").alias("type"), F.array(fund).alias("all"), fund.alias("preferred")))
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("https://ror.example/"), s).alias("id"), names.alias("names"), external.alias("external_ids"), F.lit("active").alias("status"))
+
+
+def lookup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON line a customer (value), with creators' affiliations and funders: some known, misspelt, repeated or unknown."""
+    configure(spark)
+    c = F.col("c_custkey")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    doi = F.when(c % 11 != 0, text('"id":"10.1/', c, '",')).otherwise("")
+    spelt = text('"', F.when(c % 3 == 0, "Institut").otherwise("Institute"), " of Topic ", c % 60, ' Studies"')
+    known = text('{"name":"Inst ', c % 60, '"', F.when(c % 2 == 0, ',"affiliationIdentifier":"x"').otherwise(""), "}")
+    creators = text('[{"name":"A', c, '","affiliation":[', spelt, ',{"name":"College ', c % 7, '","place":', c % 5, "},", known, ",", spelt, ']},{"name":"B","affiliation":[]}]')
+    funder = F.when(c % 4 != 0, text('{"funderName":"Inst ', c % 60, '","funderIdentifier":"https://doi.org/10.13039/10000', c % 90, '","funderIdentifierType":"Crossref Funder ID"}')).otherwise(text('{"funderName":"Nobody ', c % 3, '"}'))
+    line = text("{", doi, '"attributes":{"creators":', creators, ',"fundingReferences":[', funder, "]}}")
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(line.alias("value"))

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import records as R
 
 PATTERN = "*.jsonl.gz"
+MAX_PROBE = (1 << 31) - (1 << 20)
+_STEP = 1 << 20
 #: Session settings that the parsing relies on: last of repeated keys wins, an unreadable file costs only itself.
 SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
@@ -27,35 +33,66 @@ def configure(spark: SparkSession) -> SparkSession:
 
 @dataclass(frozen=True)
 class Files:
-    paths: list[str]
-    failed: list[str]
-
-
-def list_files(spark: SparkSession, root: str, pattern: str = PATTERN) -> Files:
-    """Files under root (recursively) by name; failed are those that can't be opened. Listed through Hadoop's file systems."""
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root.rstrip("/") or "/")
-    system = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    suffix = pattern.removeprefix("*")
-    paths, failed = [], []
-    if not system.exists(base):
-        return Files(paths, failed)
-    found = system.listFiles(base, True)
-    while found.hasNext():
-        path = found.next().getPath()
-        if path.getName().endswith(suffix):
-            try:
-                system.open(path).close()
-            except Exception:  # noqa: BLE001  whatever the file system raises: this file fails, the run goes on
-                failed.append(path.toString())
-            paths.append(path.toString())
-    return Files(sorted(paths), sorted(failed))
+    count: int
+    failed: int
+    examples: tuple[str, ...] = ()  # some of the failed ones, for the log
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:
+    """(path, length) of the files under root, recursively; hidden ones are left out. Listed by Spark, without opening them."""
+    configure(spark)
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    try:
+        return source.load(root).select("path", "length")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length bigint")
+
+
+def probe(spark: SparkSession, root: str, pattern: str = PATTERN) -> Files:
+    """Counts the files, and those that can't be read to their end: no gzip, cut short, or damaged midway.
+
+    Executors unpack each file once and keep nothing of it but the verdict. The lines before the damage are still read.
+    A file of MAX_PROBE bytes or more is counted without a look inside.
+    """
+    found = list_files(spark, root, pattern)
+    total = found.count()
+    if not total:
+        return Files(0, 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = [path.as_py() for path, content in zip(batch.column(0), batch.column(1), strict=True) if not is_whole(content.as_buffer())]
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], ["path"])
+
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    bad = source.where(F.col("length") < MAX_PROBE).select("path", "content").mapInArrow(run, "path string")
+    counted = bad.agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set(F.col("path"))), 1, 20).alias("some")).first()
+    return Files(total, counted.n, tuple(counted.some))
+
+
+def is_whole(packed: bytes) -> bool:
+    """Whether these bytes are gzip members, each to its end (an empty file is none and so is whole)."""
+    view, member, at, pending = memoryview(packed), zlib.decompressobj(31), 0, b""
+    try:
+        while pending or at < len(view):
+            chunk, at = (pending, at) if pending else (view[at : at + _STEP], at + _STEP)
+            pending = b""
+            member.decompress(chunk)
+            if member.eof:
+                pending = member.unused_data
+                if at >= len(view) and not pending.strip(b"\0"):
+                    return True
+                member = zlib.decompressobj(31)
+    except zlib.error:
+        return False
+    return not len(view)
 
 
 def read_lines(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:
     """One row (value) for each line; no files give no rows. Gzip isn't splittable: a task reads a file."""
-    configure(spark)
-    if not list_files(spark, root, pattern).paths:
+    if list_files(spark, root, pattern).isEmpty():
         return spark.createDataFrame([], "value string")
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(root)
 

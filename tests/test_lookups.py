@@ -1,4 +1,5 @@
 import json
+import random
 import threading
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
@@ -57,13 +58,66 @@ def test_affiliations_staged(spark, tmp_path, registry):
     parts = run_stages(method, records(spark, method), work).collect()
     assert [p.doi for p in parts] == ["10.1/a"]
     made = json.loads(parts[0].enriched)
-    assert made["name"] == "X" and {a["affiliationIdentifier"] for a in made["affiliation"]} == {"https://ror.org/1", "https://ror.org/2"}
+    assert made["name"] == "X" and [(a["name"], a["affiliationIdentifier"]) for a in made["affiliation"]] == [("Uni A", "https://ror.org/1"), ("Institute of Beess", "https://ror.org/2")]
     assert stages_to_run(work, False) == [] and run_stages(method, records(spark, method), work) is None
     work.unmark(Stage.QUERY)
     assert stages_to_run(work, False) == [Stage.QUERY, Stage.RECONCILE]
     assert run_stages(method, records(spark, method), work, only=Stage.RECONCILE).count() == 1
 
 
+def test_affiliations_lose_nothing(spark, registry):
+    """Unmatched entries, those with an identifier, order, repeats and other keys stay; equal creators are told apart."""
+    listed = ["Uni A", "Unknown College", {"name": "B", "affiliationIdentifier": "x"}, {"name": "uni a", "note": [1, {"z": None}]}, "Uni A", 7, None]
+    rows = [{"id": "10.1/a", "attributes": {"creators": [{"name": "X", "affiliation": listed, "orcid": "1"}, {"name": "X", "affiliation": listed, "orcid": "1"}, {"name": "Y", "affiliation": "no list"}]}}] * 2
+    orgs = read_registry(spark, registry)
+    method = Affiliations(RegistryResolver(orgs), orgs)
+    configure(spark)
+    extracted = method.extract(method.prepare(parse(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string"))).where("ok"))
+    parts = method.map_back(extracted, method.lookup(method.inputs(extracted))).collect()
+    assert len(parts) == 4 and len({p.enriched for p in parts}) == 1
+    before, after = json.loads(parts[0].original), json.loads(parts[0].enriched)
+    extra = {"affiliationIdentifier": "https://ror.org/1", "affiliationIdentifierScheme": "ROR", "schemeUri": "https://ror.org"}
+    assert before == {"name": "X", "affiliation": listed, "orcid": "1"}
+    assert after == before | {"affiliation": [{"name": "Uni A"} | extra, listed[1], listed[2], listed[3] | extra, {"name": "Uni A"} | extra, 7, None]}
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.8, 1.0])
+def test_similar_names_equal_brute_force(spark, threshold):
+    """No similar name is missed, wherever the edits are; ties go to the smaller identifier."""
+    rng = random.Random(3)
+    names = ["University of Alpha", "Universities of Alpha", "Beta", "Institute for Very Long Names in the Northern Provinces", *("".join(rng.choices("abc", k=rng.randrange(1, 30))) for _ in range(60))]
+
+    def damaged(text):
+        chars = list(text)
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(chars) + 1)
+            chars[at : at + rng.randrange(2)] = rng.choice(["", "x", "a"])
+        return "".join(chars)
+
+    inputs = {damaged(n) for n in names for _ in range(4)} | {"Univrsity of Alpha", "niversity of Alpha", "x" * 4000, ""}
+    orgs = spark.createDataFrame([(f"id{i:03}", [(n,)]) for i, n in enumerate(names)], "id string, names array<struct<value string>>")
+    got = {r.input: (r.id, round(r.score, 9)) for r in RegistryResolver(orgs, threshold).resolve(spark.createDataFrame([(x,) for x in inputs], "input string")).collect()}
+    form = lambda t: "".join(t.lower().split())
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    expected = {}
+    for x in inputs:
+        f = form(x)
+        if not f or len(f) > 1000:
+            continue
+        best = min((-(1 - distance(f, form(n)) / max(len(f), len(form(n)))), f"id{i:03}") for i, n in enumerate(names))
+        if -best[0] >= threshold:
+            expected[x] = (best[1], round(-best[0], 9))
+    assert got == expected and (threshold == 1.0 or got["Univrsity of Alpha"][0] == "id000" == got["niversity of Alpha"][0])
+
+
 def test_funders_crosswalk_then_name(spark, registry):
     orgs = read_registry(spark, registry)
     method = Funders(RegistryResolver(orgs), orgs)
@@ -91,8 +145,8 @@ def test_match_service(spark, registry):
     server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     try:
-        config = LookupConfig(f"http://127.0.0.1:{server.server_port}", batch_size=2)
-        inputs = spark.createDataFrame([(x,) for x in ("Uni A", "b", "c")], "input string").coalesce(1)
+        config = LookupConfig(f"http://127.0.0.1:{server.server_port}", batch_size=2, concurrency=1)
+        inputs = spark.createDataFrame([(x,) for x in ("Uni A", "b", "c")], "input string")
         got = ServiceResolver(config, "affiliation").resolve(inputs).collect()
     finally:
         server.shutdown()
@@ -136,10 +190,15 @@ def test_cli_runs_and_reports_errors(spark, tmp_path, registry, capsys):
     write_corpus(tmp_path / "in", golden_lines())
     base = ["-i", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--provenance", str(CONFIGS / "provenance.yaml")]
     assert main(["resource-type-general", *base, "--rules", str(RULES_FILE)]) == 0
-    assert spark.read.text(str(tmp_path / "out")).count() == 9
+    assert spark.read.text(str(tmp_path / "out")).count() == 7
     assert main(["resource-type-general", *base, "--rules", str(tmp_path / "none.yaml")]) == 1
     assert main(["resource-type-general", *base, "--rules", str(RULES_FILE), "--organization", "Somebody"]) == 1
     assert "Somebody" in capsys.readouterr().err
+    for text in ("organization: Another\n", "{}\n", "organization: 5\n", "["):
+        (tmp_path / "settings.yaml").write_text(text)
+        assert main(["resource-type-general", *base, "--rules", str(RULES_FILE), "--settings", str(tmp_path / "settings.yaml")]) == 1
+    (tmp_path / "settings.yaml").write_text("organization: null\n")
+    assert main(["resource-type-general", *base, "--rules", str(RULES_FILE), "--settings", str(tmp_path / "settings.yaml")]) == 0
     write_corpus(tmp_path / "in2", [json.dumps(r) for r in RECORDS])
     assert main(["affiliations", "-i", str(tmp_path / "in2"), "-o", str(tmp_path / "aff"), "--provenance", str(CONFIGS / "provenance.yaml"), "--ror-file", registry]) == 0
     assert spark.read.text(str(tmp_path / "aff")).count() == 1
@@ -154,4 +213,4 @@ def test_stream(spark, tmp_path):
     start()
     write_corpus(tmp_path / "in", golden_lines()[6:], "part_0002")
     start()
-    assert spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "out")).count() == 9
+    assert spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "out")).count() == 7
