@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import numpy as np
@@ -12,6 +9,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import Scratch, clear_scratch, delete_path, shared_dir
+
+__all__ = ["Scratch", "clear_scratch", "delete_path", "shared_dir"]
+
 MASK64 = (1 << 64) - 1
 #: Odd multiplier of the rolling hashes, and its inverse modulo 2**64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -22,73 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir). Only a local master, as in tests, may go without one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if "dir" not in _LOCAL:
-            _LOCAL["dir"] = "file://" + tempfile.mkdtemp(prefix="metaenrich-")
-        found = _LOCAL["dir"]
-    return found.rstrip("/")
-
-
-_LOCAL: dict[str, str] = {}
-#: Folders of queries whose results may still be read, with their sessions.
-_OPEN: dict[str, SparkSession] = {}
-#: Spark deletes a statement's shuffle files at its end when this is set.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def clear_scratch() -> None:
-    """Deletes the tables of all queries so far: for long sessions, once their results are written. Also done at exit."""
-    while _OPEN:
-        root, spark = _OPEN.popitem()
-        try:
-            delete_path(spark, root)
-        except Exception:  # noqa: BLE001  the session may be gone by now, with its folder
-            pass
-
-
-atexit.register(clear_scratch)
-
-
-class Scratch:
-    """Parquet tables of one query in the shared folder.
-
-    A table that a returned (lazy) frame still reads must outlive the query, so those stay until clear_scratch();
-    drop() removes a table as soon as no later step reads it.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/metaenrich-{name}-{uuid.uuid4().hex}"
-        _OPEN[self.root] = spark
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def save(self, frame: DataFrame, name: str) -> DataFrame:
-        """Writes the frame and reads it again; the shuffle files of this step go as soon as it is written."""
-        before = self.spark.conf.get(_CLEANUP, None)
-        self.spark.conf.set(_CLEANUP, "true")
-        try:
-            frame.write.mode("overwrite").parquet(self.path(name))
-        finally:
-            self.spark.conf.set(_CLEANUP, before) if before is not None else self.spark.conf.unset(_CLEANUP)
-        return self.spark.read.schema(frame.schema).parquet(self.path(name))
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            delete_path(self.spark, self.path(name))
-
-
 def locate(key: Column, bounds: list[int]) -> Column:
     """Number of bounds (ascending) at or below key, by a two-level search: about 2 * sqrt(len(bounds)) comparisons."""
     if not bounds:
