@@ -26,7 +26,7 @@ from .common import Scratch, locate
 
 LAW = "bytes"
 ROW_OVERHEAD = 16
-#: Rows of a fine range, and of a part of one that has more, aimed at.
+#: Rows of a fine range aimed at, where the ranges are more than a few times the shards.
 RANGE_ROWS = 50_000
 #: Sampled keys a range; the sample and its splitters grow with the ranges, not with the rows of one.
 SAMPLES_PER_RANGE = 40
@@ -95,8 +95,9 @@ def assign(docs: DataFrame, n_shards: int = 40, text: str = "text", key: str = "
     ranged = ranged.withColumn("r", F.coalesce("own", locate(F.col("h"), bounds)))
 
     # Ranges with too many rows are subdivided: one of many texts by text, one of a single large group by row.
-    load = ranged.groupBy("r").agg(F.count("*").alias("n")).where(F.col("n") > 2 * range_rows)
-    load = load.select("r", F.ceil(F.col("n") / F.lit(range_rows)).alias("parts"))  # one row a range at most
+    aim = max(1, rows // n_ranges)
+    load = ranged.groupBy("r").agg(F.count("*").alias("n")).where(F.col("n") > 2 * aim)
+    load = load.select("r", F.ceil(F.col("n") / F.lit(aim)).alias("parts"))  # one row a range at most
     by = F.when(F.col("own").isNull(), F.xxhash64("h", F.lit("part"))).otherwise(F.xxhash64("row", F.lit("part")))
     split = ranged.join(F.broadcast(load), "r", "left").withColumn("q", F.coalesce(F.pmod(by, F.col("parts")), F.lit(0).cast("long"))).drop("own", "parts")
 
