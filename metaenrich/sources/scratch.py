@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,17 @@ _OPEN: dict[str, SparkSession] = {}
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def tidy(spark: SparkSession):
+    """Statements in here delete their shuffle files when they end."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -68,12 +80,8 @@ class Scratch:
 
     def save(self, frame: DataFrame, name: str) -> DataFrame:
         """Writes the frame and reads it again; the shuffle files of this step go as soon as it is written."""
-        before = self.spark.conf.get(_CLEANUP, None)
-        self.spark.conf.set(_CLEANUP, "true")
-        try:
+        with tidy(self.spark):
             frame.write.mode("overwrite").parquet(self.path(name))
-        finally:
-            self.spark.conf.set(_CLEANUP, before) if before is not None else self.spark.conf.unset(_CLEANUP)
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
