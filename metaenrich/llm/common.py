@@ -9,9 +9,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import Scratch, clear_scratch, delete_path, shared_dir
+from ..sources.scratch import Scratch, clear_scratch, delete_path, shared_dir, tidy
 
-__all__ = ["Scratch", "clear_scratch", "delete_path", "shared_dir"]
+__all__ = ["Scratch", "clear_scratch", "delete_path", "shared_dir", "tidy"]
 
 MASK64 = (1 << 64) - 1
 #: Odd multiplier of the rolling hashes, and its inverse modulo 2**64.

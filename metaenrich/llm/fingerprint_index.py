@@ -1,21 +1,25 @@
 """Removal of repeated passages with a log-structured fingerprint index.
 
 A window is WIDTH consecutive words of one document; a word goes if a window that covers it also starts anywhere
-else, in the same document included. Windows are judged on the input.
-
-Method:
-1. Every window is filed under one fingerprint: the smallest hash of the GRAM-word runs inside it. Equal windows
-   have equal fingerprints, and neighbouring windows mostly share theirs, so a document has about one fingerprint
-   for 14 windows.
-2. FingerprintIndex keeps fingerprints in immutable runs, each sorted and bucketed by fingerprint, in the shared
-   folder. A new batch becomes a run; runs are merge-joined with it bucket by bucket, without moving history
-   again; once there are more than FAN_IN runs they are compacted into one. remove_repeats() uses the index once, as
-   a prefilter: it files its table in BATCHES, asks for the repeated fingerprints at the end, and deletes the index.
-3. Windows whose fingerprint occurs more than once are verified: 128 bits (fingerprint and a hash of all WIDTH
-   words) say whether two windows are equal. Counts are pre-aggregated before the shuffle, so a passage that a
-   third of all documents holds costs each task one row.
-4. Equal word sequences are one node: a text of WIDTH words or more that occurs twice goes as a whole, without
-   looking at its windows again.
+else, in the same document included. Windows are judged on all that the index holds.
+
+Method: FingerprintIndex lives in a folder and outlasts its session; a manifest there names its tables. Batches of
+documents are added one after the other. For each batch:
+1. Every window is filed under one fingerprint: the smallest hash of the GRAM-word runs inside it. Equal windows have
+   equal fingerprints, and neighbouring windows mostly share theirs, so a document has about one for 14 windows.
+2. The batch's fingerprints become an immutable run, sorted and bucketed by fingerprint, which is merge-joined with the
+   runs of history, bucket by bucket, without moving history again. Fingerprints that now occur twice are candidates. A
+   run names the text of a fingerprint that occurs once, so that an old text is woken when a new one meets it.
+3. Candidates are verified: the windows of the texts under them become a run of window hashes (128 bits: fingerprint and
+   a hash of all WIDTH words), merge-joined with those of history. A window that occurs twice is a repeat. Each text's
+   windows under a fingerprint are looked at once, in the batch in which they become candidates.
+4. Beyond FAN_IN runs of a kind, they are compacted into one.
+
+Counts are pre-aggregated before each shuffle, so a passage that a third of all documents holds costs each task one row.
+Equal word sequences are one text: the first copy in a task carries it, and a text of WIDTH words or more that occurs
+twice goes as a whole. Rows of texts with so many copies that only HOT of them can exist are told apart by a broadcast of
+these few before rows meet the verdicts of their texts. remove_repeats() files a table in BATCHES, by hash of the words,
+so that copies come together.
 
 Null and empty texts have no words: nothing removed. Repeated rows are copies of each other. A row without doc_id
 is counted like any other, and treated alike. Columns other than key and text are ignored; an empty table gives an
@@ -25,6 +29,7 @@ empty result. Texts of any length are taken whole.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -34,72 +39,182 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_signed, rolling, rows_of, shuffle_partitions, sliding_min, word_hashes
+from .common import Scratch, as_signed, delete_path, rolling, rows_of, shuffle_partitions, sliding_min, tidy, word_hashes
 
 WIDTH = 35
 GRAM = 8
 BATCHES = 3
 FAN_IN = 2
+#: Texts with more than 1 / HOT of all rows; there are fewer than HOT of them.
+HOT = 10_000
+#: Texts whose copies a task recognizes (8 bytes each).
+_RECENT = 500_000
+#: Windows of a batch of rows that a worker holds.
+_WINDOWS = 500_000
 
 
 class FingerprintIndex:
-    """Sorted runs of (fp, n): a fingerprint and how often it occurred (2 stands for more)."""
+    """Runs of fingerprints (fp, n, hi, lo) and windows (fp, full, n), where n is 1 or 2 (more), texts and rows by batch."""
+
+    KEYS = {"fp": ["fp"], "window": ["fp", "full"], "text": ["hi", "lo"]}
+    SCHEMAS = {"fp": "fp bigint, n tinyint, hi bigint, lo bigint", "window": "fp bigint, full bigint, n tinyint", "text": "hi bigint, lo bigint, copies bigint, fps array<bigint>, text binary"}
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, fan_in: int = FAN_IN):
-        self.spark, self.root, self.fan_in = spark, root, fan_in
-        self.buckets = buckets or shuffle_partitions(spark)
-        self.runs: list[str] = []
+        self.spark, self.root, self.fan_in = spark, root.rstrip("/"), fan_in
+        self.state = self._load() or {"buckets": buckets or shuffle_partitions(spark), "batches": 0, "fp": [], "window": [], "text": []}
+
+    # --- the folder
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _load(self) -> dict | None:
+        system, path = self._path("manifest.json")
+        if not system.exists(path):
+            return None
+        state = json.loads("".join(r.value for r in self.spark.read.text(f"{self.root}/manifest.json").collect()))
+        for kind in self.KEYS:
+            for name in state[kind]:
+                keys = ", ".join(self.KEYS[kind])
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({self.SCHEMAS[kind]}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {state['buckets']} BUCKETS LOCATION '{self.root}/{name}'")
+        return state
+
+    def _commit(self, old: list[str]) -> None:
+        """Replaces the manifest, then deletes the tables that it no longer names."""
+        system, fresh = self._path("manifest.new")
+        _, path = self._path("manifest.json")
+        out = system.create(fresh, True)
+        out.write(bytearray(json.dumps(self.state).encode()))
+        out.close()
+        system.delete(path, False)
+        system.rename(fresh, path)
+        for name in old:
+            self._drop(name)
 
-    def _write(self, run: DataFrame) -> str:
-        name = f"fp_run_{uuid.uuid4().hex}"
-        run.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", f"{self.root}/{name}").saveAsTable(name)
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_path(self.spark, f"{self.root}/{name}")
+
+    def _write(self, frame: DataFrame, kind: str) -> str:
+        name = f"{kind}_run_{uuid.uuid4().hex}"
+        columns = [c.split()[0] for c in self.SCHEMAS[kind].split(", ")]
+        with tidy(self.spark):
+            frame.select(*columns).write.bucketBy(self.state["buckets"], *self.KEYS[kind]).sortBy(*self.KEYS[kind]).option("path", f"{self.root}/{name}").option("compression", "zstd").saveAsTable(name)
         return name
 
-    def _merged(self) -> DataFrame | None:
-        """All runs, merge-joined bucket by bucket."""
-        out = None
-        for name in self.runs:
+    def _save(self, frame: DataFrame, name: str) -> DataFrame:
+        with tidy(self.spark):
+            frame.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(frame.schema).parquet(f"{self.root}/{name}")
+
+    def _parts(self, name: str) -> DataFrame | None:
+        """The tables of all batches by this name, as one."""
+        return self.spark.read.parquet(*(f"{self.root}/{name}-{i}" for i in range(self.state["batches"]))) if self.state["batches"] else None
+
+    # --- runs
+
+    def merged(self, kind: str) -> DataFrame | None:
+        """All runs of a kind, merge-joined bucket by bucket."""
+        out, keys = None, self.KEYS[kind]
+        for name in self.state[kind]:
             run = self.spark.table(name)
             if out is None:
                 out = run
-            else:
-                right = run.withColumnRenamed("n", "m")
-                out = out.hint("merge").join(right, "fp", "full_outer").select("fp", F.least(F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0)), F.lit(2)).cast("tinyint").alias("n"))
+                continue
+            other = run.select(*keys, *(F.col(c).alias(f"__{c}") for c in run.columns if c not in keys))
+            both = out.hint("merge").join(other, keys, "full_outer")
+            n = F.least(F.coalesce("n", F.lit(0)) + F.coalesce("__n", F.lit(0)), F.lit(2)).cast("tinyint").alias("n")
+            out = both.select(*keys, n, *(F.coalesce(c, f"__{c}").alias(c) for c in run.columns if c not in (*keys, "n")))
         return out
 
-    def ingest(self, batch: DataFrame) -> None:
-        """Adds the fingerprints (column fp, repeats included) of a batch as a run, then compacts if due."""
-        # Counts combine in each task first; the aggregation deals by fp, like the buckets.
-        counted = batch.groupBy("fp").agg(F.least(F.count("*"), F.lit(2)).cast("tinyint").alias("n"))
-        self.runs.append(self._write(counted))
-        if len(self.runs) > self.fan_in:
-            self.compact()
-
-    def compact(self) -> None:
-        old, self.runs = self.runs, [self._write(self._merged())]
-        for name in old:
-            self._drop(name)
+    def _compact(self, kind: str) -> list[str]:
+        if len(self.state[kind]) <= self.fan_in:
+            return []
+        old, self.state[kind] = self.state[kind], [self._write(self.merged(kind), kind)]
+        return old
+
+    # --- batches
+
+    def add(self, batch: DataFrame) -> int:
+        """Files a batch (doc_id, text as binary), finds and verifies what it repeats, and returns its number."""
+        number = self.state["batches"]
+        described = self._save(_describe(batch), "described")
+        self._save(described.select("doc_id", "hi", "lo", "n_words", "kept"), f"rows-{number}")
+        firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("fps", "text")]
+        text = self._write(described.where(F.col("n_words") >= WIDTH).groupBy("hi", "lo").agg(F.count("*").alias("copies"), *firsts), "text")
+        delete_path(self.spark, f"{self.root}/described")
+
+        each = self.spark.table(text).select("hi", "lo", F.explode("fps").alias("fp"))
+        fresh = self._write(each.groupBy("fp").agg(F.least(F.count("*"), F.lit(2)).cast("tinyint").alias("n"), F.max("hi").alias("hi"), F.max_by("lo", "hi").alias("lo")), "fp")
+        history = self.merged("fp")
+        run = self.spark.table(fresh)
+        if history is None:
+            met = run.select("fp", "n", F.lit(None).cast("tinyint").alias("m"), F.lit(None).cast("bigint").alias("hi"), F.lit(None).cast("bigint").alias("lo"))
+        else:
+            met = run.select("fp", "n").hint("merge").join(history.withColumnRenamed("n", "m"), "fp", "left")
+        # Written plainly: a join with bucketed runs couldn't be split where a fingerprint is hot.
+        due = self._save(met.where(F.col("n") + F.coalesce("m", F.lit(0)) > 1).select("fp", "m", "hi", "lo"), "due")
+        pairs = each.join(due.select("fp"), "fp", "left_semi").select("hi", "lo", "fp")
+        if history is not None:
+            pairs = pairs.union(due.where("m = 1").select("hi", "lo", "fp"))  # old texts that are woken
+        pairs = self._save(pairs.groupBy("hi", "lo").agg(F.collect_set("fp").alias("due")), "pairs")
+        self.state["fp"].append(fresh)
+        self.state["text"].append(text)
+        windows = None
+        for name in self.state["text"]:
+            opened = _windows(self.spark.table(name).select("hi", "lo", "copies", "text").join(pairs, ["hi", "lo"]))
+            windows = opened if windows is None else windows.union(opened)
+        windows = self._save(windows, f"windows-{number}")
+        counted = _each(windows).groupBy("fp", "full").agg(F.least(F.count("*"), F.lit(2)).cast("tinyint").alias("n"))
+        self.state["window"].append(self._write(counted, "window"))
+        self.state["batches"] += 1
+        old = [name for kind in ("fp", "window") for name in self._compact(kind)]
+        self._commit(old)
+        for name in ("due", "pairs"):
+            delete_path(self.spark, f"{self.root}/{name}")
+        return number
 
     def known(self, batch: DataFrame) -> DataFrame:
-        """Fingerprints of a new batch that history holds: its candidates for verification."""
-        held = self._merged()
-        found = batch.select("fp").distinct()
+        """Fingerprints of further documents (doc_id, text) that the index holds: what add() would look at."""
+        found = _describe(batch).select(F.explode("fps").alias("fp")).distinct()
+        held = self.merged("fp")
         return found.join(held.select("fp"), "fp", "left_semi") if held is not None else found.limit(0)
 
-    def repeated(self) -> DataFrame:
-        """Fingerprints that occurred more than once, over all runs."""
-        return self._merged().where("n > 1").select("fp")
-
-    def _drop(self, name: str) -> None:
-        from .common import delete_path
-
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        delete_path(self.spark, f"{self.root}/{name}")
+    def result(self, batches: list[int] | None = None, texts: bool = False) -> DataFrame:
+        """doc_id, n_words, n_removed, kept_sha256 of the rows of all batches, or of some, judged on all; also kept_text if asked for."""
+        twice = self._save(self.merged("window").where("n > 1").select("fp", "full"), "twice")
+        single = self._parts("windows").where("copies = 1")
+        hits = _each(single).join(twice, ["fp", "full"], "left_semi").groupBy("hi", "lo").agg(F.collect_list("at").alias("starts"))
+        hits = self._save(hits, "hits")
+        verdicts, rows = None, self._parts("rows") if batches is None else self.spark.read.parquet(*(f"{self.root}/rows-{i}" for i in batches))
+        for name in self.state["text"]:
+            table = self.spark.table(name)
+            some = _cut(table.where("copies = 1").select("hi", "lo", "text").join(hits, ["hi", "lo"]), texts)
+            whole = table.where("copies > 1").select("hi", "lo", "copies", F.lit(None).cast("bigint").alias("gone"), F.lit(None).cast("string").alias("kept_part"), F.lit(None).cast("binary").alias("kept_text"))
+            verdicts = some.union(whole) if verdicts is None else verdicts.union(some).union(whole)
+        # A text that several batches hold has one verdict of each; all its windows are repeats, or it has none at all.
+        verdicts = self._save(verdicts, "verdicts").dropDuplicates(["hi", "lo"])
+        for name in ("twice", "hits"):
+            delete_path(self.spark, f"{self.root}/{name}")
+        copied = self.spark.read.parquet(f"{self.root}/verdicts").where("copies > 1")
+        hot = F.broadcast(copied.where(F.col("copies") > rows.count() / HOT).select("hi", "lo").distinct().withColumn("hot", F.lit(True)))  # fewer than HOT rows
+        parted = rows.join(hot, ["hi", "lo"], "left")
+        judged = parted.where("hot is null").join(verdicts.select("hi", "lo", (F.col("copies") > 1).alias("whole"), "gone", "kept_part", "kept_text"), ["hi", "lo"], "left")
+        alike = parted.where("hot").select(*parted.columns, F.lit(True).alias("whole"), F.lit(None).cast("bigint").alias("gone"), F.lit(None).cast("string").alias("kept_part"), F.lit(None).cast("binary").alias("kept_text"))
+        out = judged.select(*alike.columns).union(alike)
+        none = hashlib.sha256(b"").hexdigest()
+        removed = F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("gone", F.lit(0)))
+        columns = ["doc_id", "n_words", removed.cast("long").alias("n_removed"), F.when(F.col("whole"), F.lit(none)).otherwise(F.coalesce("kept_part", "kept")).alias("kept_sha256")]
+        if texts:
+            columns.append(F.when(F.col("whole"), F.lit(b"")).otherwise(F.col("kept_text")).alias("kept_text"))
+        return out.select(*columns)
 
     def close(self) -> None:
-        for name in self.runs:
-            self._drop(name)
-        self.runs = []
+        """Forgets the tables' names; the folder stays as it is."""
+        for kind in self.KEYS:
+            for name in self.state[kind]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def fingerprints(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,21 +229,20 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType, dtype: type) -> pa.ListA
 
 
 def _describe(source: DataFrame) -> DataFrame:
-    """doc_id, hi, lo (key of the word sequence), n_words, kept (digest of all words), fps of each row.
+    """doc_id, hi, lo (key of the word sequence), n_words, kept (digest of all words), and fps and text of each row.
 
     A fingerprint stands twice if its words occur twice in the document. The first copy in a task carries the
-    fingerprints of all copies in it.
+    fingerprints and the text of all copies in it, for the others both are null, as for texts without a window.
     """
     id_type = dict(source.dtypes)["doc_id"]
-    names = ["doc_id", "hi", "lo", "n_words", "kept", "fps"]
+    names = ["doc_id", "hi", "lo", "n_words", "kept", "fps", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
-        none = np.empty(0, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                keys, counts, kept, fps = [], [], [], []
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                keys, counts, kept, fps, texts = [], [], [], [], []
                 for (text,) in rows_of([part], "text"):
                     words = (text or b"").split()
                     hashes = word_hashes(words)
@@ -137,9 +251,10 @@ def _describe(source: DataFrame) -> DataFrame:
                     counts.append(len(words))
                     kept.append(hashlib.sha256(b" ".join(words)).hexdigest())
                     if len(words) < WIDTH or key in sent:
-                        fps.append(none)
+                        fps.append(None)
+                        texts.append(None)
                         continue
-                    if len(sent) >= 1_000_000:
+                    if len(sent) >= _RECENT:
                         sent.clear()
                     sent.add(key)
                     least, grams = fingerprints(hashes)
@@ -147,36 +262,48 @@ def _describe(source: DataFrame) -> DataFrame:
                     grams.sort()
                     times = np.searchsorted(grams, least, "right") - np.searchsorted(grams, least, "left")
                     fps.append(as_signed(np.concatenate([least, least[times > 1]])))
+                    texts.append(text)
                 both = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-                arrays = [part.column(0), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts, pa.int64()), pa.array(kept, pa.string()), _lists(fps, pa.int64(), np.int64)]
+                arrays = [part.column(0), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts, pa.int64()), pa.array(kept, pa.string()), pa.array(fps, pa.list_(pa.int64())), pa.array(texts, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return source.mapInArrow(run, f"doc_id {id_type}, hi bigint, lo bigint, n_words bigint, kept string, fps array<bigint>")
+    return source.mapInArrow(run, f"doc_id {id_type}, hi bigint, lo bigint, n_words bigint, kept string, fps array<bigint>, text binary")
 
 
 def _windows(texts: DataFrame) -> DataFrame:
-    """hi, lo, single, text, and start, fingerprint and hash of each window under one of the row's fingerprints."""
+    """hi, lo, copies, and start, fingerprint and hash of each window under one of the row's fingerprints (due)."""
+    names = ["hi", "lo", "copies", "at", "fp", "full"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                at, fp, full, keys, texts_out = [], [], [], [], []
-                for hi, lo, single, text, fps in rows_of([part], "hi", "lo", "single", "text", "fps"):
-                    hashes = word_hashes((text or b"").split())
-                    if np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist() != [hi, lo]:
-                        continue  # another text under this doc_id
-                    least, _ = fingerprints(hashes)
-                    found = np.flatnonzero(np.isin(least, np.array(fps, np.int64).view(np.uint64)))
-                    at.append(found.astype(np.int32))
-                    fp.append(as_signed(least[found]))
-                    full.append(as_signed(rolling(hashes, WIDTH)[found]))
-                    keys.append((hi, lo, single))
-                    texts_out.append(text)
-                arrays = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.bool_()), pa.array(texts_out, pa.binary()), _lists(at, pa.int32(), np.int32), _lists(fp, pa.int64(), np.int64), _lists(full, pa.int64(), np.int64)]
-                yield pa.RecordBatch.from_arrays(arrays, ["hi", "lo", "single", "text", "at", "fp", "full"])
-
-    return texts.select("hi", "lo", "single", "text", "fps").mapInArrow(run, "hi bigint, lo bigint, single boolean, text binary, at array<int>, fp array<bigint>, full array<bigint>")
+        at, fp, full, keys, held = [], [], [], [], 0
+
+        def pack() -> pa.RecordBatch:
+            nonlocal held
+            arrays = [*(pa.array([k[i] for k in keys], pa.int64()) for i in range(3)), _lists(at, pa.int32(), np.int32), _lists(fp, pa.int64(), np.int64), _lists(full, pa.int64(), np.int64)]
+            for column in (at, fp, full, keys):
+                column.clear()
+            held = 0
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        for hi, lo, copies, text, due in rows_of(batches, "hi", "lo", "copies", "text", "due"):
+            hashes = word_hashes(text.split())
+            least, _ = fingerprints(hashes)
+            found = np.flatnonzero(np.isin(least, np.array(due, np.int64).view(np.uint64)))
+            at.append(found.astype(np.int32))
+            fp.append(as_signed(least[found]))
+            full.append(as_signed(rolling(hashes, WIDTH)[found]))
+            keys.append((hi, lo, copies))
+            held += len(found)
+            if held >= _WINDOWS or len(keys) >= 2000:
+                yield pack()
+        if keys:
+            yield pack()
+
+    return texts.select("hi", "lo", "copies", "text", "due").mapInArrow(run, "hi bigint, lo bigint, copies bigint, at array<int>, fp array<bigint>, full array<bigint>")
+
+
+def _each(windows: DataFrame) -> DataFrame:
+    return windows.select("hi", "lo", F.explode(F.arrays_zip("at", "fp", "full")).alias("x")).select("hi", "lo", "x.*")
 
 
 def cut(text: bytes, starts: list[int]) -> tuple[list[bytes], int]:
@@ -190,62 +317,33 @@ def cut(text: bytes, starts: list[int]) -> tuple[list[bytes], int]:
     return [w for w, g in zip(words, gone.tolist(), strict=True) if not g], int(gone.sum())
 
 
-def _cut(rows: DataFrame) -> DataFrame:
+def _cut(rows: DataFrame, texts: bool) -> DataFrame:
+    names = ["hi", "lo", "copies", "gone", "kept_part", "kept_text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone, kept, texts = [], [], []
-            for text, starts in rows_of([batch], "text", "starts"):
-                words, n = cut(text, starts)
-                gone.append(n)
-                texts.append(b" ".join(words))
-                kept.append(hashlib.sha256(texts[-1]).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(texts, pa.binary())], ["hi", "lo", "gone", "kept_part", "kept_text"])
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                gone, kept, left = [], [], []
+                for text, starts in rows_of([part], "text", "starts"):
+                    words, n = cut(text, starts)
+                    gone.append(n)
+                    joined = b" ".join(words)
+                    left.append(joined if texts else None)
+                    kept.append(hashlib.sha256(joined).hexdigest())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([1] * len(gone), pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(left, pa.binary())], names)
 
-    return rows.select("hi", "lo", "text", "starts").mapInArrow(run, "hi bigint, lo bigint, gone bigint, kept_part string, kept_text binary")
+    return rows.select("hi", "lo", "text", "starts").mapInArrow(run, "hi bigint, lo bigint, copies bigint, gone bigint, kept_part string, kept_text binary")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES, texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of docs; with texts=True also kept_text (binary; null: unchanged)."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "repeats")
+    scratch = Scratch(docs.sparkSession, "repeats")
+    index = FingerprintIndex(docs.sparkSession, scratch.path("index"))
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    described = scratch.save(_describe(source), "described")
-    rows = scratch.save(described.drop("fps"), "rows")
-
-    index = FingerprintIndex(spark, scratch.path("runs"))
-    filed = described.where(F.size("fps") > 0).select("hi", "lo", "fps")
     for i in range(batches):
-        index.ingest(filed.where(F.pmod("hi", F.lit(batches)) == i).select(F.explode("fps").alias("fp")))
-    # Written plainly: a join with bucketed runs couldn't be split where a fingerprint is hot.
-    repeated = scratch.save(index.repeated(), "repeated")
+        # By hash of the text: byte-equal copies come together; copies that differ in white space are found in any case.
+        index.add(source.where(F.pmod(F.xxhash64(F.coalesce("text", F.lit(b"")), F.lit("batch")), F.lit(batches)) == i))
+    out = index.result(texts=texts)
     index.close()
-    due = filed.select("hi", "lo", F.explode("fps").alias("fp")).join(repeated, "fp", "left_semi")
-    due = due.groupBy("hi", "lo").agg(F.collect_set("fp").alias("fps"))
-    nodes = rows.where(F.col("n_words") >= WIDTH).groupBy("hi", "lo").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))
-    nodes = scratch.save(nodes.join(due, ["hi", "lo"], "left").where("fps is not null or copies > 1"), "nodes")
-    scratch.drop("described", "repeated")
-
-    # Windows of one text for each node that has repeated fingerprints; w is the text's short name from here on.
-    heads = nodes.where("fps is not null").select("hi", "lo", "head", "fps", (F.col("copies") == 1).alias("single"))
-    windows = _windows(source.join(heads, F.col("doc_id").eqNullSafe(F.col("head")))).withColumn("w", F.monotonically_increasing_id())
-    windows = scratch.save(windows, "windows")
-    each = windows.select("w", "single", F.explode(F.arrays_zip("at", "fp", "full")).alias("x")).select("w", "single", "x.*")
-    # Written, so that the join below has exchanges of its own on both sides, which may be split where a window is hot.
-    twice = scratch.save(each.groupBy("fp", "full").agg(F.count("*").alias("times")).where("times > 1").select("fp", "full"), "twice")
-    # Copies go whole; their windows only count for others.
-    hits = each.where("single").select("fp", "full", "w", "at").join(twice, ["fp", "full"], "left_semi").groupBy("w").agg(F.collect_list("at").alias("starts"))
-    parts = _cut(windows.select("w", "hi", "lo", "text").join(hits, "w").drop("w"))
-    if not texts:
-        parts = parts.drop("kept_text")
-    parts = scratch.save(parts, "parts")
-    scratch.drop("windows", "twice")
-
-    whole = nodes.where("copies > 1").select("hi", "lo", F.lit(True).alias("whole"))
-    out = rows.select("doc_id", "hi", "lo", "n_words", "kept").join(whole, ["hi", "lo"], "left").join(parts, ["hi", "lo"], "left")
-    none = hashlib.sha256(b"").hexdigest()
-    removed = F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("gone", F.lit(0)))
-    digest = F.when(F.col("whole"), F.lit(none)).otherwise(F.coalesce("kept_part", "kept"))
-    columns = ["doc_id", "n_words", removed.cast("long").alias("n_removed"), digest.alias("kept_sha256")]
-    if texts:
-        columns.append(F.when(F.col("whole"), F.lit(b"")).otherwise(F.col("kept_text")).alias("kept_text"))
-    return out.select(*columns)
+    return out

@@ -145,17 +145,39 @@ def test_kept_texts(spark):
     assert out and all(hashlib.sha256(r.kept_text).hexdigest() == r.kept_sha256 for r in out)
 
 
-def test_index_runs(spark, tmp_path):
-    index = fingerprint_index.FingerprintIndex(spark, f"file://{tmp_path}/runs", buckets=3)
-    batch = lambda *values: spark.createDataFrame([(v,) for v in values], "fp bigint")
-    index.ingest(batch(1, 2, 3))
-    assert {r.fp for r in index.known(batch(2, 9)).collect()} == {2}
-    index.ingest(batch(3, 4, 4))
-    index.ingest(batch(5, 1))
-    assert len(index.runs) == 1  # compacted
-    assert {r.fp for r in index.repeated().collect()} == {1, 3, 4}
+def test_an_index_outlasts_its_sessions(spark, tmp_path):
+    """Batches added one by one, each after reopening the folder, equal one pass over all; compaction changes nothing."""
+    rows = corpus()
+    rng = random.Random(14)
+    rng.shuffle(rows)
+    rows.append((5000, rows[3][1]))  # a copy of a row of another batch
+    root = f"file://{tmp_path}/index"
+    as_frame = lambda part: spark.createDataFrame([(i, None if t is None else t.encode()) for i, t in part], "doc_id bigint, text binary")
+    sizes = []
+    for n in range(5):
+        index = fingerprint_index.FingerprintIndex(spark, root, buckets=3)
+        assert index.state["batches"] == n
+        assert index.add(as_frame(rows[n::5])) == n
+        sizes.append((len(index.state["fp"]), len(index.state["window"])))
+        so_far = [r for m in range(n + 1) for r in rows[m::5]]
+        got = {r.doc_id: tuple(r)[1:] for r in index.result().collect()}
+        assert got == removed(so_far)
+        fresh = {r.doc_id: tuple(r)[1:] for r in index.result(batches=[n]).collect()}
+        assert fresh == {i: got[i] for i, _ in rows[n::5]}
+        index.close()
+    assert sizes == [(1, 1), (2, 2), (1, 1), (2, 2), (1, 1)]
+    index = fingerprint_index.FingerprintIndex(spark, root)
+    assert index.known(as_frame(rows[:1])).count() == index.known(as_frame([(0, rows[0][1]), (1, "new words " * 3)])).count()
+    assert index.known(as_frame([(1, "words that are new " * 20)])).count() == 0
     index.close()
-    assert not index.runs
+
+
+def test_rows_without_doc_id_are_treated_alike(spark):
+    rng = random.Random(15)
+    text, own = prose(rng, 60), prose(rng, 60)
+    docs = spark.createDataFrame([(None, text), (None, text.replace(" ", "\n")), (None, own), (None, None), (4, f"x {text} y")], "doc_id bigint, text string")
+    out = Counter((r.doc_id, r.n_words, r.n_removed) for r in fingerprint_index.remove_repeats(docs).collect())
+    assert out == Counter({(None, 60, 60): 2, (None, 60, 0): 1, (None, 0, 0): 1, (4, 62, 60): 1})
 
 
 # --- BPE
