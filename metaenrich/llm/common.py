@@ -33,6 +33,22 @@ def locate(key: Column, bounds: list[int]) -> Column:
     return first + F.size(F.filter(F.slice(literal(bounds), first + 1, F.lit(step)), lambda b: b <= key))
 
 
+#: A key with more than 1 / HOT of all rows is hot; there are fewer than HOT of them.
+HOT = 10_000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], counts: DataFrame, total: int) -> DataFrame:
+    """rows left-joined with a table that has a row a key; hot keys' rows stay where they are.
+
+    counts (keys, k) tells how many rows a key has; the table's rows of the fewer than HOT hot keys are broadcast, only
+    the others are dealt by key.
+    """
+    hot = F.broadcast(table.join(counts.where(F.col("k") > total / HOT).select(*keys), keys, "left_semi").withColumn("__hot", F.lit(True)))
+    first = rows.join(hot, keys, "left")
+    rest = first.where("__hot is null").select(*rows.columns).join(table, keys, "left")
+    return first.where("__hot").drop("__hot").union(rest.select(*[c for c in first.columns if c != "__hot"]))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -39,14 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_signed, delete_path, rolling, rows_of, shuffle_partitions, sliding_min, tidy, word_hashes
+from .common import HOT, Scratch, as_signed, delete_path, rolling, rows_of, shuffle_partitions, sliding_min, tidy, word_hashes
 
 WIDTH = 35
 GRAM = 8
 BATCHES = 3
 FAN_IN = 2
-#: Texts with more than 1 / HOT of all rows; there are fewer than HOT of them.
-HOT = 10_000
 #: Texts whose copies a task recognizes (8 bytes each).
 _RECENT = 500_000
 #: Windows of a batch of rows that a worker holds.
@@ -187,11 +185,12 @@ class FingerprintIndex:
         single = self._parts("windows").where("copies = 1")
         hits = _each(single).join(twice, ["fp", "full"], "left_semi").groupBy("hi", "lo").agg(F.collect_list("at").alias("starts"))
         hits = self._save(hits, "hits")
+        blank = [F.lit(None).cast(t).alias(c) for c, t in (("gone", "bigint"), ("kept_part", "string"), ("kept_text", "binary"))]
         verdicts, rows = None, self._parts("rows") if batches is None else self.spark.read.parquet(*(f"{self.root}/rows-{i}" for i in batches))
         for name in self.state["text"]:
             table = self.spark.table(name)
             some = _cut(table.where("copies = 1").select("hi", "lo", "text").join(hits, ["hi", "lo"]), texts)
-            whole = table.where("copies > 1").select("hi", "lo", "copies", F.lit(None).cast("bigint").alias("gone"), F.lit(None).cast("string").alias("kept_part"), F.lit(None).cast("binary").alias("kept_text"))
+            whole = table.where("copies > 1").select("hi", "lo", "copies", *blank)
             verdicts = some.union(whole) if verdicts is None else verdicts.union(some).union(whole)
         # A text that several batches hold has one verdict of each; all its windows are repeats, or it has none at all.
         verdicts = self._save(verdicts, "verdicts").dropDuplicates(["hi", "lo"])
@@ -199,10 +198,11 @@ class FingerprintIndex:
             delete_path(self.spark, f"{self.root}/{name}")
         copied = self.spark.read.parquet(f"{self.root}/verdicts").where("copies > 1")
         hot = F.broadcast(copied.where(F.col("copies") > rows.count() / HOT).select("hi", "lo").distinct().withColumn("hot", F.lit(True)))  # fewer than HOT rows
-        parted = rows.join(hot, ["hi", "lo"], "left")
-        judged = parted.where("hot is null").join(verdicts.select("hi", "lo", (F.col("copies") > 1).alias("whole"), "gone", "kept_part", "kept_text"), ["hi", "lo"], "left")
-        alike = parted.where("hot").select(*parted.columns, F.lit(True).alias("whole"), F.lit(None).cast("bigint").alias("gone"), F.lit(None).cast("string").alias("kept_part"), F.lit(None).cast("binary").alias("kept_text"))
-        out = judged.select(*alike.columns).union(alike)
+        short = rows.where(F.col("n_words") < WIDTH).select("hi", "lo", "doc_id", "n_words", "kept", F.lit(None).cast("boolean").alias("whole"), *blank)
+        parted = rows.where(F.col("n_words") >= WIDTH).join(hot, ["hi", "lo"], "left").select("hi", "lo", "doc_id", "n_words", "kept", "hot")
+        judged = parted.where("hot is null").drop("hot").join(verdicts.select("hi", "lo", (F.col("copies") > 1).alias("whole"), "gone", "kept_part", "kept_text"), ["hi", "lo"], "left")
+        alike = parted.where("hot").drop("hot").select("*", F.lit(True).alias("whole"), *blank)
+        out = judged.select(*alike.columns).union(alike).union(short)
         none = hashlib.sha256(b"").hexdigest()
         removed = F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("gone", F.lit(0)))
         columns = ["doc_id", "n_words", removed.cast("long").alias("n_removed"), F.when(F.col("whole"), F.lit(none)).otherwise(F.coalesce("kept_part", "kept")).alias("kept_sha256")]

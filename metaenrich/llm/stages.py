@@ -23,8 +23,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = token_groups.components(docs)
     firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first"))
     stays = docs.join(firsts.distinct(), F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    repeats = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return stays.dropDuplicates() if repeats else stays
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return stays
+    # As text, so that columns of any type can be compared.
+    return stays.withColumn("__row", F.to_json(F.struct("*"))).dropDuplicates(["__row"]).drop("__row")
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,17 +5,24 @@ shingle). Two documents link when 100 * |intersection| >= 80 * |union|; componen
 classes of these links.
 
 Method:
-1. Equal sets collapse to one node. Nodes are partitioned into groups of similar sets (same min-hash, dealt into
-   chunks of at most about GROUP_SIZE).
+1. Equal sets (by 128 bits) collapse to one node. Nodes are partitioned into groups of similar sets (same min-hash,
+   dealt into chunks of at most about GROUP_SIZE).
 2. The matrix holds, per group, the union of its members' tokens. Only prefix tokens are stored: in a global
    token order, sets that link share one of their first n - ceil(0.8 n) + 1 tokens. Tokens that occur often
    (by a count sketch) come last in that order, so common passages hardly ever nominate anything.
 3. Groups are opened by themselves first, level by level (groups, then groups of their leaders), which joins
    large families without looking at all their pairs.
-4. Queries then meet the groups with which they share a prefix token and in which someone is in another class
-   still: first one group per token, then all that remain. The bound |query & union| >= 0.8 |query| decides whether a group is opened; its members are compared
-   exactly. Pairs inside one class need no look, as they cannot change the classes. No pair that could link two
-   classes is left out, whatever the sketch and the min-hash say: these only order and pack the work.
+4. Queries then meet the groups with whose union they share a prefix token and in which someone is in another class
+   still: first one group per token, then all that remain. From the sizes and the tokens that the query shares with the
+   stored union follows a bound on the overlap with any member; only groups within it are opened, and only then do whole
+   sets move. In an opened group the union of the whole sets bounds once more, then members are compared exactly. Pairs
+   inside one class need no look, as they cannot change the classes. No pair that could link two classes is left out,
+   whatever the sketch and the min-hash say: these only order and pack the work.
+
+A text moves twice: to its node, and, if its node shares a prefix token with another, into a table bucketed by node,
+from which sets are made where they are needed. Nothing is joined by doc_id. A token, node or class may be hot: tokens
+are counted before they move and then joined (adaptive execution may split them), rows meet the results of hot nodes and
+classes by a bounded broadcast.
 
 Null and empty texts have an empty set and link with nothing: n_shingles 0, component_id their own doc_id.
 Repeated rows are copies of each other. A row without doc_id belongs to its class but never names it. Columns other than
@@ -24,6 +31,7 @@ key and text are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_signed, mix64, rolling, rows_of, word_hashes
+from .common import Scratch, as_signed, join_hot, mix64, rolling, rows_of, shuffle_partitions, tidy, word_hashes
 
 WIDTH = 5
 #: Similarity in hundredths.
@@ -46,6 +54,8 @@ QUERY_BLOCK = 256
 SKETCH_BITS = 22
 #: A slot is sent on from a task once it is hit so often there, and is common from so many hits in all.
 SKETCH_LOCAL, SKETCH_COMMON = 5, 128
+#: Sets whose copies a task recognizes.
+_RECENT = 500_000
 _GROUP_SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -117,73 +127,69 @@ def common_tokens(docs: DataFrame) -> bytes:
 
 
 def _describe(docs: DataFrame, classes: bytes) -> DataFrame:
-    """doc_id, n, node (content key of the set), grp (min-hash), pre (prefix tokens)."""
+    """doc_id, n, hi, lo (content key of the set), and of the first copy in a task grp (min-hash), pre (prefix tokens) and text."""
     shipped = docs.sparkSession.sparkContext.broadcast(classes)
+    id_type = dict(docs.dtypes)["doc_id"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    names = ["doc_id", "n", "hi", "lo", "grp", "pre", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.frombuffer(zlib.decompress(shipped.value), np.uint8)
         mask = np.uint64((1 << SKETCH_BITS) - 1)
-        sent: set[int] = set()
-        rows: list[tuple] = []
-
-        def pack() -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True))
-            arrays = [pa.array(c, t) for c, t in zip(columns[:4], [id_type, pa.int64(), pa.int64(), pa.int64()], strict=True)]
-            sizes = np.array([0, *map(len, columns[4])]).cumsum()
-            values = np.concatenate([*columns[4], np.empty(0, np.int64)])
-            arrays.append(pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64())))
-            rows.clear()
-            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "node", "grp", "pre"])
-
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            for doc_id, text in rows_of([batch], "doc_id", "text"):
-                tokens = shingles(text)
-                n = len(tokens)
-                if not n:
-                    rows.append((doc_id, 0, None, None, np.empty(0, np.int64)))
-                else:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                rows: list[tuple] = []
+                for (text,) in rows_of([part], "text"):
+                    tokens = shingles(text)
+                    n = len(tokens)
+                    if not n:
+                        rows.append((0, None, None, None, None, None))
+                        continue
                     node = _node(tokens)
+                    if node in sent:  # a copy in this task has sent the rest already
+                        rows.append((n, *node, None, None, None))
+                        continue
+                    if len(sent) >= _RECENT:
+                        sent.clear()
+                    sent.add(node)
+                    cost = order[(tokens & mask).astype(np.int64)]
+                    ranked = tokens[np.argsort(cost, kind="stable")] if cost.any() else tokens
                     group = int(as_signed(mix64(tokens ^ _GROUP_SALT).min(keepdims=True))[0])
-                    if node in sent:  # a copy in this task has sent the prefix already
-                        pre = np.empty(0, np.int64)
-                    else:
-                        if len(sent) >= 1_000_000:
-                            sent.clear()
-                        sent.add(node)
-                        cost = order[(tokens & mask).astype(np.int64)]
-                        ranked = tokens[np.argsort(cost, kind="stable")] if cost.any() else tokens
-                        pre = as_signed(ranked[: prefix_length(n)])
-                    rows.append((doc_id, n, node, group, pre))
-                if len(rows) >= 1000:
-                    yield pack()
-            if rows:
-                yield pack()
+                    rows.append((n, *node, group, as_signed(ranked[: prefix_length(n)]), text))
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True))], names)
 
-    id_type = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {id_type}, n bigint, node bigint, grp bigint, pre array<bigint>")
+    return docs.mapInArrow(run, f"doc_id {id_type}, n bigint, hi bigint, lo bigint, grp bigint, pre array<bigint>, text binary")
 
 
-def _node(tokens: np.ndarray) -> int:
+def _node(tokens: np.ndarray) -> tuple[int, int]:
     """Content key of a set: equal sets, and only they, are one node."""
-    digest = xxhash.xxh3_64_intdigest(tokens.tobytes(), seed=len(tokens) & 0xFFFF)
-    return digest - (1 << 64) if digest >> 63 else digest
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.int64).tolist())
 
 
-def _sets(source: DataFrame, heads: DataFrame) -> DataFrame:
-    """node and the whole set of each head; a text that isn't the node's (its doc_id stands in several rows) goes."""
+class _Texts:
+    """Texts by node, bucketed, so that they don't move when some of them are asked for."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                rows = [(node, tokens) for node, text in rows_of([batch.slice(start, 512)], "node", "text") if len(tokens := shingles(text)) and _node(tokens) == node]
-                sizes = np.array([0, *(len(t) for _, t in rows)]).cumsum()
-                values = as_signed(np.concatenate([*(t for _, t in rows), np.empty(0, np.uint64)]))
-                tokens = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), tokens], ["node", "tokens"])
+    def __init__(self, spark, root: str, texts: DataFrame):
+        self.spark, self.root, self.name = spark, root, f"texts_{uuid.uuid4().hex}"
+        with tidy(spark):
+            texts.write.bucketBy(shuffle_partitions(spark), "node").sortBy("node").option("path", f"{root}/texts").option("compression", "zstd").saveAsTable(self.name)
+
+    def sets(self, needed: DataFrame) -> DataFrame:
+        """node and the whole set of the nodes needed."""
 
-    texts = source.join(heads.select("node", F.col("doc_id").alias("head")), F.col("doc_id").eqNullSafe(F.col("head")))
-    return texts.select("node", "text").mapInArrow(run, "node bigint, tokens array<bigint>")
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    rows = [(node, as_signed(shingles(text))) for node, text in rows_of([batch.slice(start, 256)], "node", "text")]
+                    yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.list_(pa.int64()))], ["node", "tokens"])
+
+        return self.spark.table(self.name).join(needed.select("node"), "node", "left_semi").mapInArrow(run, "node bigint, tokens array<bigint>")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
 def _arrays(table: pa.Table) -> list[np.ndarray]:
@@ -212,20 +218,20 @@ def _query_group(table: pa.Table) -> pa.Table:
     """Links of a block of queries (asks) with members of one group that are in other classes."""
     asks = table.column("asks")
     members, queries = table.filter(pc.invert(asks)), table.filter(asks)
-    comps, sets = members.column("comp").to_pylist(), _arrays(members)
+    comps, nodes, sets = members.column("comp").to_pylist(), members.column("node").to_pylist(), _arrays(members)
     found: list[tuple[int, int]] = []
     if comps and queries.num_rows:
         union = np.unique(np.concatenate(sets))
         seen = Classes(list({*comps, *queries.column("comp").to_pylist()}))
-        for comp, tokens in zip(queries.column("comp").to_pylist(), _arrays(queries), strict=True):
+        for comp, asked, tokens in zip(queries.column("comp").to_pylist(), queries.column("node").to_pylist(), _arrays(queries), strict=True):
             at = np.searchsorted(union, tokens)
             at[at == len(union)] = 0
             if 100 * int(np.count_nonzero(union[at] == tokens)) < LEAST * len(tokens):
                 continue  # the bound: nobody in this group can be similar enough
-            for other, members_set in zip(comps, sets, strict=True):
+            for other, member, members_set in zip(comps, nodes, sets, strict=True):
                 if seen.find(comp) != seen.find(other) and links(tokens, members_set):
                     seen.join(comp, other)
-                    found.append((comp, other))
+                    found.append((asked, member))
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
@@ -280,15 +286,23 @@ def _leaders(dealt: DataFrame, opened: DataFrame) -> DataFrame:
     return votes.groupBy("gid", "grp", "root").agg(F.count("*").alias("k")).groupBy("gid", "grp").agg(F.max_by("root", F.struct("k", "root")).alias("node")).select("node", "grp")
 
 
+def _classes(info: DataFrame, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """info with comp, the smallest node reachable over the edges (a, b)."""
+    found = connected(edges, scratch, name)
+    return scratch.save(info.drop("comp").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), f"info-{name}")
+
+
 def _open_tokens(scratch: Scratch, matrix: DataFrame, info: DataFrame, name: str) -> DataFrame:
     """Rows of the matrix whose token stands in several classes, with size, class and group (to)."""
-    rows = matrix.join(info.select("node", "n", "comp", F.xxhash64("gid", "comp").alias("to")), "node").repartition("token")
+    rows = scratch.save(matrix.join(info.select("node", "n", "comp", F.xxhash64("gid", "comp").alias("to")), "node"), f"rows-{name}")
     differ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    return scratch.save(rows.join(differ, "token", "left_semi"), name)
+    out = scratch.save(rows.join(differ, "token", "left_semi"), name)
+    scratch.drop(f"rows-{name}")
+    return out
 
 
-def _meet(scratch: Scratch, source: DataFrame, sets: DataFrame, info: DataFrame, queries: DataFrame, groups: DataFrame, apart: Column, name: str) -> tuple[DataFrame, DataFrame]:
-    """Opens the groups (token, to, g_comp) that queries (token, node, comp, n) may link with; returns (sets, info), grown and merged."""
+def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, queries: DataFrame, groups: DataFrame, apart: Column, name: str) -> tuple[DataFrame, DataFrame]:
+    """Opens the groups (token, to, g_comp) that queries (token, node, comp, n) may link with; returns the sets, grown, and the links."""
     sizes = info.groupBy(F.xxhash64("gid", "comp").alias("to")).agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
     fits = apart & (F.col("n_lo") * LEAST <= F.col("n") * 100) & (F.col("n_hi") * 100 >= F.col("n") * LEAST)
     met = queries.select("token", "node", "comp", "n").join(groups.join(sizes, "to"), "token").where(fits).groupBy("node", "comp", "n", "to", "n_lo", "n_hi").agg(F.count("*").alias("c"))
@@ -299,17 +313,14 @@ def _meet(scratch: Scratch, source: DataFrame, sets: DataFrame, info: DataFrame,
 
     members = info.select("node", "comp", F.xxhash64("gid", "comp").alias("to"))
     needed = pairs.select("node").union(members.join(pairs.select("to").distinct(), "to", "left_semi").select("node")).distinct()
-    missing = scratch.save(info.select("node", "doc_id").join(needed, "node", "left_semi").join(sets.select("node"), "node", "left_anti"), f"missing-{name}")
-    sets = sets.union(scratch.save(_sets(source, missing), f"sets-{name}"))
+    missing = scratch.save(needed.join(sets.select("node"), "node", "left_anti"), f"missing-{name}")
+    sets = sets.union(scratch.save(texts.sets(missing), f"sets-{name}"))
     load = pairs.groupBy("to").agg(F.ceil(F.count("*") / F.lit(QUERY_BLOCK)).alias("blocks"))
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
     asked = pairs.join(load, "to").select("node", "comp", "to", block.alias("block"), F.lit(True).alias("asks"))
     held = members.join(load, "to").select("node", "comp", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"))
-    links = asked.union(held).join(sets, "node").drop("node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
-    merged = connected(links, scratch, name).select(F.col("node").alias("comp"), F.col("comp").alias("final"))
-    info = info.join(merged, "comp", "left").select("node", "doc_id", "n", "gid", F.coalesce("final", "comp").alias("comp"))
-    info = scratch.save(info, f"info-{name}")
-    return sets, info
+    links = asked.union(held).join(sets, "node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
+    return sets, scratch.save(links, f"links-{name}")
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -317,16 +328,24 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     scratch = Scratch(docs.sparkSession, "groups")
     source = _binary(docs, key, text)
     described = scratch.save(_describe(source, common_tokens(source)), "described")
-
-    # Prefix tokens that more than one node has; one exchange serves the search for them and the rows that have them.
-    rows = described.where(F.size("pre") > 0).select("node", F.explode("pre").alias("token")).repartition("token")
-    shared = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
-    matrix = scratch.save(rows.join(shared, "token", "left_semi").distinct(), "matrix")
-    heads = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("grp").alias("grp"), F.first("n").alias("n"))
-    dealt = scratch.save(_packed(scratch, heads.join(matrix.select("node").distinct(), "node", "left_semi")), "dealt")
+    rows = scratch.save(described.select("doc_id", "n", "hi", "lo"), "rows")
+    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("grp", "pre", "text")]
+    nodes = described.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("low"), F.count("*").alias("k"), F.first("n").alias("n"), *firsts)
+    nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    scratch.drop("described")
+
+    # Prefix tokens that more than one node has.
+    each = nodes.select("node", F.explode("pre").alias("token"))
+    shared = each.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
+    matrix = scratch.save(each.join(shared, "token", "left_semi"), "matrix")
+    open_nodes = scratch.save(matrix.select("node").distinct(), "open-nodes")
+    texts = _Texts(scratch.spark, scratch.root, nodes.select("node", "text").join(open_nodes, "node", "left_semi"))
+    node_rows = scratch.save(nodes.drop("pre", "text"), "node-rows")
+    scratch.drop("nodes")
+    dealt = scratch.save(_packed(scratch, node_rows.select("node", "grp", "n").join(open_nodes, "node", "left_semi")), "dealt")
 
     # Groups open by themselves; then the leaders of a family's chunks form groups, until one is left.
-    near = scratch.save(_sets(source, dealt.where("k > 1")), "sets-near")
+    near = scratch.save(texts.sets(dealt.where("k > 1")), "sets-near")
     opened = _open_level(scratch, dealt, near, 0)
     edges, level, step = opened, dealt, 0
     while level.where("chunks > 1").limit(1).count():
@@ -334,23 +353,34 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         level = scratch.save(_packed(scratch, _leaders(level, opened), step), f"level-{step}")
         opened = _open_level(scratch, level, near, step)
         edges = edges.union(opened)
-    first = connected(edges.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")), scratch, "near")
-    info = dealt.join(first, "node", "left").select("node", "doc_id", "n", "gid", F.coalesce("comp", "node").alias("comp"))
-    info = scratch.save(info, "info-near")
+    edges = edges.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    info = _classes(dealt.select("node", "n", "gid"), edges, scratch, "near")
 
     # What is left: queries and groups (of one class each from here on) that share prefix tokens but not the class.
     # First every query meets one group per token only, the one with most members there: linear in the tokens, and it
     # joins much of a large family. Then all that still differ meet.
     open_ = _open_tokens(scratch, matrix, info, "open-hub")
-    counts = open_.groupBy("token", "to", "comp").agg(F.count("*").alias("k"))
-    hubs = counts.groupBy("token").agg(F.max_by(F.struct("to", F.col("comp").alias("g_comp")), F.struct("k", "to")).alias("hub")).select("token", "hub.*")
-    sets, info = _meet(scratch, source, near, info, open_, hubs, F.col("comp") != F.col("g_comp"), "hub")
-    open_ = _open_tokens(scratch, open_.select("token", "node"), info, "open-all")
-    groups = open_.select("token", "to", F.col("comp").alias("g_comp")).distinct()
-    _, info = _meet(scratch, source, sets, info, open_, groups, F.col("comp") > F.col("g_comp"), "all")
-    classes = info.select("node", "comp")
-
-    lowest = described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    ids = lowest.groupBy("comp").agg(F.min("low").alias("component_id"))
-    ids = lowest.select("node", "comp").join(ids, "comp").select("node", "component_id")
-    return described.select("doc_id", F.col("n").alias("n_shingles"), "node").join(ids, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if not open_.isEmpty():
+        counts = open_.groupBy("token", "to", "comp").agg(F.count("*").alias("k"))
+        hubs = counts.groupBy("token").agg(F.max_by(F.struct("to", F.col("comp").alias("g_comp")), F.struct("k", "to")).alias("hub")).select("token", "hub.*")
+        sets, links = _meet(scratch, texts, near, info, open_, hubs, F.col("comp") != F.col("g_comp"), "hub")
+        edges = info.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(links)
+        info = _classes(info, edges, scratch, "hub")
+        open_ = _open_tokens(scratch, open_.select("token", "node"), info, "open-all")
+    if not open_.isEmpty():
+        # The matrix of what is open: tokens of the groups' unions.
+        groups = scratch.save(open_.select("token", "to", F.col("comp").alias("g_comp")).distinct(), "unions")
+        _, links = _meet(scratch, texts, sets, info, open_, groups, F.col("comp") > F.col("g_comp"), "all")
+        edges = info.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(links)
+        info = _classes(info, edges, scratch, "all")
+    texts.drop()
+
+    named = node_rows.select("hi", "lo", "node", "low", "k").join(info.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = scratch.save(named, "named")
+    ids = named.groupBy("comp").agg(F.min("low").alias("component_id"), F.count("*").alias("k"))
+    ids = scratch.save(ids, "ids")
+    of_node = join_hot(named.select("comp", "hi", "lo", F.col("k").alias("copies")), ids.select("comp", "component_id"), ["comp"], ids, named.count())
+    of_node = scratch.save(of_node.select("hi", "lo", "component_id", "copies"), "of-node")
+    filled, none = rows.where("hi is not null"), rows.where("hi is null").withColumn("component_id", F.lit(None).cast(dict(rows.dtypes)["doc_id"]))
+    out = join_hot(filled, of_node.drop("copies"), ["hi", "lo"], of_node.select("hi", "lo", F.col("copies").alias("k")), rows.count()).unionByName(none)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
