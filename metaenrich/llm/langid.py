@@ -54,7 +54,8 @@ def mark(text: str, row: np.ndarray) -> None:
     """Sets the slots of the text's n-grams in a row of zeros. Long texts are read in overlapping blocks."""
     shift = np.uint32(32 - DIMS.bit_length() + 1)
     for start in range(0, max(1, len(text)), _BLOCK_CHARS):
-        points = _fold(f" {text[max(0, start - MAX_GRAM) : start + _BLOCK_CHARS]} ")
+        stop = start + _BLOCK_CHARS
+        points = _fold(f"{'' if start else ' '}{text[max(0, start - MAX_GRAM + 1) : stop]}{'' if stop < len(text) else ' '}")
         grown = np.zeros(len(points), np.uint32)
         for n in range(1, MAX_GRAM + 1):
             if len(points) < n:

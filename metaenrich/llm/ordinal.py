@@ -9,8 +9,8 @@ as a, A, digits as 9, punctuation as it is), shares of tokens and lines that rep
 the first STEM characters of the words, presence of each level of LEVELS that their rate (occurrences by words + DAMP)
 reaches, so that a stem with ever other endings counts as one. All are hashed, words into SLOTS, stems behind them.
 
-Training reads at most SAMPLE labelled rows (those with the smallest key hash); that bound doesn't depend on the
-input. A word's or stem's weight is at most 0: however long a text is, its ordinary words don't make up for an insult.
+Training reads at most SAMPLE labelled rows, those with the smallest key hash, one of each key; that bound doesn't depend
+on the input. A word's or stem's weight is at most 0: however long a text is, its ordinary words don't make up for an insult.
 Words and stem levels that fewer than MIN_ROWS of these rows have, or that are independent of the grade, get no weight.
 
 Null and empty texts have no words and get the score of the bias; rows without label are scored like others; of
@@ -59,7 +59,7 @@ class Tokens(dict):
     """Word to (word slot, shape slot, number of its stem or -1); a bounded cache."""
 
     def __missing__(self, word: bytes) -> tuple[int, int, int]:
-        shape = _REST.sub(rb"\1\1\1", _NUM.sub(b"9", _UP.sub(b"A", _LOW.sub(b"a", word))))[:12]
+        shape = _REST.sub(rb"\1\1\1", _NUM.sub(b"9", _UP.sub(b"A", _LOW.sub(b"a", word))))
         bare = word.lower().strip(_EDGES)
         stem = _BEGIN.sub("", bare.decode("utf-8", "replace").lower())[:STEM]
         found = (
@@ -88,7 +88,7 @@ def features(text: bytes | None, tokens: Tokens) -> tuple[np.ndarray, np.ndarray
     stems, times = np.unique(pairs[pairs[:, 2] >= 0, 2], return_counts=True)
     rates = times / (n + DAMP)
     stems = np.concatenate([stems[rates >= least] + (SLOTS + i * STEM_SLOTS) for i, least in enumerate(LEVELS)])
-    dense = [(2, 1.0), (3, 5 * runs), (4, 2 * again), (5, 2 * (1 - len(present) / n) * (n > 50)), (6 + min(9, n.bit_length()), 1.0)]
+    dense = [(2, 1.0), (3, 5 * runs), (4, 2 * again), (5, 2 * (1 - len(present) / n) * n / (n + DAMP)), (6 + min(9, n.bit_length()), 1.0)]
     slots = np.concatenate([present[present > 0], stems, shapes, [d[0] for d in dense]])
     values = np.concatenate([np.ones(np.count_nonzero(present > 0) + len(stems)), 3 * np.sqrt(counts / n), [d[1] for d in dense]])
     return slots, values.astype(np.float32)
@@ -174,7 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 packed.append(zlib.compress(pickle.dumps((slots.astype(np.int32), values.astype(np.float16))), 1))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(grades, pa.int32()), pa.array(packed, pa.binary())], ["k", "g", "row"])
 
-    rows = source.select("k", "g", "text").mapInArrow(run, "k bigint, g int, row binary").collect()
+    # However many rows share a labelled key, one of them counts.
+    packed = source.select("k", "g", "text").mapInArrow(run, "k bigint, g int, row binary")
+    rows = packed.groupBy("k", "g").agg(F.min("row").alias("row")).limit(sample).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.k, bytes(r.row)))

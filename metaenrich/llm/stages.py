@@ -2,11 +2,14 @@
 
 All but the last return the columns of their input. Null and empty texts pass the filters (an empty set of shingles is
 nobody's copy, an empty text holds no benchmark item) unless the quality model rejects them. Rows repeated in every
-column are copies of each other, so one stays. Rows without doc_id stay unless a copy with doc_id does.
+column are copies of each other, so one stays. Rows without doc_id are told apart by their content; they stay where no
+copy with doc_id does.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +23,16 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = token_groups.components(docs)
-    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first"))
-    stays = docs.join(firsts.distinct(), F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return stays
-    # As text, so that columns of any type can be compared.
-    return stays.withColumn("__row", F.to_json(F.struct("*"))).dropDuplicates(["__row"]).drop("__row")
+    """Of each class of near-duplicates the row with the smallest doc_id (then by a hash of the whole row) stays."""
+    key, first = (f"{name}_{uuid.uuid4().hex}" for name in ("key", "first"))  # names that no table has
+    whole = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(F.to_json(F.struct("*"))).alias("row"))
+    keyed = docs.withColumn(key, whole)
+    found = token_groups.components(keyed, key=key)
+    firsts = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(first)).distinct()
+    stays = keyed.join(firsts, F.col(key) == F.col(first), "left_semi")
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        stays = stays.dropDuplicates([key])
+    return stays.drop(key)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
