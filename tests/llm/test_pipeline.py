@@ -7,12 +7,15 @@ import sys
 from pathlib import Path
 
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from metaenrich.llm import edit_match, ordinal, pii_crf, registry, stages
+from metaenrich.llm import bpe, edit_match, ordinal, pii_crf, registry, stages
 from metaenrich.llm.common import table
-from tests.llm.test_small import classes, shingle_sets
+from tests.llm.test_small import base_spans, classes, shingle_sets
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -40,14 +43,46 @@ def test_stages_against_brute_force(spark, tables):
     assert {r.doc_id for r in stages.one_of_each_group(spark, docs.union(docs.limit(3)), tables).collect()} == {i for i in rows if low[i] == i}
     assert stages.one_of_each_group(spark, docs.union(docs.limit(3)), tables).count() == len({*low.values()})
 
-    items = [edit_match.plain(r.text) for r in table(spark, tables, "benchmark").collect()]
+    items = [r.text for r in table(spark, tables, "benchmark").collect()]
     clean = {r.doc_id for r in stages.without_benchmarks(spark, docs, tables).collect()}
-    exact = {i for i, r in rows.items() if any(x in edit_match.plain(r.text) for x in items)}
-    assert exact and not exact & clean and len(clean) >= len(rows) - len(exact) - 2
+    found = {r.doc_id for r in registry.queries()["op5_edit_match"](spark, tables).select("doc_id").collect()}
+    assert found and clean == set(rows) - found
+    short = {i: edit_match.plain(r.text or "") for i, r in rows.items() if len(r.text or "") < 3000}
+    wanted = [edit_match.plain(t) for t in items]
+    assert {i for i, body in short.items() if any(t in body for t in wanted)} <= found
+    for t in wanted[:12]:
+        near = {i for i, d in zip(short, distances(t, list(short.values())), strict=True) if d <= edit_match.budget(len(t))}
+        assert near <= found
+        again = edit_match.find_items(docs, spark.createDataFrame([(1, t)], "item_id int, text string")).collect()
+        assert {r.doc_id for r in again} & set(short) == near
 
     masked = {r.doc_id: r for r in stages.redacted(spark, docs, tables).collect()}
-    field = pii_crf.train(docs)
-    assert all(masked[i].text == pii_crf.mask(r.text, field) and masked[i].n_chars == len(masked[i].text) for i, r in rows.items())
+    for i, r in rows.items():
+        spans = [x.split(":") for x in base_spans(r.text or "")]
+        assert not base_spans(masked[i].text or "") and all((r.text[int(a) : int(b)] not in masked[i].text) for _, a, b in spans)
+        assert masked[i].n_chars == len(masked[i].text or "") and (spans or masked[i].text == r.text or "[" in masked[i].text)
+
+    library = Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY))
+    library.no_padding(), library.no_truncation()
+    for r in stages.encoded(spark, docs, tables).collect():
+        assert r.ids == library.encode(rows[r.doc_id].text or "", add_special_tokens=False).ids
+
+
+def distances(item, texts):
+    """Least edit distance of the item to a substring of each text, by the plain table, all texts at a time."""
+    longest = max(map(len, texts))
+    chars = np.zeros((len(texts), longest), np.int64)
+    for i, t in enumerate(texts):
+        chars[i, : len(t)] = [ord(c) for c in t]
+    pattern, steps = np.array([ord(c) for c in item]), np.arange(len(item) + 1)
+    row = np.tile(steps, (len(texts), 1))
+    best = row[:, -1].copy()
+    for j in range(longest):
+        new = np.minimum(row + 1, np.concatenate([np.zeros((len(texts), 1), np.int64), row[:, :-1] + (chars[:, j : j + 1] != pattern)], axis=1))
+        new[:, 0] = 0
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+        best = np.minimum(best, row[:, -1])
+    return best.tolist()
 
 
 def test_run(spark, tables):
