@@ -81,7 +81,7 @@ class Scratch:
     def save(self, frame: DataFrame, name: str) -> DataFrame:
         """Writes the frame and reads it again; the shuffle files of this step go as soon as it is written."""
         with tidy(self.spark):
-            frame.write.mode("overwrite").parquet(self.path(name))
+            frame.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
