@@ -237,7 +237,7 @@ class Field:
 
     @staticmethod
     def prior() -> Field:
-        return Field(_prior(), 0.1 * np.eye(len(STATES)), 6.0, 5.0)
+        return Field(_prior(), 0.1 * np.eye(len(STATES)), 7.5, 6.0)
 
     def potentials(self, found: frozenset[str]) -> np.ndarray:
         return self.unary[[FEATURES[f] for f in found]].sum(axis=0)

@@ -19,8 +19,8 @@ Method:
    inside one class need no look, as they cannot change the classes. No pair that could link two classes is left out,
    whatever the sketch and the min-hash say: these only order and pack the work.
 
-A text moves twice: to its node, and, if its node shares a prefix token with another, into a table bucketed by node,
-from which sets are made where they are needed. Nothing is joined by doc_id. A token, node or class may be hot: tokens
+A text moves once, into a table bucketed by node that holds the texts of nodes which share a prefix token with another;
+sets are made from it where they are needed. Nothing is joined by doc_id. A token, node or class may be hot: tokens
 are counted before they move and then joined (adaptive execution may split them), rows meet the results of hot nodes and
 classes by a bounded broadcast.
 
@@ -126,42 +126,55 @@ def common_tokens(docs: DataFrame) -> bytes:
     return zlib.compress(classes.tobytes(), 1)
 
 
-def _describe(docs: DataFrame, classes: bytes) -> DataFrame:
-    """doc_id, n, hi, lo (content key of the set), and of the first copy in a task grp (min-hash), pre (prefix tokens) and text."""
-    shipped = docs.sparkSession.sparkContext.broadcast(classes)
-    id_type = dict(docs.dtypes)["doc_id"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-    names = ["doc_id", "n", "hi", "lo", "grp", "pre", "text"]
+def _by_task(docs: DataFrame, row, names: list[str], kinds: list[pa.DataType], schema: str, setup=lambda: None) -> DataFrame:
+    """docs with columns made of each text by row(tokens, node, text, first, setup()); first: no copy came before in its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = np.frombuffer(zlib.decompress(shipped.value), np.uint8)
-        mask = np.uint64((1 << SKETCH_BITS) - 1)
         sent: set[tuple[int, int]] = set()
+        own = setup()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 rows: list[tuple] = []
                 for (text,) in rows_of([part], "text"):
                     tokens = shingles(text)
-                    n = len(tokens)
-                    if not n:
-                        rows.append((0, None, None, None, None, None))
-                        continue
-                    node = _node(tokens)
-                    if node in sent:  # a copy in this task has sent the rest already
-                        rows.append((n, *node, None, None, None))
-                        continue
-                    if len(sent) >= _RECENT:
-                        sent.clear()
-                    sent.add(node)
-                    cost = order[(tokens & mask).astype(np.int64)]
-                    ranked = tokens[np.argsort(cost, kind="stable")] if cost.any() else tokens
-                    group = int(as_signed(mix64(tokens ^ _GROUP_SALT).min(keepdims=True))[0])
-                    rows.append((n, *node, group, as_signed(ranked[: prefix_length(n)]), text))
+                    node = _node(tokens) if len(tokens) else None
+                    first = node is not None and node not in sent
+                    if first:
+                        if len(sent) >= _RECENT:
+                            sent.clear()
+                        sent.add(node)
+                    rows.append(row(tokens, node, text, first, own))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True))], names)
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, n bigint, hi bigint, lo bigint, grp bigint, pre array<bigint>, text binary")
+    return docs.mapInArrow(run, schema)
+
+
+def _describe(docs: DataFrame, classes: bytes) -> DataFrame:
+    """doc_id, n, hi, lo (content key of the set), and of the first copy in a task grp (min-hash) and pre (prefix tokens)."""
+    shipped = docs.sparkSession.sparkContext.broadcast(classes)
+
+    def row(tokens, node, _, first, order):
+        if node is None:
+            return 0, None, None, None, None
+        if not first:
+            return len(tokens), *node, None, None
+        cost = order[(tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+        ranked = tokens[np.argsort(cost, kind="stable")] if cost.any() else tokens
+        group = int(as_signed(mix64(tokens ^ _GROUP_SALT).min(keepdims=True))[0])
+        return len(tokens), *node, group, as_signed(ranked[: prefix_length(len(tokens))])
+
+    order = lambda: np.frombuffer(zlib.decompress(shipped.value), np.uint8)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    return _by_task(docs, row, ["doc_id", "n", "hi", "lo", "grp", "pre"], kinds, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, hi bigint, lo bigint, grp bigint, pre array<bigint>", order)
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    """hi, lo and text of each set; copies in one task once."""
+    row = lambda _, node, text, first, __: (*node, text) if first else (None, None, None)
+    out = _by_task(docs, row, ["doc_id", "hi", "lo", "text"], [pa.int64(), pa.int64(), pa.binary()], f"doc_id {dict(docs.dtypes)['doc_id']}, hi bigint, lo bigint, text binary")
+    return out.where("hi is not null").select("hi", "lo", "text")
 
 
 def _node(tokens: np.ndarray) -> tuple[int, int]:
@@ -170,12 +183,13 @@ def _node(tokens: np.ndarray) -> tuple[int, int]:
 
 
 class _Texts:
-    """Texts by node, bucketed, so that they don't move when some of them are asked for."""
+    """Texts of nodes (hi, lo, node), bucketed, so that they don't move when some of them are asked for."""
 
-    def __init__(self, spark, root: str, texts: DataFrame):
-        self.spark, self.root, self.name = spark, root, f"texts_{uuid.uuid4().hex}"
-        with tidy(spark):
-            texts.write.bucketBy(shuffle_partitions(spark), "node").sortBy("node").option("path", f"{root}/texts").option("compression", "zstd").saveAsTable(self.name)
+    def __init__(self, scratch: Scratch, carried: DataFrame, nodes: DataFrame):
+        self.spark, self.nodes, self.name = scratch.spark, nodes, f"texts_{uuid.uuid4().hex}"
+        texts = carried.join(nodes, ["hi", "lo"]).groupBy("hi", "lo", "node").agg(F.first("text").alias("text"))
+        with tidy(self.spark):
+            texts.write.bucketBy(shuffle_partitions(self.spark), "hi", "lo").sortBy("hi", "lo").option("path", scratch.path("texts")).option("compression", "zstd").saveAsTable(self.name)
 
     def sets(self, needed: DataFrame) -> DataFrame:
         """node and the whole set of the nodes needed."""
@@ -186,7 +200,8 @@ class _Texts:
                     rows = [(node, as_signed(shingles(text))) for node, text in rows_of([batch.slice(start, 256)], "node", "text")]
                     yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.list_(pa.int64()))], ["node", "tokens"])
 
-        return self.spark.table(self.name).join(needed.select("node"), "node", "left_semi").mapInArrow(run, "node bigint, tokens array<bigint>")
+        keys = self.nodes.join(needed.select("node"), "node", "left_semi").select("hi", "lo")
+        return self.spark.table(self.name).join(keys, ["hi", "lo"], "left_semi").select("node", "text").mapInArrow(run, "node bigint, tokens array<bigint>")
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -218,20 +233,20 @@ def _query_group(table: pa.Table) -> pa.Table:
     """Links of a block of queries (asks) with members of one group that are in other classes."""
     asks = table.column("asks")
     members, queries = table.filter(pc.invert(asks)), table.filter(asks)
-    comps, nodes, sets = members.column("comp").to_pylist(), members.column("node").to_pylist(), _arrays(members)
+    comps, sets = members.column("comp").to_pylist(), _arrays(members)
     found: list[tuple[int, int]] = []
     if comps and queries.num_rows:
         union = np.unique(np.concatenate(sets))
         seen = Classes(list({*comps, *queries.column("comp").to_pylist()}))
-        for comp, asked, tokens in zip(queries.column("comp").to_pylist(), queries.column("node").to_pylist(), _arrays(queries), strict=True):
+        for comp, tokens in zip(queries.column("comp").to_pylist(), _arrays(queries), strict=True):
             at = np.searchsorted(union, tokens)
             at[at == len(union)] = 0
             if 100 * int(np.count_nonzero(union[at] == tokens)) < LEAST * len(tokens):
                 continue  # the bound: nobody in this group can be similar enough
-            for other, member, members_set in zip(comps, nodes, sets, strict=True):
+            for other, members_set in zip(comps, sets, strict=True):
                 if seen.find(comp) != seen.find(other) and links(tokens, members_set):
                     seen.join(comp, other)
-                    found.append((asked, member))
+                    found.append((comp, other))
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
@@ -286,10 +301,11 @@ def _leaders(dealt: DataFrame, opened: DataFrame) -> DataFrame:
     return votes.groupBy("gid", "grp", "root").agg(F.count("*").alias("k")).groupBy("gid", "grp").agg(F.max_by("root", F.struct("k", "root")).alias("node")).select("node", "grp")
 
 
-def _classes(info: DataFrame, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """info with comp, the smallest node reachable over the edges (a, b)."""
-    found = connected(edges, scratch, name)
-    return scratch.save(info.drop("comp").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), f"info-{name}")
+def _merge(info: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """info with the classes (comp) that links between them join."""
+    merged = connected(links, scratch, name).select(F.col("node").alias("comp"), F.col("comp").alias("final"))
+    joined = join_hot(info, merged, ["comp"], info.groupBy("comp").agg(F.count("*").alias("k")), info.count())
+    return scratch.save(joined.select("node", "n", "gid", F.coalesce("final", "comp").alias("comp")), f"info-{name}")
 
 
 def _open_tokens(scratch: Scratch, matrix: DataFrame, info: DataFrame, name: str) -> DataFrame:
@@ -319,7 +335,7 @@ def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, que
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
     asked = pairs.join(load, "to").select("node", "comp", "to", block.alias("block"), F.lit(True).alias("asks"))
     held = members.join(load, "to").select("node", "comp", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"))
-    links = asked.union(held).join(sets, "node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
+    links = asked.union(held).join(sets, "node").drop("node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
     return sets, scratch.save(links, f"links-{name}")
 
 
@@ -328,21 +344,18 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     scratch = Scratch(docs.sparkSession, "groups")
     source = _binary(docs, key, text)
     described = scratch.save(_describe(source, common_tokens(source)), "described")
-    rows = scratch.save(described.select("doc_id", "n", "hi", "lo"), "rows")
-    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("grp", "pre", "text")]
+    rows = described.select("doc_id", "n", "hi", "lo")
+    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("grp", "pre")]
     nodes = described.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("low"), F.count("*").alias("k"), F.first("n").alias("n"), *firsts)
     nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    scratch.drop("described")
 
     # Prefix tokens that more than one node has.
     each = nodes.select("node", F.explode("pre").alias("token"))
     shared = each.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     matrix = scratch.save(each.join(shared, "token", "left_semi"), "matrix")
-    open_nodes = scratch.save(matrix.select("node").distinct(), "open-nodes")
-    texts = _Texts(scratch.spark, scratch.root, nodes.select("node", "text").join(open_nodes, "node", "left_semi"))
-    node_rows = scratch.save(nodes.drop("pre", "text"), "node-rows")
-    scratch.drop("nodes")
-    dealt = scratch.save(_packed(scratch, node_rows.select("node", "grp", "n").join(open_nodes, "node", "left_semi")), "dealt")
+    open_nodes = scratch.save(nodes.select("node", "hi", "lo", "grp", "n").join(matrix.select("node").distinct(), "node", "left_semi"), "open-nodes")
+    texts = _Texts(scratch, _carried(source), open_nodes.select("hi", "lo", "node"))
+    dealt = scratch.save(_packed(scratch, open_nodes.select("node", "grp", "n")), "dealt")
 
     # Groups open by themselves; then the leaders of a family's chunks form groups, until one is left.
     near = scratch.save(texts.sets(dealt.where("k > 1")), "sets-near")
@@ -354,7 +367,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         opened = _open_level(scratch, level, near, step)
         edges = edges.union(opened)
     edges = edges.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    info = _classes(dealt.select("node", "n", "gid"), edges, scratch, "near")
+    first = connected(edges, scratch, "near")
+    info = scratch.save(dealt.select("node", "n", "gid").join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "info-near")
 
     # What is left: queries and groups (of one class each from here on) that share prefix tokens but not the class.
     # First every query meets one group per token only, the one with most members there: linear in the tokens, and it
@@ -364,18 +378,16 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         counts = open_.groupBy("token", "to", "comp").agg(F.count("*").alias("k"))
         hubs = counts.groupBy("token").agg(F.max_by(F.struct("to", F.col("comp").alias("g_comp")), F.struct("k", "to")).alias("hub")).select("token", "hub.*")
         sets, links = _meet(scratch, texts, near, info, open_, hubs, F.col("comp") != F.col("g_comp"), "hub")
-        edges = info.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(links)
-        info = _classes(info, edges, scratch, "hub")
+        info = _merge(info, links, scratch, "hub")
         open_ = _open_tokens(scratch, open_.select("token", "node"), info, "open-all")
     if not open_.isEmpty():
         # The matrix of what is open: tokens of the groups' unions.
         groups = scratch.save(open_.select("token", "to", F.col("comp").alias("g_comp")).distinct(), "unions")
         _, links = _meet(scratch, texts, sets, info, open_, groups, F.col("comp") > F.col("g_comp"), "all")
-        edges = info.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(links)
-        info = _classes(info, edges, scratch, "all")
+        info = _merge(info, links, scratch, "all")
     texts.drop()
 
-    named = node_rows.select("hi", "lo", "node", "low", "k").join(info.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = nodes.select("hi", "lo", "node", "low", "k").join(info.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = scratch.save(named, "named")
     ids = named.groupBy("comp").agg(F.min("low").alias("component_id"), F.count("*").alias("k"))
     ids = scratch.save(ids, "ids")
