@@ -6,8 +6,9 @@ tail probability P(grade >= 2) serve selection.
 
 Features of the whole text: presence of each word (lower case, punctuation stripped), shares of token shapes (letters
 as a, A, digits as 9, punctuation as it is), shares of tokens and lines that repeat, and how often words begin alike: for
-the first STEM characters of the words, presence of each level of LEVELS that their rate (occurrences by words + DAMP)
-reaches, so that a stem with ever other endings counts as one. All are hashed, words into SLOTS, stems behind them.
+the first characters of the words (as many as each of STEMS says), presence of each level of LEVELS that their rate
+(occurrences by words + DAMP) reaches, so that a stem with ever other endings counts as one. All are hashed, words into
+SLOTS, stems behind them.
 
 Training reads at most SAMPLE labelled rows, those with the smallest key hash, one of each key; that bound doesn't depend
 on the input. A word's or stem's weight is at most 0: however long a text is, its ordinary words don't make up for an insult.
@@ -36,7 +37,7 @@ from .common import rows_of
 
 SLOTS = 1 << 18
 SHAPE_SLOTS = 1 << 12
-STEM = 5
+STEMS = (4, 5)
 STEM_SLOTS = 1 << 18
 #: Rates of a stem, each a feature of its own.
 LEVELS = (1 / 256, 1 / 181, 1 / 128, 1 / 91, 1 / 64)
@@ -56,16 +57,16 @@ _LOW, _UP, _NUM, _REST = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[A-Z]+")
 
 
 class Tokens(dict):
-    """Word to (word slot, shape slot, number of its stem or -1); a bounded cache."""
+    """Word to (word slot, shape slot, number of its stem of each length or -1); a bounded cache."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int, int]:
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
         shape = _REST.sub(rb"\1\1\1", _NUM.sub(b"9", _UP.sub(b"A", _LOW.sub(b"a", word))))
         bare = word.lower().strip(_EDGES)
-        stem = _BEGIN.sub("", bare.decode("utf-8", "replace").lower())[:STEM]
+        plain = _BEGIN.sub("", bare.decode("utf-8", "replace").lower())
         found = (
             xxhash.xxh3_64_intdigest(bare) % (SLOTS - SHAPE_SLOTS) + SHAPE_SLOTS if bare else 0,
             xxhash.xxh3_64_intdigest(shape) % (SHAPE_SLOTS - 64) + 64,
-            xxhash.xxh3_64_intdigest(stem.encode()) % STEM_SLOTS if len(stem) == STEM else -1,
+            *(xxhash.xxh3_64_intdigest(plain[:n].encode()) % STEM_SLOTS if len(plain) >= n else -1 for n in STEMS),
         )
         if len(self) >= _CACHE:
             self.clear()
@@ -79,15 +80,18 @@ def features(text: bytes | None, tokens: Tokens) -> tuple[np.ndarray, np.ndarray
     n = len(words)
     if not n:
         return np.array([1]), np.array([1.0], np.float32)
-    pairs = np.array([tokens[w] for w in words])
-    present = np.unique(pairs[:, 0])
-    shapes, counts = np.unique(pairs[:, 1], return_counts=True)
-    runs = float(np.count_nonzero(pairs[1:, 0] == pairs[:-1, 0])) / n
+    found = np.array([tokens[w] for w in words])
+    present = np.unique(found[:, 0])
+    shapes, counts = np.unique(found[:, 1], return_counts=True)
+    runs = float(np.count_nonzero(found[1:, 0] == found[:-1, 0])) / n
     lines = [x for x in text.split(b"\n") if x]
     again = 1 - len(set(lines)) / max(1, len(lines))
-    stems, times = np.unique(pairs[pairs[:, 2] >= 0, 2], return_counts=True)
-    rates = times / (n + DAMP)
-    stems = np.concatenate([stems[rates >= least] + (SLOTS + i * STEM_SLOTS) for i, least in enumerate(LEVELS)])
+    rated = []
+    for k in range(len(STEMS)):
+        stems, times = np.unique(found[found[:, 2 + k] >= 0, 2 + k], return_counts=True)
+        rates = times / (n + DAMP)
+        rated += [stems[rates >= least] + (SLOTS + (k * len(LEVELS) + i) * STEM_SLOTS) for i, least in enumerate(LEVELS)]
+    stems = np.concatenate(rated)
     dense = [(2, 1.0), (3, 5 * runs), (4, 2 * again), (5, 2 * (1 - len(present) / n) * n / (n + DAMP)), (6 + min(9, n.bit_length()), 1.0)]
     slots = np.concatenate([present[present > 0], stems, shapes, [d[0] for d in dense]])
     values = np.concatenate([np.ones(np.count_nonzero(present > 0) + len(stems)), 3 * np.sqrt(counts / n), [d[1] for d in dense]])
@@ -147,7 +151,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: in
         w -= move[:m]
         w[word] = np.minimum(w[word], 0)  # a word or stem can lower the grade, never make up for another one
         cuts -= move[m:]
-    weights = np.zeros(SLOTS + len(LEVELS) * STEM_SLOTS, np.float32)
+    weights = np.zeros(SLOTS + len(STEMS) * len(LEVELS) * STEM_SLOTS, np.float32)
     weights[used[often]] = w[often]
     return OrdinalModel(weights, np.array([cuts[0], cuts[0] + np.exp(cuts[1])]))
 
