@@ -229,8 +229,8 @@ def _open_group(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array([classes.find(n) for n in nodes], pa.int64())})
 
 
-def _query_group(table: pa.Table) -> pa.Table:
-    """Links of a block of queries (asks) with members of one group that are in other classes."""
+def _query_group(table: pa.Table, ordered: bool = False) -> pa.Table:
+    """Links of a block of queries (asks) with members of one group that are in other classes (ordered: in smaller ones)."""
     asks = table.column("asks")
     members, queries = table.filter(pc.invert(asks)), table.filter(asks)
     comps, sets = members.column("comp").to_pylist(), _arrays(members)
@@ -244,7 +244,7 @@ def _query_group(table: pa.Table) -> pa.Table:
             if 100 * int(np.count_nonzero(union[at] == tokens)) < LEAST * len(tokens):
                 continue  # the bound: nobody in this group can be similar enough
             for other, members_set in zip(comps, sets, strict=True):
-                if seen.find(comp) != seen.find(other) and links(tokens, members_set):
+                if (comp > other or not ordered) and seen.find(comp) != seen.find(other) and links(tokens, members_set):
                     seen.join(comp, other)
                     found.append((comp, other))
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
@@ -308,18 +308,24 @@ def _merge(info: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> Da
     return scratch.save(joined.select("node", "n", "gid", F.coalesce("final", "comp").alias("comp")), f"info-{name}")
 
 
-def _open_tokens(scratch: Scratch, matrix: DataFrame, info: DataFrame, name: str) -> DataFrame:
+def _by_class() -> Column:
+    """Groups of one class each."""
+    return F.xxhash64("gid", "comp")
+
+
+def _open_tokens(scratch: Scratch, matrix: DataFrame, info: DataFrame, to: Column, name: str) -> DataFrame:
     """Rows of the matrix whose token stands in several classes, with size, class and group (to)."""
-    rows = scratch.save(matrix.join(info.select("node", "n", "comp", F.xxhash64("gid", "comp").alias("to")), "node"), f"rows-{name}")
+    rows = scratch.save(matrix.join(info.select("node", "n", "comp", to.alias("to")), "node"), f"rows-{name}")
     differ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     out = scratch.save(rows.join(differ, "token", "left_semi"), name)
     scratch.drop(f"rows-{name}")
     return out
 
 
-def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, queries: DataFrame, groups: DataFrame, apart: Column, name: str) -> tuple[DataFrame, DataFrame]:
-    """Opens the groups (token, to, g_comp) that queries (token, node, comp, n) may link with; returns the sets, grown, and the links."""
-    sizes = info.groupBy(F.xxhash64("gid", "comp").alias("to")).agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, queries: DataFrame, groups: DataFrame, to: Column, apart: Column, name: str, ordered: bool) -> tuple[DataFrame, DataFrame]:
+    """Opens the groups (token, to) that queries (token, node, comp, n) may link with; returns the sets, grown, and the links."""
+    members = info.select("node", "n", "comp", to.alias("to"))
+    sizes = members.groupBy("to").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("comp").alias("g_lo"), F.max("comp").alias("g_hi"))
     fits = apart & (F.col("n_lo") * LEAST <= F.col("n") * 100) & (F.col("n_hi") * 100 >= F.col("n") * LEAST)
     met = queries.select("token", "node", "comp", "n").join(groups.join(sizes, "to"), "token").where(fits).groupBy("node", "comp", "n", "to", "n_lo", "n_hi").agg(F.count("*").alias("c"))
     # The overlap is at most the shared prefix tokens and what stands behind one of the two prefixes.
@@ -327,7 +333,7 @@ def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, que
     wanted = up(F.col("n") + F.col("n_lo"), 100 + LEAST) - F.greatest(up(F.col("n"), 100), up(F.col("n_hi"), 100)) + 1
     pairs = scratch.save(met.where(F.col("c") >= wanted).select("node", "comp", "to"), f"pairs-{name}")
 
-    members = info.select("node", "comp", F.xxhash64("gid", "comp").alias("to"))
+    members = members.drop("n")
     needed = pairs.select("node").union(members.join(pairs.select("to").distinct(), "to", "left_semi").select("node")).distinct()
     missing = scratch.save(needed.join(sets.select("node"), "node", "left_anti"), f"missing-{name}")
     sets = sets.union(scratch.save(texts.sets(missing), f"sets-{name}"))
@@ -335,7 +341,11 @@ def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, que
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
     asked = pairs.join(load, "to").select("node", "comp", "to", block.alias("block"), F.lit(True).alias("asks"))
     held = members.join(load, "to").select("node", "comp", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"))
-    links = asked.union(held).join(sets, "node").drop("node").groupBy("to", "block").applyInArrow(_query_group, "a bigint, b bigint")
+
+    def query(table: pa.Table) -> pa.Table:
+        return _query_group(table, ordered)
+
+    links = asked.union(held).join(sets, "node").drop("node").groupBy("to", "block").applyInArrow(query, "a bigint, b bigint")
     return sets, scratch.save(links, f"links-{name}")
 
 
@@ -370,20 +380,21 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     first = connected(edges, scratch, "near")
     info = scratch.save(dealt.select("node", "n", "gid").join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "info-near")
 
-    # What is left: queries and groups (of one class each from here on) that share prefix tokens but not the class.
-    # First every query meets one group per token only, the one with most members there: linear in the tokens, and it
-    # joins much of a large family. Then all that still differ meet.
-    open_ = _open_tokens(scratch, matrix, info, "open-hub")
+    # What is left: queries and groups that share prefix tokens but not the class. First every query meets one group (of
+    # one class) per token only, the one with most members there: linear in the tokens, and it joins much of a large
+    # family. Then all groups that hold a smaller class than the query's; these are the chunks of the partition again,
+    # so that many small classes of similar sets are met together.
+    open_ = _open_tokens(scratch, matrix, info, _by_class(), "open-hub")
     if not open_.isEmpty():
-        counts = open_.groupBy("token", "to", "comp").agg(F.count("*").alias("k"))
-        hubs = counts.groupBy("token").agg(F.max_by(F.struct("to", F.col("comp").alias("g_comp")), F.struct("k", "to")).alias("hub")).select("token", "hub.*")
-        sets, links = _meet(scratch, texts, near, info, open_, hubs, F.col("comp") != F.col("g_comp"), "hub")
+        counts = open_.groupBy("token", "to").agg(F.count("*").alias("k"))
+        hubs = counts.groupBy("token").agg(F.max_by("to", F.struct("k", "to")).alias("to"))
+        sets, links = _meet(scratch, texts, near, info, open_, hubs, _by_class(), F.col("comp") != F.col("g_lo"), "hub", False)
         info = _merge(info, links, scratch, "hub")
-        open_ = _open_tokens(scratch, open_.select("token", "node"), info, "open-all")
+        open_ = _open_tokens(scratch, open_.select("token", "node"), info, F.col("gid"), "open-all")
     if not open_.isEmpty():
         # The matrix of what is open: tokens of the groups' unions.
-        groups = scratch.save(open_.select("token", "to", F.col("comp").alias("g_comp")).distinct(), "unions")
-        _, links = _meet(scratch, texts, sets, info, open_, groups, F.col("comp") > F.col("g_comp"), "all")
+        groups = scratch.save(open_.select("token", "to").distinct(), "unions")
+        _, links = _meet(scratch, texts, sets, info, open_, groups, F.col("gid"), F.col("comp") > F.col("g_lo"), "all", True)
         info = _merge(info, links, scratch, "all")
     texts.drop()
 
