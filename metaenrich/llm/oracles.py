@@ -38,3 +38,31 @@ reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, b
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) r ON r.doc_id = d.doc_id
 """
+
+OP12 = """
+WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+grouped AS (SELECT *, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) AS place FROM lowered WINDOW w AS (PARTITION BY t))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM grouped
+"""
+
+
+def op11(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: str = "3:") -> str:
+    """Plain Lloyd: every round compares every vector with every centroid and sums all vectors."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT sha256('{seed}' || vec_id) AS h, v FROM kept ORDER BY h NULLS LAST, v LIMIT {k}))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT p.rid, any_value(p.vec_id) AS vec_id, any_value(p.v) AS v, min({{'d': list_sum(list_transform(list_zip(p.v, q.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'c': q.c}}) AS best
+  FROM kept p, c{r} q GROUP BY p.rid)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  WITH sums AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT best.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i),
+  moved AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sums GROUP BY c)
+  SELECT o.c, coalesce(m.v, o.v) AS v FROM c{r} o LEFT JOIN moved m ON m.c = o.c)""")
+    return f"""WITH {", ".join(steps)}
+SELECT a.vec_id, a.best.c::INT AS cluster, a.best.d AS distance, (sum(a.best.d) OVER (PARTITION BY a.best.c))::BIGINT AS cluster_inertia, (sum(a.best.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(q.v, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} q ON q.c = a.best.c"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, edit_match, fingerprint_index, html_template, imatch, langid, oracles, ordinal, pii_crf, sharding, token_groups
+from . import bpe, delta_lloyd, edit_match, fingerprint_index, html_template, imatch, langid, oracles, ordinal, periodic_runs, pii_crf, poly_dedup, sharding, token_groups
 from .common import table
 
 
@@ -59,9 +59,25 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.train(docs))
 
 
+def op11_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_lloyd.digest(delta_lloyd.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_poly_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poly_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find(table(spark, sf_dir, "documents"), prepare=periodic_runs.stretched))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_template, op2_pii_crf, op3_fingerprint_index, op4_token_groups, op5_edit_match, op6_imatch, op7_ordinal, op8_bpe, op9_sharding, op10_langid)}
+    found = (
+        op1_html_template, op2_pii_crf, op3_fingerprint_index, op4_token_groups, op5_edit_match, op6_imatch, op7_ordinal, op8_bpe, op9_sharding, op10_langid,
+        op11_delta_lloyd, op12_poly_dedup, op13_periodic_runs,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_fingerprint_index": oracles.OP3, "op4_token_groups": oracles.OP4}
+    return {"op3_fingerprint_index": oracles.OP3, "op4_token_groups": oracles.OP4, "op11_delta_lloyd": oracles.op11(), "op12_poly_dedup": oracles.OP12}
