@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def strict(line: Column) -> Column:
-    """struct(ok, record): whether the line is exactly one JSON value, and that value as VARIANT.
+    """struct(ok, record): whether the line is exactly one JSON value (null for a null line), and that value as VARIANT.
 
     The parser accepts trailing text after a value. The line is parsed once, as `[v]`, and its tokens are read once more
     as `{"w":v}`, without building a value: both are accepted only if v is exactly one value, as what follows a complete
@@ -15,7 +15,7 @@ def strict(line: Column) -> Column:
     """
     listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
     named = F.json_object_keys(F.concat(F.lit('{"w":'), line, F.lit("}")))
-    ok = F.coalesce(F.is_valid_utf8(line), F.lit(False)) & listed.isNotNull() & named.isNotNull()
+    ok = F.when(line.isNotNull(), F.is_valid_utf8(line) & listed.isNotNull() & named.isNotNull())
     return F.struct(ok.alias("ok"), F.when(ok, F.try_variant_get(listed, "$[0]", "variant")).alias("record"))
 
 

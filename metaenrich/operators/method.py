@@ -18,8 +18,8 @@ class Action(str, Enum):
 class EnrichmentMethod(ABC):
     """Derives corrections of one top-level field.
 
-    prepare() gets parsed lines (value, ok, record) and keeps ok and what the method reads: a narrow table that the runner
-    writes once, so that a corpus is scanned and parsed once. extract() gets the rows of it that are ok and returns
+    prepare() gets parsed lines (value, file, ok, record) and keeps file, ok and what the method reads: a narrow table that
+    the runner writes once, so that a corpus is scanned and parsed once (rows with a file's verdict pass without ok). extract() gets the rows of it that are ok and returns
     skip_reason (null: emitted) and whatever columns the next steps need; lookup() resolves distinct inputs, if the method
     has any; map_back() turns extracted rows into parts: doi, action, original and enriched (JSON text or null).
     """

@@ -47,7 +47,7 @@ class _Organisations(EnrichmentMethod):
     def prepare(self, parsed: DataFrame) -> DataFrame:
         """doi, and the elements of the method's list as VARIANTs ([] where there is no list)."""
         found = F.try_variant_get("record", f"$.attributes.{self.field}", "array<variant>")
-        return parsed.select("ok", R.text_at(F.col("record"), "$.id").alias("doi"), F.coalesce(found, F.array().cast("array<variant>")).alias("items"))
+        return parsed.select("file", "ok", R.text_at(F.col("record"), "$.id").alias("doi"), F.coalesce(found, F.array().cast("array<variant>")).alias("items"))
 
 
 class Affiliations(_Organisations):

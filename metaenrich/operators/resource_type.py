@@ -50,6 +50,7 @@ class ResourceTypeGeneral(EnrichmentMethod):
         types = F.try_variant_get("record", "$.attributes.types", "variant")
         rows = parsed.select(
             "value",
+            "file",
             "ok",
             R.is_object(types).alias("is_types"),
             R.text_at(F.col("record"), "$.attributes.types.resourceTypeGeneral").alias("general"),
@@ -59,7 +60,7 @@ class ResourceTypeGeneral(EnrichmentMethod):
         ordered = F.from_json("value", "attributes struct<types: map<string,variant>>")["attributes"]["types"]
         # Repeated keys: the last value counts, at the first one's place.
         kept = F.when(F.col("ok") & F.col("is_types") & in_scope(F.col("general"), self.rules), F.to_json(F.map_from_entries(F.map_entries(ordered))))
-        return rows.select("ok", "is_types", "general", "free", "doi", kept.alias("types"))
+        return rows.select("file", "ok", "is_types", "general", "free", "doi", kept.alias("types"))
 
     def extract(self, records: DataFrame) -> DataFrame:
         return classify(records, self.rules)

@@ -1,9 +1,10 @@
-"""Validation of enrichment records: built-in rules as column expressions, custom JSON Schemas by a small validator."""
+"""Validation of enrichment records: built-in rules and custom JSON Schemas, both compiled to column expressions."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as R
 from .rules import ConfigError
+from .schema_compiler import Compiled, Recursive, elements, let, members, over, string, sure, text, texts
 from .vocabularies import ACTIONS, CONTRIBUTOR_TYPES, FIELDS, NAME_TYPES, RELATED_IDENTIFIER_TYPES, RELATION_TYPES, RESOURCE_TYPES_GENERAL
 
 _TEXT, _TEXT_OR_NULL = {"type": "string"}, {"type": ["string", "null"]}
@@ -65,88 +67,57 @@ def builtin_schema() -> dict:
     return record | {"allOf": [needs(["update", "updateChild", "deleteChild"], "originalValue"), needs(["update", "updateChild", "insert"], "enrichedValue")]}
 
 
-def _kind(value: Column) -> Column:
-    """JSON type of a VARIANT; null where there is no value."""
-    shape = F.schema_of_variant(value)
-    return F.when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape == "VOID", "null").when(shape.isNotNull(), "number")
-
-
-def _shape(entry: Column, required: tuple[str, ...], texts: tuple[str, ...] = (), nullable: tuple[str, ...] = (), lists: dict[str, Callable[[Column], Column]] | None = None, **enums: tuple[str, ...]) -> Column:
-    """Whether a map<string,variant> is a closed object: its keys are known, the required ones there, each of its type.
-
-    A name of `enums` that is in `nullable`, too, may be null.
-    """
-    lists = lists or {}
-    known = F.array(*map(F.lit, dict.fromkeys((*texts, *nullable, *enums, *lists))))
-    has = lambda key: F.map_contains_key(entry, key)
-    value = lambda key: F.try_element_at(entry, F.lit(key))
-    null = lambda key: value(key).isNull() | (_kind(value(key)) == "null")
-    ok = entry.isNotNull() & (F.size(F.array_except(F.map_keys(entry), known)) == 0)
-    for key in required:
-        ok &= has(key)
-    for key in dict.fromkeys((*texts, *nullable, *enums)):
-        right = _kind(value(key)) == "string"
-        if key in enums:
-            right &= F.try_variant_get(value(key), "$", "string").isin(list(enums[key]))
-        right = F.coalesce(right, F.lit(False))
-        ok &= ~has(key) | right | (null(key) if key in nullable else F.lit(False))
-    for key, inner in lists.items():
-        items = F.from_json(F.to_json(value(key)), "array<map<string,variant>>")
-        ok &= ~has(key) | F.coalesce((_kind(value(key)) == "array") & F.forall(items, inner), F.lit(False))
-    return F.coalesce(ok, F.lit(False))
-
-
-def _contributor(entry: Column) -> Column:
-    affiliation = lambda a: _shape(a, ("name",), ("name",), ("affiliationIdentifier", "affiliationIdentifierScheme", "schemeUri"))
-    identifier = lambda i: _shape(i, ("nameIdentifier", "nameIdentifierScheme"), ("nameIdentifier", "nameIdentifierScheme"), ("schemeUri",))
-    return _shape(
-        entry, ("name", "contributorType"), ("name",), ("nameType", "givenName", "familyName", "lang"), {"affiliation": affiliation, "nameIdentifiers": identifier}, nameType=NAME_TYPES, contributorType=CONTRIBUTOR_TYPES
-    )
-
-
-def _resource(entry: Column) -> Column:
-    return _shape(
-        entry, ("relatedIdentifier", "relationType", "relatedIdentifierType"), ("relatedIdentifier", "relatedMetadataScheme", "schemeUri"),
-        relationType=RELATION_TYPES, relatedIdentifierType=RELATED_IDENTIFIER_TYPES, resourceTypeGeneral=RESOURCE_TYPES_GENERAL,
-    )
-
-
-def record_errors(line: Column) -> Column:
-    """Names of the built-in rules that a record (JSON text) breaks, nested shapes included; empty for a valid one."""
-    record = F.try_parse_json(line)
-    at = lambda key: F.try_variant_get(record, f"$.{key}", "variant")
-    text = lambda key: R.text_at(record, f"$.{key}")
-    keys = F.map_keys(F.from_json(line, "map<string,variant>"))
-    nested = F.from_json(line, "contributors array<map<string,variant>>, resources array<map<string,variant>>")
-    allowed = F.array(*map(F.lit, ("doi", "contributors", "resources", "action", "field", "originalValue", "enrichedValue")))
-    filled = lambda key: (_kind(at(key)) == "array") & (F.size(F.try_variant_get(record, f"$.{key}", "array<variant>")) > 0)
-    shaped = lambda key, shape: ~F.coalesce(filled(key), F.lit(False)) | F.forall(nested[key], shape)
-    value = lambda key: at(key).isNull() | _kind(at(key)).isin("object", "string", "number", "array")
-    implied = lambda actions, key: ~F.coalesce(text("action").isin(actions), F.lit(False)) | at(key).isNotNull()
-    rules = {
-        "object": R.is_object(record),
-        "additional": F.size(F.array_except(keys, allowed)) == 0,
-        "doi": text("doi").isNotNull(),
-        "contributors": filled("contributors"),
-        "contributor_shape": shaped("contributors", _contributor),
-        "resources": filled("resources"),
-        "resource_shape": shaped("resources", _resource),
-        "action": text("action").isin(list(ACTIONS)),
-        "field": text("field").isin(list(FIELDS)),
-        "original_type": value("originalValue"),
-        "enriched_type": value("enrichedValue"),
-        "original_required": implied(["update", "updateChild", "deleteChild"], "originalValue"),
-        "enriched_required": implied(["update", "updateChild", "insert"], "enrichedValue"),
-    }
-    return F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules.items()]), lambda e: e.isNotNull())
+def _record_rules(line: str) -> str:
+    """SQL of the names of the built-in rules that a JSON text breaks; the text is parsed once, each member taken out once."""
+    schema = builtin_schema()
+    known = schema["properties"]
+    compiled = lambda node: Compiled(node, lambda ref: None)
+
+    def rules(top: str) -> str:
+        at = lambda key: f"try_element_at({top}, '{key}')"
+        is_value = lambda key: let(at(key), lambda x: f"{x} IS NULL OR {compiled(known[key]).test(x)}")
+        whole = f"named_struct('contributors', {elements(at('contributors'))}, 'resources', {elements(at('resources'))}, 'action', {string(at('action'))})"
+
+        def judged(own: str) -> str:
+            filled = lambda key: sure(f"size({own}.{key}) > 0")
+            shaped = lambda key: f"NOT {filled(key)} OR {over('forall', f'{own}.{key}', compiled(known[key]['items']).test)}"
+            implied = lambda actions, key: f"NOT {sure(f"{own}.action IN ({', '.join(map(text, actions))})")} OR {at(key)} IS NOT NULL"
+            tests = {
+                "object": f"{top} IS NOT NULL",
+                "additional": f"size(array_except(map_keys({top}), {texts(list(known))})) = 0",
+                "doi": f"{string(at('doi'))} IS NOT NULL",
+                "contributors": filled("contributors"),
+                "contributor_shape": shaped("contributors"),
+                "resources": filled("resources"),
+                "resource_shape": shaped("resources"),
+                "action": f"{own}.action IN ({', '.join(map(text, ACTIONS))})",
+                "field": f"{string(at('field'))} IN ({', '.join(map(text, FIELDS))})",
+                "original_type": is_value("originalValue"),
+                "enriched_type": is_value("enrichedValue"),
+                "original_required": implied(["update", "updateChild", "deleteChild"], "originalValue"),
+                "enriched_required": implied(["update", "updateChild", "insert"], "enrichedValue"),
+            }
+            broken = ", ".join(f"CASE WHEN NOT {sure(ok)} THEN '{name}' END" for name, ok in tests.items())
+            return over("filter", f"array({broken})", lambda e: f"{e} IS NOT NULL")
+
+        return let(whole, judged)
+
+    return let(members(f"try_parse_json({line})"), rules)
+
+
+def record_errors(line: str) -> Column:
+    """Names of the built-in rules that a record (JSON text of the named column) breaks, nested shapes included; empty for a valid one."""
+    return F.expr(_record_rules(f"`{line}`"))
 
 
 class JsonSchema:
     """Draft-7 subset: type, enum, const, required, properties, additionalProperties, items, minItems, maxItems,
-    minLength, oneOf, anyOf, allOf, not, if/then/else and local $ref. Any other keyword is refused when compiled."""
+    minLength, maxLength, pattern, bounds of numbers, oneOf, anyOf, allOf, not, if/then/else and local $ref. Any other
+    keyword is refused. compiled() gives the schema as column expressions, errors() judges one value in Python: for schemas
+    that refer to themselves, and for comparison."""
 
     NOTES = frozenset({"$schema", "$id", "$comment", "title", "description", "definitions", "$defs", "default", "examples", "format"})
-    KNOWN = frozenset({"type", "enum", "const", "required", "properties", "additionalProperties", "items", "minItems", "maxItems", "minLength", "oneOf", "anyOf", "allOf", "not", "if", "then", "else", "$ref"})
+    KNOWN = frozenset({"type", "enum", "const", "required", "properties", "additionalProperties", "items", "minItems", "maxItems", "minLength", "maxLength", "pattern", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "oneOf", "anyOf", "allOf", "not", "if", "then", "else", "$ref"})
 
     def __init__(self, schema: dict):
         self.root = schema
@@ -182,6 +153,15 @@ class JsonSchema:
                 raise ConfigError(f"no such definition: {ref!r}") from error
         return node
 
+    def compiled(self) -> Compiled:
+        """Raises Recursive for a schema that refers to itself."""
+        return Compiled(self.root, self._target)
+
+    @staticmethod
+    def _equal(a: Any, b: Any) -> bool:
+        """Equality of JSON values: 1 equals 1.0, true doesn't equal 1."""
+        return a == b and isinstance(a, bool) == isinstance(b, bool)
+
     @staticmethod
     def _is(value: Any, kind: str) -> bool:
         number = isinstance(value, (int, float)) and not isinstance(value, bool)
@@ -205,7 +185,7 @@ class JsonSchema:
             return self.errors(value, self._target(s["$ref"]), path)
         if "type" in s and not any(self._is(value, k) for k in ([s["type"]] if isinstance(s["type"], str) else s["type"])):
             out.append(f"{where}: not of type {s['type']}")
-        if "enum" in s and not any(v == value and type(v) is type(value) for v in s["enum"]) or "const" in s and s["const"] != value:
+        if not any(self._equal(v, value) for v in s.get("enum", [s["const"]] if "const" in s else [value])):
             out.append(f"{where}: not an allowed value")
         if isinstance(value, dict):
             known = s.get("properties", {})
@@ -221,8 +201,14 @@ class JsonSchema:
             if "items" in s:
                 for i, item in enumerate(value):
                     out += self.errors(item, s["items"], f"{path}/{i}")
-        if isinstance(value, str) and len(value) < s.get("minLength", 0):
-            out.append(f"{where}: too short")
+        if isinstance(value, str):
+            out += [f"{where}: too short"] * (len(value) < s.get("minLength", 0)) + [f"{where}: too long"] * (len(value) > s.get("maxLength", len(value)))
+            if "pattern" in s and not re.search(s["pattern"], value):
+                out.append(f"{where}: doesn't match the pattern")
+        if self._is(value, "number"):
+            low, high = s.get("minimum", value), s.get("maximum", value)
+            out += [f"{where}: too small"] * ((value < low) + ("exclusiveMinimum" in s and value <= s["exclusiveMinimum"]))
+            out += [f"{where}: too large"] * ((value > high) + ("exclusiveMaximum" in s and value >= s["exclusiveMaximum"]))
         for sub in s.get("allOf", []):
             out += self.errors(value, sub, path)
         if "anyOf" in s and not any(map(valid, s["anyOf"])):
@@ -246,7 +232,21 @@ def load_schema(path: str | Path) -> JsonSchema:
 
 
 def validate_json(rows: DataFrame, schema: JsonSchema, column: str = "value", into: str = "errors") -> DataFrame:
-    """rows with the schema errors of a JSON text column, in Arrow batches: for schemas that columns can't express."""
+    """rows with the schema errors of a JSON text column; texts that aren't one JSON value have one error.
+
+    A schema that refers to itself is judged in Arrow batches, as it has no finite expression.
+    """
+    try:
+        compiled = schema.compiled()
+    except Recursive:
+        return _validate_in_python(rows, schema, column, into)
+    parsed = rows.withColumn(into, R.strict(F.col(column)))
+    bad = "array('/: no JSON')"
+    judged = let(f"`{into}`", lambda p: f"CASE WHEN {p}.ok THEN {compiled.errors(f'{p}.record')} ELSE {bad} END")
+    return parsed.withColumn(into, F.expr(f"coalesce({judged}, {bad})"))
+
+
+def _validate_in_python(rows: DataFrame, schema: JsonSchema, column: str, into: str) -> DataFrame:
     names = rows.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,8 +255,8 @@ def validate_json(rows: DataFrame, schema: JsonSchema, column: str = "value", in
             for line in batch[column]:
                 try:
                     found.append(schema.errors(json.loads(line)))
-                except ValueError as error:
-                    found.append([f"/: no JSON ({error})"])
+                except (ValueError, TypeError):
+                    found.append(["/: no JSON"])
             yield batch[names].assign(**{into: found})
 
     return rows.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {into} array<string>")

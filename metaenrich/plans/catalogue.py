@@ -179,7 +179,7 @@ def _variants(spark, sf_dir):
 
 def record_validation(spark, sf_dir):
     configure(spark)
-    return _variants(spark, sf_dir).select("k", F.array_join(F.array_sort(record_errors(F.col("value"))), ",").alias("errors"))
+    return _variants(spark, sf_dir).select("k", F.array_join(F.array_sort(record_errors("value")), ",").alias("errors"))
 
 
 def provenance_flatten(spark, sf_dir):
@@ -196,7 +196,7 @@ def nested_validation(spark, sf_dir):
     k = F.col("c_custkey")
     contributor = pick(tuple(c for c, _ in NESTED), k)
     value = F.concat(F.lit('{"doi":"10.1/x","contributors":['), contributor, F.lit('],"resources":['), pick(RESOURCES, k), F.lit('],"action":"insert","field":"types","enrichedValue":{}}'))
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), F.array_join(F.array_sort(record_errors(value)), ",").alias("errors"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), value.alias("value")).select("k", F.array_join(F.array_sort(record_errors("value")), ",").alias("errors"))
 
 
 def schema_validation(spark, sf_dir):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.method import EnrichmentMethod
 from ..operators.provenance import Provenance, record_column
 from ..operators.schema import JsonSchema, record_errors, validate_json
-from ..sources.corpus import configure, parse, probe, read_lines
+from ..sources.corpus import configure, judge_files, parse, read_lines
 from ..sources.sink import write_jsonl
 from .staged import Stage, WorkDir, run_stages
 
@@ -56,7 +56,7 @@ def judge(records: DataFrame, validator: JsonSchema | str | None) -> DataFrame:
         return records.withColumn("errors", F.array().cast("array<string>"))
     if isinstance(validator, JsonSchema):
         return validate_json(records, validator)
-    return records.withColumn("errors", record_errors(F.col("value")))
+    return records.withColumn("errors", record_errors("value"))
 
 
 def _skipped(extracted: DataFrame) -> dict[str, int]:
@@ -73,11 +73,11 @@ def run(spark: SparkSession, method: EnrichmentMethod, options: RunOptions, prov
     configure(spark)
     scratch = WorkDir(spark, f"{options.output.rstrip('/')}.tmp")
     try:
-        files = probe(spark, options.input)
+        prepared = scratch.save(method.prepare(parse(read_lines(spark, options.input))), "prepared")
+        files = judge_files(spark, prepared, options.input)
         stats = RunStats(files.count - files.failed, files.failed)
         if files.failed:
             log.warning("unreadable files: %s%s", ", ".join(files.examples), " ..." if files.failed > len(files.examples) else "")
-        prepared = scratch.save(method.prepare(parse(read_lines(spark, options.input))), "prepared")
         counts = prepared.agg(F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("bad")).first()
         stats.records_scanned, stats.lines_malformed = counts.ok, counts.bad
         records = prepared.where("ok")

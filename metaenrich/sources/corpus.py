@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import records as R
+from .gzip_lines import SHAPE, read_gzip_lines
 
 PATTERN = "*.jsonl.gz"
-MAX_PROBE = (1 << 31) - (1 << 20)
-_STEP = 1 << 20
+FILE = SHAPE.split("file ", 1)[1]
 #: Session settings that the parsing relies on: last of repeated keys wins, an unreadable file costs only itself.
 SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
@@ -39,69 +36,43 @@ class Files:
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:
-    """(path, length) of the files under root, recursively; hidden ones are left out. Listed by Spark, without opening them."""
+    """(path, length) of the files under root, recursively; hidden and empty ones are left out. Listed by Spark, without opening them."""
     configure(spark)
     source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     try:
-        return source.load(root).select("path", "length")
+        return source.load(root).select(F.col("_metadata.file_path").alias("path"), "length")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, length bigint")
 
 
-def probe(spark: SparkSession, root: str, pattern: str = PATTERN) -> Files:
-    """Counts the files, and those that can't be read to their end: no gzip, cut short, or damaged midway.
-
-    Executors unpack each file once and keep nothing of it but the verdict. The lines before the damage are still read.
-    A file of MAX_PROBE bytes or more is counted without a look inside.
-    """
-    found = list_files(spark, root, pattern)
-    total = found.count()
-    if not total:
-        return Files(0, 0)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bad = [path.as_py() for path, content in zip(batch.column(0), batch.column(1), strict=True) if not is_whole(content.as_buffer())]
-            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], ["path"])
-
-    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    bad = source.where(F.col("length") < MAX_PROBE).select("path", "content").mapInArrow(run, "path string")
-    counted = bad.agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set(F.col("path"))), 1, 20).alias("some")).first()
-    return Files(total, counted.n, tuple(counted.some))
-
+def read_lines(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:
+    """(value, file): a row a line, and one with a verdict for each file; no files give no rows."""
+    if list_files(spark, root, pattern).isEmpty():
+        return spark.createDataFrame([], SHAPE)
+    return read_gzip_lines(spark, root, pattern)
 
-def is_whole(packed: bytes) -> bool:
-    """Whether these bytes are gzip members, each to its end (an empty file is none and so is whole)."""
-    view, member, at, pending = memoryview(packed), zlib.decompressobj(31), 0, b""
-    try:
-        while pending or at < len(view):
-            chunk, at = (pending, at) if pending else (view[at : at + _STEP], at + _STEP)
-            pending = b""
-            member.decompress(chunk)
-            if member.eof:
-                pending = member.unused_data
-                if at >= len(view) and not pending.strip(b"\0"):
-                    return True
-                member = zlib.decompressobj(31)
-    except zlib.error:
-        return False
-    return not len(view)
 
+def judge_files(spark: SparkSession, verdicts: DataFrame, root: str, pattern: str = PATTERN) -> Files:
+    """Counts the files, and those that couldn't be read to their end, from the verdicts (column file) of one read.
 
-def read_lines(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:
-    """One row (value) for each line; no files give no rows. Gzip isn't splittable: a task reads a file."""
-    if list_files(spark, root, pattern).isEmpty():
-        return spark.createDataFrame([], "value string")
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(root)
+    A file without a verdict couldn't even be opened.
+    """
+    found = verdicts.where("file is not null").select("file.path", "file.damage")
+    judged = list_files(spark, root, pattern).join(found.withColumn("seen", F.lit(True)), "path", "left")
+    bad = judged.where("damage is not null or seen is null")
+    some = bad.orderBy("path").limit(20).collect()
+    return Files(judged.count(), bad.count() if len(some) == 20 else len(some), tuple(r.path for r in some))
 
 
 def parse(lines: DataFrame) -> DataFrame:
-    """(value, ok, record) of the lines that aren't blank; not ok: no single JSON value, or no valid UTF-8.
+    """(value, file, ok, record) of the lines that aren't blank; not ok: no single JSON value, or no valid UTF-8.
 
-    The parsed columns come out of a generator: a plain projection would be inlined into every later filter, which
+    Rows with a file's verdict pass, with neither value nor ok. The parsed columns come out of a generator: a plain projection would be inlined into every later filter, which
     would parse each line several times.
     """
-    shown = lines.where(~F.is_valid_utf8("value") | ~R.is_blank(F.col("value")))
-    return shown.select("value", F.inline(F.array(R.strict(F.col("value")))))
+    if "file" not in lines.columns:
+        lines = lines.withColumn("file", F.lit(None).cast(FILE))
+    shown = lines.where(F.col("file").isNotNull() | ~F.is_valid_utf8("value") | ~R.is_blank(F.col("value")))
+    return shown.select("value", "file", F.inline(F.array(R.strict(F.col("value")))))

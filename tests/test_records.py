@@ -1,6 +1,5 @@
 import gzip
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from metaenrich.operators.schema import JsonSchema, builtin_schema, record_error
 from metaenrich.plans.catalogue import PROVENANCE
 from metaenrich.plans.runner import RunOptions, run
 from metaenrich.plans.views import RULES_FILE, shipped_rules
-from metaenrich.sources.corpus import configure, is_whole, list_files, parse, probe, read_lines
+from metaenrich.sources.corpus import configure, parse
 
 CONFIGS = RULES_FILE.parent
 #: Own records: free text, general type, other keys, and the type that comes out (None: the record is skipped).
@@ -122,34 +121,6 @@ def test_single_outcomes(spark, free, general, doi, scope, expected):
     assert method.extract(rows).first().skip_reason == expected
 
 
-def test_discovery_and_failures(spark, tmp_path):
-    write_corpus(tmp_path / "in" / "a" / "b", golden_lines()[:2])
-    (tmp_path / "in" / "x.txt").write_text("no")
-    (tmp_path / "in" / "broken.jsonl.gz").write_bytes(b"not gzip")
-    assert sorted(r.path.rsplit("/", 1)[1] for r in list_files(spark, str(tmp_path / "in")).collect()) == ["broken.jsonl.gz", "part_0001.jsonl.gz"]
-    found = probe(spark, str(tmp_path / "in"))
-    assert (found.count, found.failed, [p.rsplit("/", 1)[1] for p in found.examples]) == (2, 1, ["broken.jsonl.gz"])
-    assert read_lines(spark, str(tmp_path / "in")).count() == 2
-    assert read_lines(spark, str(tmp_path / "missing")).count() == 0 and probe(spark, str(tmp_path / "missing")).count == 0
-
-
-def test_a_file_cut_midway_is_reported(spark, tmp_path):
-    lines = [json.dumps({"id": f"10.9/{i}", "attributes": {"types": {"resourceType": f"Dataset {i * 7919}"}}}) for i in range(20_000)]
-    write_corpus(tmp_path / "in", lines)
-    whole = (tmp_path / "in" / "part_0001.jsonl.gz").read_bytes()
-    (tmp_path / "in" / "part_0002.jsonl.gz").write_bytes(whole[: len(whole) // 2])
-    stats = run(spark, ResourceTypeGeneral(shipped_rules()), RunOptions(str(tmp_path / "in"), str(tmp_path / "out")), PROVENANCE)
-    assert (stats.files_processed, stats.files_failed) == (1, 1) and 20_000 <= stats.records_scanned < 40_000
-
-
-@pytest.mark.parametrize(("data", "whole"), [(b"", True), (b"junk", False)])
-def test_whole_gzip_files(data, whole):
-    one, two = gzip.compress(b"abc" * 100_000), gzip.compress(os.urandom(3 << 20))
-    assert is_whole(data) is whole
-    assert all(map(is_whole, (one, two, one + two + one, one + b"\0" * 10)))
-    assert not any(map(is_whole, (one[:-1], two[:-9], one + two[: 1 << 20], two + b"junk", one + one[:5])))
-
-
 def test_empty_input_leaves_empty_output(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stats = run(spark, ResourceTypeGeneral(shipped_rules()), RunOptions(str(tmp_path / "in"), str(tmp_path / "out")), PROVENANCE)
@@ -189,7 +160,7 @@ def test_schema_rules(spark):
     good = json.loads(value.first().value)
     changes = [({}, []), ({"doi": 5}, ["doi"]), ({"extra": 1}, ["additional"]), ({"action": "update"}, ["original_required"]), ({"field": "nope"}, ["field"]), ({"enrichedValue": True}, ["enriched_type"]), ({"contributors": []}, ["contributors"]), ({"contributors": [{"name": "X", "contributorType": "Nobody"}]}, ["contributor_shape"]), ({"resources": [7]}, ["resource_shape"])]
     rows = spark.createDataFrame([(i, json.dumps(good | c)) for i, (c, _) in enumerate(changes)], "i int, value string")
-    native = {r.i: r.e for r in rows.select("i", record_errors(F.col("value")).alias("e")).collect()}
+    native = {r.i: r.e for r in rows.select("i", record_errors("value").alias("e")).collect()}
     full = {r.i: r.errors for r in validate_json(rows, JsonSchema(builtin_schema())).collect()}
     for i, (_, expected) in enumerate(changes):
         assert native[i] == expected
