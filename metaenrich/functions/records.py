@@ -31,10 +31,3 @@ def text_at(value: Column, path: str) -> Column:
     """The string at a path; null for anything that isn't a string (numbers are not turned into text)."""
     found = F.try_variant_get(value, path, "variant")
     return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string"))
-
-
-def set_key(entries: Column, key: str, value: Column) -> Column:
-    """An ordered map<string,variant> with one key set: in place if it is there, else at the end."""
-    new = value.cast("variant")
-    replaced = F.transform_values(entries, lambda k, v: F.when(k == key, new).otherwise(v))
-    return F.when(F.map_contains_key(entries, key), replaced).otherwise(F.map_concat(entries, F.create_map(F.lit(key), new)))

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.scratch import Scratch
+from .name_index import NameIndex
 
 SHAPE = "input string, id string, score double"
 
@@ -43,56 +45,28 @@ class Resolver(ABC):
 class RegistryResolver(Resolver):
     """Matches against the registry's names: equal normalized forms, else the most similar name at the threshold.
 
-    Similar names meet by an equi-join on pieces, and none is missed: a name of n characters is cut into one piece more
-    than edits are allowed between it and the longest form that may match it, so that one piece at least stands unchanged
-    in such a form, near its own place. Forms are looked up by name length, piece number and every piece-long part of
-    theirs that stands near enough. The keys of a form grow with its length and the threshold, not with the registry; of
-    lengths beyond the registry's longest name there are none. A frequent piece's rows can be split by adaptive execution.
+    The names are looked up in an index (see NameIndex), which is written to `path` and read from there by later runs with
+    the same names; without a path it is this resolver's own.
     """
 
-    def __init__(self, registry: DataFrame, threshold: float = 0.9):
+    def __init__(self, registry: DataFrame, threshold: float = 0.9, path: str | None = None):
         self.registry, self.threshold = registry, threshold
+        self._path, self._index = path, None
 
-    def _edits(self, length: Column) -> Column:
-        """Edits allowed between a name of this length and the longest form that may match it."""
-        longest = F.floor(length / self.threshold + 1e-9)
-        return F.floor(longest * (1 - self.threshold) + 1e-9).cast("int")
-
-    def _names(self) -> DataFrame:
-        names = self.registry.select("id", F.explode("names").alias("n")).select("id", T.normalize(F.col("n.value"), {}).alias("name"))
-        return names.where("name <> ''").distinct()
-
-    def _pieces(self, names: DataFrame) -> DataFrame:
-        """(size, piece, part) keys of the names: piece i of k stands at floor(size * i / k)."""
-        rows = names.withColumn("size", F.length("name")).withColumn("k", self._edits(F.col("size")) + 1).where("k > 1")
-        rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        return rows.select("id", "name", "size", "piece", F.expr("substring(name, size * piece div k + 1, size * (piece + 1) div k - size * piece div k)").alias("part"))
-
-    def _probes(self, forms: DataFrame, longest: int) -> DataFrame:
-        """The same keys for each form: every length, piece and place at which a similar name's piece may stand in it."""
-        n = F.length("form")
-        least, most = F.ceil(n * self.threshold - 1e-9).cast("int"), F.least(F.floor(n / self.threshold + 1e-9).cast("int"), F.lit(longest))
-        rows = forms.withColumn("n", n).withColumn("size", F.explode(F.when(least <= most, F.sequence(least, most)).otherwise(F.array().cast("array<int>"))))
-        rows = rows.withColumn("edits", self._edits(F.col("size"))).where("edits > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("edits"))))
-        rows = rows.withColumn("at", F.expr("cast(size * piece div (edits + 1) AS int)")).withColumn("wide", F.expr("cast(size * (piece + 1) div (edits + 1) AS int)") - F.col("at"))
-        # Of the unchanged pieces one is shifted by no more than the edits on its left, and on its right, allow.
-        ahead, behind, shift = F.col("piece"), F.col("edits") - F.col("piece"), F.col("n") - F.col("size")
-        first = F.greatest(F.col("at") - ahead, F.col("at") + shift - behind, F.lit(0))
-        last = F.least(F.col("at") + ahead, F.col("at") + shift + behind, F.col("n") - F.col("wide"))
-        places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-        return rows.withColumn("place", F.explode(places)).select("input", "form", "size", "piece", F.expr("substring(form, place + 1, wide)").alias("part"))
+    def index(self) -> NameIndex:
+        if self._index is None:
+            names = self.registry.select("id", F.explode("names").alias("n")).select("id", T.normalize(F.col("n.value"), {}).alias("name"))
+            path = self._path or Scratch(names.sparkSession, "names").path("index")
+            self._index = NameIndex.of(names, path, self.threshold)
+        return self._index
 
     def resolve(self, inputs: DataFrame) -> DataFrame:
-        names = self._names()
+        index = self.index()
         asked = inputs.withColumn("form", T.normalize(F.col("input"), {})).where("form <> ''")
-        exact = asked.join(names.withColumnRenamed("name", "form"), "form").groupBy("input").agg(F.min("id").alias("id")).withColumn("score", F.lit(1.0))
+        exact = index.exact(asked)
         if self.threshold >= 1.0:
             return exact
-        longest = names.agg(F.max(F.length("name"))).first()[0] or 0
-        rest = asked.join(exact, "input", "left_anti")
-        near = self._probes(rest, longest).join(self._pieces(names), ["size", "piece", "part"]).withColumn("score", T.similarity(F.col("form"), F.col("name"))).where(F.col("score") >= self.threshold)
-        best = near.groupBy("input").agg(F.min(F.struct((-F.col("score")).alias("d"), "id")).alias("b")).select("input", F.col("b.id").alias("id"), (-F.col("b.d")).alias("score"))
-        return exact.union(best)
+        return exact.union(index.similar(asked.join(exact, "input", "left_anti")))
 
 
 class ServiceResolver(Resolver):

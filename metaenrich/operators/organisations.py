@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records as R
+from ..functions.splice import quoted, raw_cut, raw_elements, raw_list_cut
 from ..sources.registry import crosswalk
 from .lookup import Resolver
 from .method import Action, EnrichmentMethod
@@ -20,7 +21,8 @@ SCHEME_URI = "https://ror.org"
 
 
 def _listed(creator: Column) -> Column:
-    return F.coalesce(F.try_variant_get(creator, "$.affiliation", "array<variant>"), F.array().cast("array<variant>"))
+    """The affiliations of a creator (JSON text)."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(creator), "$.affiliation", "array<variant>"), F.array().cast("array<variant>"))
 
 
 def _with_matches(rows: DataFrame, lookups: DataFrame) -> DataFrame:
@@ -45,9 +47,10 @@ class _Organisations(EnrichmentMethod):
         return self.resolver.resolve(inputs).join(self.registry.select("id", "name"), "id")
 
     def prepare(self, parsed: DataFrame) -> DataFrame:
-        """doi, and the elements of the method's list as VARIANTs ([] where there is no list)."""
-        found = F.try_variant_get("record", f"$.attributes.{self.field}", "array<variant>")
-        return parsed.select("file", "ok", R.text_at(F.col("record"), "$.id").alias("doi"), F.coalesce(found, F.array().cast("array<variant>")).alias("items"))
+        """doi, and the texts of the elements of the method's list, as they stand in the line ([] where there is no list)."""
+        listed = F.try_variant_get("record", f"$.attributes.{self.field}", "array<variant>").isNotNull()
+        items = raw_elements(F.when(listed, F.col("value")), "attributes", self.field)
+        return parsed.select("file", "ok", R.text_at(F.col("record"), "$.id").alias("doi"), items.alias("items"))
 
 
 class Affiliations(_Organisations):
@@ -72,13 +75,10 @@ class Affiliations(_Organisations):
         """One part a creator with a match: the creator before, and with the identifiers in place."""
         found = _with_matches(extracted.where("skip_reason is null"), lookups).where("id is not null")
         creators = found.groupBy("doi", "place").agg(F.map_from_entries(F.collect_list(F.struct("pos", "id"))).alias("ids"), F.any_value("creator").alias("creator"))
-        entry = lambda a: F.when(R.is_object(a), F.from_json(F.to_json(a), "map<string,variant>")).otherwise(F.create_map(F.lit("name"), a))
-        as_variant = lambda entries: F.parse_json(F.to_json(entries))
-        with_id = lambda a, i: R.set_key(R.set_key(R.set_key(entry(a), "affiliationIdentifier", F.col("ids")[i]), "affiliationIdentifierScheme", F.lit(SCHEME)), "schemeUri", F.lit(SCHEME_URI))
-        made = F.transform(_listed(F.col("creator")), lambda a, i: F.when(F.map_contains_key("ids", i), as_variant(with_id(a, i))).otherwise(a))
-        before = F.to_json("creator")
-        enriched = R.set_key(F.from_json(before, "map<string,variant>"), "affiliation", F.parse_json(F.to_json(made)))
-        return creators.select("doi", F.lit(Action.UPDATE_CHILD.value).alias("action"), before.alias("original"), F.to_json(enriched).alias("enriched"))
+        cut = creators.select("doi", "ids", raw_list_cut(F.col("creator"), "affiliation", "name", "affiliationIdentifier", affiliationIdentifierScheme=SCHEME, schemeUri=SCHEME_URI).alias("c"))
+        made = F.transform("c.items", lambda a, i: F.when(F.map_contains_key("ids", i), F.concat(a["before"], quoted(F.col("ids")[i]), a["behind"])).otherwise(a["raw"]))
+        enriched = F.concat("c.before", F.array_join(made, ","), "c.behind")
+        return cut.select("doi", F.lit(Action.UPDATE_CHILD.value).alias("action"), F.col("c.whole").alias("original"), enriched.alias("enriched"))
 
 
 class Funders(_Organisations):
@@ -87,16 +87,16 @@ class Funders(_Organisations):
     field = "fundingReferences"
 
     def extract(self, records: DataFrame) -> DataFrame:
-        rows = records.select("doi", F.explode_outer("items").alias("ref"))
+        rows = records.select("doi", F.explode_outer("items").alias("text")).select("doi", "text", F.try_parse_json("text").alias("ref"))
         name, scheme = R.text_at(F.col("ref"), "$.funderName"), R.text_at(F.col("ref"), "$.funderIdentifierType")
         number = F.regexp_extract(R.text_at(F.col("ref"), "$.funderIdentifier"), r"(?:10\.13039/)?([0-9]{6,})/?$", 1)
         reason = F.when(scheme.eqNullSafe(SCHEME), "has_identifier").when(F.coalesce(F.trim(name), F.lit("")) == "", "no_funder").when(F.coalesce(F.col("doi"), F.lit("")) == "", "no_doi")
-        return rows.select("doi", "ref", name.alias("input"), F.when(number != "", number).alias("funder"), reason.alias("skip_reason"))
+        return rows.select("doi", "text", name.alias("input"), F.when(number != "", number).alias("funder"), reason.alias("skip_reason"))
 
     def map_back(self, extracted: DataFrame, lookups: DataFrame | None) -> DataFrame:
         rows = extracted.where("skip_reason is null")
         walk = crosswalk(self.registry).groupBy("external_id").agg(F.min("id").alias("walked"))
         rows = _with_matches(rows, lookups).join(walk, rows.funder == walk.external_id, "left")
-        rows = rows.withColumn("id", F.coalesce("walked", "id")).where("id is not null").withColumn("r", F.to_json("ref"))
-        ordered = R.set_key(R.set_key(F.from_json("r", "map<string,variant>"), "funderIdentifier", F.col("id")), "funderIdentifierType", F.lit(SCHEME))
-        return rows.select("doi", F.lit(Action.UPDATE_CHILD.value).alias("action"), F.col("r").alias("original"), F.to_json(ordered).alias("enriched")).distinct()
+        found = rows.withColumn("id", F.coalesce("walked", "id")).where("id is not null")
+        cut = found.select("doi", "id", raw_cut(F.col("text"), "funderIdentifier", funderIdentifierType=SCHEME).alias("c"))
+        return cut.select("doi", F.lit(Action.UPDATE_CHILD.value).alias("action"), F.col("c.whole").alias("original"), F.concat("c.before", quoted(F.col("id")), "c.behind").alias("enriched")).distinct()

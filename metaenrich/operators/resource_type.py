@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records as R
+from ..functions.splice import quoted, raw_at, raw_cut
 from .matching import join_rated, match_distinct
 from .method import Action, EnrichmentMethod
 from .rules import Rules
@@ -46,7 +47,7 @@ class ResourceTypeGeneral(EnrichmentMethod):
         self.rules = rules
 
     def prepare(self, parsed: DataFrame) -> DataFrame:
-        """Typed fields of each line, and the types object (keys in input order) of those that might be emitted."""
+        """Typed fields of each line, and the text of the types object, as it stands in the line, of those that might be emitted."""
         types = F.try_variant_get("record", "$.attributes.types", "variant")
         rows = parsed.select(
             "value",
@@ -57,16 +58,16 @@ class ResourceTypeGeneral(EnrichmentMethod):
             R.text_at(F.col("record"), "$.attributes.types.resourceType").alias("free"),
             R.text_at(F.col("record"), "$.id").alias("doi"),
         )
-        ordered = F.from_json("value", "attributes struct<types: map<string,variant>>")["attributes"]["types"]
-        # Repeated keys: the last value counts, at the first one's place.
-        kept = F.when(F.col("ok") & F.col("is_types") & in_scope(F.col("general"), self.rules), F.to_json(F.map_from_entries(F.map_entries(ordered))))
-        return rows.select("file", "ok", "is_types", "general", "free", "doi", kept.alias("types"))
+        open_ = F.col("ok") & F.col("is_types") & in_scope(F.col("general"), self.rules) & F.col("free").isNotNull()
+        # Texts of other lines don't cross to Python.
+        types = raw_cut(raw_at(F.when(open_, F.col("value")), "attributes", "types"), "resourceTypeGeneral")
+        return rows.select("file", "ok", "is_types", "general", "free", "doi", types.alias("types"))
 
     def extract(self, records: DataFrame) -> DataFrame:
         return classify(records, self.rules)
 
     def map_back(self, extracted: DataFrame, lookups: DataFrame | None = None) -> DataFrame:
-        """Original and enriched types of the emitted rows, keys in input order."""
-        enriched = R.set_key(F.from_json("types", "map<string,variant>"), "resourceTypeGeneral", F.col("matched"))
+        """Original and enriched types of the emitted rows: the source text, and with the new value in place (or last)."""
         rows = extracted.where("skip_reason is null")
-        return rows.select("doi", F.lit(Action.UPDATE.value).alias("action"), F.col("types").alias("original"), F.to_json(enriched).alias("enriched"))
+        enriched = F.concat("types.before", quoted(F.col("matched")), "types.behind")
+        return rows.select("doi", F.lit(Action.UPDATE.value).alias("action"), F.col("types.whole").alias("original"), enriched.alias("enriched"))

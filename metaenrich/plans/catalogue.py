@@ -24,7 +24,7 @@ from ..sources.scratch import Scratch
 from . import oracles
 from .runner import RunOptions, run
 from .staged import Stage, WorkDir, remaining, run_stages, stages_to_run
-from .views import GENERAL, LABELS, lines, lookup_lines, organisations, pick, shipped_rules, texts
+from .views import GENERAL, LABELS, OTHER, lines, lookup_lines, organisations, pick, shipped_rules, texts
 
 PROVENANCE = Provenance(
     (
@@ -346,4 +346,4 @@ def oracle_sql() -> dict[str, str]:
     from ..operators.provenance import as_json
 
     head = {"contributors": as_json(PROVENANCE.contributors), "resources": as_json(PROVENANCE.resources)}
-    return oracles.build(shipped_rules(), LABELS, GENERAL, json.dumps(head, separators=(",", ":"))[1:-1], tuple(ok for _, ok in NESTED))
+    return oracles.build(shipped_rules(), LABELS, GENERAL, OTHER, json.dumps(head, separators=(",", ":"))[1:-1], tuple(ok for _, ok in NESTED))

@@ -13,7 +13,7 @@ def _list(values) -> str:
     return "[" + ", ".join(map(_q, values)) + "]"
 
 
-def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...], provenance: str, nested: tuple[bool, ...]) -> dict[str, str]:
+def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...], other: str, provenance: str, nested: tuple[bool, ...]) -> dict[str, str]:
     typos = "MAP {" + ", ".join(f"{_q(a)}: {_q(b)}" for a, b in rules.typo_corrections.items()) + "}"
     clean = lambda t: rf"regexp_replace(lower({t}), '[-_.,;:!?()\[\]{{}}''\"/\\]', ' ', 'g')"
     words = lambda t: rf"list_filter(string_split_regex({t}, '\s+'), lambda w: w <> '')"
@@ -45,7 +45,7 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
           WHEN outcome IS NOT NULL THEN outcome WHEN matched IS NOT DISTINCT FROM general THEN 'no_change' WHEN coalesce(doi, '') = '' THEN 'no_doi' END AS skip_reason
         FROM rec LEFT JOIN rated ON rated.t = rec.free)"""
     free_json = "CASE WHEN k % 13 = 0 THEN '7' ELSE '\"' || free || '\"' END"
-    types = lambda value: f"""CASE WHEN k % 7 = 0 THEN '{{"ris":"GEN","resourceType":' || {free_json} || {value('absent')} || '}}' ELSE '{{"resourceTypeGeneral":' || {value('present')} || ',"ris":"GEN","resourceType":' || {free_json} || '}}' END"""
+    types = lambda value: f"""CASE WHEN k % 7 = 0 THEN '{{{other},"resourceType":' || {free_json} || {value('absent')} || '}}' ELSE '{{"resourceTypeGeneral":' || {value('present')} || ',{other},"resourceType":' || {free_json} || '}}' END"""
     original = types(lambda w: "''" if w == "absent" else "coalesce('\"' || general || '\"', 'null')")
     enriched = types(lambda w: "',\"resourceTypeGeneral\":\"' || matched || '\"'" if w == "absent" else "'\"' || matched || '\"'")
     parts = f"{classified} SELECT doi, 'update' AS action, {original} AS original, {enriched} AS enriched FROM classified WHERE skip_reason IS NULL"
@@ -65,16 +65,16 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
         hits AS (SELECT * FROM exact UNION ALL SELECT * FROM best)"""
     asked = f"asked AS (SELECT {spelt} AS input FROM customer WHERE {has_doi} UNION ALL SELECT {college} FROM customer WHERE {has_doi} UNION ALL SELECT {known} FROM customer WHERE {has_doi} AND {free_known})"
     affiliations = f"WITH {orgs}, {asked}, inputs AS (SELECT DISTINCT input FROM asked), {resolved}"
-    ids = """'{"affiliationIdentifier":"' || %s || '","affiliationIdentifierScheme":"ROR","name":"' || %s || '","schemeUri":"https://ror.org"}'"""
-    other = """'{"name":"' || """ + college + """ || '","place":' || (c_custkey % 5) || '}'"""
-    bare_known = """CASE WHEN c_custkey % 2 = 0 THEN '{"affiliationIdentifier":"x","name":"' || """ + known + """ || '"}' ELSE '{"name":"' || """ + known + """ || '"}' END"""
-    made_spelt = f"CASE WHEN p.id IS NULL THEN '\"' || {spelt} || '\"' ELSE {ids % ('p.id', spelt)} END"
-    made_known = f"CASE WHEN q.id IS NULL THEN {bare_known} ELSE {ids % ('q.id', known)} END"
-    creator = lambda first, third: f"""'{{"affiliation":[' || {first} || ',' || {other} || ',' || {third} || ',' || {first} || '],"name":"A' || c_custkey || '"}}'"""
+    ids = """'{"name":"' || %s || '","affiliationIdentifier":"' || %s || '","affiliationIdentifierScheme":"ROR","schemeUri":"https://ror.org"}'"""
+    college_text = """'{"name":"' || """ + college + """ || '","place":' || (c_custkey % 5) || '}'"""
+    bare_known = """CASE WHEN c_custkey % 2 = 0 THEN '{"name":"' || """ + known + """ || '","affiliationIdentifier":"x"}' ELSE '{"name":"' || """ + known + """ || '"}' END"""
+    made_spelt = f"CASE WHEN p.id IS NULL THEN '\"' || {spelt} || '\"' ELSE {ids % (spelt, 'p.id')} END"
+    made_known = f"CASE WHEN q.id IS NULL THEN {bare_known} ELSE {ids % (known, 'q.id')} END"
+    creator = lambda first, third: f"""'{{"name":"A' || c_custkey || '","affiliation":[' || {first} || ',' || {college_text} || ',' || {third} || ',' || {first} || ']}}'"""
     raw_spelt = f"'\"' || {spelt} || '\"'"
     affiliation_parts = f"""{affiliations} SELECT '10.1/' || c_custkey AS doi, 'updateChild' AS action, {creator(raw_spelt, bare_known)} AS original, {creator(made_spelt, made_known)} AS enriched
         FROM customer LEFT JOIN hits p ON p.input = {spelt} LEFT JOIN hits q ON q.input = {known} AND {free_known} WHERE {has_doi} AND (p.id IS NOT NULL OR q.id IS NOT NULL)"""
-    reference = lambda number, kind: f"""'{{"funderIdentifier":"' || {number} || '","funderIdentifierType":"{kind}","funderName":"' || {known} || '"}}'"""
+    reference = lambda number, kind: f"""'{{"funderName":"' || {known} || '","funderIdentifier":"' || {number} || '","funderIdentifierType":"{kind}"}}'"""
     funder_parts = f"""WITH {orgs}, inputs AS (SELECT DISTINCT {known} AS input FROM customer WHERE {has_doi} AND c_custkey % 4 <> 0 UNION SELECT 'Nobody ' || (c_custkey % 3) FROM customer WHERE {has_doi} AND c_custkey % 4 = 0), {resolved},
         found AS (SELECT c_custkey, coalesce(w.id, q.id) AS id FROM customer LEFT JOIN orgs w ON w.s = c_custkey % 90 LEFT JOIN hits q ON q.input = {known} WHERE {has_doi} AND c_custkey % 4 <> 0)
         SELECT '10.1/' || c_custkey AS doi, 'updateChild' AS action, {reference("'https://doi.org/10.13039/10000' || (c_custkey % 90)", 'Crossref Funder ID')} AS original, {reference('id', 'ROR')} AS enriched FROM found WHERE id IS NOT NULL"""

@@ -12,10 +12,12 @@ from ..sources.corpus import configure
 
 #: Free-text resource types: exact, typo, camel case, split, near miss, redundant, nonsense, blank, punctuation.
 LABELS = (
-    "Journal article", "Dataset", "Sofware", "bookChapter", "bo k", "t xt", "Text", "Datasett", "posterr", "Conference, Paper!",
-    "otput managment plan", "Completely unrelated nonsense", "   ", "---", "Pre-print", "XMLHttpRequest", "OTHER", "otehr", "Work flow", "Interactive_Resource",
-    "peer reveiw", "Computational Notebook", "imge", "phisical objct", "Conference proceedingss", "Output Management Plann", "Presentaton", "Modell", "", "Book/Chapter",
+    "Data paper", "Dataset", "Sofware", "bookChapter", "bo k", "t xt", "Text", "Datasets", "modell", "Peer, Review!",
+    "otput managment plan", "A heap of old stones", "   ", "---", "Pre-print", "HTMLPageModel", "OTHER", "otehr", "Work flow", "Study_Registration",
+    "peer reveiw", "Computational Notebook", "imge", "phisical objct", "Conference proceedingss", "Output Management Plann", "Presentaton", "Soundd", "", "Audio/Visual",
 )
+#: Members that no edit may touch: order of keys, spelling of numbers, escapes.
+OTHER = r'"ris":"GEN","z":{"b":1.0,"a":[-0.0,1e2,1.10,"\u00e9\/"]}'
 GENERAL = ("Text", "Other", None, "Image", "Dataset")
 RULES_FILE = Path(__file__).resolve().parents[2] / "configs" / "reclassification_rules.yaml"
 
@@ -43,8 +45,8 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     doi = F.when(k % 11 != 0, F.concat(F.lit('"id":"10.5555/'), k.cast("string"), F.lit('",'))).otherwise(F.lit(""))
     free = F.when(k % 13 == 0, F.lit("7")).otherwise(F.concat(F.lit('"'), pick(LABELS, k), F.lit('"')))
     general = F.coalesce(F.concat(F.lit('"'), pick(GENERAL, k), F.lit('"')), F.lit("null"))
-    first = F.concat(F.lit('"resourceTypeGeneral":'), general, F.lit(',"ris":"GEN","resourceType":'), free)
-    absent = F.concat(F.lit('"ris":"GEN","resourceType":'), free)
+    first = F.concat(F.lit('"resourceTypeGeneral":'), general, F.lit(f",{OTHER},\"resourceType\":"), free)
+    absent = F.concat(F.lit(f'{OTHER},"resourceType":'), free)
     types = F.concat(F.lit("{"), F.when(k % 7 == 0, absent).otherwise(first), F.lit("}"))
     types = F.when(k % 19 == 0, F.lit('"none"')).otherwise(types)
     line = F.concat(F.lit("{"), doi, F.lit('"attributes":{"types":'), types, F.lit("}}"))

@@ -81,7 +81,7 @@ def test_affiliations_lose_nothing(spark, registry):
     assert after == before | {"affiliation": [{"name": "Uni A"} | extra, listed[1], listed[2], listed[3] | extra, {"name": "Uni A"} | extra, 7, None]}
 
 
-@pytest.mark.parametrize("threshold", [0.9, 0.8, 1.0])
+@pytest.mark.parametrize("threshold", [0.9, 0.8, 0.66, 0.45, 1.0])
 def test_similar_names_equal_brute_force(spark, threshold):
     """No similar name is missed, wherever the edits are; ties go to the smaller identifier."""
     rng = random.Random(3)
