@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from pathlib import Path
 from typing import Any
 
+import pandas as pd
 import yaml
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .rules import ConfigError
@@ -139,6 +141,26 @@ def problems(p: Provenance, organization: str | None = None) -> list[str]:
     return out
 
 
+def text_problems(text: str, organization: str | None = None) -> list[str]:
+    """Everything that is wrong with a provenance file's text (YAML, or JSON as a part of it); a refused file has one problem."""
+    try:
+        return problems(provenance_from(yaml.safe_load(text)), organization)
+    except (yaml.YAMLError, ConfigError) as error:
+        return [f"refused: {error}"]
+
+
+def file_problems(files: DataFrame, key: str) -> DataFrame:
+    """(key, pos, problem) of provenance files given as rows of key, value (text) and organization: one row a problem, in order."""
+    kind = files.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(k, i, p) for k, text, organization in batch.itertuples(index=False) for i, p in enumerate(text_problems(text, organization))]
+            yield pd.DataFrame(rows, columns=[key, "pos", "problem"])
+
+    return files.select(key, "value", "organization").mapInPandas(run, f"`{key}` {kind}, pos int, problem string")
+
+
 def load_provenance(path: str | Path, organization: str | None = None) -> Provenance:
     try:
         p = provenance_from(yaml.safe_load(Path(path).read_text(encoding="utf-8")))

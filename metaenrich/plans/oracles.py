@@ -13,7 +13,7 @@ def _list(values) -> str:
     return "[" + ", ".join(map(_q, values)) + "]"
 
 
-def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...], other: str, provenance: str, nested: tuple[bool, ...]) -> dict[str, str]:
+def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...], other: str, files: tuple[dict, ...], provenance: str, nested: tuple[bool, ...]) -> dict[str, str]:
     typos = "MAP {" + ", ".join(f"{_q(a)}: {_q(b)}" for a, b in rules.typo_corrections.items()) + "}"
     clean = lambda t: rf"regexp_replace(lower({t}), '[-_.,;:!?()\[\]{{}}''\"/\\]', ' ', 'g')"
     words = lambda t: rf"list_filter(string_split_regex({t}, '\s+'), lambda w: w <> '')"
@@ -78,10 +78,16 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
     funder_parts = f"""WITH {orgs}, inputs AS (SELECT DISTINCT {known} AS input FROM customer WHERE {has_doi} AND c_custkey % 4 <> 0 UNION SELECT 'Nobody ' || (c_custkey % 3) FROM customer WHERE {has_doi} AND c_custkey % 4 = 0), {resolved},
         found AS (SELECT c_custkey, coalesce(w.id, q.id) AS id FROM customer LEFT JOIN orgs w ON w.s = c_custkey % 90 LEFT JOIN hits q ON q.input = {known} WHERE {has_doi} AND c_custkey % 4 <> 0)
         SELECT '10.1/' || c_custkey AS doi, 'updateChild' AS action, {reference("'https://doi.org/10.13039/10000' || (c_custkey % 90)", 'Crossref Funder ID')} AS original, {reference('id', 'ROR')} AS enriched FROM found WHERE id IS NOT NULL"""
+    entries = [
+        (i, kind, pos, e.get(name), e.get(label))
+        for i, data in enumerate(files)
+        for kind, key, name, label in (("contributor", "contributors", "name", "contributorType"), ("resource", "resources", "relatedIdentifier", "relationType"))
+        for pos, e in enumerate(data.get(key, []))
+    ]
+    flattened = "SELECT * FROM (VALUES " + ", ".join(f"({i}, {_q(kind)}, {pos}, {_q(name)}, {_q(label)})" for i, kind, pos, name, label in entries) + ") AS v(case_no, kind, pos, name, type)"
     validation = """WITH c AS (SELECT c_custkey AS k, ['update', 'updateChild', 'insert', 'deleteChild', 'replace'][c_custkey % 5 + 1] AS action, c_custkey % 6 AS o, c_custkey % 7 = 0 AS bare FROM customer)
         SELECT k, array_to_string(list_sort(list_filter([CASE WHEN action = 'replace' THEN 'action' END, CASE WHEN k % 3 <> 0 THEN 'field' END, CASE WHEN o IN (4, 5) THEN 'original_type' END,
           CASE WHEN bare AND action IN ('update', 'updateChild', 'insert') THEN 'enriched_required' END], lambda e: e IS NOT NULL)), ',') AS errors FROM c"""
-    flags = "(SELECT unnest([false, true]) AS v)"
     return {
         "strict_parse_counts": "SELECT count(*) FILTER (WHERE o_orderkey % 17 <> 0) AS records_scanned, count(*) FILTER (WHERE o_orderkey % 17 = 0) AS lines_malformed FROM orders",
         "typed_string_paths": f"WITH {rec} SELECT doi, free, general, is_types FROM rec",
@@ -100,17 +106,17 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
         "enriched_types_json": parts,
         "enrichment_records": f"SELECT doi, {record} AS value FROM ({parts})",
         "record_validation": validation,
-        "provenance_flatten": """SELECT * FROM (VALUES ('contributor', 0, 'Example Organisation', 'Producer'), ('contributor', 1, 'Doe, Jane', 'DataCurator'),
-            ('resource', 0, '10.0000/example', 'IsDocumentedBy'), ('resource', 1, 'https://example.org/dataset', 'IsDerivedFrom')) AS v(kind, pos, name, type)""",
+        "provenance_flatten": f"""WITH c AS (SELECT s_suppkey AS k, s_suppkey % 9 AS kind FROM supplier), entries AS ({flattened})
+            SELECT k, e.kind, e.pos, replace(e.name, 'Example Organisation', 'Organisation ' || k) AS name, e.type FROM c JOIN entries e ON e.case_no = c.kind""",
         "nested_validation": f"""SELECT c_custkey AS k, concat_ws(',', CASE WHEN NOT {"[" + ", ".join(str(ok).lower() for ok in nested) + "]"}[c_custkey % {len(nested)} + 1] THEN 'contributor_shape' END,
             CASE WHEN c_custkey % 5 >= 2 THEN 'resource_shape' END) AS errors FROM customer""",
         "schema_validation": f"SELECT k, errors = '' AS valid FROM ({validation})",
-        "provenance_problems": """SELECT * FROM (VALUES ('other producer', 0, 'missing required contributor: Somebody Else / Organizational / Producer'),
-            ('no producer', 0, 'missing required contributor: any name / Organizational / Producer'), ('unknown types', 0, 'contributors[1]: unknown contributorType "Nobody"'),
-            ('unknown types', 1, 'contributors[1]: unknown nameType "Robot"'), ('unknown relations', 0, 'resources[2]: unknown relationType "Wrong"'), ('unknown relations', 1, 'resources[2]: unknown relatedIdentifierType "XYZ"'),
-            ('unknown relations', 2, 'resources[2]: unknown resourceTypeGeneral "Thing"'), ('nothing', 0, 'contributors must not be empty'), ('nothing', 1, 'resources must not be empty'),
-            ('nothing', 2, 'missing required contributor: any name / Organizational / Producer'), ('nothing', 3, 'missing required resource: IsDocumentedBy / Project'), ('nothing', 4, 'missing required resource: IsDerivedFrom / Dataset'),
-            ('no project', 0, 'missing required resource: IsDocumentedBy / Project'), ('unknown key', 0, 'refused: contributors[0]: unknown field `nam`'), ('missing part', 0, 'refused: missing field `resources`')) AS v(name, pos, problem)""",
+        "provenance_problems": """SELECT s_suppkey AS k, pos, problem FROM supplier JOIN (VALUES (1, 0, 'missing required contributor: Somebody Else / Organizational / Producer'),
+            (2, 0, 'missing required contributor: any name / Organizational / Producer'), (3, 0, 'contributors[1]: unknown contributorType "Nobody"'),
+            (3, 1, 'contributors[1]: unknown nameType "Robot"'), (4, 0, 'resources[2]: unknown relationType "Wrong"'), (4, 1, 'resources[2]: unknown relatedIdentifierType "XYZ"'),
+            (4, 2, 'resources[2]: unknown resourceTypeGeneral "Thing"'), (5, 0, 'contributors must not be empty'), (5, 1, 'resources must not be empty'),
+            (5, 2, 'missing required contributor: any name / Organizational / Producer'), (5, 3, 'missing required resource: IsDocumentedBy / Project'), (5, 4, 'missing required resource: IsDerivedFrom / Dataset'),
+            (6, 0, 'missing required resource: IsDocumentedBy / Project'), (7, 0, 'refused: contributors[0]: unknown field `nam`'), (8, 0, 'refused: missing field `resources`')) AS v(kind, pos, problem) ON kind = s_suppkey % 9""",
         "registry_names": "SELECT 'https://ror.example/' || s_suppkey AS id, 'Institute of Topic ' || s_suppkey || ' Studies' AS name, 2 AS n_names FROM supplier",
         "crosswalk_join": f"WITH {orgs} SELECT '10000' || s AS external_id, id FROM orgs",
         "distinct_inputs": f"WITH {asked} SELECT DISTINCT input FROM asked",
@@ -125,8 +131,11 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
         "corpus_run": f"""{classified}, c AS (SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 17 <> 0) AS ok, (SELECT count(*) FROM orders WHERE o_orderkey % 17 = 0) AS bad, count(*) FILTER (WHERE skip_reason IS NULL) AS e, count(skip_reason) AS s FROM classified)
             SELECT 'corpus' AS name, 3 AS files_processed, 1 AS files_failed, ok AS records_scanned, bad AS lines_malformed, e AS emitted, e AS written, 0::BIGINT AS invalid, s AS skipped, e AS lines_out FROM c
             UNION ALL SELECT 'empty', 0, 0, 0, 0, 0, 0, 0, 0, 0""",
-        "stage_plan": f"""SELECT e.v AS extract_done, q.v AS query_done, r.v AS reconcile_done, s.v AS from_scratch, CASE WHEN s.v OR NOT e.v THEN 'extract,query,reconcile' WHEN NOT q.v THEN 'query,reconcile'
-            WHEN NOT r.v THEN 'reconcile' ELSE '' END AS stages FROM {flags} e, {flags} q, {flags} r, {flags} s""",
+        "stage_plan": """SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 2 <> 0 THEN 'extract,query,reconcile' WHEN c_custkey % 3 <> 0 THEN 'query,reconcile'
+            WHEN c_custkey % 5 <> 0 THEN 'reconcile' ELSE '' END AS stages FROM customer""",
+        "file_verdicts": "SELECT (o_orderkey % 5)::INT AS part, o_orderkey % 5 < 3 AS whole, CASE WHEN o_orderkey % 5 < 3 THEN count(*) END AS lines FROM orders GROUP BY o_orderkey % 5",
+        "similar_names": f"""WITH {orgs}, spelt AS (SELECT 'Institute of Topic ' || (c_custkey % 90) || ' Studies' AS name, c_custkey % 20 + 1 AS cut, CASE WHEN c_custkey % 2 = 0 THEN 'x' ELSE '' END AS wrong FROM customer),
+            inputs AS (SELECT DISTINCT left(name, cut) || wrong || substr(name, cut + 2) AS input FROM spelt), {resolved} SELECT input, id, round(score, 6) AS score FROM hits""",
         "run_counters": f"""{classified} SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 17 <> 0) AS records_scanned, (SELECT count(*) FROM orders WHERE o_orderkey % 17 = 0) AS lines_malformed,
             count(*) FILTER (WHERE skip_reason IS NULL) AS emitted, count(skip_reason) AS skipped FROM classified""",
     }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from enum import Enum
 from itertools import dropwhile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.method import EnrichmentMethod
 
@@ -56,6 +57,15 @@ def remaining(done: dict[Stage, bool], from_scratch: bool) -> list[Stage]:
     return list(Stage) if from_scratch else list(dropwhile(lambda s: done[s], Stage))
 
 
+def due_stages(done: dict[Stage, Column], from_scratch: Column) -> Column:
+    """The same of many work directories, whose state is given by columns: the names of the stages that are due."""
+    open_, out = from_scratch, []
+    for stage in Stage:
+        open_ = open_ | ~done[stage]
+        out.append(F.when(open_, F.lit(stage.value)))
+    return F.array_compact(F.array(*out))
+
+
 def stages_to_run(work: WorkDir, from_scratch: bool) -> list[Stage]:
     return remaining({s: work.is_complete(s) for s in Stage}, from_scratch)
 

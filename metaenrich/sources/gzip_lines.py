@@ -20,10 +20,12 @@ BLOCK = 1 << 20
 _ROWS, _BYTES = 8192, 4 << 20
 SHAPE = "value string, file struct<path: string, lines: bigint, damage: string>"
 _FILE = pa.struct([("path", pa.string()), ("lines", pa.int64()), ("damage", pa.string())])
-#: Hadoop settings of the read.
-_EXTENSION = "io.compress.passthrough.extension"
-#: The shaded client that Spark comes with renames its own setting.
-AS_IT_IS = {"io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec", _EXTENSION: ".gz", f"org.apache.hadoop.shaded.{_EXTENSION}": ".gz"}
+_CODEC, _EXTENSION = "org.apache.hadoop.io.compress.PassthroughCodec", "io.compress.passthrough.extension"
+
+
+def as_it_is(suffix: str) -> dict[str, str]:
+    """Options of a reader that gets the bytes of files with this suffix as they are, each file whole in one task."""
+    return {"io.compression.codecs": _CODEC, _EXTENSION: suffix, f"org.apache.hadoop.shaded.{_EXTENSION}": suffix}  # the shaded client renames its setting
 
 
 class Unpacker:
@@ -155,6 +157,6 @@ def read_gzip_lines(spark: SparkSession, root: str, pattern: str, block: int = B
     up to there are given, not the one that the damage cuts off. Empty files have neither lines nor a verdict. A task
     holds a block of unpacked bytes, a batch of lines and the longest line, whatever the files' size.
     """
-    pieces = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").options(**AS_IT_IS).text(root)
+    pieces = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").options(**as_it_is(".gz")).text(root)
     packed = pieces.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("piece"))
     return packed.mapInArrow(lambda batches: unpack(batches, block), SHAPE)
