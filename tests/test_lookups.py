@@ -138,33 +138,26 @@ def test_a_stored_index_is_read_again_and_a_changed_registry_rebuilds_it(spark,
 
 def test_keys_grow_with_length_and_no_key_holds_more_than_its_share(spark, tmp_path):
     rng = random.Random(4)
-    names = [f"university of {''.join(rng.choices('abcdefgh', k=4))} number {i}" for i in range(5000)] + ["".join(rng.choices("abcdefghijklmnop", k=n)) for n in (20, 40, 80, 160, 320)]
+    names = ["".join(rng.choices("abcdefghijklmnop", k=n)) for n in (20, 40, 80, 160, 320)] + [f"{i:012b}".replace("0", "a").replace("1", "b") for i in range(3000)]
     index = RegistryResolver(organisations_of(spark, names), 0.9, str(tmp_path / "index")).index()
-    per = {r.name: r["count"] for r in index.entries().where("name rlike '^[a-p]+$'").groupBy("name").count().collect()}
-    lengths = {len(n): k for n, k in per.items() if n in names}
-    assert all(n / 10 < k <= index.settings.q * n / 8 + 1 for n, k in lengths.items()) and len(lengths) == 5
-    most = index.entries().groupBy("gram", "block").count().agg(F.max("count")).first()[0]
-    assert most < 1300 and index.blocks().count() > 0 and index.entries().groupBy("gram").count().agg(F.max("count")).first()[0] > 2000
-    asked = spark.createDataFrame([(n.replace("number", "numbr"),) for n in names[:20]], "input string")
+    per = {len(r.name): r["count"] for r in index.entries().groupBy("name").count().collect() if len(r.name) > 12}
+    assert len(per) == 5 and all(n / 10 < k <= index.settings.q * n / 8 + 1 for n, k in per.items())
+    shares = index.entries().groupBy("gram", "block").count()
+    assert index.blocks().count() > 0 and shares.agg(F.max("count")).first()[0] < 1300 < shares.groupBy("gram").agg(F.sum("count")).agg(F.max("sum(count)")).first()[0]
+    asked = spark.createDataFrame([("ab" * 5 + "aab",), ("b" + "ab" * 5,), ("c" * 12,)], "input string")
     found = {r.input: r.score for r in RegistryResolver(organisations_of(spark, names), 0.9, str(tmp_path / "index")).resolve(asked).collect()}
-    assert len(found) == 20 and min(found.values()) > 0.95
+    assert found == {"ab" * 5 + "aab": pytest.approx(12 / 13), "b" + "ab" * 5: pytest.approx(11 / 12)}
 
 
 def test_objects_of_a_dump_are_found_wherever_it_is_cut():
     rng = random.Random(5)
     objects = [{"id": f"x{i}", "names": [{"value": rng.choice(['a}b', 'q"{', "\\", "[,]", "é\\\"}"])}], "n": [[{}], {"m": {"k": "}"}}]} for i in range(30)]
     for text in (json.dumps(objects), json.dumps(objects, indent=1), "\n".join(map(json.dumps, objects)), "[null, 7, " + ",".join(map(json.dumps, objects)) + ', "x{", [{"in": "a list"}]]'):
-        for cut in (None, 1, 3, 50):
-            data, scanner, found = text.encode(), Objects(), []
-            for at in range(0, len(data), cut or len(data)):
-                # An escape is never cut: Spark cuts at closing braces only.
-                end = at + (cut or len(data))
-                found.append(data[at:end])
-            if cut:
-                whole = [p + b"}" for p in data.split(b"}")]
-                found = [*whole[:-1], whole[-1][:-1]]
-            got = [json.loads(o) for piece in found for o in scanner.feed(piece)]
-            assert got == objects
+        whole, scanner = text.encode(), Objects()
+        assert list(map(json.loads, scanner.feed(whole))) == objects and not scanner.inside
+        scanner = Objects()
+        pieces = whole.split(b"}")  # as Spark cuts it; an escape is never cut
+        assert [json.loads(o) for i, p in enumerate(pieces) for o in scanner.feed(b"}" * (i > 0) + p)] == objects
 
 
 def test_a_dump_in_one_line_is_dealt_to_several_tasks(spark, tmp_path):
