@@ -80,11 +80,11 @@ def _execute(args: argparse.Namespace) -> None:
     if rules is not None:
         run(spark, ResourceTypeGeneral(rules), options, provenance, validator)
         return
-    config = LookupConfig(args.ror_service_url or LookupConfig.service_url, args.ror_file, args.ror_batch_size, args.ror_concurrency, args.ror_timeout, args.work_dir, args.from_scratch)
+    config = LookupConfig(args.ror_service_url or LookupConfig.service_url, args.ror_file, args.ror_batch_size, args.ror_concurrency, args.ror_timeout, work_dir=args.work_dir, from_scratch=args.from_scratch)
     registry = read_registry(spark, config.registry)
     task, kind = ("affiliation", Affiliations) if args.method == "affiliations" else ("funder", Funders)
     work = WorkDir(spark, config.work_dir or f"{args.output.rstrip('/')}.work")
-    resolver = ServiceResolver(config, task) if args.ror_service_url else RegistryResolver(registry, path=f"{work.root}/names")
+    resolver = ServiceResolver(config, task, f"{work.root}/ledger") if args.ror_service_url else RegistryResolver(registry, path=f"{work.root}/names")
     run(spark, kind(resolver, registry), options, provenance, validator, work, config.from_scratch, Stage(args.stage) if args.stage else None)
 
 

@@ -28,6 +28,10 @@ class EnrichmentMethod(ABC):
     @abstractmethod
     def field(self) -> str: ...
 
+    def describe(self) -> str:
+        """What its results depend on besides the records, as text: stages made with something else are made again."""
+        return f"{type(self).__name__} {self.field}"
+
     def prepare(self, parsed: DataFrame) -> DataFrame:
         return parsed
 

@@ -39,6 +39,11 @@ class _Organisations(EnrichmentMethod):
     def __init__(self, resolver: Resolver, registry: DataFrame):
         self.resolver, self.registry = resolver, registry
 
+    def describe(self) -> str:
+        """The resolver's settings and a checksum of the registry's rows."""
+        n, check = self.registry.agg(F.count("*"), F.sum(F.xxhash64(F.to_json(F.struct("*"))).cast("decimal(38,0)"))).first()
+        return f"{super().describe()}, {self.resolver.describe()}, {n} organisations {check}"
+
     def inputs(self, extracted: DataFrame) -> DataFrame:
         return extracted.where("skip_reason is null").select("input").distinct()
 

@@ -46,6 +46,9 @@ class ResourceTypeGeneral(EnrichmentMethod):
     def __init__(self, rules: Rules):
         self.rules = rules
 
+    def describe(self) -> str:
+        return repr(self.rules)
+
     def prepare(self, parsed: DataFrame) -> DataFrame:
         """Typed fields of each line, and the text of the types object, as it stands in the line, of those that might be emitted."""
         types = F.try_variant_get("record", "$.attributes.types", "variant")

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from ..operators.method import EnrichmentMethod
 from ..operators.provenance import Provenance, record_column
 from ..operators.schema import JsonSchema, record_errors, validate_json
-from ..sources.corpus import configure, judge_files, parse, read_lines
+from ..sources.corpus import configure, judge_files, list_files, parse, read_lines
 from ..sources.sink import write_jsonl
-from .staged import Stage, WorkDir, run_stages
+from .staged import Stage, WorkDir, run_stages, state_of
 
 log = logging.getLogger("metaenrich")
 
@@ -86,7 +86,7 @@ def run(spark: SparkSession, method: EnrichmentMethod, options: RunOptions, prov
             inputs = method.inputs(extracted)
             parts = method.map_back(extracted, None if inputs is None else method.lookup(inputs))
         else:
-            parts = run_stages(method, records, work, from_scratch, only)
+            parts = run_stages(method, records, work, from_scratch, only, state_of(method, list_files(spark, options.input)))
             if parts is None:
                 return stats
             extracted = work.read("extracted")

@@ -36,15 +36,15 @@ class Files:
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:
-    """(path, length) of the files under root, recursively; hidden and empty ones are left out. Listed by Spark, without opening them."""
+    """(path, length, modified) of the files under root, recursively; hidden and empty ones are left out. Listed by Spark, without opening them."""
     configure(spark)
     source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     try:
-        return source.load(root).select(F.col("_metadata.file_path").alias("path"), "length")
+        return source.load(root).select(F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "path string, length bigint")
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
 
 
 def read_lines(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:

@@ -204,6 +204,91 @@ def test_match_service(spark, registry):
     assert sorted(asked) == [("/match", "affiliation", 1), ("/match", "affiliation", 2)]
 
 
+class Flaky:
+    """A match service that counts what it is asked and fails as it is told."""
+
+    def __init__(self, fails):
+        self.answered, self.calls, self.fails = [], 0, fails
+        outer = self
+
+        class Handler(BaseHTTPRequestHandler):
+            def do_POST(self):
+                inputs = json.loads(self.rfile.read(int(self.headers["Content-Length"])))["inputs"]
+                outer.calls += 1
+                if outer.fails(outer.calls, inputs):
+                    self.send_response(503)
+                    self.end_headers()
+                    return
+                outer.answered += inputs
+                self.send_response(200)
+                self.end_headers()
+                self.wfile.write(json.dumps([{"input": x, "id": f"id-{x}", "score": 0.5} for x in inputs if x[-1] in "02468"]).encode())
+
+            def log_message(self, *_):
+                pass
+
+        self.server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        self.url = f"http://127.0.0.1:{self.server.server_port}"
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+
+
+def ask(spark, service, path, n, url=None):
+    config = LookupConfig(url or service.url, batch_size=5, concurrency=2, attempts=3, pause=0.01)
+    inputs = spark.createDataFrame([(f"n{i}",) for i in range(n)] + [("n0",), (None,)], "input string")
+    resolver = ServiceResolver(config, "affiliation", path)
+    resolver.WAVE = 2
+    return sorted(tuple(r) for r in resolver.resolve(inputs).collect()), resolver.ledger(spark)
+
+
+def test_a_service_that_fails_every_third_call_is_asked_no_answered_input_again(spark, tmp_path):
+    service, expected = Flaky(lambda call, _: call % 3 == 0), sorted((f"n{i}", f"id-n{i}", 0.5) for i in range(0, 60, 2))
+    got, ledger = ask(spark, service, str(tmp_path / "ledger"), 60)
+    assert got == expected and sorted(service.answered) == sorted({f"n{i}" for i in range(60)}) and ledger.failed().count() == 0
+    calls = service.calls
+    assert ask(spark, service, str(tmp_path / "ledger"), 60)[0] == expected and service.calls == calls  # nothing is open
+    got, _ = ask(spark, service, str(tmp_path / "ledger"), 64)
+    assert len(got) == 32 and len(service.answered) == 64
+    service.server.shutdown()
+
+
+def test_inputs_that_a_service_fails_for_are_set_aside(spark, tmp_path):
+    service = Flaky(lambda _, inputs: bool({"n7", "n8"} & set(inputs)))
+    got, ledger = ask(spark, service, str(tmp_path / "ledger"), 30)
+    assert [x for x, _, _ in got] == sorted(f"n{i}" for i in range(0, 30, 2) if i != 8)
+    assert {r.input for r in ledger.failed().collect()} == {"n7", "n8"} and len(service.answered) == len(set(service.answered)) == 28
+    service.fails = lambda *_: False
+    got, ledger = ask(spark, service, str(tmp_path / "ledger"), 30)
+    assert len(got) == 15 and ledger.failed().count() == 0 and len(service.answered) == 30
+    service.server.shutdown()
+    service.server.server_close()
+    got, ledger = ask(spark, service, str(tmp_path / "ledger"), 33)  # nobody listens any more
+    assert len(got) == 15 and {r.input for r in ledger.failed().collect()} == {"n30", "n31", "n32"}
+
+
+def test_a_broken_off_wave_is_not_read(spark, tmp_path):
+    service = Flaky(lambda *_: False)
+    ask(spark, service, str(tmp_path / "ledger"), 50)
+    for marker in list((tmp_path / "ledger").glob("*/_SUCCESS"))[:1]:
+        marker.unlink()
+    got, ledger = ask(spark, service, str(tmp_path / "ledger"), 50)
+    assert len(got) == 25 and 50 < len(service.answered) < 100 and ledger.rows().count() == 50
+    service.server.shutdown()
+
+
+def test_stages_are_tied_to_their_inputs(spark, tmp_path, registry):
+    orgs, work = read_registry(spark, registry), WorkDir(spark, str(tmp_path / "work"))
+    write_corpus(tmp_path / "in", [json.dumps(r) for r in RECORDS])
+    options = RunOptions(str(tmp_path / "in"), str(tmp_path / "out"))
+    emitted = lambda method: run(spark, method, options, PROVENANCE, work=work).emitted
+    method = Affiliations(RegistryResolver(orgs), orgs)
+    assert emitted(method) == 1 and emitted(method) == 0  # the second run finds all stages done
+    write_corpus(tmp_path / "in", [json.dumps(RECORDS[0] | {"id": "10.1/new"})], "part_0002")
+    assert emitted(method) == 2  # a new file
+    assert emitted(Affiliations(RegistryResolver(orgs, 0.95), orgs)) == 2  # another threshold
+    assert emitted(Affiliations(RegistryResolver(orgs.where("id like '%1'"), 0.95), orgs.where("id like '%1'"))) == 2  # another registry
+    assert work.is_complete(Stage.EXTRACT) and not work.is_complete(Stage.EXTRACT, "another state")
+
+
 class Tagger(EnrichmentMethod):
     """Another method on the same runner: every record with a doi becomes a Dataset."""
 
