@@ -35,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
     shared.add_argument("-t", "--threads", type=int, default=0, help="accepted; the cluster's cores decide")
     shared.add_argument("-b", "--batch-size", type=int, default=5000, help="accepted; has no effect")
     shared.add_argument("--single-file", action="store_true")
+    shared.add_argument("--exact", action="store_true", help="lines with lone surrogates or numbers beyond the doubles are malformed")
     checks = shared.add_mutually_exclusive_group()
     checks.add_argument("--schema", metavar="FILE")
     checks.add_argument("--no-validate", action="store_true")
@@ -75,7 +76,7 @@ def _execute(args: argparse.Namespace) -> None:
     provenance = load_provenance(args.provenance, args.organization or required_organization(args.settings))
     rules = load_rules(args.rules) if args.method == "resource-type-general" else None
     validator = None if args.no_validate else load_schema(args.schema) if args.schema else "builtin"
-    options = RunOptions(args.input, args.output, args.threads, args.batch_size, args.single_file)
+    options = RunOptions(args.input, args.output, args.threads, args.batch_size, args.single_file, args.exact)
     spark = SparkSession.builder.appName(f"metaenrich {args.method}").getOrCreate()
     if rules is not None:
         run(spark, ResourceTypeGeneral(rules), options, provenance, validator)

@@ -15,6 +15,7 @@ from ..operators.lookup import RegistryResolver
 from ..operators.organisations import Affiliations, Funders
 from ..operators.provenance import CONTRIBUTOR_DDL, RESOURCE_DDL, Affiliation, Contributor, NameIdentifier, Provenance, Resource, file_problems, record_column
 from ..operators.resource_type import ResourceTypeGeneral, in_scope
+from ..operators.rules import Rules
 from ..operators.schema import JsonSchema, builtin_schema, record_errors, validate_json
 from ..sources.corpus import configure, parse, read_lines
 from ..sources.registry import crosswalk, read_registry
@@ -22,7 +23,7 @@ from ..sources.scratch import Scratch
 from . import oracles
 from .runner import RunOptions, run
 from .staged import Stage, WorkDir, due_stages, run_stages, stages_to_run
-from .views import GENERAL, LABELS, OTHER, lines, lookup_lines, organisations, pick, shipped_rules, texts
+from .views import GENERAL, LABELS, OTHER, SUFFIXES, keys, large_references, lines, lookup_lines, organisations, pick, shipped_rules, texts
 
 PROVENANCE = Provenance(
     (
@@ -132,6 +133,15 @@ def part_type_match(spark, sf_dir):
     return match(part, "p_type", shipped_rules()).select("p_partkey", "p_type", "matched", "outcome")
 
 
+def large_vocabulary_match(spark, sf_dir):
+    """The orders' labels, each with the name of a kind, matched to a vocabulary that an index holds."""
+    rules = shipped_rules()
+    large = Rules(rules.threshold, large_references(rules), rules.typo_corrections)
+    k = F.col("k")
+    labelled = keys(spark, sf_dir).select(F.concat(pick(LABELS, k), F.lit(" "), pick(SUFFIXES[:7], k)).alias("t"))
+    return match_distinct(labelled, "t", large)
+
+
 def redundancy_filter(spark, sf_dir):
     return match_distinct(texts(spark, sf_dir), "t", shipped_rules()).where(F.col("outcome") == "redundant").select("t")
 
@@ -365,7 +375,7 @@ def run_counters(spark, sf_dir):
 
 
 _QUERIES = (
-    strict_parse_counts, typed_string_paths, event_props_types, smart_normalize, camel_tokens, camel_concat, levenshtein_ratio, fuzzy_match, part_type_match, redundancy_filter, scope_filter,
+    strict_parse_counts, typed_string_paths, event_props_types, smart_normalize, camel_tokens, camel_concat, levenshtein_ratio, fuzzy_match, part_type_match, large_vocabulary_match, redundancy_filter, scope_filter,
     skip_reason_counts, reclassify_emitted, enriched_types_json, enrichment_records, record_validation, nested_validation, schema_validation, provenance_flatten, provenance_problems,
     registry_names, crosswalk_join, distinct_inputs, registry_matches, similar_names, unmatched_inputs, affiliation_skips, reconcile_join, funder_parts, staged_run, stage_plan, run_counters, corpus_run, file_verdicts,
 )

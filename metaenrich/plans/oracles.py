@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators.rules import Rules
+from .views import SUFFIXES, large_references
 
 
 def _q(value: str | None) -> str:
@@ -18,13 +19,13 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
     clean = lambda t: rf"regexp_replace(lower({t}), '[-_.,;:!?()\[\]{{}}''\"/\\]', ' ', 'g')"
     words = lambda t: rf"list_filter(string_split_regex({t}, '\s+'), lambda w: w <> '')"
     norm = lambda t: f"array_to_string(list_transform({words(clean(t))}, lambda w: coalesce(map_extract({typos}, w)[1], w)), '')"
-    refs = f"refs AS (SELECT {norm('v')} AS r, v FROM (SELECT unnest({_list(rules.reference_values)}) AS v))"
+    refs = lambda values: f"refs AS (SELECT {norm('v')} AS r, v FROM (SELECT unnest({_list(values)}) AS v))"
     excluded = " OR ".join(f"(list_contains({_list(e.normalized)}, n1) AND list_contains({_list(e.matches)}, m))" for e in rules.redundancy_exclusions) or "false"
 
-    def matched(source: str) -> str:
+    def matched(source: str, values: tuple[str, ...] = rules.reference_values, excluded: str = excluded) -> str:
         """CTEs up to rated(t, matched, outcome) for the distinct texts of a query with a column t."""
         squeezed = r"regexp_replace(lower(t), '\s+', '', 'g')"
-        return f"""{refs},
+        return f"""{refs(values)},
         texts AS (SELECT DISTINCT t FROM ({source}) WHERE t IS NOT NULL),
         keyed AS (SELECT t, {norm('t')} AS n1, CASE WHEN len({words('t')}) > 1 THEN {norm(squeezed)} END AS n2 FROM texts),
         ratios AS (SELECT t, v, r, 1.0::DOUBLE - levenshtein(n1, r) / greatest(length(n1), length(r))::DOUBLE AS ratio FROM keyed, refs),
@@ -51,6 +52,7 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
     parts = f"{classified} SELECT doi, 'update' AS action, {original} AS original, {enriched} AS enriched FROM classified WHERE skip_reason IS NULL"
     record = f"""'{{"doi":"' || doi || '",' || {_q(provenance)} || ',"action":"update","field":"types","originalValue":' || original || ',"enrichedValue":' || enriched || '}}'"""
     all_texts = f"SELECT DISTINCT t FROM (SELECT unnest([p_type, p_name]) AS t FROM part UNION ALL SELECT {_list(labels)}[o_orderkey % {len(labels)} + 1] FROM orders)"
+    suffixed = f"SELECT DISTINCT {_list(labels)}[o_orderkey % {len(labels)} + 1] || ' ' || {_list(SUFFIXES)}[o_orderkey % 7 + 1] AS t FROM orders"
     camel = lambda t: rf"regexp_replace(regexp_replace({t}, '([a-z0-9])([A-Z])', '\1 \2', 'g'), '([A-Z]+)([A-Z][a-z])', '\1 \2', 'g')"
     orgs = "orgs AS (SELECT s_suppkey AS s, 'https://ror.example/' || s_suppkey AS id FROM supplier)"
     spelt = "CASE WHEN c_custkey % 3 = 0 THEN 'Institut' ELSE 'Institute' END || ' of Topic ' || (c_custkey % 60) || ' Studies'"
@@ -99,6 +101,7 @@ def build(rules: Rules, labels: tuple[str, ...], general: tuple[str | None, ...]
         "levenshtein_ratio": f"SELECT t, ref, round(1.0::DOUBLE - levenshtein(lower(t), lower(ref)) / greatest(length(t), length(ref))::DOUBLE, 6) AS ratio FROM ({all_texts}), (SELECT unnest({_list(rules.reference_values)}) AS ref)",
         "fuzzy_match": f"WITH {matched(all_texts)} SELECT t, matched, outcome FROM rated",
         "part_type_match": f"WITH {matched('SELECT p_type AS t FROM part')} SELECT p_partkey, p_type, matched, outcome FROM part LEFT JOIN rated ON t = p_type",
+        "large_vocabulary_match": f"WITH {matched(suffixed, large_references(rules), 'false')} SELECT t, matched, outcome FROM rated",
         "redundancy_filter": f"WITH {matched(all_texts)} SELECT t FROM rated WHERE outcome = 'redundant'",
         "scope_filter": f"WITH {rec} SELECT general, count(*) AS n, bool_and({in_scope}) AS in_scope FROM rec GROUP BY general",
         "skip_reason_counts": f"{classified} SELECT coalesce(skip_reason, 'emitted') AS reason, count(*) AS n FROM classified GROUP BY 1",

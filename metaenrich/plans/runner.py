@@ -27,6 +27,7 @@ class RunOptions:
     threads: int = 0
     batch_size: int = 5000
     single_file: bool = False
+    exact: bool = False  # lines with lone surrogates or numbers beyond the doubles are malformed
 
 
 @dataclass
@@ -73,7 +74,7 @@ def run(spark: SparkSession, method: EnrichmentMethod, options: RunOptions, prov
     configure(spark)
     scratch = WorkDir(spark, f"{options.output.rstrip('/')}.tmp")
     try:
-        prepared = scratch.save(method.prepare(parse(read_lines(spark, options.input))), "prepared")
+        prepared = scratch.save(method.prepare(parse(read_lines(spark, options.input), options.exact)), "prepared")
         files = judge_files(spark, prepared, options.input)
         stats = RunStats(files.count - files.failed, files.failed)
         if files.failed:

@@ -12,13 +12,14 @@ from ..sources.corpus import configure
 
 #: Free-text resource types: exact, typo, camel case, split, near miss, redundant, nonsense, blank, punctuation.
 LABELS = (
-    "Data paper", "Dataset", "Sofware", "bookChapter", "bo k", "t xt", "Text", "Datasets", "modell", "Peer, Review!",
+    "Data paper", "Dataset", "Softwre", "physicalObject", "bo k", "t xt", "Text", "Datasets", "modell", "Peer, Review!",
     "otput managment plan", "A heap of old stones", "   ", "---", "Pre-print", "HTMLPageModel", "OTHER", "otehr", "Work flow", "Study_Registration",
     "peer reveiw", "Computational Notebook", "imge", "phisical objct", "Conference proceedingss", "Output Management Plann", "Presentaton", "Soundd", "", "Audio/Visual",
 )
 #: Members that no edit may touch: order of keys, spelling of numbers, escapes.
 OTHER = r'"ris":"GEN","z":{"b":1.0,"a":[-0.0,1e2,1.10,"\u00e9\/"]}'
 GENERAL = ("Text", "Other", None, "Image", "Dataset")
+SUFFIXES = ("alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa")
 RULES_FILE = Path(__file__).resolve().parents[2] / "configs" / "reclassification_rules.yaml"
 
 
@@ -26,6 +27,11 @@ def shipped_rules() -> Rules:
     return load_rules(RULES_FILE)
 
 
+def large_references(rules: Rules) -> tuple[str, ...]:
+    """More references than are compared one by one: each of the rules' ones as several kinds."""
+    return tuple(f"{value} {suffix}" for value in rules.reference_values for suffix in SUFFIXES)
+
+
 def pick(values: tuple, k: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), (k % len(values)).cast("int"))
 

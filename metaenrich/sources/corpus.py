@@ -66,13 +66,15 @@ def judge_files(spark: SparkSession, verdicts: DataFrame, root: str, pattern: st
     return Files(judged.count(), bad.count() if len(some) == 20 else len(some), tuple(r.path for r in some))
 
 
-def parse(lines: DataFrame) -> DataFrame:
+def parse(lines: DataFrame, exact: bool = False) -> DataFrame:
     """(value, file, ok, record) of the lines that aren't blank; not ok: no single JSON value, or no valid UTF-8.
 
+    With `exact`, lone surrogates and numbers beyond the doubles make a line bad, too.
+
     Rows with a file's verdict pass, with neither value nor ok. The parsed columns come out of a generator: a plain projection would be inlined into every later filter, which
     would parse each line several times.
     """
     if "file" not in lines.columns:
         lines = lines.withColumn("file", F.lit(None).cast(FILE))
     shown = lines.where(F.col("file").isNotNull() | ~F.is_valid_utf8("value") | ~R.is_blank(F.col("value")))
-    return shown.select("value", "file", F.inline(F.array(R.strict(F.col("value")))))
+    return shown.select("value", "file", F.inline(F.array(R.strict(F.col("value"), exact))))

@@ -1,8 +1,11 @@
 import dataclasses
+import random
 
+import duckdb
 import pytest
 import yaml
 
+from metaenrich.operators import matching
 from metaenrich.operators.matching import match, match_distinct, vocabulary
 from metaenrich.operators.rules import ConfigError, Exclusion, Rules, rules_from
 from metaenrich.plans.views import RULES_FILE, shipped_rules
@@ -15,24 +18,24 @@ def rated(spark, texts, rules):
 
 def test_shipped_rules(spark):
     expected = {
-        "Journal article": "JournalArticle",
-        "Sofware": "Software",
-        "bookChapter": "BookChapter",
+        "Data paper": "DataPaper",
+        "Softwar": "Software",
+        "dataPaper": "DataPaper",
         "bo k": "Book",
         "t xt": "redundant",
         "Text": "redundant",
         "   ": "no_match",
         "---": "no_match",
-        "posterr": "Poster",
-        "Completely unrelated nonsense": "no_match",
-        "Conference Paper": "ConferencePaper",
+        "modell": "Model",
+        "a heap of old stones": "no_match",
+        "Conference Proceeding": "ConferenceProceeding",
     }
     assert rated(spark, expected, shipped_rules()) == expected
 
 
 @pytest.mark.parametrize(("threshold", "expected"), [(0.85, "Dataset"), (0.99, "no_match"), (1.0, "no_match")])
 def test_threshold(spark, threshold, expected):
-    assert rated(spark, ["Datasett"], Rules(threshold, ("Dataset", "Text"))) == {"Datasett": expected}
+    assert rated(spark, ["Daataset"], Rules(threshold, ("Dataset", "Text"))) == {"Daataset": expected}
 
 
 def test_zero_similarity_never_matches(spark):
@@ -64,6 +67,41 @@ def test_match_keeps_rows_and_columns(spark):
     assert sorted((r.k, r.matched) for r in match(frame, "t", shipped_rules()).collect()) == [(1, "Dataset"), (2, None), (3, "Dataset")]
 
 
+def large_rules(n, threshold, seed=6):
+    rng = random.Random(seed)
+    names = {"".join(rng.choices("abcdefg", k=rng.randrange(4, 25))) for _ in range(n)}
+    near = {m[:k] + "x" + m[k + 1 :] for m in sorted(names)[:200] for k in (1, len(m) // 2)}  # ties and near misses
+    return Rules(threshold, tuple(sorted(names | near)), {"teh": "the"}, (Exclusion(tuple(sorted(names))[5:9], tuple(sorted(names))[:9]),))
+
+
+@pytest.mark.parametrize("threshold", [0.85, 0.6, 1.0])
+def test_large_vocabularies_match_as_small_ones_do(spark, monkeypatch, threshold):
+    rules, rng = large_rules(400, threshold), random.Random(7)
+    texts = ["", " ", "teh", None, "zzzz", *rules.reference_values[:12]]
+    for name in rng.sample(rules.reference_values, 150):
+        k = rng.randrange(len(name))
+        texts += [name[:k] + name[k + 1 :], name[:k] + "y" + name[k:], name[:k] + " " + name[k:].upper()]
+    assert len(rules.reference_values) > matching.LITERALS
+    found = rated(spark, texts, rules)
+    monkeypatch.setattr(matching, "LITERALS", 10_000)
+    assert found == rated(spark, texts, rules) and {"no_match", "redundant"} & set(found.values()) and len(set(found.values())) > 20
+
+
+def test_a_vocabulary_of_a_hundred_thousand_references(spark, tmp_path):
+    rules, rng = large_rules(100_000, 0.85), random.Random(8)
+    texts = {name[:k] + name[k + 1 :] for name in rng.sample(rules.reference_values, 60) for k in (0, len(name) // 2)}
+    frame = spark.createDataFrame([(t,) for t in sorted(texts)], "t string")
+    found = {r.t: r.matched for r in match_distinct(frame, "t", rules, str(tmp_path / "index")).collect()}
+    con = duckdb.connect()
+    con.sql("CREATE TABLE refs (r VARCHAR)")
+    con.execute("INSERT INTO refs SELECT unnest(?)", [list(rules.reference_values)])
+    con.sql("CREATE TABLE texts (t VARCHAR)")
+    con.execute("INSERT INTO texts SELECT unnest(?)", [sorted(texts)])
+    plain = con.sql("""SELECT t, r FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY ratio DESC, r) AS i FROM
+        (SELECT t, r, 1.0::DOUBLE - levenshtein(t, r) / greatest(length(t), length(r))::DOUBLE AS ratio FROM texts, refs) WHERE ratio >= 0.85::DOUBLE) WHERE i = 1""").fetchall()
+    assert {t: m for t, m in found.items() if m} == dict(plain) and len(plain) > 60
+
+
 def test_rules_are_checked():
     good = yaml.safe_load(RULES_FILE.read_text())
     assert len(rules_from(good).typo_corrections) == len(good["typo_corrections"])

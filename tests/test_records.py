@@ -58,6 +58,20 @@ def test_strict_parse(spark, line, ok):
         assert spark.createDataFrame([(line,)], "v string").select(F.try_variant_get(R.strict(F.col("v"))["record"], "$.a", "int").alias("a")).first().a == 2
 
 
+@pytest.mark.parametrize(
+    ("line", "exact"),
+    [
+        (r'"\ud800"', False), (r'"\uD83D\uDE00"', True), (r'"\ude00"', False), (r'"\ud83dx\ude00"', False), (r'"\ud83d\ud83d\ude00"', False), (r'"\\ud800"', True), (r'"\\\ud800"', False),
+        (r'"\ud83d\\ude00"', False), (r'{"a":["\ud83d\ude00","\u00e9"]}', True), ("1e400", False), ("-1E+309", False), ("[1e308]", True), ("1.8e308", False), ("1e-400", True), ('"1e400"', True), (r'"\"1e400"', True), ('{"a":"x","b":1e999}', False),
+        ("9" * 309, False), ("1" + "0" * 308, True), ("0." + "9" * 400, True), ("1" + "0" * 290 + "e20", False),
+    ],
+)
+def test_exact_parsing_refuses_lone_surrogates_and_vast_numbers(spark, line, exact):
+    configure(spark)
+    row = spark.createDataFrame([(line,)], "v string").select(R.strict(F.col("v"))["ok"].alias("plain"), R.strict(F.col("v"), exact=True)["ok"].alias("exact")).first()
+    assert (row.plain, row.exact) == (True, exact)
+
+
 def test_text_at_takes_strings_only(spark):
     row = spark.createDataFrame([('{"a":7,"b":"x","c":"","d":null}',)], "v string").select(*[R.text_at(F.parse_json("v"), f"$.{k}").alias(k) for k in "abcde"]).first()
     assert row.asDict() == {"a": None, "b": "x", "c": "", "d": None, "e": None}
