@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, as_signed, join_hot, mix64, rolling, rows_of, shuffle_partitions, tidy, word_hashes
@@ -50,6 +50,10 @@ LEAST = 80
 GROUP_SIZE = 48
 #: Queries that meet one group in one task.
 QUERY_BLOCK = 256
+#: A token under which more than DENSE queries and groups would meet (LEAST_SIDE of either at least) is met in blocks of DENSE_BLOCK.
+DENSE, LEAST_SIDE, DENSE_BLOCK = 4096, 32, 256
+#: Tokens compared at a time in a block.
+_COLUMNS = 4096
 #: Slots of the count sketch (its classes are one byte each: 4 MB on every executor, at any input size).
 SKETCH_BITS = 22
 #: A slot is sent on from a task once it is hit so often there, and is common from so many hits in all.
@@ -317,15 +321,91 @@ def _open_tokens(scratch: Scratch, matrix: DataFrame, info: DataFrame, name: str
     return out
 
 
-def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, queries: DataFrame, groups: DataFrame, apart: Column, name: str) -> tuple[DataFrame, DataFrame]:
-    """Opens the groups (token, to, g_comp) that queries (token, node, comp, n) may link with; returns the sets, grown, and the links."""
+def _wanted(n, n_lo, n_hi, ceil, most):
+    """Prefix tokens that a query of size n must share with a group whose members have n_lo to n_hi tokens.
+
+    The overlap is at most the shared prefix tokens and what stands behind one of the two prefixes.
+    """
+    return ceil((n + n_lo) * LEAST, 100 + LEAST) - most(ceil(n * LEAST, 100), ceil(n_hi * LEAST, 100)) + 1
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common tokens of each of the left sets with each of the right ones."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    for start in range(0, len(both), _COLUMNS):
+        some = both[start : start + _COLUMNS]
+        sides = []
+        for sets in (left, right):
+            table = np.zeros((len(sets), len(some)), np.float32)
+            for i, tokens in enumerate(sets):
+                at = np.searchsorted(some, tokens)
+                at[at == len(some)] = 0
+                table[i, at[some[at] == tokens]] = 1
+            sides.append(table)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _dense_block(table: pa.Table, ordered: bool) -> pa.Table:
+    """(node, comp, to) of the pairs of a block of queries and one of groups that may link, at the first dense token they share."""
+    asks = table.column("asks")
+    queries, groups = table.filter(asks), table.filter(pc.invert(asks))
+    rows: list[np.ndarray] = []
+    if queries.num_rows and groups.num_rows:
+        column = lambda side, name: side.column(name).to_numpy()
+        sets = lambda side, name: [np.asarray(x, np.int64) for x in side.column(name).to_pylist()]
+        comp, g_comp, n = column(queries, "comp")[:, None], column(groups, "comp")[None, :], column(queries, "n_lo")[:, None]
+        n_lo, n_hi = column(groups, "n_lo")[None, :], column(groups, "n_hi")[None, :]
+        fits = (comp > g_comp if ordered else comp != g_comp) & (n_lo * LEAST <= n * 100) & (n_hi * 100 >= n * LEAST)
+        fits &= _shared(sets(queries, "tokens"), sets(groups, "tokens")) >= _wanted(n, n_lo, n_hi, lambda x, by: -(-x // by), np.maximum)
+        if fits.any():
+            fits &= _shared(sets(queries, "earlier"), sets(groups, "earlier")) == 0
+        a, b = np.nonzero(fits)
+        rows = [column(queries, "id")[a], column(queries, "comp")[a], column(groups, "id")[b]]
+    rows = rows or [np.empty(0, np.int64)] * 3
+    return pa.table({name: pa.array(x, pa.int64()) for name, x in zip(("node", "comp", "to"), rows, strict=True)})
+
+
+def _dense_pairs(queries: DataFrame, groups: DataFrame, dense: DataFrame, ordered: bool) -> DataFrame:
+    """(node, comp, to) that may link and share a dense token. Blocks of queries meet blocks of groups, each with all its prefix tokens."""
+
+    def dealt(rows: DataFrame, key: str, own: str, others: str, asks: bool) -> DataFrame:
+        inside = rows.join(dense, "token")
+        listed = rows.groupBy(key).agg(F.collect_set("token").alias("tokens")).join(inside.groupBy(key).agg(F.collect_set("token").alias("all")), key)
+        block, all_others = F.pmod(F.xxhash64(key, F.lit("dense")), F.col(own)).alias(own), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1)).alias(others)
+        spread = inside.select("token", F.col(key).alias("id"), "comp", "n_lo", "n_hi", block, others).select("token", "id", "comp", "n_lo", "n_hi", own, all_others)
+        met = spread.join(listed.withColumnRenamed(key, "id"), "id")
+        return met.select("token", "qb", "gb", "id", "comp", "n_lo", "n_hi", "tokens", F.expr("filter(all, x -> x < token)").alias("earlier"), F.lit(asks).alias("asks"))
+
+    asked = dealt(queries.select("token", "node", "comp", F.col("n").alias("n_lo"), F.col("n").alias("n_hi")), "node", "qb", "gb", True)
+    held = dealt(groups.select("token", "to", F.col("g_comp").alias("comp"), "n_lo", "n_hi"), "to", "gb", "qb", False)
+    return asked.union(held).groupBy("token", "qb", "gb").applyInArrow(lambda table: _dense_block(table, ordered), "node bigint, comp bigint, to bigint")
+
+
+def _meet(scratch: Scratch, texts: _Texts, sets: DataFrame, info: DataFrame, queries: DataFrame, groups: DataFrame, ordered: bool, name: str) -> tuple[DataFrame, DataFrame]:
+    """Opens the groups (token, to, g_comp) that queries (token, node, comp, n) may link with; returns the sets, grown, and the links.
+
+    ordered: of two classes the one with the larger number asks; else both do. Few queries or groups meet under a token by a join. Where
+    many do, as in a family of almost similar sets, which share many tokens, they meet in blocks: a pair that shares a
+    dense token is judged there by all its tokens, any other shares none and so is counted whole by the join.
+    """
     sizes = info.groupBy(F.xxhash64("gid", "comp").alias("to")).agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+    apart = F.col("comp") > F.col("g_comp") if ordered else F.col("comp") != F.col("g_comp")
     fits = apart & (F.col("n_lo") * LEAST <= F.col("n") * 100) & (F.col("n_hi") * 100 >= F.col("n") * LEAST)
-    met = queries.select("token", "node", "comp", "n").join(groups.join(sizes, "to"), "token").where(fits).groupBy("node", "comp", "n", "to", "n_lo", "n_hi").agg(F.count("*").alias("c"))
-    # The overlap is at most the shared prefix tokens and what stands behind one of the two prefixes.
-    up = lambda x, by: F.ceil(x * LEAST / F.lit(by))
-    wanted = up(F.col("n") + F.col("n_lo"), 100 + LEAST) - F.greatest(up(F.col("n"), 100), up(F.col("n_hi"), 100)) + 1
-    pairs = scratch.save(met.where(F.col("c") >= wanted).select("node", "comp", "to"), f"pairs-{name}")
+    count = lambda frame, as_: frame.groupBy("token").agg(F.count("*").alias(as_))
+    loads = count(queries, "q").join(count(groups, "g"), "token").where((F.least("q", "g") >= LEAST_SIDE) & (F.col("q") * F.col("g") > DENSE))
+    blocks = lambda side: F.ceil(F.col(side) / F.lit(DENSE_BLOCK)).alias(f"{side}b")
+    dense = scratch.save(loads.select("token", blocks("q"), blocks("g")), f"dense-{name}")
+    sized, thin, many = groups.join(sizes, "to"), queries, not dense.isEmpty()
+    if many:
+        thin = queries.join(dense.select("token"), "token", "left_anti")
+    met = thin.select("token", "node", "comp", "n").join(sized, "token").where(fits).groupBy("node", "comp", "n", "to", "n_lo", "n_hi").agg(F.count("*").alias("c"))
+    wanted = _wanted(F.col("n"), F.col("n_lo"), F.col("n_hi"), lambda x, by: F.ceil(x / F.lit(by)), F.greatest)
+    pairs = met.where(F.col("c") >= wanted).select("node", "comp", "to")
+    if many:
+        pairs = pairs.union(_dense_pairs(queries, sized, dense, ordered)).distinct()
+    pairs = scratch.save(pairs, f"pairs-{name}")
 
     members = info.select("node", "comp", F.xxhash64("gid", "comp").alias("to"))
     needed = pairs.select("node").union(members.join(pairs.select("to").distinct(), "to", "left_semi").select("node")).distinct()
@@ -377,13 +457,13 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     if not open_.isEmpty():
         counts = open_.groupBy("token", "to", "comp").agg(F.count("*").alias("k"))
         hubs = counts.groupBy("token").agg(F.max_by(F.struct("to", F.col("comp").alias("g_comp")), F.struct("k", "to")).alias("hub")).select("token", "hub.*")
-        sets, links = _meet(scratch, texts, near, info, open_, hubs, F.col("comp") != F.col("g_comp"), "hub")
+        sets, links = _meet(scratch, texts, near, info, open_, hubs, False, "hub")
         info = _merge(info, links, scratch, "hub")
         open_ = _open_tokens(scratch, open_.select("token", "node"), info, "open-all")
     if not open_.isEmpty():
         # The matrix of what is open: tokens of the groups' unions.
         groups = scratch.save(open_.select("token", "to", F.col("comp").alias("g_comp")).distinct(), "unions")
-        _, links = _meet(scratch, texts, sets, info, open_, groups, F.col("comp") > F.col("g_comp"), "all")
+        _, links = _meet(scratch, texts, sets, info, open_, groups, True, "all")
         info = _merge(info, links, scratch, "all")
     texts.drop()
 

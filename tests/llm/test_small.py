@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import itertools
 import math
 import random
 import re
@@ -107,6 +108,27 @@ def test_links_between_members_of_other_groups():
     assert token_groups.prefix_length(10) == 3
 
 
+def test_a_family_just_below_the_threshold_meets_in_blocks(spark, monkeypatch):
+    """600 classes whose sets have 156 of 196 shingles in common at most: under each common token all of them meet."""
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(180)]
+    combos = rng.sample(list(itertools.combinations(range(5, 180, 10), 3)), 600)
+    rows = []
+    for combo in combos:
+        for _ in range(rng.choice([1, 1, 2])):  # two of a class differ in all three words, and link
+            words = base.copy()
+            for p in combo:
+                words[p] = f"n{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    expected = classes(shingle_sets(rows))
+    blocks = []
+    dense = token_groups._dense_pairs
+    monkeypatch.setattr(token_groups, "_dense_pairs", lambda *a: blocks.append(a) or dense(*a))
+    monkeypatch.setattr(token_groups, "DENSE_BLOCK", 100)
+    got = {r.doc_id: r.component_id for r in token_groups.components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == expected and len(set(expected.values())) == 600 and blocks
+
+
 def test_rows_without_doc_id(spark):
     rows = [(None, "a b c d e f"), (7, "a b c d e f"), (None, None), (3, "q r s t u v")]
     got = sorted(((r.doc_id, r.component_id) for r in token_groups.components(frame(spark, rows)).collect()), key=str)
