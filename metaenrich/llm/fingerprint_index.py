@@ -12,8 +12,15 @@ documents are added one after the other. For each batch:
    run names the text of a fingerprint that occurs once, so that an old text is woken when a new one meets it.
 3. Candidates are verified: the windows of the texts under them become a run of window hashes (128 bits: fingerprint and
    a hash of all WIDTH words), merge-joined with those of history. A window that occurs twice is a repeat. Each text's
-   windows under a fingerprint are looked at once, in the batch in which they become candidates.
-4. Beyond FAN_IN runs of a kind, they are compacted into one.
+   windows under a fingerprint are looked at once, in the batch in which they become candidates. Of an older batch's
+   texts only the keys are read, and then the files that hold a woken one.
+4. Beyond FAN_IN runs of a kind, the newest ones are compacted into one, as long as the next older run holds at most
+   TIER times the bytes of those (or is small anyway). So a large run is written again only once the newer ones have grown near its size: the
+   runs are few (their sizes fall by more than TIER), and a hash is rewritten a logarithmic number of times.
+
+A batch counts once its manifest stands: a file of its own number, written aside and renamed. The newest whole manifest
+is the state, so whatever a lost session left is ignored and the batch can be added again. A folder with tables but without a
+manifest, or with another number of buckets than asked for, is refused. One writer at a time.
 
 Counts are pre-aggregated before each shuffle, so a passage that a third of all documents holds costs each task one row.
 Equal word sequences are one text: the first copy in a task carries it, and a text of WIDTH words or more that occurs
@@ -28,6 +35,7 @@ empty result. Texts of any length are taken whole.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import json
 import uuid
@@ -45,6 +53,9 @@ WIDTH = 35
 GRAM = 8
 BATCHES = 3
 FAN_IN = 2
+TIER = 2
+#: Runs up to this many bytes are merged whatever their sizes.
+FLOOR = 64 << 20
 #: Texts whose copies a task recognizes (8 bytes each).
 _RECENT = 500_000
 #: Windows of a batch of rows that a worker holds.
@@ -59,19 +70,39 @@ class FingerprintIndex:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, fan_in: int = FAN_IN):
         self.spark, self.root, self.fan_in = spark, root.rstrip("/"), fan_in
-        self.state = self._load() or {"buckets": buckets or shuffle_partitions(spark), "batches": 0, "fp": [], "window": [], "text": []}
+        found = self._load()
+        if found and buckets not in (None, found["buckets"]):
+            raise ValueError(f"{self.root} has {found['buckets']} buckets, not {buckets}")
+        self.state = found or {"buckets": buckets or shuffle_partitions(spark), "version": 0, "batches": 0, "fp": [], "window": [], "text": []}
+        if not found:
+            self._commit([])  # what a first batch leaves, should it fail, isn't taken for a lost index
 
     # --- the folder
 
-    def _path(self, name: str):
+    def _path(self, name: str = ""):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def _names(self) -> list[str]:
+        system, path = self._path()
+        return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
+
+    def _read(self, name: str) -> dict | None:
+        """A manifest's state, or null if it is cut short."""
+        try:
+            state = json.loads("".join(r.value for r in self.spark.read.text(f"{self.root}/{name}").collect()))
+        except json.JSONDecodeError:
+            return None
+        return state if "version" in state else None
+
     def _load(self) -> dict | None:
-        system, path = self._path("manifest.json")
-        if not system.exists(path):
+        names = self._names()
+        manifests = sorted((n for n in names if n.startswith("manifest-") and n.endswith(".json")), reverse=True)
+        state = next(filter(None, map(self._read, manifests)), None)
+        if state is None:
+            if any(not n.startswith(("manifest", ".")) for n in names):
+                raise ValueError(f"{self.root} holds tables but no whole manifest")
             return None
-        state = json.loads("".join(r.value for r in self.spark.read.text(f"{self.root}/manifest.json").collect()))
         for kind in self.KEYS:
             for name in state[kind]:
                 keys = ", ".join(self.KEYS[kind])
@@ -79,16 +110,20 @@ class FingerprintIndex:
         return state
 
     def _commit(self, old: list[str]) -> None:
-        """Replaces the manifest, then deletes the tables that it no longer names."""
-        system, fresh = self._path("manifest.new")
-        _, path = self._path("manifest.json")
+        """Publishes the state as the next manifest, then deletes earlier ones and the tables that it no longer names."""
+        before = [n for n in self._names() if n.startswith("manifest-")]
+        self.state["version"] += 1
+        name = f"manifest-{self.state['version']:012d}.json"
+        system, fresh = self._path(f"{name}.new")
         out = system.create(fresh, True)
         out.write(bytearray(json.dumps(self.state).encode()))
         out.close()
-        system.delete(path, False)
-        system.rename(fresh, path)
-        for name in old:
-            self._drop(name)
+        if not system.rename(fresh, self._path(name)[1]):
+            raise OSError(f"{self.root}/{name} stands already: another writer?")
+        for stale in before:
+            delete_path(self.spark, f"{self.root}/{stale}")
+        for table in old:
+            self._drop(table)
 
     def _drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -112,10 +147,10 @@ class FingerprintIndex:
 
     # --- runs
 
-    def merged(self, kind: str) -> DataFrame | None:
-        """All runs of a kind, merge-joined bucket by bucket."""
+    def merged(self, kind: str, runs: list[str] | None = None) -> DataFrame | None:
+        """All runs of a kind, or some, merge-joined bucket by bucket."""
         out, keys = None, self.KEYS[kind]
-        for name in self.state[kind]:
+        for name in self.state[kind] if runs is None else runs:
             run = self.spark.table(name)
             if out is None:
                 out = run
@@ -126,16 +161,39 @@ class FingerprintIndex:
             out = both.select(*keys, n, *(F.coalesce(c, f"__{c}").alias(c) for c in run.columns if c not in (*keys, "n")))
         return out
 
+    def _bytes(self, name: str) -> int:
+        system, path = self._path(name)
+        return system.getContentSummary(path).getLength()
+
     def _compact(self, kind: str) -> list[str]:
-        if len(self.state[kind]) <= self.fan_in:
+        """Merges the newest runs that are near each other in size; the names of those that are in the new one."""
+        runs = self.state[kind]
+        if len(runs) <= self.fan_in:
+            return []
+        sizes = [self._bytes(name) for name in runs]
+        first, total = len(runs) - 1, sizes[-1]
+        while first and sizes[first - 1] <= max(TIER * total, FLOOR):
+            first -= 1
+            total += sizes[first]
+        old = runs[first:]
+        if len(old) < 2:
             return []
-        old, self.state[kind] = self.state[kind], [self._write(self.merged(kind), kind)]
+        self.state[kind] = [*runs[:first], self._write(self.merged(kind, old), kind)]
         return old
 
     # --- batches
 
     def add(self, batch: DataFrame) -> int:
         """Files a batch (doc_id, text as binary), finds and verifies what it repeats, and returns its number."""
+        before = copy.deepcopy(self.state)
+        try:
+            return self._add(batch)
+        except BaseException:
+            self.state = before
+            raise
+
+    def _add(self, batch: DataFrame) -> int:
+        self._sweep()
         number = self.state["batches"]
         described = self._save(_describe(batch), "described")
         self._save(described.select("doc_id", "hi", "lo", "n_words", "kept"), f"rows-{number}")
@@ -161,7 +219,13 @@ class FingerprintIndex:
         self.state["text"].append(text)
         windows = None
         for name in self.state["text"]:
-            opened = _windows(self.spark.table(name).select("hi", "lo", "copies", "text").join(pairs, ["hi", "lo"]))
+            table = self.spark.table(name)
+            if name != text:
+                files = self._woken(table, pairs)
+                if not files:
+                    continue
+                table = table.where(F.col("_metadata.file_path").isin(files))
+            opened = _windows(table.select("hi", "lo", "copies", "text").join(pairs, ["hi", "lo"]))
             windows = opened if windows is None else windows.union(opened)
         windows = self._save(windows, f"windows-{number}")
         counted = _each(windows).groupBy("fp", "full").agg(F.least(F.count("*"), F.lit(2)).cast("tinyint").alias("n"))
@@ -173,6 +237,18 @@ class FingerprintIndex:
             delete_path(self.spark, f"{self.root}/{name}")
         return number
 
+    def _woken(self, table: DataFrame, pairs: DataFrame) -> list[str]:
+        """Files of an older batch's texts that hold one of the pairs' keys, by the keys alone; not more than it has files."""
+        keyed = table.select("hi", "lo", F.col("_metadata.file_path").alias("file"))
+        return [r.file for r in keyed.join(pairs.select("hi", "lo"), ["hi", "lo"], "left_semi").select("file").distinct().collect()]
+
+    def _sweep(self) -> None:
+        """Deletes runs that no manifest names: those of adds that failed."""
+        named = {name for kind in self.KEYS for name in self.state[kind]}
+        for name in self._names():
+            if "_run_" in name and name not in named:
+                self._drop(name)
+
     def known(self, batch: DataFrame) -> DataFrame:
         """Fingerprints of further documents (doc_id, text) that the index holds: what add() would look at."""
         found = _describe(batch).select(F.explode("fps").alias("fp")).distinct()

@@ -194,6 +194,93 @@ def test_an_index_outlasts_its_sessions(spark, tmp_path):
     index.close()
 
 
+def _filed(spark, part):
+    return spark.createDataFrame([(i, t.encode()) for i, t in part], "doc_id bigint, text binary")
+
+
+def _judged(index):
+    return {r.doc_id: tuple(r)[1:] for r in index.result().collect()}
+
+
+def test_an_index_survives_lost_sessions(spark, tmp_path, monkeypatch):
+    """A session lost before, while or after a manifest is written loses no batch, and the batch can be added again."""
+    rng = random.Random(16)
+    passage = prose(rng, 45)
+    rows = [(i, f"{prose(rng, 20)} {passage} {prose(rng, 20)}") for i in range(6)]
+    root = f"file://{tmp_path}/index"
+    index = fingerprint_index.FingerprintIndex(spark, root, buckets=2)
+    index.add(_filed(spark, rows[:3]))
+
+    def lost(old):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(index, "_commit", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        index.add(_filed(spark, rows[3:]))
+    assert index.state["batches"] == 1 and len(index.state["fp"]) == 1
+    (tmp_path / "index" / "manifest-000000000099.json").write_text('{"version": 99, "bat')  # cut short
+    (tmp_path / "index" / "manifest-000000000098.json.new").write_text("{}")  # never renamed
+    index = fingerprint_index.FingerprintIndex(spark, root)
+    assert index.state["batches"] == 1 and _judged(index) == removed(rows[:3])
+    assert index.add(_filed(spark, rows[3:])) == 1
+    assert _judged(index) == removed(rows)
+    runs = {p.name for p in (tmp_path / "index").iterdir() if "_run_" in p.name}
+    assert runs == {name for kind in index.KEYS for name in index.state[kind]}  # the failed add left nothing
+    manifests = [p.name for p in (tmp_path / "index").iterdir() if p.name.startswith("manifest")]
+    assert len(manifests) == 1
+    index.close()
+    with pytest.raises(ValueError, match="buckets"):
+        fingerprint_index.FingerprintIndex(spark, root, buckets=5)
+    (tmp_path / "index" / manifests[0]).unlink()
+    with pytest.raises(ValueError, match="no whole manifest"):
+        fingerprint_index.FingerprintIndex(spark, root)
+
+
+def test_small_batches_leave_large_runs_alone(spark, tmp_path, monkeypatch):
+    sizes, unit = {}, 2 * fingerprint_index.FLOOR
+    index = fingerprint_index.FingerprintIndex(spark, f"file://{tmp_path}/index", buckets=2)
+    monkeypatch.setattr(index, "_bytes", lambda name: sizes[name] * unit)
+    monkeypatch.setattr(index, "merged", lambda kind, runs: list(runs))
+
+    def write(runs, kind):
+        name = f"r{len(sizes)}"
+        sizes[name] = sum(sizes[r] for r in runs)
+        written.append(sizes[name])
+        return name
+
+    monkeypatch.setattr(index, "_write", write)
+    written, runs = [], []
+    for n in range(400):
+        sizes[f"b{n}"] = 1000 if n == 0 else 1
+        index.state["fp"].append(f"b{n}")
+        index._compact("fp")
+        runs.append([sizes[r] for r in index.state["fp"]])
+    assert all(sum(r) == 1000 + n for n, r in enumerate(runs))
+    assert max(map(len, runs)) <= 2 + math.log(1400, 1.5)
+    assert sum(w >= 1000 for w in written) <= 1  # the large run isn't rewritten for small batches
+    assert sum(written) < 400 * 2 * math.log2(400)
+
+
+def test_a_batch_opens_only_the_files_of_woken_texts(spark, tmp_path):
+    rng = random.Random(17)
+    old = [(i, prose(rng, 60)) for i in range(300)]
+    index = fingerprint_index.FingerprintIndex(spark, f"file://{tmp_path}/index", buckets=16)
+    index.add(_filed(spark, old))
+    table = spark.table(index.state["text"][0])
+    files = len(table.inputFiles())
+    asked = spark.createDataFrame([tuple(table.select("hi", "lo").first())], "hi bigint, lo bigint")
+    woken = index._woken(table, asked)
+    assert len(woken) == 1 < files
+    plan = table.where(F.col("_metadata.file_path").isin(woken)).select("hi", "text")
+    plan.collect()
+    scans = plan._jdf.queryExecution().executedPlan().collectLeaves()
+    assert scans.head().metrics().apply("numFiles").value() == 1
+    fresh = [(1000, old[7][1] + " and more"), (1001, prose(rng, 60))]
+    index.add(_filed(spark, fresh))
+    assert _judged(index) == removed([*old, *fresh])
+    index.close()
+
+
 def test_rows_without_doc_id_are_treated_alike(spark):
     rng = random.Random(15)
     text, own = prose(rng, 60), prose(rng, 60)
