@@ -3,18 +3,21 @@
 Method: each page is parsed once into text blocks. Every block-level element gets a hash of its subtree (host, tag, class
 and id, text and child hashes). Spark counts on how many different main contents each hash stands, so that copies of a
 page are one and are no evidence; a subtree that recurs on RECUR_PAGES of them, however large the host is, is template
-and is deleted with all blocks inside it. Inside the article element only containers can be template: a paragraph that
-pages share stays. What stands around the article never takes it along.
+and is deleted with all blocks inside it. Inside the article element, and on pages without article and main element, only
+containers can be template: a paragraph that pages share stays. What stands around the article never takes it along.
+
+Of what templates and lists leave, the main content is chosen by its mass, the characters outside links: the article
+elements; what else a main element holds comes with them if it is more than they are (so an article inside it was only
+a teaser, or a part), and all the page does if it is more than twice as much. Several articles count as one.
 
 Counts can't see what doesn't recur: a menu on a host with few pages, an advert that is on one page only. So lists
 decide about the blocks that no template holds: what stands in an element that is never main text by tag, role, class or
-id (menus, headers, footers, sidebars, notices, adverts, forms and reader comments) goes, and if a page has an article
-(or else a main element), so does what stands outside it. Class and id count as whole words only (`ad`, not `ad-free`), and
-in an article or main element only for containers, so that no paragraph or heading of it can go by its name. n_template
-and n_listed tell how many blocks went by counts and by lists.
+id (menus, headers, footers, sidebars, notices, adverts, forms and reader comments) goes. Class and id count as whole
+words only (`ad`, not `ad-free`), and in an article or main element nearly only for containers: a paragraph or heading goes
+by the few names that say advert in full. n_template tells how many blocks went by counts, n_listed how many others.
 
 Character references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined in page
-order by a line feed; nothing else is dropped or capped. Parsing and cutting take time linear in the page, however
+order by a line feed; an inline element that goes (hidden, a button) cuts no block; nothing else is dropped or capped. Parsing and cutting take time linear in the page, however
 deeply it is nested: an element holds the interval of its blocks, and every look for an open element takes one step.
 
 Null and empty html give an empty text. A null or odd url counts as a host of its own (''). Repeated rows each give
@@ -27,7 +30,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -66,6 +69,12 @@ _FIRM = frozenset(
     "ad ads advert adverts advertisement advertising ad-slot ad-container ad-wrapper ad-banner sponsor sponsored comment comments comment-list comments-area commentlist respond"
     " disqus replies related related-posts recommended recommendations hidden".split()
 )
+#: Further ones that drop a container in an article.
+_INNER = _FIRM | frozenset(
+    "cookie cookies cookie-banner cookie-notice consent gdpr newsletter subscribe subscription signup share sharing social-share share-buttons widget popup modal overlay".split()
+)
+#: The ones that drop any element in an article.
+_PLAIN = frozenset("advert adverts advertisement advertising sponsored".split())
 #: A start tag closes an open element of its group, up to the nearest element of the group's scope.
 _SCOPE = frozenset("article aside body div dl main nav ol section table td th ul".split())
 _CELLS = frozenset("td th".split())
@@ -91,6 +100,7 @@ class _Element:
     parts: list[bytes]
     first: int  # blocks from here on are inside
     near: tuple[int, ...]  # of each group, depth of the open element that a start tag would close, or 0
+    held: tuple[list[str], int] | None = None  # begun text around an inline element that is dropped
 
 
 @dataclass(slots=True)
@@ -98,6 +108,7 @@ class Block:
     text: str
     level: int
     listed: bool
+    mass: int  # characters outside links
 
 
 def _label(attrs: str) -> tuple[str, bool, set[str]]:
@@ -120,20 +131,24 @@ class Page:
         self.stack = [_Element("", "", False, 0, False, [], 0, (0,) * len(_GROUPS))]
         self.open: Counter[str] = Counter()
         self.text: list[str] = []
+        self.linked = 0
+        self.loose: list[tuple[int, int, int, int]] = []
         self._read(source)
         while len(self.stack) > 1:
             self._pop()
         self._flush()
+        if any(b.level for b in self.blocks):
+            self.elements += self.loose
 
     def _read(self, source: str) -> None:
         at, last = 0, source.rfind(">")
         while True:
             tag = _TAG.search(source, at) if at <= last else None
             if tag is None:
-                self.text.append(source[at:])
+                self._add(source[at:])
                 return
             if tag.start() > at:
-                self.text.append(source[at : tag.start()])
+                self._add(source[at : tag.start()])
             at = tag.end()
             if tag["comment"] is not None:
                 end = source.find("-->", at)
@@ -149,14 +164,19 @@ class Page:
                 else:
                     self._start(name, tag["attrs"])
 
+    def _add(self, text: str) -> None:
+        self.text.append(text)
+        if self.open["a"]:
+            self.linked += len(text)
+
     def _flush(self) -> None:
         if not self.text:
             return
-        text = " ".join(html.unescape("".join(self.text)).split())
-        self.text = []
+        text, linked = " ".join(html.unescape("".join(self.text)).split()), self.linked
+        self.text, self.linked = [], 0
         if text:
             top = self.stack[-1]
-            self.blocks.append(Block(text, top.level, top.dropped))
+            self.blocks.append(Block(text, top.level, top.dropped, max(0, len(text) - linked)))
             top.parts.append(text.encode("utf-8", "surrogatepass"))
 
     def _start(self, name: str, attrs: str) -> None:
@@ -183,14 +203,15 @@ class Page:
             self.text.append(" ")
         top = self.stack[-1]
         label, marked, words = _label(attrs) if attrs else ("", False, set())
-        if top.level and name not in _CONTAINER and name not in ("article", "main"):
-            words = set()  # inside the article, names never delete a paragraph or heading
-        elif top.level:
-            words &= _FIRM
+        if top.level:  # inside the article, names hardly delete a paragraph or heading
+            words &= _INNER if name in _CONTAINER else _FIRM if name in ("article", "main") else _PLAIN
         own = name in _DROP or marked or bool(words)
         above = top.dropped and not (top.soft and name in ("article", "main"))
         dropped = above or own
-        if dropped != top.dropped:
+        held = None
+        if dropped and not top.dropped and not block:
+            held, self.text, self.linked = (self.text, self.linked), [], 0
+        elif dropped != top.dropped:
             self._flush()
         soft = dropped and (top.soft if above else True) and (not own or bool(words) and not marked and name not in _DROP and words.isdisjoint(_FIRM))
         level = top.level if dropped else max(top.level, {"article": 2, "main": 1}.get(name, 0))
@@ -201,7 +222,7 @@ class Page:
                 changed[g] = depth if name in _GROUPS[g][0] else 0
             near = tuple(changed)
         self.open[name] += 1
-        self.stack.append(_Element(name, label, dropped, level, soft, [] if block else top.parts, len(self.blocks), near))
+        self.stack.append(_Element(name, label, dropped, level, soft, [] if block else top.parts, len(self.blocks), near, held))
 
     def _close_implied(self, group: int) -> None:
         depth = self.stack[-1].near[group]
@@ -223,6 +244,8 @@ class Page:
         block = top.name in _BLOCK
         if block or top.dropped != self.stack[-2].dropped:
             self._flush()
+        if top.held:
+            self.text, self.linked = top.held
         self.stack.pop()
         self.open[top.name] -= 1
         if not block:
@@ -230,20 +253,37 @@ class Page:
         key = xxhash.xxh3_64_intdigest(b"\0".join([self.host, top.name.encode(), top.label.encode("utf-8", "surrogatepass"), *top.parts])) - (1 << 63)
         self.stack[-1].parts.append(key.to_bytes(8, "little", signed=True))
         main = top.level > self.stack[-1].level  # the article itself is no template
-        if top.first < len(self.blocks) and not main and (top.name in _CONTAINER or not top.level):
-            self.elements.append((key, top.first, len(self.blocks), top.level))
+        if top.first < len(self.blocks) and not main:
+            if top.name in _CONTAINER:
+                self.elements.append((key, top.first, len(self.blocks), top.level))
+            elif not top.level:
+                self.loose.append((key, top.first, len(self.blocks), 0))
         return top.name
 
-    def chosen(self) -> list[int]:
-        """Numbers of the blocks that lists leave: those of the article, else of the main element, else of the body."""
-        free = [i for i, b in enumerate(self.blocks) if not b.listed]
-        level = max((self.blocks[i].level for i in free), default=0)
-        return [i for i in free if self.blocks[i].level == level]
+    def free(self) -> list[int]:
+        """Numbers of the blocks that no list drops."""
+        return [i for i, b in enumerate(self.blocks) if not b.listed]
+
+    def chosen(self, gone: Container[int] = ()) -> list[int]:
+        """Numbers of the main content's blocks, when those in `gone` are template."""
+        left = [i for i in self.free() if i not in gone]
+        least = choose([self.blocks[i].level for i in left], [self.blocks[i].mass for i in left])
+        return [i for i in left if self.blocks[i].level >= least]
 
     def main_blocks(self) -> list[Block]:
         return [self.blocks[i] for i in self.chosen()]
 
 
+def choose(levels: list[int], masses: list[int]) -> int:
+    """The least level of main content, for blocks of these levels and masses."""
+    least, mass = max(levels, default=0), [0, 0, 0]
+    for level, m in zip(levels, masses, strict=True):
+        mass[level] += m
+    if least == 2 and mass[1] > mass[2]:
+        least = 1
+    return 0 if mass[0] > 2 * (mass[1] + mass[2]) else least
+
+
 def covered(levels: np.ndarray, elements: np.ndarray) -> np.ndarray:
     """Which blocks (of these levels) the elements (first, end, level) delete: those inside, unless of a higher level."""
     gone = np.zeros(len(levels), bool)
@@ -265,11 +305,11 @@ def host_of(url: str | None) -> str:
     return found[1].rpartition("@")[2].partition(":")[0].lower().rstrip(".") if found else ""
 
 
-_PARSED = "page_id, url, texts, at, blocks, keys, spans, content".split(", ")
+_PARSED = "page_id, url, texts, at, masses, blocks, keys, spans, content".split(", ")
 
 
 def _parse(pages: DataFrame) -> DataFrame:
-    """page_id, url, texts and numbers (at) of the chosen blocks, level of every block, keys and spans (first, end, level each) of the elements, hash of the texts."""
+    """page_id, url, texts, numbers (at) and masses of the blocks that lists leave, level of every block, keys and spans (first, end, level each) of the elements, hash of the main content."""
     id_type = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,15 +319,16 @@ def _parse(pages: DataFrame) -> DataFrame:
                 columns: list[list] = [[] for _ in _PARSED[2:]]
                 for url, source in rows_of([part], "url", "html"):
                     page = Page(source or "", host_of(url))
-                    at = page.chosen()
-                    texts = [page.blocks[i].text for i in at]
-                    row = texts, at, bytes(b.level for b in page.blocks), [e[0] for e in page.elements], [x for e in page.elements for x in e[1:]], content_of(texts)
+                    at = page.free()
+                    texts, masses = [page.blocks[i].text for i in at], [page.blocks[i].mass for i in at]
+                    content = content_of([b.text for b in page.main_blocks()])
+                    row = texts, at, masses, bytes(b.level for b in page.blocks), [e[0] for e in page.elements], [x for e in page.elements for x in e[1:]], content
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
-                kinds = [pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
+                kinds = [pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], _PARSED)
 
-    return pages.mapInArrow(run, f"page_id {id_type}, url string, texts array<string>, at array<int>, blocks binary, keys array<bigint>, spans array<int>, content bigint")
+    return pages.mapInArrow(run, f"page_id {id_type}, url string, texts array<string>, at array<int>, masses array<int>, blocks binary, keys array<bigint>, spans array<int>, content bigint")
 
 
 def templates(parsed: DataFrame, pages: int = RECUR_PAGES) -> DataFrame:
@@ -307,14 +348,16 @@ def _cut(parsed: DataFrame, recurring: np.ndarray | None) -> DataFrame:
         known = None if shipped is None else shipped.value
         for batch in batches:
             columns: list[list] = [[] for _ in names[2:]]
-            for texts, at, levels, keys, spans, *rest in rows_of([batch], *used[2:]):
+            for texts, at, masses, levels, keys, spans, *rest in rows_of([batch], *used[2:]):
                 gone_keys = known if known is not None else np.sort(np.array(rest[0] or [], np.int64))
                 levels, keys = np.frombuffer(levels, np.uint8), np.array(keys, np.int64)
                 place = np.searchsorted(gone_keys, keys)
                 hit = place < len(gone_keys)
                 hit[hit] = gone_keys[place[hit]] == keys[hit]
                 gone = covered(levels, np.array(spans, np.int64).reshape(-1, 3)[hit])
-                kept = [t for t, i in zip(texts, at, strict=True) if not gone[i]]
+                left = [(t, int(levels[i]), m) for t, i, m in zip(texts, at, masses, strict=True) if not gone[i]]
+                least = choose([level for _, level, _ in left], [m for _, _, m in left])
+                kept = [t for t, level, _ in left if level >= least]
                 text = "\n".join(kept)
                 n = int(gone.sum())
                 for column, value in zip(columns, (text, len(text), n, len(levels) - n - len(kept)), strict=True):

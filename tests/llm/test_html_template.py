@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from metaenrich.llm import html_template
 from metaenrich.llm.html_template import Page
@@ -32,6 +33,50 @@ def test_names_delete_no_article(source):
     assert texts(source) == ["T"]
 
 
+LONG = "A long body of main text, with many words in it."
+
+
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        (f'<main><h1>Title</h1><p>{LONG}</p><section><article class="card">teaser</article></section></main>', ["Title", LONG, "teaser"]),
+        (f'<div class="content">{LONG}</div><article class="teaser">teaser</article>', [LONG, "teaser"]),
+        ("<main><p>Lead.</p><article>A.</article><p>End.</p></main>", ["Lead.", "A.", "End."]),
+        (f"<main><article>{LONG}</article><div>More like this</div></main><div>Around</div>", [LONG]),
+        (f"<article>{LONG}</article><div>{'<a href=x>Another page of ours</a> ' * 9}</div>", [LONG]),  # links have no mass
+        (f"<article>{LONG}</article><article>Second</article>", [LONG, "Second"]),
+        (f'<article><p>{LONG}</p><p class="advert">x</p><section id="cookie">x</section><div class="share">x</div><div class="widget">x</div></article>', [LONG]),
+        ("<p>one <span hidden>x</span> paragraph</p>", ["one paragraph"]),
+        ("<p>one <button>x</button>paragraph <i hidden>x<b>y</b></i>goes on</p><p>two", ["one paragraph goes on", "two"]),
+        ("<div>one <span hidden><div>x</div>y</span> block <span hidden>", ["one block"]),
+        ("<p>one <span hidden>x<p>two", ["one", "two"]),
+        ("<article></article>", []),
+    ],
+)
+def test_main_content_is_chosen_by_mass(source, expected):
+    assert texts(source) == expected
+
+
+def test_pages_without_article_keep_shared_paragraphs(spark):
+    """The main content's shared paragraphs stay, a container that recurs goes; texts differ with and without templates."""
+    source = lambda i: f"<div><h1>Report {i}</h1><p>The same foreword.</p><p>Body {i}</p></div><div>Our <b>offices</b></div>"
+    frame = spark.createDataFrame([(i, "http://a.example/", source(i)) for i in range(20)], "page_id int, url string, html string")
+    assert {r.page_id: r.text for r in html_template.extract(frame).collect()} == {i: f"Report {i}\nThe same foreword.\nBody {i}" for i in range(20)}
+    assert all(r.text.endswith("Our offices") for r in html_template.extract(frame, recur=1 << 40).collect())
+
+
+def test_given_pages_without_article_elements(spark):
+    """With their articles renamed to div, no line of the main text goes by templates."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    renamed = pages.withColumn("html", F.regexp_replace("html", "<(/?)(?:article|main)\\b", "<$1div"))
+    plain = {r.page_id: r.text.split("\n") for r in html_template.extract(pages).collect()}
+    found = {r.page_id: r.text.split("\n") for r in html_template.extract(renamed).collect()}
+    lost = sum(line not in found[i] for i, lines in plain.items() for line in lines)
+    added = sum(line not in plain[i] for i, lines in found.items() for line in lines)
+    total = sum(map(len, plain.values()))
+    assert lost <= 0.001 * total and added <= 0.05 * total, (lost, added, total)
+
+
 def test_implied_ends():
     assert texts("<table><tr><td>a<td>b<tr><td>c</table><dl><dt>x<dd>y<dt>z</dl>") == ["a b", "c", "x", "y", "z"]
     assert texts("<ul><li>a<ul><li>b</ul><li>c</ul>d</li>e") == ["a", "b", "c", "de"]
@@ -68,7 +113,7 @@ def test_counts_equal_brute_force(spark, tables):
     assert out == {r.page_id: r for r in html_template.extract(frame, max_broadcast=-1).collect()}
     for i, page in pages.items():
         gone = {n for key, first, end, level in page.elements if key in recurring for n in range(first, end) if level >= page.blocks[n].level}
-        kept = [page.blocks[n].text for n in page.chosen() if n not in gone]
+        kept = [page.blocks[n].text for n in page.chosen(gone)]
         assert (out[i].text, out[i].n_template, out[i].n_listed) == ("\n".join(kept), len(gone), len(page.blocks) - len(gone) - len(kept))
     assert out[10_000].text == "Own 0\nSame" and out[10_000].n_template == 3
 
