@@ -67,6 +67,13 @@ def test_match_keeps_rows_and_columns(spark):
     assert sorted((r.k, r.matched) for r in match(frame, "t", shipped_rules()).collect()) == [(1, "Dataset"), (2, None), (3, "Dataset")]
 
 
+def test_a_filter_on_the_outcome_rates_distinct_texts_only(spark):
+    frame = spark.range(1000).selectExpr("cast(id % 3 AS string) AS t")
+    plan = match_distinct(frame, "t", shipped_rules()).where("outcome = 'redundant'")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Aggregate", 1)
+    assert "levenshtein" in above and "levenshtein" not in below
+
+
 def large_rules(n, threshold, seed=6):
     rng = random.Random(seed)
     names = {"".join(rng.choices("abcdefg", k=rng.randrange(4, 25))) for _ in range(n)}
