@@ -8,13 +8,15 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from metaenrich.operators.resource_type import ResourceTypeGeneral
+from metaenrich.plans import catalogue
 from metaenrich.plans.catalogue import PROVENANCE
 from metaenrich.plans.runner import RunOptions, run
 from metaenrich.plans.views import shipped_rules
 from metaenrich.sources.corpus import judge_files, list_files, read_lines
-from metaenrich.sources.gzip_lines import Unpacker, read_gzip_lines, unpack
+from metaenrich.sources.gzip_lines import Unpacker, between, read_gzip_lines, unpack
 
 
 def read(data, cuts=None, block=1 << 20, size=None):
@@ -113,3 +115,20 @@ def test_a_file_cut_midway_is_reported(spark, tmp_path):
     write(tmp_path / "in", "two", whole[: len(whole) // 2])
     stats = run(spark, ResourceTypeGeneral(shipped_rules()), RunOptions(str(tmp_path / "in"), str(tmp_path / "out")), PROVENANCE)
     assert (stats.files_processed, stats.files_failed) == (1, 1) and 20_000 <= stats.records_scanned < 40_000 and stats.lines_malformed == 0
+
+
+@pytest.mark.parametrize(("start", "end"), [(0, 500), (4, 1000), (0, 1000), (3, 4), (999, 1000)])
+def test_a_stretch_of_a_file_in_pieces(start, end):
+    data = bytes(i * i % 13 for i in range(1000))
+    pieces = data.split(b"\n")
+    batches = (pa.RecordBatch.from_arrays([pa.array([start] * n), pa.array([end] * n), pa.array(pieces[i : i + n], pa.binary())], ["start", "end", "piece"]) for i in range(0, len(pieces), 7) for n in [len(pieces[i : i + 7])])
+    out = [v for b in between(batches) for v in b.column(0).cast(pa.binary()).to_pylist()]
+    assert data.count(b"\n") > 50 and b"\n".join(out) == data[start:end]
+
+
+def test_file_verdicts_sort_nothing_to_write_the_parts(spark, tables, monkeypatch):
+    seen = []
+    monkeypatch.setattr(catalogue, "read_lines", lambda s, root: seen.append(root) or read_lines(s, root))
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a, _text=DataFrameWriter.text, **k: seen.append(self._spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")) or _text(self, *a, **k))
+    assert sorted((r.part, r.whole) for r in catalogue.file_verdicts(spark, tables).collect()) == [(0, True), (1, True), (2, True), (3, False), (4, False)]
+    assert seen[0] == "5" and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
