@@ -12,6 +12,7 @@ from ..operators.method import EnrichmentMethod
 from ..operators.provenance import Provenance, record_column
 from ..operators.schema import JsonSchema, record_errors, validate_json
 from ..sources.corpus import configure, judge_files, list_files, parse, read_lines
+from ..sources.scratch import spread
 from ..sources.sink import write_jsonl
 from .staged import Stage, WorkDir, run_stages, state_of
 
@@ -67,14 +68,14 @@ def _skipped(extracted: DataFrame) -> dict[str, int]:
 def run(spark: SparkSession, method: EnrichmentMethod, options: RunOptions, provenance: Provenance, validator: JsonSchema | str | None = "builtin", work: WorkDir | None = None, from_scratch: bool = False, only: Stage | None = None) -> RunStats:
     """Reads options.input, writes valid records to options.output and invalid ones to options.output + '.invalid'.
 
-    The corpus is scanned once: what the method reads of it, the classified rows and the judged records are written to
+    The corpus is scanned once; a file is unpacked by one task, its lines are dealt to all. What the method reads of it, the classified rows and the judged records are written to
     options.output + '.tmp' and read from there. Counts are aggregations over these tables, not accumulators that a
     repeated task would add to twice. `work` keeps the stages of a lookup method.
     """
     configure(spark)
     scratch = WorkDir(spark, f"{options.output.rstrip('/')}.tmp")
     try:
-        prepared = scratch.save(method.prepare(parse(read_lines(spark, options.input), options.exact)), "prepared")
+        prepared = scratch.save(method.prepare(parse(spread(read_lines(spark, options.input)), options.exact)), "prepared")
         files = judge_files(spark, prepared, options.input)
         stats = RunStats(files.count - files.failed, files.failed)
         if files.failed:

@@ -132,3 +132,17 @@ def test_file_verdicts_sort_nothing_to_write_the_parts(spark, tables, monkeypatc
     monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a, _text=DataFrameWriter.text, **k: seen.append(self._spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")) or _text(self, *a, **k))
     assert sorted((r.part, r.whole) for r in catalogue.file_verdicts(spark, tables).collect()) == [(0, True), (1, True), (2, True), (3, False), (4, False)]
     assert seen[0] == "5" and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_lines_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
+    seen = []
+
+    class Watched(ResourceTypeGeneral):
+        def prepare(self, parsed):
+            seen.append(parsed.rdd.getNumPartitions())
+            return super().prepare(parsed)
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.jsonl.gz").write_bytes(gzip.compress(b'{"id":"1"}\n' * 100))
+    assert run(spark, Watched(shipped_rules()), RunOptions(str(tmp_path / "in"), str(tmp_path / "out")), PROVENANCE).records_scanned == 100
+    assert seen[0] >= 4
