@@ -3,6 +3,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from metaenrich.plans import catalogue, views
 from metaenrich.sources import scratch
 
 
@@ -34,3 +35,14 @@ def test_shuffle_cleanup_is_set_for_the_step_only(spark):
     with scratch.tidy(spark):
         assert spark.conf.get(scratch._CLEANUP) == "true"
     assert spark.conf.get(scratch._CLEANUP, None) == before
+
+
+def test_costly_work_on_customers_is_dealt_to_all_tasks(spark, tables):
+    for name in ("schema_validation", "record_validation", "nested_validation"):
+        assert catalogue.queries()[name](spark, tables).rdd.getNumPartitions() >= 4
+
+
+def test_lookup_lines_are_dealt_to_all_tasks_and_the_registry_is_read_once(spark, tables):
+    assert views.lookup_lines(spark, tables).rdd.getNumPartitions() >= 4
+    registry = catalogue._registry(spark, tables)
+    assert registry.inputFiles() and all(f.endswith(".parquet") for f in registry.inputFiles())
