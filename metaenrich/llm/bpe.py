@@ -11,11 +11,11 @@ give their own row, an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import struct
 import unicodedata
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -51,10 +51,14 @@ class WordBpe:
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in special.items()}
         self.special = special
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.ranks: dict[int, tuple[int, int]] = {}
+        #: Rank of a pair, which is one number (no id is `wide` - 1, so that an unknown byte, -1, is in no pair); and what a rank makes.
+        self.wide = max(self.vocab.values()) + 2
+        self.ranks: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.ranks[self.vocab[left] << 32 | self.vocab[right]] = (rank, self.vocab[left + right])
+            self.ranks[self.vocab[left] * self.wide + self.vocab[right]] = rank
+            self.made.append(self.vocab[left + right])
         alphabet = byte_alphabet()
         self.inner = [self.vocab.get(alphabet[b], -1) for b in range(256)]
         self.last = [self.vocab.get(alphabet[b] + self.end, -1) for b in range(256)]
@@ -71,39 +75,34 @@ class WordBpe:
         n = len(symbols)
         if n == 1:
             return (symbols[0],)
-        ranks = self.ranks
-        heap = []
-        for i in range(n - 1):
-            found = ranks.get(symbols[i] << 32 | symbols[i + 1])
-            if found is not None:
-                heap.append(found[0] << 32 | i)
+        rank_of, made, wide = self.ranks.get, self.made, self.wide
+        # The rank of the pair that begins at a symbol: an entry of another rank is stale.
+        ranks = [rank_of(a * wide + b, -1) for a, b in zip(symbols, symbols[1:])]
+        heap = [r * n + i for i, r in enumerate(ranks) if r >= 0]
         if heap:
-            heapq.heapify(heap)
+            ranks.append(-1)
+            heapify(heap)
             after = list(range(1, n + 1))
             before = list(range(-1, n - 1))
             while heap:
-                entry = heapq.heappop(heap)
-                i = entry & 0xFFFFFFFF
-                left, j = symbols[i], after[i]
-                if left < 0 or j >= n:
+                rank, i = divmod(heappop(heap), n)
+                if ranks[i] != rank:
                     continue
-                found = ranks.get(left << 32 | symbols[j])
-                if found is None or found[0] != entry >> 32:
-                    continue  # stale: the pair that made this entry is gone
-                merged = symbols[i] = found[1]
-                symbols[j] = -1
+                merged = symbols[i] = made[rank]
+                j = after[i]
+                symbols[j] = ranks[j] = ranks[i] = -1
                 k = after[i] = after[j]
                 if k < n:
                     before[k] = i
-                    found = ranks.get(merged << 32 | symbols[k])
-                    if found is not None:
-                        heapq.heappush(heap, found[0] << 32 | i)
+                    r = ranks[i] = rank_of(merged * wide + symbols[k], -1)
+                    if r >= 0:
+                        heappush(heap, r * n + i)
                 h = before[i]
                 if h >= 0:
-                    found = ranks.get(symbols[h] << 32 | merged)
-                    if found is not None:
-                        heapq.heappush(heap, found[0] << 32 | h)
-        return tuple(s for s in symbols if s >= 0)
+                    r = ranks[h] = rank_of(symbols[h] * wide + merged, -1)
+                    if r >= 0:
+                        heappush(heap, r * n + h)
+        return tuple([s for s in symbols if s >= 0])
 
     def chunk(self, raw: str) -> list[int]:
         """Ids of a stretch without white space and special tokens."""
@@ -142,7 +141,7 @@ class WordBpe:
         return [i for c in self.chunks(text) for i in ([self.special[c]] if c in self.special else self.chunk(c))]
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(self.strings[i] for i in ids if i in self.strings)
+        return " ".join([self.strings[i] for i in ids if i in self.strings])
 
 
 class _Chunks(dict):

@@ -318,6 +318,22 @@ def test_encoding_equals_the_library(spark, vocabulary):
     assert bpe.encode_documents(empty(spark), spec).collect() == []
 
 
+def test_bpe_looks_a_pair_up_once(vocabulary):
+    class Counted(dict):
+        n = 0
+
+        def get(self, *key):
+            Counted.n += 1
+            return super().get(*key)
+
+    own = bpe.WordBpe(bpe.read_vocabulary(vocabulary))
+    own.ranks = Counted(own.ranks)
+    for text in ("internationalisation", "onwhsherlyinblean", "\u00fc\u00e4\u00df" * 5):
+        Counted.n, size = 0, len(text.encode())
+        merges = size - len(own.word(text))
+        assert merges and Counted.n <= size - 1 + 2 * merges
+
+
 # --- sharding
 
 
