@@ -19,8 +19,9 @@ Method:
    inside one class need no look, as they cannot change the classes. No pair that could link two classes is left out,
    whatever the sketch and the min-hash say: these only order and pack the work.
 
-A text moves once, into a table bucketed by node that holds the texts of nodes which share a prefix token with another;
-sets are made from it where they are needed. Nothing is joined by doc_id. A token, node or class may be hot: tokens
+Texts are cut into words and shingles a block at a time, twice each: for the sketch and for the prefixes. One text of each
+node moves, by its own hash, into a bucketed table that holds those of nodes which share a prefix token with another; sets
+are made from it where they are needed. Nothing is joined by doc_id. A token, node or class may be hot: tokens
 are counted before they move and then joined (adaptive execution may split them), rows meet the results of hot nodes and
 classes by a bounded broadcast.
 
@@ -33,7 +34,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_signed, join_hot, mix64, rolling, rows_of, shuffle_partitions, tidy, word_hashes
+from .common import BASE, Scratch, as_signed, join_hot, mix64, rolling, rows_of, shuffle_partitions, tidy
 
 WIDTH = 5
 #: Similarity in hundredths.
@@ -61,17 +62,79 @@ SKETCH_LOCAL, SKETCH_COMMON = 5, 128
 #: Sets whose copies a task recognizes.
 _RECENT = 500_000
 _GROUP_SALT = np.uint64(0xA0761D6478BD642F)
+#: Bytes of text that are cut into words at a time, one text at least; rows of one Arrow batch that a task sends on.
+_BLOCK_BYTES, _BLOCK_ROWS = 1 << 20, 256
+#: A-Z lower-cased, white space as blanks.
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
+#: The first 0 to 8 bytes of a word read as one number; words over _LONG bytes are hashed one by one.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LONG = 64
+
+
+def _words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, one after the other, and the number of words of each text."""
+    whole = b"".join((b" ", b" ".join(t or b"" for t in texts), b" " * 8)).translate(_PLAIN)
+    blank = np.frombuffer(whole, np.uint8) == 32
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(whole) - 7, np.dtype("<u8"), whole, 0, (1,))  # the eight bytes from each place on
+    hashes = mix64(sizes.astype(np.uint64) * BASE ^ (eight[starts] & _FIRST_BYTES[np.minimum(sizes, 8)]))
+    done, more = 8, np.flatnonzero(sizes > 8)
+    while len(more) and done < _LONG:
+        hashes[more] = mix64(hashes[more] ^ (eight[starts[more] + done] & _FIRST_BYTES[np.minimum(sizes[more] - done, 8)]))
+        done += 8
+        more = more[sizes[more] > done]
+    for i in more.tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(whole[starts[i] : starts[i] + sizes[i]])
+    begins = np.cumsum([1] + [len(t or b"") + 1 for t in texts])
+    return hashes, np.diff(np.searchsorted(starts, begins))
+
+
+def shingle_block(texts: list[bytes | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit hashes of the word shingles of each text, one text after the other, and where each one's begin and end."""
+    hashes, words = _words(texts)
+    counts = np.where(words < width, np.minimum(words, 1), words - width + 1)
+    ends, firsts = np.concatenate(([0], np.cumsum(counts))), np.cumsum(words) - words
+    rolled = rolling(hashes, width)
+    if len(rolled):
+        # A text with fewer words has one place, filled below.
+        tokens = rolled[np.minimum(np.repeat(firsts - ends[:-1], counts) + np.arange(ends[-1]), len(rolled) - 1)]
+    else:
+        tokens = np.zeros(ends[-1], np.uint64)
+    for i in np.flatnonzero((words > 0) & (words < width)).tolist():
+        tokens[ends[i]] = rolling(hashes[firsts[i] : firsts[i] + words[i]], words[i])[0] ^ np.uint64(words[i])
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        tokens[a:b].sort()
+    distinct = np.ones(len(tokens), bool)
+    distinct[1:] = tokens[1:] != tokens[:-1]
+    distinct[ends[:-1][counts > 0]] = True
+    return tokens[distinct], np.concatenate(([0], np.cumsum(distinct)))[ends]
+
+
+def blocks(texts: Iterable[bytes | None]) -> Iterator[list[bytes | None]]:
+    """The texts in lists of about _BLOCK_BYTES, or of one larger text, and of _BLOCK_ROWS at most."""
+    block: list[bytes | None] = []
+    size = 0
+    for text in texts:
+        if block and (size + len(text or b"") > _BLOCK_BYTES or len(block) == _BLOCK_ROWS):
+            yield block
+            block, size = [], 0
+        block.append(text)
+        size += len(text or b"")
+    if block:
+        yield block
 
 
 def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = word_hashes(words)
-    if len(words) < width:
-        return rolling(hashes, len(words)) ^ np.uint64(len(words))
-    return np.unique(rolling(hashes, width))
+    return shingle_block([text], width)[0]
+
+
+def count_slots(slots: np.ndarray, tokens: np.ndarray) -> None:
+    """Adds the hits of the tokens to the slots of a sketch."""
+    found = np.sort((tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int32))
+    at = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else np.empty(0, np.int64)
+    slots[found[at]] += np.diff(at, append=len(found)).astype(slots.dtype)
 
 
 def prefix_length(n: int, least: int = LEAST) -> int:
@@ -116,9 +179,8 @@ def common_tokens(docs: DataFrame) -> bytes:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SKETCH_BITS, np.int32)
-        for (text,) in rows_of(batches, "text"):
-            found = shingles(text) & np.uint64((1 << SKETCH_BITS) - 1)
-            np.add.at(slots, found.astype(np.int64), 1)
+        for block in blocks(text for (text,) in rows_of(batches, "text")):
+            count_slots(slots, shingle_block(block)[0])
         at = np.flatnonzero(slots >= SKETCH_LOCAL)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(slots[at].astype(np.int64))], ["slot", "hits"])
 
@@ -130,55 +192,66 @@ def common_tokens(docs: DataFrame) -> bytes:
     return zlib.compress(classes.tobytes(), 1)
 
 
-def _by_task(docs: DataFrame, row, names: list[str], kinds: list[pa.DataType], schema: str, setup=lambda: None) -> DataFrame:
-    """docs with columns made of each text by row(tokens, node, text, first, setup()); first: no copy came before in its task."""
+class _Recent:
+    """Recognizes what came before in its task, among the last _RECENT at least."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[tuple[int, int]] = set()
-        own = setup()
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                rows: list[tuple] = []
-                for (text,) in rows_of([part], "text"):
-                    tokens = shingles(text)
-                    node = _node(tokens) if len(tokens) else None
-                    first = node is not None and node not in sent
-                    if first:
-                        if len(sent) >= _RECENT:
-                            sent.clear()
-                        sent.add(node)
-                    rows.append(row(tokens, node, text, first, own))
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True))], names)
+    def __init__(self) -> None:
+        self.seen: set = set()
 
-    return docs.mapInArrow(run, schema)
+    def new(self, key) -> bool:
+        if key in self.seen:
+            return False
+        if len(self.seen) >= _RECENT:
+            self.seen.clear()
+        self.seen.add(key)
+        return True
 
 
 def _describe(docs: DataFrame, classes: bytes) -> DataFrame:
-    """doc_id, n, hi, lo (content key of the set), and of the first copy in a task grp (min-hash) and pre (prefix tokens)."""
+    """doc_id, n, hi, lo (content key of the set), and of the first copy in a task grp (min-hash), pre (prefix tokens) and digest (of its text)."""
     shipped = docs.sparkSession.sparkContext.broadcast(classes)
 
-    def row(tokens, node, _, first, order):
-        if node is None:
-            return 0, None, None, None, None
-        if not first:
-            return len(tokens), *node, None, None
-        cost = order[(tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
-        ranked = tokens[np.argsort(cost, kind="stable")] if cost.any() else tokens
-        group = int(as_signed(mix64(tokens ^ _GROUP_SALT).min(keepdims=True))[0])
-        return len(tokens), *node, group, as_signed(ranked[: prefix_length(len(tokens))])
-
-    order = lambda: np.frombuffer(zlib.decompress(shipped.value), np.uint8)
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    return _by_task(docs, row, ["doc_id", "n", "hi", "lo", "grp", "pre"], kinds, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, hi bigint, lo bigint, grp bigint, pre array<bigint>", order)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, recent = np.frombuffer(zlib.decompress(shipped.value), np.uint8), _Recent()
+        for batch in batches:
+            start = 0
+            for block in blocks(text for (text,) in rows_of([batch], "text")):
+                tokens, ends = shingle_block(block)
+                filled = np.flatnonzero(ends[1:] > ends[:-1])
+                groups = np.zeros(len(block), np.int64)
+                if len(filled):
+                    groups[filled] = as_signed(np.minimum.reduceat(mix64(tokens ^ _GROUP_SALT), ends[:-1][filled]))
+                cost, bounds = order[(tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], ends.tolist()
+                rows: list[tuple] = []
+                for i, text in enumerate(block):
+                    own, dear = tokens[bounds[i] : bounds[i + 1]], cost[bounds[i] : bounds[i + 1]]
+                    node = _node(own) if len(own) else None
+                    if node is None or not recent.new(node):
+                        rows.append((*(node or (None, None)), None, None, None))
+                        continue
+                    ranked = own[np.argsort(dear, kind="stable")] if dear.any() else own
+                    rows.append((*node, groups[i], as_signed(ranked[: prefix_length(len(own))]), xxhash.xxh3_128_digest(text)))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+                made = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(block)), pa.array(np.diff(ends)), *made], ["doc_id", "n", "hi", "lo", "grp", "pre", "digest"])
+                start += len(block)
+
+    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, hi bigint, lo bigint, grp bigint, pre array<bigint>, digest binary")
 
 
 def _carried(docs: DataFrame) -> DataFrame:
-    """hi, lo and text of each set; copies in one task once."""
-    row = lambda _, node, text, first, __: (*node, text) if first else (None, None, None)
-    out = _by_task(docs, row, ["doc_id", "hi", "lo", "text"], [pa.int64(), pa.int64(), pa.binary()], f"doc_id {dict(docs.dtypes)['doc_id']}, hi bigint, lo bigint, text binary")
-    return out.where("hi is not null").select("hi", "lo", "text")
+    """digest and text of each text; copies in one task once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recent = _Recent()
+        for batch in batches:
+            for start in range(0, batch.num_rows, _BLOCK_ROWS):
+                part = batch.slice(start, _BLOCK_ROWS).column(0)
+                digests = [xxhash.xxh3_128_digest(text) if text else None for text in part.to_pylist()]
+                first = pa.array([d is not None and recent.new(d) for d in digests], pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()).filter(first), part.filter(first)], ["digest", "text"])
+
+    return docs.select("text").mapInArrow(run, "digest binary, text binary")
 
 
 def _node(tokens: np.ndarray) -> tuple[int, int]:
@@ -187,25 +260,28 @@ def _node(tokens: np.ndarray) -> tuple[int, int]:
 
 
 class _Texts:
-    """Texts of nodes (hi, lo, node), bucketed, so that they don't move when some of them are asked for."""
+    """Texts of nodes (node, digest), bucketed, so that they don't move when some of them are asked for."""
 
     def __init__(self, scratch: Scratch, carried: DataFrame, nodes: DataFrame):
         self.spark, self.nodes, self.name = scratch.spark, nodes, f"texts_{uuid.uuid4().hex}"
-        texts = carried.join(nodes, ["hi", "lo"]).groupBy("hi", "lo", "node").agg(F.first("text").alias("text"))
+        texts = carried.join(nodes, "digest").groupBy("digest").agg(F.first("node").alias("node"), F.first("text").alias("text"))
         with tidy(self.spark):
-            texts.write.bucketBy(shuffle_partitions(self.spark), "hi", "lo").sortBy("hi", "lo").option("path", scratch.path("texts")).option("compression", "zstd").saveAsTable(self.name)
+            texts.write.bucketBy(shuffle_partitions(self.spark), "digest").sortBy("digest").option("path", scratch.path("texts")).option("compression", "zstd").saveAsTable(self.name)
 
     def sets(self, needed: DataFrame) -> DataFrame:
         """node and the whole set of the nodes needed."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    rows = [(node, as_signed(shingles(text))) for node, text in rows_of([batch.slice(start, 256)], "node", "text")]
-                    yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.list_(pa.int64()))], ["node", "tokens"])
+                start = 0
+                for block in blocks(text for (text,) in rows_of([batch], "text")):
+                    tokens, ends = shingle_block(block)
+                    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(as_signed(tokens)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(block)), lists], ["node", "tokens"])
+                    start += len(block)
 
-        keys = self.nodes.join(needed.select("node"), "node", "left_semi").select("hi", "lo")
-        return self.spark.table(self.name).join(keys, ["hi", "lo"], "left_semi").select("node", "text").mapInArrow(run, "node bigint, tokens array<bigint>")
+        keys = self.nodes.join(needed.select("node"), "node", "left_semi").select("digest")
+        return self.spark.table(self.name).join(keys, "digest", "left_semi").select("node", "text").mapInArrow(run, "node bigint, tokens array<bigint>")
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -425,7 +501,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     source = _binary(docs, key, text)
     described = scratch.save(_describe(source, common_tokens(source)), "described")
     rows = described.select("doc_id", "n", "hi", "lo")
-    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("grp", "pre")]
+    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("grp", "pre", "digest")]
     nodes = described.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("low"), F.count("*").alias("k"), F.first("n").alias("n"), *firsts)
     nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -433,8 +509,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     each = nodes.select("node", F.explode("pre").alias("token"))
     shared = each.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     matrix = scratch.save(each.join(shared, "token", "left_semi"), "matrix")
-    open_nodes = scratch.save(nodes.select("node", "hi", "lo", "grp", "n").join(matrix.select("node").distinct(), "node", "left_semi"), "open-nodes")
-    texts = _Texts(scratch, _carried(source), open_nodes.select("hi", "lo", "node"))
+    open_nodes = scratch.save(nodes.select("node", "digest", "grp", "n").join(matrix.select("node").distinct(), "node", "left_semi"), "open-nodes")
+    texts = _Texts(scratch, _carried(source), open_nodes.select("digest", "node"))
     dealt = scratch.save(_packed(scratch, open_nodes.select("node", "grp", "n")), "dealt")
 
     # Groups open by themselves; then the leaders of a family's chunks form groups, until one is left.
